@@ -50,7 +50,7 @@ BINDINGS: dict[str, str] = {
         cast(0 as decimal(18,2)) as ShippingAmount,
         cast(o_totalprice as decimal(18,2)) as TotalAmount, o_orderdate as PlacedAt, o_orderdate as UpdatedAt
         from orders""",
-    "b_line": """select l_orderkey * 8 + l_linenumber as OrderLineID, l_orderkey as OrderID, l_partkey as VariantID,
+    "b_line": """select l_orderkey * 8 + l_linenumber as OrderLineID, l_orderkey as OrderID, l_linenumber as LineNumber, l_partkey as VariantID,
         l_partkey as ProductID, l_suppkey as SupplierID, cast(l_quantity as int) as Quantity,
         cast(cast((cast(cast(l_extendedprice as decimal(18,2)) * 100 as bigint) + cast(l_quantity as int) // 2)
                   // cast(l_quantity as int) as decimal(18,2)) * 0.01 as decimal(18,2)) as UnitPrice,

@@ -157,7 +157,7 @@ class Bindings:
                       " + cast(l_quantity as int) div 2) div cast(l_quantity as int)")
         return li.select(
             (C("l_orderkey") * 8 + C("l_linenumber")).alias("OrderLineID"),
-            C("l_orderkey").alias("OrderID"), C("l_partkey").alias("VariantID"),
+            C("l_orderkey").alias("OrderID"), C("l_linenumber").alias("LineNumber"), C("l_partkey").alias("VariantID"),
             C("l_partkey").alias("ProductID"), C("l_suppkey").alias("SupplierID"),
             q.alias("Quantity"),
             (unit.cast("decimal(18,2)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)").alias("UnitPrice"),

@@ -153,3 +153,84 @@ def global_order(df: DataFrame, value: str, keys: list[str], descending: bool =
     if ntile:
         out = out.withColumn("_ntile", ntile_closed_form(F.col("_rn"), F.col("_n"), ntile))
     return out.drop("_b", "_lrn", "_lrank", "_ldense", "_lrun", "_off_n", "_rank_first", "_base_dense", "_off_s")
+
+
+def _running_type(dt: T.DataType) -> T.DataType:
+    if isinstance(dt, T.DecimalType):
+        return T.DecimalType(min(38, dt.precision + 10), dt.scale)
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return T.LongType()
+    return T.DoubleType()
+
+
+def bucketize(df: DataFrame, keys: list[str], order: list[str], buckets: int | None = None) -> DataFrame:
+    """Range-partition on (keys, order) and freeze the bucket id ``_b`` with a reliable checkpoint.
+    A key holding a third of the rows spans many buckets instead of one task."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return (df.repartitionByRange(nb, *[F.col(k).asc() for k in keys], *[F.col(o).asc() for o in order])
+            .withColumn("_b", F.spark_partition_id()).checkpoint(eager=True))
+
+
+def running_sum_in_buckets(bucketed: DataFrame, keys: list[str], order: list[str], values: dict[str, str]) -> DataFrame:
+    """Running sums per key over rows already carrying a frozen bucket id ``_b`` (see ``bucketize``;
+    columns may have been added or changed since, the bucket of each row stays fixed).
+
+    Each bucket computes local running sums; only the first key of a bucket can continue a key from
+    earlier buckets, so the offset table has at most one row per bucket (a proven size bound) and is
+    broadcast."""
+    spark = bucketed.sparkSession
+    wl = Window.partitionBy("_b", *keys).orderBy(*order).rowsBetween(UNB_PREC, CUR)
+    local = bucketed
+    for o, v in values.items():
+        local = local.withColumn(f"_l_{o}", F.sum(v).over(wl))
+    # bucket edges and the sum of each bucket's last key: plain aggregates, no window or sort
+    kstruct = F.struct(*keys)
+    edges = bucketed.groupBy("_b").agg(F.min(kstruct).alias("first_k"), F.max(kstruct).alias("last_k")).collect()
+    last_rows = [(r["_b"], *tuple(r["last_k"])) for r in edges]
+    last_df = spark.createDataFrame(last_rows, T.StructType(
+        [T.StructField("_b", T.IntegerType())] + [T.StructField(k, bucketed.schema[k].dataType) for k in keys]))
+    tails = {r["_b"]: r for r in bucketed.join(F.broadcast(last_df), ["_b", *keys], "left_semi")
+             .groupBy("_b").agg(*[F.sum(v).alias(f"tail_{o}") for o, v in values.items()]).collect()}
+    stats = [dict(_b=r["_b"], first_k=r["first_k"], last_k=r["last_k"],
+                  **{f"tail_{o}": (tails[r["_b"]][f"tail_{o}"] if r["_b"] in tails else 0) for o in values})
+             for r in edges]
+    stats.sort(key=lambda r: r["_b"])
+    types = {o: _running_type(bucketed.schema[v].dataType) for o, v in values.items()}
+    rows, carry_key, carry = [], None, {o: 0 for o in values}
+    for r in stats:
+        first, last = tuple(r["first_k"]), tuple(r["last_k"])
+        off = {o: (carry[o] if first == carry_key else 0) for o in values}
+        if any(off[o] for o in values):
+            rows.append((r["_b"], *first, *[off[o] for o in values]))
+        tail = {o: (r[f"tail_{o}"] or 0) for o in values}
+        carry = {o: (off[o] + tail[o]) if first == last else tail[o] for o in values}
+        carry_key = last
+    schema = T.StructType([T.StructField("_b", T.IntegerType())]
+                          + [T.StructField(k, bucketed.schema[k].dataType) for k in keys]
+                          + [T.StructField(f"_off_{o}", types[o]) for o in values])
+    offsets = spark.createDataFrame(rows, schema)
+    out = local.join(F.broadcast(offsets), ["_b", *keys], "left")
+    for o in values:
+        out = out.withColumn(o, (F.coalesce(F.col(f"_off_{o}"), F.lit(0).cast(types[o])) + F.col(f"_l_{o}"))
+                             .cast(types[o]))
+    return out.drop(*[f"_l_{o}" for o in values], *[f"_off_{o}" for o in values])
+
+
+def running_sum_by_key(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str],
+                       buckets: int | None = None, plain: bool = False) -> DataFrame:
+    """W4 for skewed keys: for every (out, value) in ``values`` add ``out`` = SUM(value) OVER
+    (PARTITION BY keys ORDER BY order ROWS UNBOUNDED PRECEDING .. CURRENT ROW).
+
+    ``order`` (ascending column names) must be a total order within a key. A plain window puts
+    every row of one key into one task; here rows are range-partitioned on (keys, order)
+    (``bucketize``) and summed per bucket with broadcast offsets (``running_sum_in_buckets``).
+    """
+    if plain:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(UNB_PREC, CUR)
+        out = df
+        for o, v in values.items():
+            out = out.withColumn(o, F.sum(v).over(w).cast(_running_type(df.schema[v].dataType)))
+        return out
+    return running_sum_in_buckets(bucketize(df, keys, order, buckets), keys, order, values).drop("_b")

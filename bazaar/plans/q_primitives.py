@@ -14,7 +14,7 @@ from bazaar.operators import relational as REL
 from bazaar.operators.search import fold_predicates, optional_eq
 from bazaar.operators.windows import first_value_full
 from bazaar.plans.catalog import query
-from bazaar.plans.views import NOT_CANCELLED, active_discount, shipment_timeline
+from bazaar.plans.views import not_cancelled, active_discount, shipment_timeline
 
 C = F.col
 AS_OF = "TIMESTAMP '2001-08-01 00:00:00'"
@@ -145,7 +145,7 @@ JOIN b_city ci ON ci.CityID = a.CityID JOIN b_province pr ON pr.ProvinceID = ci.
 WHERE o.OrderStatus NOT IN ('CANCELLED')""")
 def j1(c):
     """J1 multi-way inner star join (8 tables); dimensions are broadcast when AQE measures them small."""
-    o = c.order().filter(NOT_CANCELLED).select("OrderID", "ShippingAddressID")
+    o = c.order().filter(not_cancelled()).select("OrderID", "ShippingAddressID")
     return (c.order_line().select("OrderID", "VariantID", "LineTotal").join(o, "OrderID")
             .join(c.variant().select("VariantID", "ProductID"), "VariantID")
             .join(c.product().select("ProductID", "ProductName", "CategoryID", "VendorID"), "ProductID")
@@ -398,7 +398,7 @@ FROM b_line l JOIN b_order o ON o.OrderID = l.OrderID WHERE o.OrderStatus NOT IN
 GROUP BY ProductID ORDER BY sum(l.LineTotal) DESC, ProductID LIMIT 20""")
 def s4(c):
     """S4 TOP 20 of the product revenue ranking (TakeOrderedAndProject — a top-k report)."""
-    o = c.order().filter(NOT_CANCELLED).select("OrderID")
+    o = c.order().filter(not_cancelled()).select("OrderID")
     per = c.order_line().join(o, "OrderID", "left_semi").groupBy("ProductID").agg(F.sum("LineTotal").alias("Revenue"))
     return per.orderBy(C("Revenue").desc(), C("ProductID")).limit(20)
 
@@ -421,7 +421,7 @@ SELECT DISTINCT CustomerID, CAST(date_trunc('month', PlacedAt) AS TIMESTAMP) AS
 FROM b_order WHERE OrderStatus NOT IN ('CANCELLED')""")
 def u4(c):
     """U4 SELECT DISTINCT (customer, order month)."""
-    return c.order().filter(NOT_CANCELLED).select("CustomerID", month_start("PlacedAt").alias("OrderMonth")).distinct()
+    return c.order().filter(not_cancelled()).select("CustomerID", month_start("PlacedAt").alias("OrderMonth")).distinct()
 
 
 # ============================================================================ scalar functions

@@ -10,7 +10,7 @@ from bazaar.operators.grouping import pivot_sum, rollup_labelled
 from bazaar.operators.hierarchy import tree_display, tree_walk
 from bazaar.operators.search import clamp_page, fold_predicates, optional_eq, page, sort_spec
 from bazaar.operators.windows import global_order
-from bazaar.plans.views import NOT_CANCELLED, product_sales_ranking, revenue_monthly_trend
+from bazaar.plans.views import not_cancelled, product_sales_ranking, revenue_monthly_trend
 
 C = F.col
 
@@ -18,7 +18,7 @@ C = F.col
 def _line_facts(lines, orders, variants, products, order_cols=("OrderID",), product_cols=("ProductID",),
                 only_valid=True) -> DataFrame:
     """OrderLine ⋈ Order (not cancelled) ⋈ ProductVariant ⋈ Product, projected to what is needed."""
-    o = orders.filter(NOT_CANCELLED) if only_valid else orders
+    o = orders.filter(not_cancelled()) if only_valid else orders
     o = o.select(*dict.fromkeys(("OrderID",) + tuple(order_cols)))
     ln = lines.drop("ProductID") if "ProductID" in lines.columns else lines
     return (ln.join(o, "OrderID")
@@ -42,7 +42,7 @@ def customers_above_city_average(customers, addresses, cities, orders) -> DataFr
     """Customers whose total spend exceeds the average *order* amount of their default city.
 
     The correlated subquery is computed once per city and joined (G6), not three times per row."""
-    valid = orders.filter(NOT_CANCELLED).select("OrderID", "CustomerID", "TotalAmount")
+    valid = orders.filter(not_cancelled()).select("OrderID", "CustomerID", "TotalAmount")
     home = addresses.filter(C("IsDefault")).select("CustomerID", "CityID")
     city_avg = (valid.join(customers.select("CustomerID"), "CustomerID").join(home, "CustomerID")
                 .groupBy("CityID").agg(exact_avg("TotalAmount").alias("CityAvgSpend")))
@@ -182,7 +182,7 @@ def category_month_pivot(lines, orders, variants, products, categories, as_of, m
                          months_back: int = 6) -> DataFrame:
     """Revenue by category × 'yyyy-MM' month, pivoted over an explicit month list."""
     t = ts_lit(as_of)
-    o = orders.filter(NOT_CANCELLED & (C("PlacedAt") >= F.add_months(t, -months_back)))
+    o = orders.filter(not_cancelled() & (C("PlacedAt") >= F.add_months(t, -months_back)))
     facts = (_line_facts(lines, o, variants, products, order_cols=("PlacedAt",), product_cols=("CategoryID",),
                          only_valid=False)
              .join(categories.select("CategoryID", "CategoryName"), "CategoryID"))
@@ -216,7 +216,7 @@ def pareto_abc(lines, orders, variants, products, categories, plain_windows: boo
 def customer_ltv(orders, customers) -> DataFrame:
     """Running lifetime value, order number, days since last order, running average gap
     (RANGE frame: orders on the same date share the value; the LAG is materialised first, B11)."""
-    cs = orders.filter(NOT_CANCELLED).select("OrderID", "CustomerID", as_date("PlacedAt").alias("OrderDate"),
+    cs = orders.filter(not_cancelled()).select("OrderID", "CustomerID", as_date("PlacedAt").alias("OrderDate"),
                                              "TotalAmount")
     w = Window.partitionBy("CustomerID").orderBy("OrderDate", "OrderID")
     step = (cs.withColumn("LifetimeValueToDate", F.sum("TotalAmount").over(w.rowsBetween(Window.unboundedPreceding, 0)))

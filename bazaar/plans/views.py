@@ -14,7 +14,11 @@ from bazaar.functions.expr import (as_date, boundary_diff, concat_plus, date_lit
 from bazaar.operators.windows import first_value_full, global_order, growth_pct, moving_avg_exact
 
 C = F.col
-NOT_CANCELLED = ~C("OrderStatus").isin("CANCELLED")
+
+
+def not_cancelled():
+    """OrderStatus NOT IN ('CANCELLED')."""
+    return ~C("OrderStatus").isin("CANCELLED")
 
 
 def _as_of_date(as_of):
@@ -147,7 +151,7 @@ def vendor_performance(vendors, products, variants, lines, orders, reviews, as_o
                        dedup_reviews: bool = False) -> DataFrame:
     """V4: all-time and 30-day vendor stats. The 30-day figures keep the review fan-out (B2)."""
     t = ts_lit(as_of)
-    ok_orders = orders.filter(NOT_CANCELLED).select("OrderID", "PlacedAt")
+    ok_orders = orders.filter(not_cancelled()).select("OrderID", "PlacedAt")
     facts = (lines.select("OrderID", "VariantID", "Quantity", "LineTotal")
              .join(variants.select("VariantID", "ProductID"), "VariantID")
              .join(products.select("ProductID", "VendorID"), "ProductID")
@@ -178,7 +182,7 @@ def vendor_performance(vendors, products, variants, lines, orders, reviews, as_o
 # --------------------------------------------------------------------------- V5
 def monthly_revenue(orders) -> DataFrame:
     """The V5 CTE: one row per calendar month of non-cancelled orders."""
-    return (orders.filter(NOT_CANCELLED)
+    return (orders.filter(not_cancelled())
             .groupBy(F.year("PlacedAt").alias("RevenueYear"), F.month("PlacedAt").alias("RevenueMonth"),
                      month_start("PlacedAt").alias("MonthStart"))
             .agg(F.count_distinct("OrderID").alias("OrderCount"), F.sum("TotalAmount").alias("GrossRevenue"),
@@ -213,7 +217,7 @@ def revenue_monthly_trend(orders) -> DataFrame:
 def cohort_retention(customers, orders) -> DataFrame:
     """V6: active customers per (signup month, order month), retention %, cohort-size rank, peak."""
     cohorts = customers.filter(C("IsActive")).select("CustomerID", month_start("CreatedAt").alias("CohortMonth"))
-    activity = (orders.filter(NOT_CANCELLED).select("CustomerID", month_start("PlacedAt").alias("OrderMonth"))
+    activity = (orders.filter(not_cancelled()).select("CustomerID", month_start("PlacedAt").alias("OrderMonth"))
                 .distinct())
     act = (cohorts.join(activity, "CustomerID")
            .groupBy("CohortMonth", "OrderMonth",
@@ -239,7 +243,7 @@ def product_revenue(products, categories, vendors, variants, lines, orders, revi
 
     Lines are aggregated per product *before* the dimension joins (partial aggregation happens
     map-side), so the large side is shuffled once; review fan-out (B2) is applied per product."""
-    ok_orders = orders.filter(NOT_CANCELLED).select("OrderID")
+    ok_orders = orders.filter(not_cancelled()).select("OrderID")
     per_product = (lines.select("OrderID", "VariantID", "Quantity", "LineTotal", "UnitPrice")
                    .join(ok_orders, "OrderID", "left_semi")
                    .join(variants.select("VariantID", "ProductID"), "VariantID")

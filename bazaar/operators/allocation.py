@@ -36,11 +36,17 @@ PENDING, ACCEPTED, REJECTED = "PENDING", "ACCEPTED", "REJECTED"
 
 
 def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str], order: tuple[str, ...] = ("RequestedAt", "RequestID"),
-             max_rounds: int = 10_000, plain_windows: bool = False) -> tuple[DataFrame, DataFrame]:
+             max_rounds: int = 10_000, plain_windows: bool = False,
+             tail_max_rows: int = 200_000) -> tuple[DataFrame, DataFrame]:
     """``demands``: (RequestID, *order, level, resource, qty); ``capacities``: (resource, capacity).
     Resources without a capacity row have capacity 0. Returns (decisions, final demands):
     decisions = (RequestID, status, reason); final demands add ``consumed_before`` (accepted
-    demand on the resource before this request) for ledger building."""
+    demand on the resource before this request) for ledger building.
+
+    Once at most ``tail_max_rows`` pending demand rows remain, they are finished exactly in one
+    task (``_sequential_tail``): a bounded input, processed in request order from the accepted
+    consumption already known. Above the bound the rounds continue, so nothing unbounded ever
+    lands in one task."""
     spark = demands.sparkSession
     ensure_checkpoint_dir(spark)
     order = list(dict.fromkeys(order))
@@ -64,6 +70,15 @@ def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str],
         cur = (running_sum_by_key(cur, ["resource"], order, sums, plain=True) if plain_windows
                else running_sum_in_buckets(cur, ["resource"], order, sums))
         pend = cur.filter(C("status") == PENDING)
+        if tail_max_rows and rnd > 0 and pend.count() <= tail_max_rows:
+            tail = _sequential_tail(pend, order, reasons)
+            status = (status.join(tail, "RequestID", "left")
+                      .select("RequestID", F.coalesce(C("_new"), C("status")).alias("status"),
+                              F.coalesce(C("_why"), C("reason")).alias("reason"))
+                      .checkpoint(eager=True))
+            if _DEBUG:
+                print("allocation tail", rnd, status.groupBy("status").count().collect())
+            break
         # for a pending row: lo excludes its own qty (not accepted yet), hi includes it
         per = pend.groupBy("RequestID", "level").agg(
             F.min(F.when(C("_hi") <= C("capacity"), 1).otherwise(0)).alias("pass"),
@@ -102,6 +117,50 @@ def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str],
     return status, final
 
 
+def _sequential_tail(pend: DataFrame, order: list[str], reasons: dict[int, str]) -> DataFrame:
+    """Exact one-at-a-time decisions for the remaining pending requests, in one task.
+
+    Input rows (bounded by the caller): pending demand rows with ``_lo`` = accepted demand on the
+    resource before the request. Consumption by requests accepted inside the tail is added as the
+    scan proceeds, which is exactly the sequential rule."""
+    import pandas as pd
+
+    cols = ["RequestID", *[o for o in order if o != "RequestID"], "level", "resource", "qty", "capacity", "_lo"]
+    key_type = pend.schema["RequestID"].dataType.simpleString()
+
+    def solve(batches):
+        frames = [b for b in batches]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True).sort_values(order + ["level"], kind="mergesort")
+        rid = pdf["RequestID"].tolist()
+        lvl, res, qty = pdf["level"].tolist(), pdf["resource"].tolist(), pdf["qty"].tolist()
+        cap, lo = pdf["capacity"].tolist(), pdf["_lo"].tolist()
+        extra: dict = {}
+        out_id, out_status, out_reason = [], [], []
+        i, n = 0, len(rid)
+        while i < n:  # one request = a run of consecutive rows (sorted by order, then level)
+            j = i
+            while j < n and rid[j] == rid[i]:
+                j += 1
+            reason = None
+            for k in range(i, j):  # rows are in level order: the first failing row gives the reason
+                if lo[k] + extra.get(res[k], 0) + qty[k] > cap[k]:
+                    reason = reasons[lvl[k]]
+                    break
+            if reason is None:
+                for k in range(i, j):
+                    extra[res[k]] = extra.get(res[k], 0) + qty[k]
+            out_id.append(rid[i])
+            out_status.append(ACCEPTED if reason is None else REJECTED)
+            out_reason.append(reason)
+            i = j
+        yield pd.DataFrame({"RequestID": out_id, "_new": out_status, "_why": out_reason})
+
+    return (pend.select(*cols).repartition(1)
+            .mapInPandas(solve, f"RequestID {key_type}, _new string, _why string"))
+
+
 def sequential_reference(requests: list[dict], capacities: dict, reasons: dict[int, str]) -> dict:
     """The one-at-a-time semantics, in plain Python, for tests on small fixtures.
     requests: [{"id", "key": sortable, "demands": [(level, resource, qty), ...]}]."""

@@ -1,7 +1,8 @@
 """Weighted text search (D2): OR of terms over weighted fields, score descending.
 
-Tokenisation: ASCII lower-casing (``translate``, so no locale rules differ between engines), split
-on ``[^a-z]+``. Score = Σ field weight × term frequency over the query terms. The per-term counts
+Tokenisation: tokens are maximal runs of ASCII letters, compared lower-cased (ASCII only, so no
+locale rules differ between engines) — the same tokens as lower-casing A–Z and splitting on
+``[^a-z]+``. Score = Σ field weight × term frequency over the query terms. The per-term counts
 are array expressions evaluated row by row (``size(filter(tokens, t -> t = term))``): no explode,
 no shuffle — the whole search is one narrow map over the documents plus the final sort, so it
 scales with the text volume and never gathers a document's tokens anywhere. Whole texts are
@@ -20,7 +21,13 @@ TOKEN_SPLIT = "[^a-z]+"
 
 
 def tokens(text: Column) -> Column:
-    return F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), TOKEN_SPLIT)
+    """Maximal runs of ASCII letters (case kept; compare with ``F.lower`` — exact, ASCII only)."""
+    return F.split(F.coalesce(text, F.lit("")), "[^A-Za-z]+")
+
+
+def any_term_pattern(terms: list[str]) -> str:
+    """Regex true iff some token of the text equals a term (terms are [a-z]+ by construction)."""
+    return "(?i)(?<![A-Za-z])(" + "|".join(terms) + ")(?![A-Za-z])"
 
 
 def parse_terms(search: str) -> list[str]:
@@ -34,7 +41,7 @@ def parse_terms(search: str) -> list[str]:
 
 
 def _equals(term: str):
-    return lambda t: t == F.lit(term)
+    return lambda t: F.lower(t) == F.lit(term)
 
 
 def term_frequency(text: Column, term: str) -> Column:
@@ -42,21 +49,27 @@ def term_frequency(text: Column, term: str) -> Column:
 
 
 def text_score(fields: dict[str, int], terms: list[str]) -> Column:
-    """Σ_fields weight × Σ_terms tf(field, term)."""
+    """Σ_fields weight × (number of tokens of the field that are query terms): one split and one
+    pass over the tokens per field."""
     score = None
     for field, weight in fields.items():
-        toks = tokens(C(field))
-        tf = None
-        for term in terms:
-            part = F.size(F.filter(toks, _equals(term)))
-            tf = part if tf is None else tf + part
-        piece = F.lit(weight) * tf
+        hits = F.size(F.filter(tokens(C(field)), lambda t: F.lower(t).isin(*terms)))
+        piece = F.lit(weight) * hits
         score = piece if score is None else score + piece
     return score.cast("bigint")
 
 
 def text_search(docs: DataFrame, search: str, fields: dict[str, int], where: Column | None = None) -> DataFrame:
-    """Rows matching any term, with ``score``, best first."""
+    """Rows matching any term, with ``score``, best first.
+
+    A regex prefilter (true iff a token equals a term) selects the matching rows in one scan; the
+    score is then computed once per surviving row (a filter on the score itself would evaluate the
+    whole tokenisation twice)."""
     terms = parse_terms(search)
-    df = docs.filter(where) if where is not None else docs
-    return df.withColumn("score", text_score(fields, terms)).filter(C("score") > 0).orderBy(C("score").desc())
+    pattern = any_term_pattern(terms)
+    match = None
+    for f in fields:
+        m = F.coalesce(C(f), F.lit("")).rlike(pattern)
+        match = m if match is None else (match | m)
+    df = docs.filter(match if where is None else (where & match))
+    return df.withColumn("score", text_score(fields, terms)).orderBy(C("score").desc())

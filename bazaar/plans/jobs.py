@@ -138,11 +138,13 @@ def valid_discounts(discounts: DataFrame, as_of) -> DataFrame:
     return discounts.filter(C("IsActive") & (C("ValidFrom") <= t) & (C("ValidTo").isNull() | (C("ValidTo") >= t)))
 
 
-def validate_order_requests(requests, customers, discounts, as_of) -> DataFrame:
+def validate_order_requests(requests, customers, discounts, as_of, lines: DataFrame | None = None) -> DataFrame:
     """Per request, the first failing check — NO_VALID_LINES, CUSTOMER_INACTIVE,
     INVALID_DISCOUNT (unknown, inactive or outside its validity window) — or NULL when valid.
-    The usage cap is checked in allocation, because it depends on earlier accepted requests."""
-    has_lines = order_request_lines(requests).select("RequestID").distinct().withColumn("_has", F.lit(True))
+    The usage cap is checked in allocation, because it depends on earlier accepted requests.
+    ``lines``: the already parsed payload lines (``order_request_lines``), to parse only once."""
+    lines = order_request_lines(requests) if lines is None else lines
+    has_lines = lines.select("RequestID").distinct().withColumn("_has", F.lit(True))
     active = customers.filter(C("IsActive")).select("CustomerID").withColumn("_cust", F.lit(True))
     disc = valid_discounts(discounts, as_of).select("DiscountCode", "DiscountID", "DiscountType", "DiscountValue")
     df = (requests.drop("ItemsJson").join(has_lines, "RequestID", "left").join(active, "CustomerID", "left")
@@ -152,15 +154,18 @@ def validate_order_requests(requests, customers, discounts, as_of) -> DataFrame:
     return df.withColumn("RejectReason", reason).drop("_has", "_cust")
 
 
-def price_order_requests(requests, variants, products, discounts, customers, as_of) -> DataFrame:
+def price_order_requests(requests, variants, products, discounts, customers, as_of,
+                         lines: DataFrame | None = None, validated: DataFrame | None = None) -> DataFrame:
     """R3 for every request that passes R1: unit = BasePrice + PriceAdjustment; subtotal;
     PERCENTAGE → ROUND(subtotal × value / 100, 2); FIXED_AMOUNT → min(value, subtotal); else 0."""
-    v = validate_order_requests(requests, customers, discounts, as_of).filter(C("RejectReason").isNull())
-    lines = (order_request_lines(requests)
-             .join(variants.select("VariantID", "ProductID", "PriceAdjustment"), "VariantID")
-             .join(products.select("ProductID", "BasePrice"), "ProductID")
-             .withColumn("UnitPrice", C("BasePrice") + C("PriceAdjustment")))
-    sub = lines.groupBy("RequestID").agg(F.sum(C("UnitPrice") * C("Quantity")).alias("SubtotalAmount"))
+    lines = order_request_lines(requests) if lines is None else lines
+    if validated is None:
+        validated = validate_order_requests(requests, customers, discounts, as_of, lines)
+    v = validated.filter(C("RejectReason").isNull())
+    priced_lines = (lines.join(variants.select("VariantID", "ProductID", "PriceAdjustment"), "VariantID")
+                    .join(products.select("ProductID", "BasePrice"), "ProductID")
+                    .withColumn("UnitPrice", C("BasePrice") + C("PriceAdjustment")))
+    sub = priced_lines.groupBy("RequestID").agg(F.sum(C("UnitPrice") * C("Quantity")).alias("SubtotalAmount"))
     df = v.join(sub, "RequestID")
     disc = (F.when(C("DiscountType") == "PERCENTAGE", F.round(C("SubtotalAmount") * C("DiscountValue") * _cent(), 2))
             .when(C("DiscountType") == "FIXED_AMOUNT", F.least(C("DiscountValue"), C("SubtotalAmount")))
@@ -176,11 +181,15 @@ def place_orders(requests, customers, discounts, variants, products, stock_level
     Stock is allocated from one warehouse (``warehouse_id``; the reference joins stock by variant
     across warehouses and double-deducts, B13). Discount usage caps are a second resource checked
     before stock, like the reference's check order. Returns outcomes and the new rows."""
-    priced = price_order_requests(requests, variants, products, discounts, customers, as_of)
-    rejected_early = (validate_order_requests(requests, customers, discounts, as_of)
-                      .filter(C("RejectReason").isNotNull())
+    # parse the payloads once; validated + priced requests are one row per request. Both are
+    # materialised with reliable checkpoints: every later step (allocation rounds, effects) reuses them.
+    parsed = order_request_lines(requests).checkpoint(eager=True)
+    validated = validate_order_requests(requests, customers, discounts, as_of, parsed).checkpoint(eager=True)
+    priced = price_order_requests(requests, variants, products, discounts, customers, as_of, parsed, validated) \
+        .checkpoint(eager=True)
+    rejected_early = (validated.filter(C("RejectReason").isNotNull())
                       .select("RequestID", F.lit(REJECTED).alias("status"), C("RejectReason").alias("reason")))
-    lines = order_request_lines(requests).join(priced.select("RequestID", "RequestedAt"), "RequestID")
+    lines = parsed.join(priced.select("RequestID", "RequestedAt"), "RequestID")
     stock = stock_levels.filter(C("WarehouseID") == warehouse_id)
     stock_dem = lines.select("RequestID", "RequestedAt", F.lit(1).alias("level"),
                              F.concat(F.lit("S:"), C("VariantID").cast("string")).alias("resource"),
@@ -207,7 +216,7 @@ def place_orders(requests, customers, discounts, variants, products, stock_level
     unit = (variants.select("VariantID", "ProductID", "PriceAdjustment")
             .join(products.select("ProductID", "BasePrice"), "ProductID")
             .select("VariantID", (C("BasePrice") + C("PriceAdjustment")).alias("UnitPrice")))
-    new_lines = (order_request_lines(requests).join(acc.select("RequestID", "OrderID"), "RequestID")
+    new_lines = (parsed.join(acc.select("RequestID", "OrderID"), "RequestID")
                  .join(unit, "VariantID").select("OrderID", "VariantID", "Quantity", "UnitPrice"))
     # SALE ledger with running QuantityAfter, stock deduction, usage counts, loyalty
     sales = (final.filter((C("status") == ACCEPTED) & (C("level") == 1))

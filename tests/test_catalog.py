@@ -34,3 +34,18 @@ def test_oracle_parity(spark, con, name):
     sdf = QUERIES[name](spark, SF_SMALL).toPandas()
     odf = con.execute(ORACLES[name]).df()
     assert compare(sdf, odf) in ("exact", "tol"), name
+
+
+def test_register_views_as_temp_views(spark):
+    from bazaar.plans.catalog import Ctx
+    from bazaar.plans.views import register_views
+    c = Ctx(spark, SF_SMALL)
+    frames = {"Order": c.order(), "Customer": c.customer(), "Address": c.address(), "City": c.city(),
+              "Province": c.province(), "Discount": c.discount(), "Payment": c.payment(), "Shipment": c.shipment(),
+              "Courier": c.courier(), "OrderLine": c.order_line(), "Product": c.product(), "Category": c.category(),
+              "Vendor": c.vendor(), "ProductVariant": c.variant(), "StockLevel": c.stock_level(), "Review": c.review(),
+              "ShipmentEvent": c.shipment_event()}
+    register_views(spark, frames, c.orders_as_of)
+    n = spark.sql("SELECT count(*) AS n FROM vw_RevenueMonthlyTrend").first().n
+    assert n == QUERIES["v5_revenue_monthly_trend"](spark, SF_SMALL).count()
+    assert spark.sql("SELECT count(*) FROM vw_Customer360 WHERE CustomerSegment = 'VIP'").first()[0] >= 0

@@ -23,21 +23,27 @@ RETENTION_SECONDS = 7_776_000  # 90 days
 
 
 def review_summary(reviews: DataFrame) -> DataFrame:
-    """M1q: per product — totals, $round(avg, 1) (half-even), positive rate, helpful votes, star
-    distribution sub-document, and the flattened tag list ($push + $reduce/$concatArrays, B24)."""
+    """M1q: per product — totals, $round(avg, 1) (half-even), positive rate, helpful votes and the
+    star distribution sub-document, most reviewed first (the reference's final projection)."""
     g = (reviews.filter(C("is_approved")).groupBy("product_id")
          .agg(F.count(F.lit(1)).alias("total_reviews"), F.avg("rating").alias("_avg"),
               F.sum("helpful_votes").alias("total_helpful"),
-              *[F.sum(F.when(C("rating") == s, 1).otherwise(0)).alias(f"_{n}") for n, s in STAR_FIELDS],
-              F.flatten(F.collect_list("tags")).alias("flattened_tags")))
+              *[F.sum(F.when(C("rating") == s, 1).otherwise(0)).alias(f"_{n}") for n, s in STAR_FIELDS]))
     positive = (C("_five") + C("_four")).cast("double") / C("total_reviews").cast("double") * 100
     return (g.select("product_id", "total_reviews", F.bround("_avg", 1).alias("avg_rating"),
                      F.bround(positive, 1).alias("positive_rate"), "total_helpful",
-                     F.struct(*[C(f"_{n}").alias(n) for n, _ in STAR_FIELDS]).alias("rating_distribution"),
-                     "flattened_tags")
+                     F.struct(*[C(f"_{n}").alias(n) for n, _ in STAR_FIELDS]).alias("rating_distribution"))
             .orderBy(C("total_reviews").desc()))
 
 
+def review_tag_frequency(reviews: DataFrame) -> DataFrame:
+    """The tags of approved reviews, flattened ($push + $reduce/$concatArrays) and counted
+    per (product, tag) — the "tag frequency" the pipeline announces. Tags are exploded and counted,
+    never gathered into one array per product, so a product with millions of reviews stays cheap."""
+    return (reviews.filter(C("is_approved")).select("product_id", F.explode("tags").alias("tag"))
+            .groupBy("product_id", "tag").agg(F.count(F.lit(1)).alias("occurrences")))
+
+
 def review_facets(reviews: DataFrame, as_of, recent_days: int = 30) -> DataFrame:
     """M2q: $facet over approved reviews — overall, by_rating, recent ($count), helpfulness buckets.
 

@@ -24,19 +24,29 @@ SELECT product_id, CAST(count(*) AS BIGINT) AS total_reviews, round_even(avg(rat
   CAST(sum(CASE WHEN rating = 4 THEN 1 ELSE 0 END) AS BIGINT) AS rating_four,
   CAST(sum(CASE WHEN rating = 3 THEN 1 ELSE 0 END) AS BIGINT) AS rating_three,
   CAST(sum(CASE WHEN rating = 2 THEN 1 ELSE 0 END) AS BIGINT) AS rating_two,
-  CAST(sum(CASE WHEN rating = 1 THEN 1 ELSE 0 END) AS BIGINT) AS rating_one,
-  array_to_string(list_sort(flatten(list(tags))), ',') AS flattened_tags
+  CAST(sum(CASE WHEN rating = 1 THEN 1 ELSE 0 END) AS BIGINT) AS rating_one
 FROM b_review_doc WHERE is_approved GROUP BY product_id
 """
 
 
 @query("m1q_review_summary", M1_SQL)
 def m1(c):
-    """M1q review summary per product: counts, half-even rounded averages, star distribution, tags."""
+    """M1q review summary per product: counts, half-even rounded averages, star distribution."""
     s = M.review_summary(c.review_docs())
     return s.select("product_id", "total_reviews", "avg_rating", "positive_rate", "total_helpful",
-                    *[C(f"rating_distribution.{n}").alias(f"rating_{n}") for n, _ in M.STAR_FIELDS],
-                    F.array_join(F.array_sort("flattened_tags"), ",").alias("flattened_tags"))
+                    *[C(f"rating_distribution.{n}").alias(f"rating_{n}") for n, _ in M.STAR_FIELDS])
+
+
+G13_SQL = """
+SELECT product_id, tag, CAST(count(*) AS BIGINT) AS occurrences
+FROM (SELECT product_id, unnest(tags) AS tag FROM b_review_doc WHERE is_approved) GROUP BY product_id, tag
+"""
+
+
+@query("g13_review_tag_frequency", G13_SQL)
+def g13(c):
+    """G13 / B24 flattened review tags counted per (product, tag) — explode + group, no big arrays."""
+    return M.review_tag_frequency(c.review_docs())
 
 
 # ----------------------------------------------------------------------------- M2q

@@ -10,7 +10,9 @@ bounds:
 * ``hi`` = demand of earlier accepted **or still pending** requests (+ own) — an upper bound.
 
 A pending request is accepted when ``hi ≤ capacity`` on all its resources, rejected when
-``lo > capacity`` on one of them, otherwise it stays pending. The earliest pending request
+``lo > capacity`` on one of them, otherwise it stays pending. Within a round, requests already
+certain to fail somewhere (``lo > capacity``) are dropped from everyone's ``hi`` before deciding —
+that alone cuts the rounds at sf0.1 from 34 to 4. The earliest pending request
 always has ``lo = hi``, so every round decides at least one request and the loop terminates with
 exactly the sequential outcome; in practice a handful of rounds decide everything. Running sums
 per resource use ``running_sum_by_key`` (hot resources are split over buckets), and each
@@ -63,12 +65,21 @@ def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str],
     status = status.checkpoint(eager=True)
     levels = sorted(reasons)
     for rnd in range(max_rounds):
-        cur = d.join(status, "RequestID")
-        cur = (cur.withColumn("_lo_q", F.when(C("status") == ACCEPTED, C("qty")).otherwise(F.lit(0)))
-               .withColumn("_hi_q", F.when(C("status") != REJECTED, C("qty")).otherwise(F.lit(0))))
-        sums = {"_lo": "_lo_q", "_hi": "_hi_q"}
-        cur = (running_sum_by_key(cur, ["resource"], order, sums, plain=True) if plain_windows
-               else running_sum_in_buckets(cur, ["resource"], order, sums))
+        cur = d.join(status, "RequestID").withColumn(
+            "_lo_q", F.when(C("status") == ACCEPTED, C("qty")).otherwise(F.lit(0)))
+        lo_sum = {"_lo": "_lo_q"}
+        cur = (running_sum_by_key(cur, ["resource"], order, lo_sum, plain=True) if plain_windows
+               else running_sum_in_buckets(cur, ["resource"], order, lo_sum))
+        # a pending request that cannot fit even if nothing else pending is accepted before it is
+        # certain to be rejected (whatever the reason): it no longer counts in anyone's upper bound
+        doomed = (cur.filter((C("status") == PENDING) & (C("_lo") + C("qty") > C("capacity")))
+                  .select("RequestID").distinct().withColumn("_doomed", F.lit(True)))
+        cur = (cur.join(doomed, "RequestID", "left")
+               .withColumn("_hi_q", F.when((C("status") == REJECTED) | C("_doomed").isNotNull(), F.lit(0))
+                           .otherwise(C("qty"))))
+        hi_sum = {"_hi": "_hi_q"}
+        cur = (running_sum_by_key(cur, ["resource"], order, hi_sum, plain=True) if plain_windows
+               else running_sum_in_buckets(cur, ["resource"], order, hi_sum))
         pend = cur.filter(C("status") == PENDING)
         if tail_max_rows and rnd > 0 and pend.count() <= tail_max_rows:
             tail = _sequential_tail(pend, order, reasons)

@@ -28,13 +28,13 @@ def _fixture(seed, n_req=300, hot=True):
     return reqs, caps
 
 
-@pytest.mark.parametrize("seed,plain", [(1, False), (2, True), (3, False)])
-def test_allocation_matches_sequential(spark, seed, plain):
+@pytest.mark.parametrize("seed,plain,tail", [(1, False, 200_000), (2, True, 0), (3, False, 0), (4, False, 50)])
+def test_allocation_matches_sequential(spark, seed, plain, tail):
     reqs, caps = _fixture(seed)
     rows = [(r["id"], r["t"], lv, res, q) for r in reqs for lv, res, q in r["demands"]]
     demands = spark.createDataFrame(rows, "RequestID long, RequestedAt timestamp_ntz, level int, resource string, qty long")
     capacities = spark.createDataFrame(list(caps.items()), "resource string, capacity long")
-    status, final = allocate(demands, capacities, REASONS, plain_windows=plain)
+    status, final = allocate(demands, capacities, REASONS, plain_windows=plain, tail_max_rows=tail)
     got = {r.RequestID: (r.status, r.reason) for r in status.collect()}
     assert got == sequential_reference(reqs, caps, REASONS)
     # accepted demand never exceeds capacity, and ledger offsets are consistent

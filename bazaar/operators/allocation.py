@@ -80,6 +80,8 @@ def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str],
         hi_sum = {"_hi": "_hi_q"}
         cur = (running_sum_by_key(cur, ["resource"], order, hi_sum, plain=True) if plain_windows
                else running_sum_in_buckets(cur, ["resource"], order, hi_sum))
+        # a doomed request is excluded from the others' bounds, but its own bound keeps its own qty
+        cur = cur.withColumn("_hi", C("_hi") + F.when(C("_doomed").isNotNull(), C("qty")).otherwise(F.lit(0)))
         pend = cur.filter(C("status") == PENDING)
         if tail_max_rows and rnd > 0 and pend.count() <= tail_max_rows:
             tail = _sequential_tail(pend, order, reasons)

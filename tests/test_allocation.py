@@ -28,7 +28,7 @@ def _fixture(seed, n_req=300, hot=True):
     return reqs, caps
 
 
-@pytest.mark.parametrize("seed,plain,tail", [(1, False, 200_000), (2, True, 0), (3, False, 0), (4, False, 50)])
+@pytest.mark.parametrize("seed,plain,tail", [(1, False, 200_000), (2, True, 0), (3, False, 0), (4, False, 50), (5, False, 0), (6, True, 0)])
 def test_allocation_matches_sequential(spark, seed, plain, tail):
     reqs, caps = _fixture(seed)
     rows = [(r["id"], r["t"], lv, res, q) for r in reqs for lv, res, q in r["demands"]]

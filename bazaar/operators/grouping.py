@@ -63,9 +63,9 @@ def facet(parts: dict[str, DataFrame]) -> DataFrame:
 
 
 def facet_document(parts: dict[str, DataFrame]) -> DataFrame:
-    """The one-document form of $facet: one column per facet, each an array of structs."""
-    doc = None
-    for name, part in parts.items():
-        one = part.agg(F.collect_list(F.struct(*part.columns)).alias(name))
-        doc = one if doc is None else doc.crossJoin(one)  # 1-row × 1-row
-    return doc
+    """The one-document form of $facet: a single row with ``facets`` = map facet → array of its
+    documents (JSON text). Built from the tagged rows of ``facet`` with two aggregations (no joins);
+    every part is already aggregated, so the arrays are small."""
+    rows = facet(parts)
+    per = rows.groupBy("facet").agg(F.collect_list("doc").alias("docs"))
+    return per.agg(F.map_from_entries(F.collect_list(F.struct("facet", "docs"))).alias("facets"))

@@ -46,10 +46,12 @@ def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int
 
 
 def outer_apply_top1(df: DataFrame, candidates: DataFrame, order: list[Column]) -> DataFrame:
-    """OUTER APPLY (SELECT TOP 1 ... ORDER BY ...) with no correlation: the side is limited to
-    one row (a proven size bound), broadcast, and left-joined to every row."""
-    one = candidates.orderBy(*order).limit(1)
-    return df.join(F.broadcast(one), F.lit(True), "left")
+    """OUTER APPLY (SELECT TOP 1 ... ORDER BY ...) with no correlation: a scalar subquery over
+    the candidates (one row at most, computed once) attached to every row — no join."""
+    ranked = candidates.orderBy(*order) if order else candidates
+    # an uncorrelated scalar subquery: evaluated once, no join; no row → NULLs (OUTER semantics)
+    best = ranked.limit(1).select(F.struct(*candidates.columns).alias("_top")).scalar()
+    return df.withColumn("_top", best).select(*df.columns, *[C(f"_top.{c}").alias(c) for c in candidates.columns])
 
 
 def set_based_update(target: DataFrame, updates: DataFrame, key: str, column: str, new_value: Column) -> DataFrame:

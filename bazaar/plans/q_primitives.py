@@ -252,7 +252,7 @@ FROM b_product p LEFT JOIN (SELECT DiscountCode FROM b_discount WHERE IsActive A
 def j11(c):
     """J11 uncorrelated OUTER APPLY TOP 1 → 1-row side broadcast to every row."""
     disc = active_discount(c.discount(), c.orders_as_of).select("ActiveDiscountCode")
-    return c.product().select("ProductID").join(F.broadcast(disc), F.lit(True), "left")
+    return REL.outer_apply_top1(c.product().select("ProductID"), disc, [])
 
 
 @query("j15_set_based_update", """

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from bazaar.functions.expr import (as_date, boundary_diff, concat_plus, date_lit, exact_avg, full_name,
                                    month_start, ts_lit)
+from bazaar.operators.relational import outer_apply_top1
 from bazaar.operators.windows import first_value_full, global_order, growth_pct, moving_avg_exact
 
 C = F.col
@@ -84,9 +85,9 @@ def product_catalogue(products, categories, vendors, variants, stock_levels, rev
     disc = active_discount(discounts, as_of)
     df = (products.join(cat, "CategoryID").join(vendors.select("VendorID", "VendorName", "CommissionRate"), "VendorID")
           .join(parent, "ParentCategoryID", "left")
-          .join(stock, "ProductID", "left").join(rev, "ProductID", "left")
-          # OUTER APPLY (TOP 1): a left join to a side proven to hold at most one row
-          .join(F.broadcast(disc), F.lit(True), "left"))
+          .join(stock, "ProductID", "left").join(rev, "ProductID", "left"))
+    # OUTER APPLY (TOP 1), uncorrelated: a scalar subquery computed once, no join
+    df = outer_apply_top1(df, disc, [])
     total_stock = F.coalesce(C("_stock"), F.lit(0))
     hundred = F.lit(100).cast("decimal(3,0)")
     effective = (F.when(C("ActiveDiscountType") == "PERCENTAGE",

@@ -174,12 +174,14 @@ def price_order_requests(requests, variants, products, discounts, customers, as_
 
 
 def place_orders(requests, customers, discounts, variants, products, stock_levels, as_of, warehouse_id=0,
-                 existing_orders: DataFrame | None = None, plain_windows: bool = False) -> dict[str, DataFrame]:
+                 existing_orders: DataFrame | None = None, plain_windows: bool = False,
+                 effects: bool = True) -> dict[str, DataFrame]:
     """R1–R5 for a batch of order requests, processed in (RequestedAt, RequestID) order.
 
     Stock is allocated from one warehouse (``warehouse_id``; the reference joins stock by variant
     across warehouses and double-deducts, B13). Discount usage caps are a second resource checked
-    before stock, like the reference's check order. Returns outcomes and the new rows."""
+    before stock, like the reference's check order. Returns outcomes and the new rows
+    (``effects=False``: outcomes only)."""
     # parse the payloads once; validated + priced requests are one row per request. Both are
     # materialised with reliable checkpoints: every later step (allocation rounds, effects) reuses them.
     parsed = order_request_lines(requests).checkpoint(eager=True)
@@ -204,6 +206,8 @@ def place_orders(requests, customers, discounts, variants, products, stock_level
     decisions, final = allocate(stock_dem.unionByName(disc_dem), caps,
                                 {0: "INVALID_DISCOUNT", 1: "INSUFFICIENT_STOCK"}, plain_windows=plain_windows)
     outcomes = decisions.unionByName(rejected_early)
+    if not effects:  # outcomes only: skip key assignment and the table effects
+        return {"outcomes": outcomes}
     accepted = priced.join(decisions.filter(C("status") == ACCEPTED).select("RequestID"), "RequestID")
 
     # New OrderIDs after the existing maximum, dense in request order

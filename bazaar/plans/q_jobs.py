@@ -86,15 +86,15 @@ def r3(c):
     return p.select("RequestID", "SubtotalAmount", "DiscountAmount", "TotalAmount")
 
 
-def _placement(c):
+def _placement(c, effects=True):
     return J.place_orders(order_requests(c), c.customer(), c.discount(), c.variant(), c.product(), c.stock_level(),
-                          c.orders_as_of, warehouse_id=0, existing_orders=c.order())
+                          c.orders_as_of, warehouse_id=0, existing_orders=c.order(), effects=effects)
 
 
 @query("r4_stock_allocation")
 def r4(c):
     """R4 all-or-nothing stock + discount-cap allocation in request order (exact fixpoint)."""
-    return _placement(c)["outcomes"]
+    return _placement(c, effects=False)["outcomes"]
 
 
 @query("r5_sale_ledger")

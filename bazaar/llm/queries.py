@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import langid, mixing, perplexity, pii
+from bazaar.llm import decontaminate, htmltext, langid, minhash, mixing, perplexity, pii, suffixes, toxicity
 from bazaar.llm.shared import id_remainder, materialise, read_table
 from bazaar.session import configure
 
@@ -22,6 +22,27 @@ def query(fn):
     return fn
 
 
+@query
+def op1_repeated_spans(spark, sf_dir):
+    """What remains of every document without the 50-byte strings that a smaller document has too."""
+    out = suffixes.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_main_text(spark, sf_dir):
+    """The main text of every page."""
+    out = htmltext.extract_text(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "text_path")
+
+
+@query
+def op3_near_duplicates(spark, sf_dir):
+    """The near-duplicate group of every document."""
+    return minhash.near_duplicate_groups(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op4_mix_sources(spark, sf_dir):
     """Systematic sampling of all documents to weights 5, 2, 1 by source."""
@@ -41,6 +62,13 @@ def op5_quality(spark, sf_dir):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_ppl")
 
 
+@query
+def op6_contamination(spark, sf_dir):
+    """Every document's words that occur in a window of ten words of a benchmark item, and the items."""
+    out = decontaminate.find_contamination(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @query
 def op7_language(spark, sf_dir):
     """Language of every document; learns from the ids whose crc32 mod 5 is not 0."""
@@ -59,3 +87,12 @@ def op8_pseudonyms(spark, sf_dir):
 
 def _of_kind(kind: str):
     return lambda s: s["kind"] == kind
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    """Toxicity of every document; learns from the labelled ids whose crc32 mod 4 is not 2."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", id_remainder(4) == 2)
+    labels = read_table(spark, sf_dir, "labels").where(id_remainder(4) != 2)
+    scored = toxicity.score_toxicity(docs, toxicity.train(docs.select("doc_id", "text"), labels))
+    return scored.select("doc_id", "held_out", F.col("toxicity").alias("score"), F.col("toxic_predicted").alias("predicted"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import decontaminate, htmltext, langid, minhash, mixing, perplexity, pii, suffixes, toxicity
+from bazaar.llm import decontaminate, htmltext, langid, lm, minhash, mixing, perplexity, pii, suffixes, toxicity
 from bazaar.llm.shared import id_remainder, materialise, read_table
 from bazaar.session import configure
 
@@ -89,6 +89,14 @@ def _of_kind(kind: str):
     return lambda s: s["kind"] == kind
 
 
+@query
+def op9_language_model(spark, sf_dir):
+    """Word-model and attention-model log probability of every document; learns from the ids whose crc32 mod 7 is not 2."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", (id_remainder(7) != 2).alias("train"))
+    out = lm.score_texts(docs, "train")
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op10_toxicity(spark, sf_dir):
     """Toxicity of every document; learns from the labelled ids whose crc32 mod 4 is not 2."""

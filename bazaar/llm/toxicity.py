@@ -4,7 +4,7 @@ A text's terms are its lower-cased words and its words' first letters (prefixes
 The score is the logistic of w0 + sum w_i + sum over pairs <v_i, v_j> over the distinct known terms, so a pair of
 terms can count although neither does alone. The model is fitted on a bounded sample of labelled rows
 (``MAX_ROWS``, by a hash of the id) in numpy; terms count as known if the sample has them often enough and their
-presence tells the labels apart, alone or in pairs.
+presence shifts the rate of the label.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from bazaar.llm import textbytes as tb
 from bazaar.llm.shared import Shipped, extended
 
-MAX_ROWS = 12_000
+MAX_ROWS = 16_000
 MAX_TERMS = 1 << 12
 MIN_ROWS = 4
+MIN_SHIFT = 2.5  # standard deviations
 FACTORS = 8
 EPOCHS = 60
 PREFIX = 6
@@ -63,7 +64,7 @@ class FactorizationMachine:
         pos = np.bincount(inv, y[doc], len(terms))
         rate = max(y.mean(), 1e-6)
         z = np.abs(pos - n * rate) / np.sqrt(n * rate * (1 - rate) + 1.0)
-        good = np.flatnonzero(n >= least)
+        good = np.flatnonzero((n >= least) & (z >= MIN_SHIFT))
         self.terms = np.sort(terms[good[np.argsort(-z[good], kind="stable")[:limit]]])
         self._index()
 

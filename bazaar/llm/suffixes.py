@@ -145,11 +145,11 @@ def adjacent_prefixes(text: np.ndarray, order: np.ndarray, limit: int) -> np.nda
     alive = np.arange(1, len(order))
     for r in range(-(-limit // 8)):
         x = words[order[alive] + 8 * r].astype(np.uint64) ^ words[order[alive - 1] + 8 * r].astype(np.uint64)
+        differ = x != 0
+        first = (x[differ].byteswap().view(np.uint8).reshape(-1, 8) != 0).argmax(1)  # the first different byte
+        lcp[alive[differ]] += first
+        alive = alive[~differ]
         lcp[alive] += 8
-        off = np.flatnonzero(x)
-        for byte in range(8):  # bytes after the first different one don't count
-            lcp[alive[off]] -= x[off] >= np.uint64(1 << (8 * byte))
-        alive = alive[x == 0]
     return np.minimum(lcp, limit)
 
 
@@ -277,23 +277,66 @@ def _find_shared(hot: int):
     return run
 
 
-_STRINGS = "bucket int, batch int, doc long, digest long, starts binary, windows int, bytes binary, ranges binary"
+def _freeze(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed block."""
+    raw = np.array([x.nbytes for x in arrays], np.int64).tobytes() + b"".join(x.tobytes() for x in arrays)
+    return len(raw).to_bytes(8, "little") + _codec().compress(raw, asbytes=True)
+
+
+def _thaw(block: bytes, *kinds) -> list[np.ndarray]:
+    raw = _codec().decompress(block[8:], int.from_bytes(block[:8], "little"), asbytes=True)
+    sizes = np.frombuffer(raw, np.int64, len(kinds))
+    at = 8 * len(kinds) + np.cumsum(sizes) - sizes
+    return [np.frombuffer(raw, k, n // np.dtype(k).itemsize, a) for k, n, a in zip(kinds, sizes.tolist(), at.tolist())]
+
+
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", 1)
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All positions of the spans, one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _merge(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Union of ranges as ascending (start, end) pairs; ranges that touch become one."""
+    order = np.argsort(starts, kind="stable")
+    s, e = starts[order], np.maximum.accumulate(ends[order])
+    new = np.ones(len(s), bool)
+    new[1:] = s[1:] > e[:-1]
+    at = np.flatnonzero(new)
+    return np.stack([s[at], e[np.append(at[1:], len(s)) - 1]], 1) if len(s) else np.zeros((0, 2), np.int64)
+
+
+def _merged_block(row: np.ndarray, starts: np.ndarray, ends: np.ndarray, ids: np.ndarray, digests: np.ndarray) -> bytes:
+    """The union of the ranges of every row as a block: id, digest and number of ranges per row, then the ranges."""
+    wide = row.astype(np.int64) << 32
+    pairs = _merge(wide + starts, wide + ends)
+    row = pairs[:, 0] >> 32
+    rows, n = np.unique(row, return_counts=True)
+    return _freeze(ids[rows].astype(np.int64), digests[rows].astype(np.int64), n.astype(np.int32), (pairs - (row << 32)[:, None]).astype(np.int32))
+
+
+#: rows of strings: id and digest per document; per string the document, the number of starts and of windows; starts; bytes
+_STRINGS, _STRING_KINDS = "bucket int, batch int, strings binary, ranges binary", (np.int64, np.int64, np.int32, np.int32, np.int32, np.int32, np.uint8)
+_RANGES, _RANGE_KINDS = "batch int, ranges binary", (np.int64, np.int64, np.int32, np.int32)
 
 
 def _cut_strings(groups: int, span: int, gram: int):
-    """Per batch: the strings of its runs with shared anchors, and the ranges that repeat within the batch."""
+    """Per batch: the strings of its runs with shared anchors by group, and the ranges that repeat within the batch."""
     def run(key, table: pa.Table, shared: pa.Table) -> pa.Table:
         batch = key[0].as_py()
         if not table.num_rows or not shared.num_rows:
-            return pa.table({k: [] for k in ("bucket", "batch", "doc", "digest", "starts", "windows", "bytes", "ranges")}, _arrow(_STRINGS))
+            return pa.table({k: [] for k in ("bucket", "batch", "strings", "ranges")}, pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("strings", pa.binary()), ("ranges", pa.binary())]))
         anchors = _unpack(b"".join(x.as_py() for x in shared.column("anchors")))
         many = np.frombuffer(b"".join(x.as_py() for x in shared.column("hot")), bool)
         order = np.argsort(tb.mix(anchors))
         known, many = tb.SortedHashes(tb.mix(anchors)[order]), many[order]
         ids, digests = table.column("doc").to_numpy(), table.column("digest").to_numpy()
         pw = tb.Powers()
-        cols = {k: [] for k in ("anchor", "start", "windows", "row", "hash")}
-        texts = []
+        cols = {k: [] for k in ("anchor", "start", "windows", "row", "hash", "at")}
+        texts, passed = [], 0
         for lo, buf, offs in _slices(table):
             a, s, n, text = anchor_runs(buf, offs, span, gram)
             at = known.find(tb.mix(a))
@@ -305,9 +348,12 @@ def _cut_strings(groups: int, span: int, gram: int):
             shift = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
             a, s, n, text, hot = a[row], s[row] + shift, np.where(hot, 1, n)[row], text[row], hot[row]
             h = tb.span_hash(tb.prefix_hash(buf, pw), s, s + n + span - 1, pw)
-            cols["anchor"].append(np.where(hot, h, tb.mix(a))), cols["start"].append(s - offs[text]), cols["windows"].append(n), cols["row"].append(lo + text), cols["hash"].append(h)
+            for k, v in (("anchor", np.where(hot, h, tb.mix(a))), ("start", s - offs[text]), ("windows", n), ("row", lo + text), ("hash", h), ("at", passed + s)):
+                cols[k].append(v)
             texts.append(buf)
+            passed += len(buf)
         c = {k: np.concatenate(v) for k, v in cols.items()}
+        whole = np.concatenate(texts)
         doc = ids[c["row"]]
         # equal strings side by side, the smallest document first
         order = np.lexsort((c["start"], c["row"], doc, c["hash"]))
@@ -316,106 +362,83 @@ def _cut_strings(groups: int, span: int, gram: int):
         new[1:] = c["hash"][1:] != c["hash"][:-1]
         head = np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))
         local = doc > doc[head]
+        out = {"bucket": [batch % groups], "strings": [None], "ranges": [_merged_block(c["row"][local], c["start"][local], c["start"][local] + c["windows"][local] + span - 1, ids, digests)]} if local.any() else {"bucket": [], "strings": [], "ranges": []}
         # one entry per string and row of the smallest document, with all its starts there
         keep = np.flatnonzero(~local)
         lead = np.ones(len(keep), bool)
         lead[1:] = (c["hash"][keep[1:]] != c["hash"][keep[:-1]]) | (c["row"][keep[1:]] != c["row"][keep[:-1]])
-        starts = c["start"][keep].astype(np.int32)
         cut = np.append(np.flatnonzero(lead), len(keep))
-        one = keep[lead]
-        whole = np.concatenate(texts) if texts else np.zeros(0, np.uint8)
-        first_byte = np.cumsum(np.concatenate([[0], _lengths(table)]))[c["row"][one]] + c["start"][one]
-        size = c["windows"][one] + span - 1
-        ranges = _ranges_by_row(c["row"][local], c["start"][local], c["start"][local] + c["windows"][local] + span - 1)
-        rows = np.concatenate([c["row"][one], np.array(list(ranges), np.int64)]).astype(np.int64)
-        k = len(rows) - len(one)
-        return pa.table({
-            "bucket": pa.array(np.concatenate([(c["anchor"][one] % np.uint64(groups)).astype(np.int32), np.full(k, batch % groups, np.int32)])), "batch": pa.array(np.full(len(rows), batch, np.int32)),
-            "doc": pa.array(ids[rows]), "digest": pa.array(digests[rows]), "starts": pa.array([starts[cut[i]:cut[i + 1]].tobytes() for i in range(len(one))] + [None] * k, pa.binary()),
-            "windows": pa.array(np.concatenate([c["windows"][one], np.zeros(k, np.int64)]).astype(np.int32)),
-            "bytes": pa.array([whole[b:b + n].tobytes() for b, n in zip(first_byte, size)] + [None] * k, pa.binary()), "ranges": pa.array([None] * len(one) + list(ranges.values()), pa.binary())})
+        one, starts, times = keep[lead], c["start"][keep].astype(np.int32), np.diff(cut)
+        bucket = (c["anchor"][one] % np.uint64(groups)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edge = np.searchsorted(bucket[order], np.arange(groups + 1))
+        for g in np.flatnonzero(np.diff(edge)).tolist():
+            mine = order[edge[g]:edge[g + 1]]
+            at = one[mine]
+            rows, who = np.unique(c["row"][at], return_inverse=True)
+            out["bucket"].append(g), out["ranges"].append(None)
+            out["strings"].append(_freeze(ids[rows].astype(np.int64), digests[rows].astype(np.int64), who.astype(np.int32), times[mine].astype(np.int32), c["windows"][at].astype(np.int32),
+                                          starts[_spread(cut[mine], times[mine])], whole[_spread(c["at"][at], c["windows"][at] + span - 1)]))
+        return pa.table({"bucket": pa.array(out["bucket"], pa.int32()), "batch": pa.array([batch] * len(out["bucket"]), pa.int32()), "strings": pa.array(out["strings"], pa.binary()), "ranges": pa.array(out["ranges"], pa.binary())})
     return run
 
 
-def _lengths(table: pa.Table) -> np.ndarray:
-    return np.concatenate([np.diff(offs) for _, _, offs in _slices(table)])
-
-
-def _arrow(ddl: str) -> pa.Schema:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-    return pa.schema([(n, kinds[k]) for n, k in (x.split() for x in ddl.split(", "))])
-
-
-def _merge(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Union of ranges as ascending (start, end) pairs; ranges that touch become one."""
-    order = np.argsort(starts, kind="stable")
-    s, e = starts[order], np.maximum.accumulate(ends[order])
-    new = np.ones(len(s), bool)
-    new[1:] = s[1:] > e[:-1]
-    at = np.flatnonzero(new)
-    return np.stack([s[at], e[np.append(at[1:], len(s)) - 1]], 1)
-
-
-def _ranges_by_row(row: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[int, bytes]:
-    order = np.argsort(row, kind="stable")
-    row, starts, ends = row[order], starts[order], ends[order]
-    cuts = np.append(np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])), len(row)) if len(row) else np.zeros(1, int)
-    return {int(row[a]): _merge(starts[a:b], ends[a:b]).astype(np.int32).tobytes() for a, b in zip(cuts[:-1], cuts[1:])}
-
-
-_RANGES = "batch int, doc long, digest long, ranges binary"
-
-
 def _sort_group(span: int):
-    """Per group of strings: the ranges of windows that a smaller document has too."""
+    """Per group of strings: for every batch the ranges of windows that a smaller document has too."""
     def run(table: pa.Table) -> pa.Table:
-        has = table.column("bytes").is_valid().to_numpy()
-        plain, done = table.filter(pa.array(has)), table.filter(pa.array(~has))
-        out = [pa.table({"batch": done.column("batch"), "doc": done.column("doc"), "digest": done.column("digest"), "ranges": done.column("ranges")})]
-        if plain.num_rows:
-            strings = plain.column("bytes").combine_chunks()
-            size = np.array([len(x) for x in strings.to_pylist()], np.int64)
+        batches, done = [], []
+        parts: list[list[np.ndarray]] = []
+        for b, strings, ranges in zip(table.column("batch").to_pylist(), table.column("strings"), table.column("ranges")):
+            if strings.is_valid:
+                parts.append([*_thaw(strings.as_py(), *_STRING_KINDS), b])
+            else:
+                batches.append(b), done.append(ranges.as_py())
+        if parts:
+            ids, digests, who, times, n, starts, data = (np.concatenate([p[i] for p in parts]) for i in range(7))
+            n, times = n.astype(np.int64), times.astype(np.int64)
+            counts = [len(p[0]) for p in parts]
+            owner = np.repeat(np.arange(len(parts)), counts)  # of each document its part
+            who = who + np.repeat(np.cumsum(counts) - counts, [len(p[2]) for p in parts])
+            size = n + span - 1
             base = np.cumsum(size + 1) - size - 1
-            text = np.frombuffer(b"\xff".join(strings.to_pylist()) + b"\xff", np.uint8)
-            n = plain.column("windows").to_numpy().astype(np.int64)
-            doc = plain.column("doc").to_numpy()
+            text = np.full(int(size.sum()) + len(size), _SEPARATOR, np.uint8)
+            text[np.arange(len(data)) + np.repeat(np.arange(len(size)), size)] = data
             mark = np.bincount(base, minlength=len(text) + 1) - np.bincount(base + n, minlength=len(text) + 1)
-            wanted = np.cumsum(mark)[:len(text)] > 0
-            order = suffix_order(text, wanted, span)
+            order = suffix_order(text, np.cumsum(mark)[:len(text)] > 0, span)
             run_start = np.flatnonzero(adjacent_prefixes(text, order, span) < span)
-            who = np.searchsorted(base, order, "right") - 1
-            least = np.minimum.reduceat(doc[who], run_start)
-            least = np.repeat(least, np.diff(np.append(run_start, len(order))))
-            again = np.sort(order[doc[who] > least])
+            string = np.repeat(np.arange(len(size)), size + 1)
+            doc = ids[who[string[order]]]
+            least = np.repeat(np.minimum.reduceat(doc, run_start), np.diff(np.append(run_start, len(order))))
+            again = np.sort(order[doc > least])
             if len(again):
-                who = np.searchsorted(base, again, "right") - 1
+                at = string[again]
                 new = np.ones(len(again), bool)
-                new[1:] = (again[1:] != again[:-1] + 1) | (who[1:] != who[:-1])
-                at = np.flatnonzero(new)
-                stop = np.append(at[1:], len(again)) - 1
-                owner, a, b = who[at], again[at] - base[who[at]], again[stop] - base[who[at]] + span
-                starts = [np.frombuffer(x.as_py(), np.int32) for x in plain.column("starts").take(pa.array(owner))]
-                times = np.array([len(x) for x in starts])
-                shift = np.concatenate(starts).astype(np.int64)
-                key = plain.select(["batch", "doc", "digest"]).take(pa.array(np.repeat(owner, times)))
-                # rows of one document side by side
-                cols = [key.column(i).to_numpy() for i in range(3)]
-                by = np.lexsort((*cols,))
-                cols = [x[by] for x in cols]
-                change = np.concatenate([[True], np.any([x[1:] != x[:-1] for x in cols], 0)])
-                docs = np.cumsum(change) - 1
-                merged = _ranges_by_row(docs, (shift + np.repeat(a, times))[by], (shift + np.repeat(b, times))[by])
-                at = np.flatnonzero(change)
-                out.append(pa.table({"batch": pa.array(cols[0][at]), "doc": pa.array(cols[1][at]), "digest": pa.array(cols[2][at]), "ranges": pa.array([merged[i] for i in range(len(at))], pa.binary())}))
-        return pa.concat_tables([t.cast(_arrow(_RANGES)) for t in out])
+                new[1:] = (again[1:] != again[:-1] + 1) | (at[1:] != at[:-1])
+                first = np.flatnonzero(new)
+                last = np.append(first[1:], len(again)) - 1
+                at = at[first]
+                a, b = again[first] - base[at], again[last] - base[at] + span
+                shift = starts[_spread((np.cumsum(times) - times)[at], times[at])].astype(np.int64)
+                row = np.repeat(who[at], times[at])
+                a, b = shift + np.repeat(a, times[at]), shift + np.repeat(b, times[at])
+                part = owner[row]
+                by = np.argsort(part, kind="stable")
+                cuts = np.searchsorted(part[by], np.arange(len(parts) + 1))
+                for i in np.flatnonzero(np.diff(cuts)).tolist():
+                    mine = by[cuts[i]:cuts[i + 1]]
+                    batches.append(parts[i][7]), done.append(_merged_block(row[mine], a[mine], b[mine], ids, digests))
+        return pa.table({"batch": pa.array(batches, pa.int32()), "ranges": pa.array(done, pa.binary())})
     return run
 
 
 def _remove(key, table: pa.Table, repeats: pa.Table) -> pa.Table:
     """Per batch: every document's removed ranges and remaining bytes."""
-    ranges: dict[tuple, list[bytes]] = {}
-    for d, g, r in zip(repeats.column("doc").to_pylist(), repeats.column("digest").to_pylist(), repeats.column("ranges").to_pylist()):
-        ranges.setdefault((d, g), []).append(r)
+    ranges: dict[tuple, list[np.ndarray]] = {}
+    for block in repeats.column("ranges"):
+        ids, digests, n, pairs = _thaw(block.as_py(), *_RANGE_KINDS)
+        cuts = np.cumsum(2 * n) - 2 * n
+        for d, g, c, k in zip(ids.tolist(), digests.tolist(), cuts.tolist(), n.tolist()):
+            ranges.setdefault((d, g), []).append(pairs[c:c + 2 * k])
     kept, starts, ends, n = [], [], [], []
     docs, digests = table.column("doc").to_pylist(), table.column("digest").to_pylist()
     for lo, buf, offs in _slices(table):
@@ -424,7 +447,7 @@ def _remove(key, table: pa.Table, repeats: pa.Table) -> pa.Table:
             own = data[offs[i]:offs[i + 1]]
             n.append(len(own))
             if found := ranges.get((docs[lo + i], digests[lo + i])):
-                pairs = np.frombuffer(b"".join(found), np.int32).reshape(-1, 2).astype(np.int64)
+                pairs = np.concatenate(found).reshape(-1, 2).astype(np.int64)
                 pairs = _merge(pairs[:, 0], pairs[:, 1])
                 edge = [0, *pairs.ravel().tolist(), len(own)]
                 own = b"".join(own[edge[j]:edge[j + 1]] for j in range(0, len(edge), 2))

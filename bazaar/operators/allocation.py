@@ -3,20 +3,21 @@
 The reference places one request at a time: request k is accepted iff every resource it needs
 still has enough capacity after the requests accepted before it; a rejected request consumes
 nothing. That is a sequential fold. Here it is computed exactly, set-wise, as a fixpoint of
-bounds:
+bounds on what earlier requests consume of a resource:
 
-* ``lo`` = demand of earlier **accepted** requests (+ own) on a resource — a lower bound of what
-  will really be consumed before (and including) this request;
-* ``hi`` = demand of earlier accepted **or still pending** requests (+ own) — an upper bound.
+* lower bound: what earlier **accepted** requests took, less what pending ones may still bring in;
+* upper bound: the same plus what earlier **pending** requests may still take.
 
-A pending request is accepted when ``hi ≤ capacity`` on all its resources, rejected when
-``lo > capacity`` on one of them, otherwise it stays pending. Within a round, requests already
-certain to fail somewhere (``lo > capacity``) are dropped from everyone's ``hi`` before deciding —
-that alone cuts the rounds at sf0.1 from 34 to 4. The earliest pending request
-always has ``lo = hi``, so every round decides at least one request and the loop terminates with
-exactly the sequential outcome; in practice a handful of rounds decide everything. Running sums
-per resource use ``running_sum_by_key`` (hot resources are split over buckets), and each
-round's state is checkpointed to the shared checkpoint folder, so lineage stays short.
+A pending request is accepted when the upper bound plus its own need fits all its resources, rejected
+when the lower bound plus its need does not fit one of them, otherwise it stays pending. Within a round,
+requests already certain to fail somewhere are dropped from everyone's upper bound before deciding. The
+earliest pending request always has equal bounds, so every round decides at least one request and the
+loop terminates with exactly the sequential outcome; in practice a handful of rounds decide everything.
+
+A demand with a negative quantity supplies the resource if its request is accepted (the receiving side of
+a transfer). Running sums per resource are split over range buckets (hot resources span many of them);
+the buckets and their edges are fixed once, each round's state is checkpointed to the shared folder, and
+resources without pending requests leave the rounds.
 
 Demands carry a ``level``: levels are checked in order (e.g. 0 = discount usage, 1 = stock), the
 rejection reason is the first failing level, exactly like checks that run one after another.
@@ -24,174 +25,82 @@ rejection reason is the first failing level, exactly like checks that run one af
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-import os
-
-from bazaar.operators.windows import bucketize, running_sum_by_key, running_sum_in_buckets
+from bazaar.operators.windows import bucket_edges, bucketize, running_sum_by_key, running_sum_in_buckets
 from bazaar.session import ensure_checkpoint_dir
 
 C = F.col
-_DEBUG = bool(os.environ.get("BAZAAR_DEBUG_ALLOC"))
 PENDING, ACCEPTED, REJECTED = "PENDING", "ACCEPTED", "REJECTED"
 
 
-def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str], order: tuple[str, ...] = ("RequestedAt", "RequestID"),
-             max_rounds: int = 10_000, plain_windows: bool = False,
-             tail_max_rows: int = 200_000) -> tuple[DataFrame, DataFrame]:
-    """``demands``: (RequestID, *order, level, resource, qty); ``capacities``: (resource, capacity).
-    Resources without a capacity row have capacity 0. Returns (decisions, final demands):
-    decisions = (RequestID, status, reason); final demands add ``consumed_before`` (accepted
-    demand on the resource before this request) for ledger building.
-
-    Once at most ``tail_max_rows`` pending demand rows remain, they are finished exactly in one
-    task (``_sequential_tail``): a bounded input, processed in request order from the accepted
-    consumption already known. Above the bound the rounds continue, so nothing unbounded ever
-    lands in one task."""
-    spark = demands.sparkSession
-    ensure_checkpoint_dir(spark)
+def _decide(per: DataFrame, reasons: dict[int, str]) -> DataFrame:
+    """(RequestID, _new, _why) from (RequestID, level, pass, fail): the first surely failing level rejects,
+    any unsure level before it defers."""
+    levels = sorted(reasons)
+    folded = per.groupBy("RequestID").agg(
+        *[F.max(F.when(C("level") == lv, C("pass"))).alias(f"p{lv}") for lv in levels],
+        *[F.max(F.when(C("level") == lv, C("fail"))).alias(f"f{lv}") for lv in levels])
+    decision = reason = None
+    before = F.lit(True)
+    for lv in levels:
+        rejected = before & (F.coalesce(C(f"f{lv}"), F.lit(0)) == 1)
+        decision = F.when(rejected, REJECTED) if decision is None else decision.when(rejected, REJECTED)
+        reason = F.when(rejected, reasons[lv]) if reason is None else reason.when(rejected, reasons[lv])
+        before = before & (F.coalesce(C(f"p{lv}"), F.lit(1)) == 1)
+    return folded.select("RequestID", decision.when(before, ACCEPTED).otherwise(PENDING).alias("_new"), reason.alias("_why"))
+
+
+def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str],
+             order: tuple[str, ...] = ("RequestedAt", "RequestID"), max_rounds: int = 10_000,
+             plain_windows: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``demands``: (RequestID, *order, level, resource, qty), qty < 0 supplies; ``capacities``: (resource,
+    capacity). Resources without a capacity row have capacity 0. Returns (decisions, final demands):
+    decisions = (RequestID, status, reason); final demands add ``consumed_before`` (net accepted demand on the
+    resource before this request) for ledger building. Raises if ``max_rounds`` do not decide all."""
+    ensure_checkpoint_dir(demands.sparkSession)
     order = list(dict.fromkeys(order))
     # one row per (request, resource): repeated lines of the same variant are one demand
-    demands = demands.groupBy("RequestID", *[o for o in order if o != "RequestID"], "level", "resource") \
-        .agg(F.sum("qty").alias("qty"))
+    demands = demands.groupBy("RequestID", *[o for o in order if o != "RequestID"], "level", "resource").agg(F.sum("qty").alias("qty"))
     d = (demands.join(capacities, "resource", "left")
          .withColumn("capacity", F.coalesce(C("capacity"), F.lit(0)).cast("bigint"))
          .withColumn("qty", C("qty").cast("bigint")))
     # materialise the demands once, range-bucketed by (resource, order): every round reuses them
     d = d.checkpoint(eager=True) if plain_windows else bucketize(d, ["resource"], order)
-    status = d.select("RequestID").distinct().withColumn("status", F.lit(PENDING)).withColumn("reason",
-                                                                                              F.lit(None).cast("string"))
-    status = status.checkpoint(eager=True)
-    levels = sorted(reasons)
-    for rnd in range(max_rounds):
-        cur = d.join(status, "RequestID").withColumn(
-            "_lo_q", F.when(C("status") == ACCEPTED, C("qty")).otherwise(F.lit(0)))
-        lo_sum = {"_lo": "_lo_q"}
-        cur = (running_sum_by_key(cur, ["resource"], order, lo_sum, plain=True) if plain_windows
-               else running_sum_in_buckets(cur, ["resource"], order, lo_sum))
-        # a pending request that cannot fit even if nothing else pending is accepted before it is
-        # certain to be rejected (whatever the reason): it no longer counts in anyone's upper bound
-        doomed = (cur.filter((C("status") == PENDING) & (C("_lo") + C("qty") > C("capacity")))
-                  .select("RequestID").distinct().withColumn("_doomed", F.lit(True)))
-        cur = (cur.join(doomed, "RequestID", "left")
-               .withColumn("_hi_q", F.when((C("status") == REJECTED) | C("_doomed").isNotNull(), F.lit(0))
-                           .otherwise(C("qty"))))
-        hi_sum = {"_hi": "_hi_q"}
-        cur = (running_sum_by_key(cur, ["resource"], order, hi_sum, plain=True) if plain_windows
-               else running_sum_in_buckets(cur, ["resource"], order, hi_sum))
-        # a doomed request is excluded from the others' bounds, but its own bound keeps its own qty
-        cur = cur.withColumn("_hi", C("_hi") + F.when(C("_doomed").isNotNull(), C("qty")).otherwise(F.lit(0)))
-        pend = cur.filter(C("status") == PENDING)
-        if tail_max_rows and rnd > 0 and pend.count() <= tail_max_rows:
-            tail = _sequential_tail(pend, order, reasons)
-            status = (status.join(tail, "RequestID", "left")
-                      .select("RequestID", F.coalesce(C("_new"), C("status")).alias("status"),
-                              F.coalesce(C("_why"), C("reason")).alias("reason"))
-                      .checkpoint(eager=True))
-            if _DEBUG:
-                print("allocation tail", rnd, status.groupBy("status").count().collect())
-            break
-        # for a pending row: lo excludes its own qty (not accepted yet), hi includes it
-        per = pend.groupBy("RequestID", "level").agg(
-            F.min(F.when(C("_hi") <= C("capacity"), 1).otherwise(0)).alias("pass"),
-            F.max(F.when(C("_lo") + C("qty") > C("capacity"), 1).otherwise(0)).alias("fail"))
-        # walk the levels in order: first surely-failing level rejects; any unsure level before it defers
-        folded = per.groupBy("RequestID").agg(
-            *[F.max(F.when(C("level") == lv, C("pass"))).alias(f"p{lv}") for lv in levels],
-            *[F.max(F.when(C("level") == lv, C("fail"))).alias(f"f{lv}") for lv in levels])
-        decision, reason = None, None
-        prior_pass = F.lit(True)
-        for lv in levels:
-            p = F.coalesce(C(f"p{lv}"), F.lit(1)) == 1
-            f = F.coalesce(C(f"f{lv}"), F.lit(0)) == 1
-            rej = prior_pass & f
-            decision = F.when(rej, F.lit(REJECTED)) if decision is None else decision.when(rej, F.lit(REJECTED))
-            reason = (F.when(rej, F.lit(reasons[lv])) if reason is None else reason.when(rej, F.lit(reasons[lv])))
-            prior_pass = prior_pass & p
-        decision = decision.when(prior_pass, F.lit(ACCEPTED)).otherwise(F.lit(PENDING))
-        new = folded.select("RequestID", decision.alias("_new"), reason.alias("_why"))
-        status = (status.join(new, "RequestID", "left")
-                  .select("RequestID", F.coalesce(C("_new"), C("status")).alias("status"),
-                          F.coalesce(C("_why"), C("reason")).alias("reason"))
-                  .checkpoint(eager=True))
-        if _DEBUG:
-            print("allocation round", rnd, status.groupBy("status").count().collect())
-        if status.filter(C("status") == PENDING).isEmpty():
+    edges = None if plain_windows else bucket_edges(d, ["resource"])
+
+    def running(df: DataFrame, sums: dict[str, str]) -> DataFrame:
+        return (running_sum_by_key(df, ["resource"], order, sums, plain=True) if plain_windows
+                else running_sum_in_buckets(df, ["resource"], order, sums, edges))
+
+    keep = [*d.columns, "status"]
+    active, decided = d.withColumn("status", F.lit(PENDING)), []
+    for _ in range(max_rounds):
+        pending = C("status") == PENDING
+        cur = active.withColumn("_taken", F.when(pending, 0).otherwise(C("qty"))).withColumn("_brought", F.when(pending & (C("qty") < 0), C("qty")).otherwise(0))
+        cur = running(cur, {"_acc": "_taken", "_in": "_brought"}).checkpoint(eager=True)
+        needs = pending & (C("qty") > 0)
+        # certain to be rejected, whatever the reason: it no longer counts in anyone's upper bound
+        doomed = cur.filter(needs & (C("_acc") + C("_in") + C("qty") > C("capacity"))).select("RequestID").distinct().withColumn("_doomed", F.lit(True))
+        cur = cur.join(doomed, "RequestID", "left").withColumn("_wanted", F.when(needs & C("_doomed").isNull(), C("qty")).otherwise(0))
+        cur = running(cur, {"_out": "_wanted"})
+        upper = C("_acc") + C("_out") + F.when(C("_doomed").isNotNull(), C("qty")).otherwise(0)
+        per = cur.filter(pending).groupBy("RequestID", "level").agg(
+            F.min(F.when((C("qty") <= 0) | (upper <= C("capacity")), 1).otherwise(0)).alias("pass"),
+            F.max(F.when((C("qty") > 0) & (C("_acc") + C("_in") + C("qty") > C("capacity")), 1).otherwise(0)).alias("fail"))
+        new = _decide(per, reasons).checkpoint(eager=True)
+        decided.append(new.filter(C("_new") != PENDING).select("RequestID", C("_new").alias("status"), C("_why").alias("reason")))
+        if new.filter(C("_new") == PENDING).isEmpty():
             break
+        active = active.join(new, "RequestID", "left").withColumn("status", F.coalesce("_new", "status")).filter(C("status") != REJECTED)
+        still = active.filter(C("status") == PENDING).select("resource").distinct()
+        active = active.select(*keep).join(still, "resource", "left_semi").checkpoint(eager=True)
     else:
         raise RuntimeError("allocation did not converge")
-    final = d.join(status, "RequestID").withColumn(
-        "_acc_q", F.when(C("status") == ACCEPTED, C("qty")).otherwise(F.lit(0)))
-    acc = {"_acc_run": "_acc_q"}
-    final = (running_sum_by_key(final, ["resource"], order, acc, plain=True) if plain_windows
-             else running_sum_in_buckets(final, ["resource"], order, acc))
-    final = final.withColumn("consumed_before", C("_acc_run") - C("_acc_q")).drop("_acc_q", "_acc_run", "_b")
-    return status, final
-
-
-def _sequential_tail(pend: DataFrame, order: list[str], reasons: dict[int, str]) -> DataFrame:
-    """Exact one-at-a-time decisions for the remaining pending requests, in one task.
-
-    Input rows (bounded by the caller): pending demand rows with ``_lo`` = accepted demand on the
-    resource before the request. Consumption by requests accepted inside the tail is added as the
-    scan proceeds, which is exactly the sequential rule."""
-    import pandas as pd
-
-    cols = ["RequestID", *[o for o in order if o != "RequestID"], "level", "resource", "qty", "capacity", "_lo"]
-    key_type = pend.schema["RequestID"].dataType.simpleString()
-
-    def solve(batches):
-        frames = [b for b in batches]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True).sort_values(order + ["level"], kind="mergesort")
-        rid = pdf["RequestID"].tolist()
-        lvl, res, qty = pdf["level"].tolist(), pdf["resource"].tolist(), pdf["qty"].tolist()
-        cap, lo = pdf["capacity"].tolist(), pdf["_lo"].tolist()
-        extra: dict = {}
-        out_id, out_status, out_reason = [], [], []
-        i, n = 0, len(rid)
-        while i < n:  # one request = a run of consecutive rows (sorted by order, then level)
-            j = i
-            while j < n and rid[j] == rid[i]:
-                j += 1
-            reason = None
-            for k in range(i, j):  # rows are in level order: the first failing row gives the reason
-                if lo[k] + extra.get(res[k], 0) + qty[k] > cap[k]:
-                    reason = reasons[lvl[k]]
-                    break
-            if reason is None:
-                for k in range(i, j):
-                    extra[res[k]] = extra.get(res[k], 0) + qty[k]
-            out_id.append(rid[i])
-            out_status.append(ACCEPTED if reason is None else REJECTED)
-            out_reason.append(reason)
-            i = j
-        yield pd.DataFrame({"RequestID": out_id, "_new": out_status, "_why": out_reason})
-
-    return (pend.select(*cols).repartition(1)
-            .mapInPandas(solve, f"RequestID {key_type}, _new string, _why string"))
-
-
-def sequential_reference(requests: list[dict], capacities: dict, reasons: dict[int, str]) -> dict:
-    """The one-at-a-time semantics, in plain Python, for tests on small fixtures.
-    requests: [{"id", "key": sortable, "demands": [(level, resource, qty), ...]}]."""
-    cap = dict(capacities)
-    out = {}
-    for r in sorted(requests, key=lambda x: x["key"]):
-        decided = None
-        for lv in sorted(reasons):
-            need = {}
-            for level, res, q in r["demands"]:
-                if level == lv:
-                    need[res] = need.get(res, 0) + q
-            if any(cap.get(res, 0) < q for res, q in need.items()):
-                decided = (REJECTED, reasons[lv])
-                break
-        if decided is None:
-            for _, res, q in r["demands"]:
-                cap[res] = cap.get(res, 0) - q
-            decided = (ACCEPTED, None)
-        out[r["id"]] = decided
-    return out
+    status = reduce(DataFrame.unionByName, decided)
+    final = d.join(status, "RequestID").withColumn("_acc_q", F.when(C("status") == ACCEPTED, C("qty")).otherwise(F.lit(0)))
+    final = running(final, {"_acc_run": "_acc_q"})
+    return status, final.withColumn("consumed_before", C("_acc_run") - C("_acc_q")).drop("_acc_q", "_acc_run", "_b")

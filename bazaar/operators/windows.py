@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from bazaar.session import ensure_checkpoint_dir
 
+_NOTHING = object()  # before the first bucket; differs from every value, also from NULL
 UNB_PREC, UNB_FOLL, CUR = Window.unboundedPreceding, Window.unboundedFollowing, Window.currentRow
 
 
@@ -105,8 +106,7 @@ def global_order(df: DataFrame, value: str, keys: list[str], descending: bool =
         local = local.withColumn("_lrun", F.sum(sum_col).over(wl.rowsBetween(UNB_PREC, CUR)))
 
     aggs = [F.count(F.lit(1)).alias("n"), F.max("_lrank").alias("last_lrank"), F.max("_ldense").alias("nd"),
-            (F.max(value) if descending else F.min(value)).alias("first_v"),
-            (F.min(value) if descending else F.max(value)).alias("last_v")]
+            F.min_by(value, "_lrn").alias("first_v"), F.max_by(value, "_lrn").alias("last_v")]  # NULL is a value here
     if sum_col:
         aggs.append(F.sum(sum_col).alias("s"))
     # B rows: one per bucket. Collected on purpose — its size is the bucket count, not the data.
@@ -122,11 +122,11 @@ def global_order(df: DataFrame, value: str, keys: list[str], descending: bool =
 
     rows = []
     off_n, off_s, seen_dense = 0, (Decimal(0) if isinstance(sum_type, T.DecimalType) else 0), 0
-    prev_last_v, prev_last_rank = None, None
+    prev_last_v, prev_last_rank = _NOTHING, None
     total_n = sum(r["n"] for r in stats)
     total_s = sum((r["s"] for r in stats if r["s"] is not None), off_s) if sum_col else None
     for r in stats:
-        overlap = prev_last_v is not None and r["first_v"] == prev_last_v
+        overlap = prev_last_v is not _NOTHING and r["first_v"] == prev_last_v
         rank_first = prev_last_rank if overlap else off_n + 1
         base_dense = seen_dense - 1 if overlap else seen_dense
         last_rank = rank_first if r["last_lrank"] == 1 else off_n + r["last_lrank"]
@@ -173,9 +173,17 @@ def bucketize(df: DataFrame, keys: list[str], order: list[str], buckets: int | N
             .withColumn("_b", F.spark_partition_id()).checkpoint(eager=True))
 
 
-def running_sum_in_buckets(bucketed: DataFrame, keys: list[str], order: list[str], values: dict[str, str]) -> DataFrame:
+def bucket_edges(bucketed: DataFrame, keys: list[str]) -> list:
+    """(bucket, first key, last key) of a frozen layout: one row per bucket, whatever the data's size."""
+    kstruct = F.struct(*keys)
+    return bucketed.groupBy("_b").agg(F.min(kstruct).alias("first_k"), F.max(kstruct).alias("last_k")).collect()
+
+
+def running_sum_in_buckets(bucketed: DataFrame, keys: list[str], order: list[str], values: dict[str, str],
+                           edges: list | None = None) -> DataFrame:
     """Running sums per key over rows already carrying a frozen bucket id ``_b`` (see ``bucketize``;
-    columns may have been added or changed since, the bucket of each row stays fixed).
+    columns may have been added or changed and rows removed since, the bucket of each row stays fixed).
+    ``edges``: the layout's ``bucket_edges``, if the caller sums over it more than once.
 
     Each bucket computes local running sums; only the first key of a bucket can continue a key from
     earlier buckets, so the offset table has at most one row per bucket (a proven size bound) and is
@@ -186,8 +194,7 @@ def running_sum_in_buckets(bucketed: DataFrame, keys: list[str], order: list[str
     for o, v in values.items():
         local = local.withColumn(f"_l_{o}", F.sum(v).over(wl))
     # bucket edges and the sum of each bucket's last key: plain aggregates, no window or sort
-    kstruct = F.struct(*keys)
-    edges = bucketed.groupBy("_b").agg(F.min(kstruct).alias("first_k"), F.max(kstruct).alias("last_k")).collect()
+    edges = bucket_edges(bucketed, keys) if edges is None else edges
     last_rows = [(r["_b"], *tuple(r["last_k"])) for r in edges]
     last_df = spark.createDataFrame(last_rows, T.StructType(
         [T.StructField("_b", T.IntegerType())] + [T.StructField(k, bucketed.schema[k].dataType) for k in keys]))

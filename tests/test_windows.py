@@ -40,3 +40,13 @@ def test_running_sum_by_key_hot_key(spark):
     a = running_sum_by_key(df, ["key"], ["seq"], {"run": "x"}, buckets=9)
     b = running_sum_by_key(df, ["key"], ["seq"], {"run": "x"}, plain=True)
     assert _rows(a, ["key", "seq", "run"]) == _rows(b, ["key", "seq", "run"])
+
+
+def test_global_order_stitches_null_ties(spark):
+    data = [(i, None) for i in range(30)] + [(100, 5), (101, 7), (102, 7)]
+    df = spark.createDataFrame(data, "k long, v long")
+    cols = ["k", "_rn", "_rank", "_dense", "_n"]
+    for desc in (True, False):
+        for buckets in (1, 4, 9):
+            assert _rows(global_order(df, "v", ["k"], descending=desc, buckets=buckets), cols) == _rows(
+                global_order(df, "v", ["k"], descending=desc, plain=True), cols)

@@ -2,10 +2,10 @@
 
 ``tree_walk`` is the recursive CTE of the reference (anchor = active roots, recursive member =
 active children of the current frontier) run as a loop of frontier joins. Each level is one
-shuffle join of the (usually small) frontier with the node table; lineage is cut with a reliable
-``checkpoint()`` every few levels so a deep tree never builds a huge plan, and the loop stops on an
-empty frontier or at ``max_depth`` (T-SQL's default MAXRECURSION is 100). Nodes on a cycle never
-reach a root, so they are simply absent — the same as in the reference.
+shuffle join of the (usually small) frontier with the node table; every frontier is a reliable
+``checkpoint()``, so no level is computed twice and a deep tree never builds a huge plan. The loop ends with
+an empty frontier; more than ``max_depth`` levels raise, like T-SQL's MAXRECURSION (100). Nodes on a cycle
+never reach a root, so they are simply absent, the same as in the reference.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ C = F.col
 
 def tree_walk(nodes: DataFrame, id_col: str = "CategoryID", parent_col: str = "ParentCategoryID",
               name_col: str = "CategoryName", active_col: str | None = "IsActive", max_depth: int = 100,
-              checkpoint_every: int = 4, path_sep: str = " > ", id_sep: str = ".") -> DataFrame:
+              path_sep: str = " > ", id_sep: str = ".") -> DataFrame:
     """H1: (id, parent, name, Depth, BreadcrumbPath, IDPath) for every node reachable from an
     active root through active nodes."""
     base = nodes.filter(C(active_col)) if active_col else nodes
@@ -34,17 +34,18 @@ def tree_walk(nodes: DataFrame, id_col: str = "CategoryID", parent_col: str = "P
     ensure_checkpoint_dir(spark)
     depth = 0
     frontier = level
-    while depth < max_depth:
+    while True:
         depth += 1
         nxt = (children.join(frontier.select(C("_id").alias("_parent"), C("Depth").alias("_pd"),
                                              C("BreadcrumbPath").alias("_pp"), C("IDPath").alias("_pi")), "_parent")
                .select("_id", "_parent", "_name", (C("_pd") + 1).alias("Depth"),
                        F.concat(C("_pp"), F.lit(path_sep), C("_name")).alias("BreadcrumbPath"),
                        F.concat(C("_pi"), F.lit(id_sep), C("_id").cast("string")).alias("IDPath")))
-        if depth % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
+        nxt = nxt.checkpoint(eager=True)
         if nxt.isEmpty():
             break
+        if depth > max_depth:
+            raise RecursionError(f"the tree has more than {max_depth} levels below its roots")
         levels.append(nxt)
         frontier = nxt
     out = levels[0]

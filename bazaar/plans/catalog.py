@@ -3,7 +3,7 @@
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` binds the logical tables (``Bindings``), calls the
 operator, and normalises output types for the oracle comparison (``finalize``): integers → BIGINT,
 decimals → DOUBLE (exact decimal sums are converted once, at the end), dates → TIMESTAMP_NTZ.
-The SQL oracles live in ``bazaar.plans.oracles`` and are written independently, in SQL.
+The SQL oracles stand beside the queries and are written independently, in SQL, over ``oracle_bindings``.
 """
 
 from __future__ import annotations
@@ -72,16 +72,12 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-_MODULES = ("q_views", "q_reports", "q_windows", "q_primitives", "q_documents", "q_quality", "q_jobs")
+_MODULES = ("q_views", "q_reports", "q_primitives", "q_documents", "q_quality", "q_jobs")
 
 
 def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Import every query module (they register themselves) and return the registry."""
     import importlib
     for m in _MODULES:
-        try:
-            importlib.import_module(f"bazaar.plans.{m}")
-        except ModuleNotFoundError as e:
-            if e.name != f"bazaar.plans.{m}":
-                raise
+        importlib.import_module(f"bazaar.plans.{m}")
     return QUERIES

@@ -292,8 +292,10 @@ def low_stock_report(stock_levels, warehouses, variants, products, vendors, ware
 
 # --------------------------------------------------------------------------- X16 / X17
 def latest_trend_months(orders, months: int = 12) -> DataFrame:
-    """The latest N months of the V5 trend (1 ≤ N ≤ 60, default 12) — a top-k report."""
-    n = 12 if months is None else max(1, min(60, int(months)))
+    """The latest N months of the V5 trend (1 ≤ N ≤ 60, default 12; other N raise) — a top-k report."""
+    n = 12 if months is None else int(months)
+    if not 1 <= n <= 60:
+        raise ValueError("months must be between 1 and 60")
     return revenue_monthly_trend(orders).orderBy(C("MonthStart").desc()).limit(n)
 
 

@@ -2,7 +2,7 @@
 
 On a cluster the session is created by the platform; ``configure`` only fills in settings that are
 unset. The checkpoint folder is always read from ``spark.checkpoint.dir``; a private folder is
-created only when that setting is missing (local tests).
+created only when that setting is missing and the master is local (tests); on a cluster that raises.
 """
 
 from __future__ import annotations
@@ -64,8 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Make ``df.checkpoint()`` usable: use ``spark.checkpoint.dir``; only when it is unset
-    (tests on one machine) create a private folder."""
+    """Make ``df.checkpoint()`` usable: use ``spark.checkpoint.dir``; only when it is unset on a
+    local master (tests on one machine) create a private folder."""
     try:
         sc = spark.sparkContext
     except Exception:
@@ -74,6 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         return sc.getCheckpointDir()
     d = checkpoint_dir(spark)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="bazaar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return d

@@ -1,13 +1,13 @@
 """Normalisation jobs N1–N5: UNF → 1NF → 2NF → 3NF, lossless reconstruction, FD checks.
 
 The reference demonstrates the steps on two literal orders; here they run over order data derived
-from the driver tables (the wide UNF export is built from each order's first two lines), so every
+from the driver tables (the wide UNF export is built from all lines of each order), so every
 step is a distributed job whose size grows with the data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.functions.expr import full_name
@@ -18,16 +18,29 @@ C = F.col
 CUSTOMER_COLS = ["CustomerName", "CustomerEmail", "CustomerCity"]
 
 
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """Every order line with ``LineNum``, its position in the order (1, 2, ...), whatever the given line numbers.
+
+    The position follows all columns of the line, so it is the same on every run; equal lines are
+    interchangeable. An order's lines are few, so the window splits by order."""
+    w = Window.partitionBy("OrderID").orderBy("LineNumber", "ProductID", "Quantity", "UnitPrice")
+    return lines.select("OrderID", "LineNumber", "ProductID", "UnitPrice", "Quantity").withColumn("LineNum", F.row_number().over(w))
+
+
+def group_count(lines: DataFrame) -> int:
+    """How many line groups the UNF export needs: the lines of the longest order (one scalar)."""
+    return int(lines.groupBy("OrderID").count().agg(F.max("count")).first()[0] or 1)
+
+
 def wide_orders_from_lines(lines: DataFrame, products: DataFrame, orders: DataFrame | None = None,
-                           customers: DataFrame | None = None, cities: DataFrame | None = None,
-                           groups: int = 2) -> DataFrame:
-    """The UNF flat-file export: one row per order, ``Product{i}Name/Price/Qty`` for line i ≤ groups
-    (conditional aggregation — one shuffle on OrderID), plus customer columns when given."""
-    ln = lines.select("OrderID", "LineNumber", "ProductID", "UnitPrice", "Quantity").join(
-        products.select("ProductID", "ProductName"), "ProductID")
+                           customers: DataFrame | None = None, cities: DataFrame | None = None) -> DataFrame:
+    """The UNF flat-file export: one row per order with a group ``Product{i}Name/Price/Qty`` for each of its
+    lines (conditional aggregation, one shuffle on OrderID), plus customer columns when given. There are
+    as many groups as the longest order has lines."""
+    ln = numbered_lines(lines).join(products.select("ProductID", "ProductName"), "ProductID")
     aggs = []
-    for i in range(1, groups + 1):
-        hit = C("LineNumber") == i
+    for i in range(1, group_count(lines) + 1):
+        hit = C("LineNum") == i
         aggs += [F.max(F.when(hit, C("ProductName"))).alias(f"Product{i}Name"),
                  F.max(F.when(hit, C("UnitPrice"))).alias(f"Product{i}Price"),
                  F.max(F.when(hit, C("Quantity"))).alias(f"Product{i}Qty")]
@@ -42,12 +55,16 @@ def wide_orders_from_lines(lines: DataFrame, products: DataFrame, orders: DataFr
     return wide
 
 
-def to_1nf(unf: DataFrame, groups: int = 2) -> DataFrame:
+def line_groups(unf: DataFrame) -> list[dict[str, str]]:
+    """The repeating groups that a UNF table has, in order."""
+    n = sum(c.startswith("Product") and c.endswith("Name") for c in unf.columns)
+    return [{"ProductName": f"Product{i}Name", "UnitPrice": f"Product{i}Price", "Quantity": f"Product{i}Qty"} for i in range(1, n + 1)]
+
+
+def to_1nf(unf: DataFrame) -> DataFrame:
     """Repeating groups → one row per line with ``LineNum``; all-NULL groups dropped."""
     keys = ["OrderID"] + [c for c in CUSTOMER_COLS if c in unf.columns]
-    spec = [{"ProductName": f"Product{i}Name", "UnitPrice": f"Product{i}Price", "Quantity": f"Product{i}Qty"}
-            for i in range(1, groups + 1)]
-    return unpivot_groups(unf, keys, spec)
+    return unpivot_groups(unf, keys, line_groups(unf))
 
 
 def to_2nf(onf: DataFrame, product_category: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -33,7 +33,8 @@ BINDINGS: dict[str, str] = {
                      r_name as CategoryName from region
               union all select cast(n_nationkey + 100 as int), cast(n_regionkey + 1 as int), n_name from nation
               union all select cast(s_suppkey + 10000 as int), cast(s_nationkey + 100 as int), s_name from supplier)""",
-    "b_product": """select p_partkey as ProductID, p_partkey % 10 as VendorID, cast(100 + p_partkey % 25 as int) as CategoryID,
+    "b_product": """select p_partkey as ProductID, p_partkey % (select count(*) from supplier) as VendorID,
+        cast(10000 + (p_partkey * 3) % (select count(*) from supplier) as int) as CategoryID,
         p_name as ProductName, 'p-' || cast(p_partkey as varchar) as ProductSlug, p_type as ProductType,
         cast(p_retailprice as decimal(18,2)) as BasePrice, p_partkey % 20 <> 0 as IsActive from part""",
     "b_variant": """select p_partkey as VariantID, p_partkey as ProductID, 'SKU-' || cast(p_partkey as varchar) as SKU,
@@ -90,19 +91,19 @@ BINDINGS: dict[str, str] = {
         cast((p_partkey * 7 + w.WarehouseID * 13) % 40 as int) as QuantityOnHand,
         cast(10 + p_partkey % 5 as int) as ReorderPoint
         from part cross join (select 0 as WarehouseID union all select 1 union all select 2) w""",
-    "b_review": """select event_id as ReviewID, event_id % 400 as ProductID, user_id as CustomerID,
+    "b_review": """select event_id as ReviewID, event_id % (select count(*) from part) as ProductID, user_id as CustomerID,
         cast(1 + event_id % 5 as int) as Rating, event_id % 4 <> 0 as IsApproved, ts as CreatedAt
         from events where event_type = 'click'""",
-    "b_review_doc": """select event_id % 400 as product_id, user_id as customer_id, cast(1 + event_id % 5 as int) as rating,
+    "b_review_doc": """select event_id % (select count(*) from part) as product_id, user_id as customer_id, cast(1 + event_id % 5 as int) as rating,
         'review ' || cast(event_id as varchar) as title, event_id % 4 <> 0 as is_approved,
         cast(json_extract_string(props, '$.k') as int) * 2 as helpful_votes,
         ['t' || cast(event_id % 7 as varchar), 'u' || cast(user_id % 5 as varchar)] as tags,
         ts as created_at from events where event_type = 'click'""",
-    "b_pevent": """select user_id as customer_id, event_id % 20 as product_id,
+    "b_pevent": """select user_id as customer_id, event_id % (select count(*) from part) as product_id,
         case event_type when 'view' then 'VIEW' when 'click' then 'ADD_TO_CART' when 'purchase' then 'PURCHASE'
              else upper(event_type) end as event_type, ts as created_at from events""",
     "b_text_review": """select doc_id as review_id, doc_id as product_id, doc_id % 97 as customer_id,
-        cast(1 + doc_id % 5 as int) as rating, substring(text, 1, 60) as title, text as body, lang,
+        cast(1 + doc_id % 5 as int) as rating, source as title, text as body, lang,
         doc_id % 4 <> 0 as is_approved from documents""",
     "b_point": """select s_suppkey as vendor_id, s_name as vendor_name, 28.0473 + ((s_suppkey * 37) % 100 - 50) * 0.005 as lon,
         -26.2041 + ((s_suppkey * 53) % 100 - 50) * 0.005 as lat, s_suppkey % 2 = 0 as pickup_available from supplier""",

@@ -320,29 +320,15 @@ def g5(c):
 
 
 @query("g12_unpivot_repeating_groups", """
-WITH wide AS (
-  SELECT l.OrderID,
-    max(CASE WHEN l.LineNumber = 1 THEN p.ProductName END) AS Product1Name,
-    max(CASE WHEN l.LineNumber = 1 THEN l.UnitPrice END) AS Product1Price,
-    max(CASE WHEN l.LineNumber = 1 THEN l.Quantity END) AS Product1Qty,
-    max(CASE WHEN l.LineNumber = 2 THEN p.ProductName END) AS Product2Name,
-    max(CASE WHEN l.LineNumber = 2 THEN l.UnitPrice END) AS Product2Price,
-    max(CASE WHEN l.LineNumber = 2 THEN l.Quantity END) AS Product2Qty
-  FROM b_line l JOIN b_product p ON p.ProductID = l.ProductID GROUP BY l.OrderID)
-SELECT OrderID, CAST(1 AS BIGINT) AS LineNum, Product1Name AS ProductName, CAST(Product1Price AS DOUBLE) AS UnitPrice,
-  CAST(Product1Qty AS BIGINT) AS Quantity FROM wide
-WHERE Product1Name IS NOT NULL OR Product1Price IS NOT NULL OR Product1Qty IS NOT NULL
-UNION ALL
-SELECT OrderID, 2, Product2Name, CAST(Product2Price AS DOUBLE), CAST(Product2Qty AS BIGINT) FROM wide
-WHERE Product2Name IS NOT NULL OR Product2Price IS NOT NULL OR Product2Qty IS NOT NULL""")
+SELECT l.OrderID, CAST(row_number() OVER (PARTITION BY l.OrderID ORDER BY l.LineNumber, l.ProductID, l.Quantity, l.UnitPrice) AS BIGINT) AS LineNum,
+  p.ProductName, CAST(l.UnitPrice AS DOUBLE) AS UnitPrice, CAST(l.Quantity AS BIGINT) AS Quantity
+FROM b_line l JOIN b_product p ON p.ProductID = l.ProductID""")
 def g12(c):
     """G12 / N1 repeating column groups → rows (multi-measure UNPIVOT), all-NULL groups dropped.
-    The wide (UNF) table is derived from the order lines: first two lines of every order."""
-    from bazaar.plans.normalise import wide_orders_from_lines
+    The wide (UNF) table holds all lines of every order."""
+    from bazaar.plans.normalise import line_groups, wide_orders_from_lines
     wide = wide_orders_from_lines(c.order_line(), c.product())
-    groups = [{"ProductName": f"Product{i}Name", "UnitPrice": f"Product{i}Price", "Quantity": f"Product{i}Qty"}
-              for i in (1, 2)]
-    return REL.unpivot_groups(wide, ["OrderID"], groups)
+    return REL.unpivot_groups(wide, ["OrderID"], line_groups(wide))
 
 
 # ============================================================================ windows

@@ -122,33 +122,22 @@ def q4b(c):
 
 
 # ----------------------------------------------------------------------------- N1–N5 over derived UNF data
-_WIDE_SQL = """
-wide AS (
-  SELECT o.OrderID, c.FirstName || ' ' || c.LastName AS CustomerName, c.Email AS CustomerEmail, ci.CityName AS CustomerCity,
-    w.Product1Name, w.Product1Price, w.Product1Qty, w.Product2Name, w.Product2Price, w.Product2Qty
-  FROM b_order o JOIN b_customer c ON c.CustomerID = o.CustomerID JOIN b_city ci ON ci.CityID = c.CityID
-  JOIN (SELECT l.OrderID,
-          max(CASE WHEN l.LineNumber = 1 THEN p.ProductName END) AS Product1Name,
-          max(CASE WHEN l.LineNumber = 1 THEN l.UnitPrice END) AS Product1Price,
-          max(CASE WHEN l.LineNumber = 1 THEN l.Quantity END) AS Product1Qty,
-          max(CASE WHEN l.LineNumber = 2 THEN p.ProductName END) AS Product2Name,
-          max(CASE WHEN l.LineNumber = 2 THEN l.UnitPrice END) AS Product2Price,
-          max(CASE WHEN l.LineNumber = 2 THEN l.Quantity END) AS Product2Qty
-        FROM b_line l JOIN b_product p ON p.ProductID = l.ProductID GROUP BY l.OrderID) w ON w.OrderID = o.OrderID),
+# the 1NF rows straight from the lines: a line's number is its position in the order
+_ONF_SQL = """
 onf AS (
-  SELECT OrderID, CustomerName, CustomerEmail, CustomerCity, 1 AS LineNum, Product1Name AS ProductName,
-         Product1Price AS UnitPrice, Product1Qty AS Quantity FROM wide
-  WHERE Product1Name IS NOT NULL OR Product1Price IS NOT NULL OR Product1Qty IS NOT NULL
-  UNION ALL
-  SELECT OrderID, CustomerName, CustomerEmail, CustomerCity, 2, Product2Name, Product2Price, Product2Qty FROM wide
-  WHERE Product2Name IS NOT NULL OR Product2Price IS NOT NULL OR Product2Qty IS NOT NULL),
+  SELECT l.OrderID, cu.FirstName || ' ' || cu.LastName AS CustomerName, cu.Email AS CustomerEmail, ci.CityName AS CustomerCity,
+    row_number() OVER (PARTITION BY l.OrderID ORDER BY l.LineNumber, l.ProductID, l.Quantity, l.UnitPrice) AS LineNum,
+    p.ProductName, l.UnitPrice, l.Quantity
+  FROM b_line l JOIN b_product p ON p.ProductID = l.ProductID JOIN b_order o ON o.OrderID = l.OrderID
+  JOIN b_customer cu ON cu.CustomerID = o.CustomerID JOIN b_city ci ON ci.CityID = cu.CityID),
 pcat AS (SELECT p.ProductName, min(cat.CategoryName) AS Category FROM b_product p
          JOIN b_category cat ON cat.CategoryID = p.CategoryID GROUP BY p.ProductName)"""
 
 
 def _onf(c):
+    """The 1NF rows of all lines, materialised: every later step reads them more than once."""
     unf = N.wide_orders_from_lines(c.order_line(), c.product(), c.order(), c.customer(), c.city())
-    return N.to_1nf(unf)
+    return N.to_1nf(unf).checkpoint(eager=True)
 
 
 def _pcat(c):
@@ -156,7 +145,7 @@ def _pcat(c):
             .groupBy("ProductName").agg(F.min("CategoryName").alias("Category")))
 
 
-@query("n1_unf_to_1nf", f"""WITH {_WIDE_SQL}
+@query("n1_unf_to_1nf", f"""WITH {_ONF_SQL}
 SELECT OrderID, CustomerName, CustomerEmail, CustomerCity, CAST(LineNum AS BIGINT) AS LineNum, ProductName,
   CAST(UnitPrice AS DOUBLE) AS UnitPrice, CAST(Quantity AS BIGINT) AS Quantity FROM onf""")
 def n1(c):
@@ -164,7 +153,7 @@ def n1(c):
     return _onf(c)
 
 
-@query("n2_split_2nf_orders", f"""WITH {_WIDE_SQL}
+@query("n2_split_2nf_orders", f"""WITH {_ONF_SQL}
 SELECT DISTINCT OrderID, CustomerName, CustomerEmail, CustomerCity FROM onf""")
 def n2(c):
     """N2 1NF → 2NF: order-level attributes split out (they depend on OrderID alone)."""
@@ -172,7 +161,7 @@ def n2(c):
     return orders_2nf
 
 
-@query("n3_split_3nf_products", f"""WITH {_WIDE_SQL},
+@query("n3_split_3nf_products", f"""WITH {_ONF_SQL},
 l2 AS (SELECT onf.*, pcat.Category FROM onf LEFT JOIN pcat ON pcat.ProductName = onf.ProductName),
 cat AS (SELECT Category AS CategoryName, dense_rank() OVER (ORDER BY Category) AS CategoryID FROM (SELECT DISTINCT Category FROM l2)),
 prod AS (SELECT ProductName, min(Category) AS CategoryName, min(UnitPrice) AS BasePrice FROM l2 GROUP BY ProductName)
@@ -185,7 +174,7 @@ def n3(c):
     return N.to_3nf(o2, l2)["Product"].select("ProductName", "CategoryID", "BasePrice", "ProductID")
 
 
-@query("n4_lossless_reconstruction", f"""WITH {_WIDE_SQL}
+@query("n4_lossless_reconstruction", f"""WITH {_ONF_SQL}
 SELECT onf.OrderID, CAST(onf.LineNum AS BIGINT) AS LineNum, onf.CustomerName, onf.CustomerEmail, onf.CustomerCity,
   onf.ProductName, pcat.Category, CAST(onf.Quantity AS BIGINT) AS Quantity, CAST(onf.UnitPrice AS DOUBLE) AS UnitPrice,
   CAST(onf.Quantity * onf.UnitPrice AS DOUBLE) AS LineTotal
@@ -196,7 +185,7 @@ def n4(c):
     return N.reconstruct(N.to_3nf(o2, l2))
 
 
-@query("n5_functional_dependency_check", f"""WITH {_WIDE_SQL}
+@query("n5_functional_dependency_check", f"""WITH {_ONF_SQL}
 SELECT ProductName, CAST(count(DISTINCT UnitPrice) AS BIGINT) AS distinct_values FROM onf
 GROUP BY ProductName HAVING count(DISTINCT UnitPrice) > 1""")
 def n5(c):
@@ -204,7 +193,7 @@ def n5(c):
     return N.fd_violations(_onf(c), ["ProductName"], "UnitPrice")
 
 
-@query("q5_null_count", f"""WITH {_WIDE_SQL}
+@query("q5_null_count", f"""WITH {_ONF_SQL}
 SELECT CAST(sum(CASE WHEN ProductName IS NULL OR UnitPrice IS NULL OR Quantity IS NULL THEN 1 ELSE 0 END) AS BIGINT)
     AS rows_with_nulls,
   CAST(sum(CASE WHEN ProductName IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS nulls_ProductName,

@@ -47,6 +47,10 @@ class Bindings:
     def __init__(self, tables: DriverTables):
         self.t = tables
 
+    def _count(self, name: str) -> Column:
+        """Rows of a driver table as a scalar subquery (evaluated once): derived keys spread over all of it."""
+        return getattr(self.t, name).agg(F.count(F.lit(1))).scalar()
+
     # ------------------------------------------------------------------ geography
     def province(self) -> DataFrame:
         r = self.t.region
@@ -117,7 +121,8 @@ class Bindings:
         p = self.t.part
         k = C("p_partkey")
         return p.select(
-            k.alias("ProductID"), (k % 10).alias("VendorID"), (F.lit(100) + k % 25).cast("int").alias("CategoryID"),
+            k.alias("ProductID"), (k % self._count("supplier")).alias("VendorID"),
+            (F.lit(10000) + (k * 3) % self._count("supplier")).cast("int").alias("CategoryID"),
             C("p_name").alias("ProductName"), F.concat(F.lit("p-"), k.cast("string")).alias("ProductSlug"),
             C("p_type").alias("ProductType"), _money(C("p_retailprice")).alias("BasePrice"),
             (k % 20 != 0).alias("IsActive"))
@@ -239,7 +244,7 @@ class Bindings:
     # ------------------------------------------------------------------ reviews / events
     def review(self) -> DataFrame:
         e = self.t.events.filter(C("event_type") == "click")
-        return e.select(C("event_id").alias("ReviewID"), (C("event_id") % 400).alias("ProductID"),
+        return e.select(C("event_id").alias("ReviewID"), (C("event_id") % self._count("part")).alias("ProductID"),
                         C("user_id").alias("CustomerID"), (F.lit(1) + C("event_id") % 5).cast("int").alias("Rating"),
                         (C("event_id") % 4 != 0).alias("IsApproved"), C("ts").alias("CreatedAt"))
 
@@ -250,7 +255,7 @@ class Bindings:
         votes = (F.get_json_object(C("props"), "$.k").cast("int") * 2)
         tags = F.array(F.concat(F.lit("t"), (k % 7).cast("string")),
                        F.concat(F.lit("u"), (C("user_id") % 5).cast("string")))
-        return e.select((k % 400).alias("product_id"), C("user_id").alias("customer_id"),
+        return e.select((k % self._count("part")).alias("product_id"), C("user_id").alias("customer_id"),
                         (F.lit(1) + k % 5).cast("int").alias("rating"),
                         F.concat(F.lit("review "), k.cast("string")).alias("title"),
                         (k % 4 != 0).alias("is_approved"), votes.alias("helpful_votes"), tags.alias("tags"),
@@ -261,15 +266,15 @@ class Bindings:
         et = C("event_type")
         mapped = (F.when(et == "view", "VIEW").when(et == "click", "ADD_TO_CART")
                   .when(et == "purchase", "PURCHASE").otherwise(F.upper(et)))
-        return e.select(C("user_id").alias("customer_id"), (C("event_id") % 20).alias("product_id"),
+        return e.select(C("user_id").alias("customer_id"), (C("event_id") % self._count("part")).alias("product_id"),
                         mapped.alias("event_type"), C("ts").alias("created_at"))
 
     def text_reviews(self) -> DataFrame:
-        """Review text bound to ``documents``: title = first 60 characters, body = the whole text."""
+        """Review text bound to ``documents``: title = the document's source, body = the whole text."""
         d = self.t.documents
         k = C("doc_id")
         return d.select(k.alias("review_id"), k.alias("product_id"), (k % 97).alias("customer_id"),
-                        (F.lit(1) + k % 5).cast("int").alias("rating"), F.substring(C("text"), 1, 60).alias("title"),
+                        (F.lit(1) + k % 5).cast("int").alias("rating"), C("source").alias("title"),
                         C("text").alias("body"), C("lang"), (k % 4 != 0).alias("is_approved"))
 
     def vendor_points(self) -> DataFrame:

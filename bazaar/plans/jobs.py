@@ -9,6 +9,8 @@ rows on the driver; where the reference's outcome depends on request order (stoc
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,10 +127,13 @@ def write_gold(df: DataFrame, path: str) -> None:
 
 
 # =============================================================================== R1–R5 order placement
-def order_request_lines(requests: DataFrame) -> DataFrame:
+def order_request_lines(requests: DataFrame, variants: DataFrame | None = None) -> DataFrame:
     """A3 for a batch: (RequestID, VariantID, Quantity) from each request's JSON payload; repeated
-    variants within a request are summed."""
+    variants within a request are summed. With ``variants`` only lines of known variants remain, as the
+    reference's inner joins leave the others out."""
     parsed = parse_line_payload(requests, "ItemsJson", keep=("RequestID",))
+    if variants is not None:
+        parsed = parsed.join(variants.select("VariantID"), "VariantID", "left_semi")
     return parsed.groupBy("RequestID", "VariantID").agg(F.sum("Quantity").alias("Quantity"))
 
 
@@ -157,7 +162,7 @@ def price_order_requests(requests, variants, products, discounts, customers, as_
                          lines: DataFrame | None = None, validated: DataFrame | None = None) -> DataFrame:
     """R3 for every request that passes R1: unit = BasePrice + PriceAdjustment; subtotal;
     PERCENTAGE → ROUND(subtotal × value / 100, 2); FIXED_AMOUNT → min(value, subtotal); else 0."""
-    lines = order_request_lines(requests) if lines is None else lines
+    lines = order_request_lines(requests, variants) if lines is None else lines
     if validated is None:
         validated = validate_order_requests(requests, customers, discounts, as_of, lines)
     v = validated.filter(C("RejectReason").isNull())
@@ -178,28 +183,29 @@ def place_orders(requests, customers, discounts, variants, products, stock_level
                  effects: bool = True) -> dict[str, DataFrame]:
     """R1–R5 for a batch of order requests, processed in (RequestedAt, RequestID) order.
 
-    Stock is allocated from one warehouse (``warehouse_id``; the reference joins stock by variant
-    across warehouses and double-deducts, B13). Discount usage caps are a second resource checked
+    Every request's stock comes from one warehouse: its ``WarehouseID`` if it has that column, else
+    ``warehouse_id`` (the reference joins stock by variant across warehouses and double-deducts, B13). Discount usage caps are a second resource checked
     before stock, like the reference's check order. Returns outcomes and the new rows
     (``effects=False``: outcomes only)."""
+    if "WarehouseID" not in requests.columns:
+        requests = requests.withColumn("WarehouseID", F.lit(warehouse_id))
     # parse the payloads once; validated + priced requests are one row per request. Both are
     # materialised with reliable checkpoints: every later step (allocation rounds, effects) reuses them.
-    parsed = order_request_lines(requests).checkpoint(eager=True)
+    parsed = order_request_lines(requests, variants).checkpoint(eager=True)
     validated = validate_order_requests(requests, customers, discounts, as_of, parsed).checkpoint(eager=True)
     priced = price_order_requests(requests, variants, products, discounts, customers, as_of, parsed, validated) \
         .checkpoint(eager=True)
     rejected_early = (validated.filter(C("RejectReason").isNotNull())
                       .select("RequestID", F.lit(REJECTED).alias("status"), C("RejectReason").alias("reason")))
-    lines = parsed.join(priced.select("RequestID", "RequestedAt"), "RequestID")
-    stock = stock_levels.filter(C("WarehouseID") == warehouse_id)
+    lines = parsed.join(priced.select("RequestID", "RequestedAt", "WarehouseID"), "RequestID")
+    stock = stock_levels.withColumn("_res", F.concat_ws(":", F.lit("S"), C("WarehouseID").cast("string"), C("VariantID").cast("string")))
     stock_dem = lines.select("RequestID", "RequestedAt", F.lit(1).alias("level"),
-                             F.concat(F.lit("S:"), C("VariantID").cast("string")).alias("resource"),
+                             F.concat_ws(":", F.lit("S"), C("WarehouseID").cast("string"), C("VariantID").cast("string")).alias("resource"),
                              C("Quantity").alias("qty"))
     disc_dem = priced.filter(C("DiscountID").isNotNull()).select(
         "RequestID", "RequestedAt", F.lit(0).alias("level"),
         F.concat(F.lit("D:"), C("DiscountCode")).alias("resource"), F.lit(1).alias("qty"))
-    caps = stock.select(F.concat(F.lit("S:"), C("VariantID").cast("string")).alias("resource"),
-                        C("QuantityOnHand").cast("bigint").alias("capacity")).unionByName(
+    caps = stock.select(C("_res").alias("resource"), C("QuantityOnHand").cast("bigint").alias("capacity")).unionByName(
         valid_discounts(discounts, as_of).select(
             F.concat(F.lit("D:"), C("DiscountCode")).alias("resource"),
             F.coalesce(C("MaxUsageCount") - C("UsageCount"), F.lit(1 << 62)).cast("bigint").alias("capacity")))
@@ -225,16 +231,15 @@ def place_orders(requests, customers, discounts, variants, products, stock_level
     sales = (final.filter((C("status") == ACCEPTED) & (C("level") == 1))
              .select("RequestID", "resource", "qty", "capacity", "consumed_before")
              .join(acc.select("RequestID", "OrderID", "RequestedAt"), "RequestID"))
-    sales = sales.withColumn("VariantID", F.expr("try_cast(substring_index(resource, ':', -1) AS BIGINT)"))
-    movements = (sales.join(stock.select("VariantID", "StockLevelID"), "VariantID")
+    movements = (sales.join(stock.select(C("_res").alias("resource"), "StockLevelID"), "resource")
                  .select("StockLevelID", F.lit("SALE").alias("MovementType"), (-C("qty")).alias("QuantityChange"),
                          (C("capacity") - C("consumed_before") - C("qty")).alias("QuantityAfter"),
                          C("OrderID").alias("ReferenceID"), F.lit("ORDER").alias("ReferenceType"),
                          C("RequestedAt").alias("MovedAt")))
-    used = sales.groupBy("VariantID").agg(F.sum("qty").alias("_used"))
-    new_stock = (stock.join(used, "VariantID", "left")
+    used = sales.groupBy(C("resource").alias("_res")).agg(F.sum("qty").alias("_used"))
+    new_stock = (stock.join(used, "_res", "left")
                  .withColumn("QuantityOnHand", (C("QuantityOnHand") - F.coalesce(C("_used"), F.lit(0))).cast("int"))
-                 .drop("_used"))
+                 .drop("_used", "_res"))
     uses = acc.filter(C("DiscountID").isNotNull()).groupBy("DiscountID").agg(F.count(F.lit(1)).alias("_u"))
     new_discounts = (discounts.join(uses, "DiscountID", "left")
                      .withColumn("UsageCount", C("UsageCount") + F.coalesce(C("_u"), F.lit(0))).drop("_u"))
@@ -251,41 +256,72 @@ def transition_table(spark) -> DataFrame:
     return spark.createDataFrame(TRANSITIONS, "FromStatus string, ToStatus string")
 
 
-def apply_status_changes(requests, orders, payments, as_of, courier_col: str = "CourierID") -> dict[str, DataFrame]:
-    """Validate (current → new) against the state machine (broadcast 9-row table); unknown
-    orders are rejected. Effects: order status update; SHIPPED with a courier emits a shipment and
-    an IN_TRANSIT event; DELIVERED captures AUTHORISED payments. One request per order per batch."""
-    legal = F.broadcast(transition_table(requests.sparkSession)
-                        .select(C("FromStatus").alias("_f"), C("ToStatus").alias("_t"), F.lit(True).alias("_ok")))
-    cur = orders.select("OrderID", C("OrderStatus").alias("FromStatus"))
-    r = (requests.join(cur, "OrderID", "left")
-         .join(legal, (C("FromStatus") == C("_f")) & (C("NewStatus") == C("_t")), "left"))
-    reason = (F.when(C("FromStatus").isNull(), "ORDER_NOT_FOUND")
-              .when(C("_ok").isNull(), "INVALID_TRANSITION"))
-    outcome = r.select("OrderID", "FromStatus", "NewStatus", F.when(reason.isNull(), True).otherwise(False)
-                       .alias("Accepted"), reason.alias("Reason"), *([courier_col] if courier_col in requests.columns else []))
-    ok = outcome.filter(C("Accepted"))
+def status_steps(requests, orders) -> DataFrame:
+    """The accepted changes of every order: (OrderID, Step, RequestedAt, RequestID, FromStatus, NewStatus).
+
+    Round k finds each order's first request after its k-1 accepted ones that is legal from the status they
+    left: a grouped minimum, so an order with very many requests is still combined map-side. The state
+    machine has no cycle, so there are as many rounds as its longest path has steps (five)."""
+    spark = requests.sparkSession
+    legal = F.broadcast(transition_table(spark))
+    at = F.struct("RequestedAt", "RequestID")
+    asked = requests.select("OrderID", at.alias("_at"), "NewStatus")
+    state = orders.select("OrderID", C("OrderStatus").alias("FromStatus")).join(asked.select("OrderID").distinct(), "OrderID", "left_semi")
+    state = state.withColumn("_last", F.lit(None).cast(asked.schema["_at"].dataType))
+    steps, k = [], 0
+    while True:
+        k += 1
+        open_ = state.join(legal, "FromStatus").withColumnRenamed("ToStatus", "NewStatus")
+        hit = asked.join(open_, ["OrderID", "NewStatus"]).filter(C("_last").isNull() | (C("_at") > C("_last")))
+        step = hit.groupBy("OrderID").agg(F.min(F.struct("_at", "FromStatus", "NewStatus")).alias("s")).checkpoint(eager=True)
+        if step.isEmpty():
+            break
+        steps.append(step.select("OrderID", F.lit(k).alias("Step"), "s._at.RequestedAt", "s._at.RequestID", "s.FromStatus", "s.NewStatus"))
+        state = step.select("OrderID", C("s.NewStatus").alias("FromStatus"), C("s._at").alias("_last"))
+    if not steps:
+        empty = requests.select("OrderID", F.lit(0).alias("Step"), "RequestedAt", "RequestID", C("NewStatus").alias("FromStatus"), "NewStatus")
+        return empty.filter(F.lit(False))
+    return reduce(DataFrame.unionByName, steps)
+
+
+def apply_status_changes(requests, orders, payments, as_of, shipments: DataFrame | None = None) -> dict[str, DataFrame]:
+    """(RequestID, RequestedAt, OrderID, NewStatus[, CourierID, TrackingNumber, Notes]), any number of requests
+    per order, in (RequestedAt, RequestID) order, each against the status that the accepted ones before it left
+    (9-row table of legal moves, broadcast). Unknown orders are rejected. Effects: one row per order with its
+    last status and last given note; SHIPPED with a courier makes a shipment (key after the largest in ``shipments``)
+    and an IN_TRANSIT event; DELIVERED captures AUTHORISED payments."""
+    extra = {"CourierID": "int", "TrackingNumber": "string", "Notes": "string"}
+    for name, kind in extra.items():
+        if name not in requests.columns:
+            requests = requests.withColumn(name, F.lit(None).cast(kind))
     t = ts_lit(as_of)
-    upd = ok.select("OrderID", C("NewStatus").alias("_new"))
-    new_orders = (orders.join(upd, "OrderID", "left")
-                  .withColumn("OrderStatus", F.coalesce(C("_new"), C("OrderStatus")))
-                  .withColumn("UpdatedAt", F.when(C("_new").isNotNull(), t).otherwise(C("UpdatedAt"))).drop("_new"))
-    shipped = ok.filter(C("NewStatus") == "SHIPPED")
-    if courier_col in ok.columns:
-        shipped = shipped.filter(C(courier_col).isNotNull())
-        shipments = shipped.select("OrderID", C(courier_col).alias("CourierID"), F.lit("IN_TRANSIT").alias("ShipmentStatus"),
-                                   t.alias("CreatedAt"))
-    else:
-        shipments = shipped.select("OrderID", F.lit(None).cast("int").alias("CourierID"),
-                                   F.lit("IN_TRANSIT").alias("ShipmentStatus"), t.alias("CreatedAt")).limit(0)
-    events = shipments.select("OrderID", F.lit("IN_TRANSIT").alias("EventStatus"),
-                              F.lit("Order dispatched from warehouse").alias("EventNote"), C("CreatedAt").alias("EventAt"))
-    delivered = ok.filter(C("NewStatus") == "DELIVERED").select("OrderID").withColumn("_d", F.lit(True))
+    steps = status_steps(requests, orders).checkpoint(eager=True)
+    # a request sees the status of the last accepted one before it; an order has few accepted ones
+    trail = steps.groupBy("OrderID").agg(F.array_sort(F.collect_list(F.struct("RequestedAt", "RequestID", "NewStatus"))).alias("_trail"))
+    r = (requests.join(orders.select("OrderID", C("OrderStatus").alias("_first")), "OrderID", "left").join(trail, "OrderID", "left")
+         .join(steps.select("OrderID", "RequestID", F.lit(True).alias("_ok")), ["OrderID", "RequestID"], "left"))
+    before = F.filter("_trail", lambda s: F.struct(s["RequestedAt"].alias("RequestedAt"), s["RequestID"].alias("RequestID")) < F.struct("RequestedAt", "RequestID"))
+    r = r.withColumn("FromStatus", F.coalesce(F.try_element_at(before, F.lit(-1))["NewStatus"], C("_first")))
+    reason = F.when(C("_first").isNull(), "ORDER_NOT_FOUND").when(C("_ok").isNull(), "INVALID_TRANSITION")
+    outcome = r.select("RequestID", "OrderID", "RequestedAt", "FromStatus", "NewStatus", C("_ok").isNotNull().alias("Accepted"), reason.alias("Reason"), *extra)
+    ok = outcome.filter(C("Accepted")).checkpoint(eager=True)
+
+    at = F.struct("RequestedAt", "RequestID")
+    last = ok.groupBy("OrderID").agg(F.max_by("NewStatus", at).alias("_new"), F.max_by("Notes", F.when(C("Notes").isNotNull(), at)).alias("_note"))
+    old_notes = C("Notes") if "Notes" in orders.columns else F.lit(None).cast("string")
+    new_orders = (orders.withColumn("Notes", old_notes).join(last, "OrderID", "left")
+                  .withColumn("OrderStatus", F.coalesce(C("_new"), C("OrderStatus"))).withColumn("Notes", F.coalesce("_note", "Notes"))
+                  .withColumn("UpdatedAt", F.when(C("_new").isNotNull(), t).otherwise(C("UpdatedAt"))).drop("_new", "_note"))
+    sent = ok.filter((C("NewStatus") == "SHIPPED") & C("CourierID").isNotNull()).withColumn("_nk", at)
+    sent = assign_surrogate_keys(sent, "_nk", "ShipmentID", existing=shipments)
+    new_shipments = sent.select("ShipmentID", "OrderID", "CourierID", "TrackingNumber", F.lit("IN_TRANSIT").alias("ShipmentStatus"), t.alias("CreatedAt"))
+    events = sent.select("ShipmentID", "OrderID", F.lit("IN_TRANSIT").alias("EventStatus"), F.lit("Order dispatched from warehouse").alias("EventNote"), t.alias("EventAt"))
+    delivered = ok.filter(C("NewStatus") == "DELIVERED").select("OrderID").distinct().withColumn("_d", F.lit(True))
     new_payments = (payments.join(delivered, "OrderID", "left")
                     .withColumn("_cap", C("_d") & (C("PaymentStatus") == "AUTHORISED"))
                     .withColumn("PaymentStatus", F.when(C("_cap"), "CAPTURED").otherwise(C("PaymentStatus")))
                     .withColumn("PaidAt", F.when(C("_cap"), t).otherwise(C("PaidAt"))).drop("_d", "_cap"))
-    return {"outcomes": outcome, "orders": new_orders, "shipments": shipments, "shipment_events": events,
+    return {"outcomes": outcome, "orders": new_orders, "shipments": new_shipments, "shipment_events": events,
             "payments": new_payments}
 
 
@@ -293,14 +329,19 @@ def apply_status_changes(requests, orders, payments, as_of, courier_col: str = "
 def process_returns(requests, orders, lines, stock_levels, customers, payments, as_of, warehouse_id=0,
                     plain_windows: bool = False) -> dict[str, DataFrame]:
     """Only DELIVERED orders are refundable (unknown orders are rejected — B12 fixed).
-    Refund = TotalAmount; stock returns to ``warehouse_id`` with a RETURN ledger row whose
-    QuantityAfter is a running total; loyalty −⌊total/10⌋ floored at 0; order and payments →
+    Refund = TotalAmount; stock returns to the request's ``WarehouseID`` if it has that column, else to
+    ``warehouse_id``, with a RETURN ledger row whose QuantityAfter is a running total and whose note is the
+    request's ``ReturnReason``; loyalty −⌊total/10⌋ floored at 0; order and payments →
     REFUNDED."""
+    if "WarehouseID" not in requests.columns:
+        requests = requests.withColumn("WarehouseID", F.lit(warehouse_id))
+    if "ReturnReason" not in requests.columns:
+        requests = requests.withColumn("ReturnReason", F.lit(None).cast("string"))
     o = orders.select("OrderID", "CustomerID", "TotalAmount", "OrderStatus")
     r = requests.join(o, "OrderID", "left")
     reason = (F.when(C("OrderStatus").isNull(), "ORDER_NOT_FOUND")
               .when(C("OrderStatus") != "DELIVERED", "NOT_DELIVERED"))
-    outcome = r.select("RequestID", "OrderID", "RequestedAt", "CustomerID", "OrderStatus",
+    outcome = r.select("RequestID", "OrderID", "RequestedAt", "CustomerID", "OrderStatus", "WarehouseID", "ReturnReason",
                        F.when(reason.isNull(), True).otherwise(False).alias("Accepted"), reason.alias("Reason"),
                        F.when(reason.isNull(), C("TotalAmount")).alias("RefundAmount"))
     # one accepted return per order (the first request); later ones see status REFUNDED
@@ -310,16 +351,16 @@ def process_returns(requests, orders, lines, stock_levels, customers, payments,
                .withColumn("RefundAmount", F.when(C("_k") > 1, F.lit(None)).otherwise(C("RefundAmount")))
                .withColumn("Accepted", C("Accepted") & (C("_k") == 1)).drop("_k"))
     ok = outcome.filter(C("Accepted"))
-    stock = stock_levels.filter(C("WarehouseID") == warehouse_id)
+    stock = stock_levels
     per_variant = lines.groupBy("OrderID", "VariantID").agg(F.sum("Quantity").alias("Quantity"))
-    back = (per_variant.join(ok.select("OrderID", "RequestID", "RequestedAt"), "OrderID")
-            .join(stock.select("VariantID", "StockLevelID", "QuantityOnHand"), "VariantID"))
+    back = (per_variant.join(ok.select("OrderID", "RequestID", "RequestedAt", "WarehouseID", "ReturnReason"), "OrderID")
+            .join(stock.select("WarehouseID", "VariantID", "StockLevelID", "QuantityOnHand"), ["WarehouseID", "VariantID"]))
     back = running_sum_by_key(back.withColumn("_lk", C("VariantID")), ["StockLevelID"],
                               ["RequestedAt", "RequestID", "_lk"], {"_run": "Quantity"}, plain=plain_windows)
     movements = back.select("StockLevelID", F.lit("RETURN").alias("MovementType"), C("Quantity").alias("QuantityChange"),
                             (C("QuantityOnHand") + C("_run")).cast("int").alias("QuantityAfter"),
                             C("OrderID").alias("ReferenceID"), F.lit("RETURN").alias("ReferenceType"),
-                            C("RequestedAt").alias("MovedAt"))
+                            C("ReturnReason").alias("Notes"), C("RequestedAt").alias("MovedAt"))
     added = back.groupBy("StockLevelID").agg(F.sum("Quantity").alias("_add"))
     new_stock = (stock_levels.join(added, "StockLevelID", "left")
                  .withColumn("QuantityOnHand", (C("QuantityOnHand") + F.coalesce(C("_add"), F.lit(0))).cast("int"))
@@ -376,60 +417,50 @@ def restock(requests, stock_levels, variants, as_of, existing_ids: DataFrame | N
 
 # =============================================================================== R9 transfers
 def transfer_stock(requests, stock_levels, as_of, plain_windows: bool = False) -> dict[str, DataFrame]:
-    """(RequestID, RequestedAt, FromWarehouseID, ToWarehouseID, VariantID, Quantity).
-
-    Checks in the reference's order: same warehouse, quantity ≤ 0, no source stock row, then
-    insufficient stock — the last one sequentially over the batch (a rejected transfer consumes
-    nothing), via the allocation fixpoint on the source stock row. Stock moved in by this batch is
-    not available to later transfers of the same batch. Accepted transfers write two TRANSFER
-    ledger rows; a missing destination row is created."""
-    src = stock_levels.select(C("WarehouseID").alias("FromWarehouseID"), "VariantID",
-                              C("StockLevelID").alias("_src_id"), C("QuantityOnHand").alias("_src_qty"))
-    r = requests.join(src, ["FromWarehouseID", "VariantID"], "left")
-    early = (F.when(C("FromWarehouseID") == C("ToWarehouseID"), "SAME_WAREHOUSE")
-             .when(C("Quantity") <= 0, "NON_POSITIVE_QUANTITY").when(C("_src_id").isNull(), "NO_SOURCE_STOCK"))
-    r = r.withColumn("_early", early)
-    dem = r.filter(C("_early").isNull()).select("RequestID", "RequestedAt", F.lit(0).alias("level"),
-                                                C("_src_id").cast("string").alias("resource"), C("Quantity").alias("qty"))
-    caps = stock_levels.select(C("StockLevelID").cast("string").alias("resource"),
-                               C("QuantityOnHand").cast("bigint").alias("capacity"))
+    """(RequestID, RequestedAt, FromWarehouseID, ToWarehouseID, VariantID, Quantity[, Notes]).
+
+    Checks in the reference's order: same warehouse, quantity ≤ 0, no source stock row, insufficient stock.
+    The last two follow the batch in (RequestedAt, RequestID) order: an accepted transfer takes from its source
+    and brings to its destination, whose row it creates if missing, and later transfers see that. Both sides of a
+    transfer are demands of one allocation (the receiving side is negative), so the two TRANSFER ledger rows
+    carry the true balance of their stock row."""
+    place = lambda w: F.concat_ws(":", C(w).cast("string"), C("VariantID").cast("string"))
+    notes = C("Notes") if "Notes" in requests.columns else F.lit(None).cast("string")
+    early = F.when(C("FromWarehouseID") == C("ToWarehouseID"), "SAME_WAREHOUSE").when(C("Quantity") <= 0, "NON_POSITIVE_QUANTITY")
+    r = requests.select("RequestID", "RequestedAt", "FromWarehouseID", "ToWarehouseID", "VariantID", "Quantity", notes.alias("Notes"), early.alias("_early"))
+    valid = r.filter(C("_early").isNull())
+    sides = F.array(F.struct(place("FromWarehouseID").alias("resource"), C("Quantity").alias("qty")), F.struct(place("ToWarehouseID").alias("resource"), (-C("Quantity")).alias("qty")))
+    dem = valid.select("RequestID", "RequestedAt", F.lit(0).alias("level"), F.inline(sides))
+    caps = stock_levels.select(place("WarehouseID").alias("resource"), C("QuantityOnHand").cast("bigint").alias("capacity"))
     decisions, final = allocate(dem, caps, {0: "INSUFFICIENT_STOCK"}, plain_windows=plain_windows)
-    outcomes = (r.join(decisions, "RequestID", "left")
+    final = final.checkpoint(eager=True)
+
+    # a rejected transfer's source row is missing unless it was there or an accepted transfer made it before
+    nowhere = final.join(caps.select("resource"), "resource", "left_anti").withColumn("_made", F.when((C("status") == ACCEPTED) & (C("qty") < 0), 1).otherwise(0))
+    nowhere = running_sum_by_key(nowhere, ["resource"], ["RequestedAt", "RequestID"], {"_before": "_made"}, plain=plain_windows)
+    missing = nowhere.filter((C("status") != ACCEPTED) & (C("qty") > 0) & (C("_before") == 0)).select("RequestID", F.lit("NO_SOURCE_STOCK").alias("_none"))
+    outcomes = (r.join(decisions, "RequestID", "left").join(missing, "RequestID", "left")
                 .select("RequestID", "FromWarehouseID", "ToWarehouseID", "VariantID", "Quantity",
-                        F.coalesce(C("_early"), C("reason")).alias("Reason"),
+                        F.coalesce(C("_early"), C("_none"), C("reason")).alias("Reason"),
                         (C("_early").isNull() & (C("status") == ACCEPTED)).alias("Accepted")))
-    ok = (final.filter(C("status") == ACCEPTED).select("RequestID", "consumed_before", "capacity")
-          .join(r.select("RequestID", "RequestedAt", "FromWarehouseID", "ToWarehouseID", "VariantID", "Quantity",
-                         "_src_id"), "RequestID"))
-    out_rows = ok.select(C("_src_id").alias("StockLevelID"), (-C("Quantity")).alias("QuantityChange"),
-                         (C("capacity") - C("consumed_before") - C("Quantity")).alias("QuantityAfter"), "RequestedAt",
-                         F.concat(F.lit("Transfer to WarehouseID: "), C("ToWarehouseID").cast("string")).alias("Notes"))
-    dst = stock_levels.select(C("WarehouseID").alias("ToWarehouseID"), "VariantID", C("StockLevelID").alias("_dst_id"),
-                              C("QuantityOnHand").alias("_dst_qty"))
-    inc = ok.join(dst, ["ToWarehouseID", "VariantID"], "left")
-    new_dest = (inc.filter(C("_dst_id").isNull()).select("ToWarehouseID", "VariantID").distinct()
-                .withColumn("_nk", F.struct("ToWarehouseID", "VariantID")))
-    new_dest = assign_surrogate_keys(new_dest, "_nk", "_new_id", existing=stock_levels.select(
-        C("StockLevelID").alias("_new_id")), plain=plain_windows).drop("_nk")
-    inc = (inc.join(new_dest, ["ToWarehouseID", "VariantID"], "left")
-           .withColumn("_dst_id", F.coalesce(C("_dst_id"), C("_new_id")))
-           .withColumn("_dst_qty", F.coalesce(C("_dst_qty"), F.lit(0))).drop("_new_id")
-           .withColumn("_lk", C("RequestID")))
-    inc = running_sum_by_key(inc, ["_dst_id"], ["RequestedAt", "_lk"], {"_in": "Quantity"}, plain=plain_windows)
-    in_rows = inc.select(C("_dst_id").alias("StockLevelID"), C("Quantity").alias("QuantityChange"),
-                         (C("_dst_qty") + C("_in")).alias("QuantityAfter"), "RequestedAt",
-                         F.concat(F.lit("Transfer from WarehouseID: "), C("FromWarehouseID").cast("string")).alias("Notes"))
-    movements = out_rows.unionByName(in_rows).select(
-        "StockLevelID", F.lit("TRANSFER").alias("MovementType"), C("QuantityChange").cast("int").alias("QuantityChange"),
-        C("QuantityAfter").cast("int").alias("QuantityAfter"), F.lit("TRANSFER").alias("ReferenceType"), "Notes",
-        C("RequestedAt").alias("MovedAt"))
+
+    moved = final.filter(C("status") == ACCEPTED).select("RequestID", "resource", "qty", "capacity", "consumed_before")
+    moved = moved.join(valid.drop("_early"), "RequestID").withColumn("WarehouseID", F.when(C("qty") > 0, C("FromWarehouseID")).otherwise(C("ToWarehouseID")))
+    rows = stock_levels.select("WarehouseID", "VariantID", C("StockLevelID").alias("_old_id"))
+    moved = moved.join(rows, ["WarehouseID", "VariantID"], "left")
+    created = moved.filter(C("_old_id").isNull()).select("WarehouseID", "VariantID").distinct().withColumn("_nk", F.struct("WarehouseID", "VariantID"))
+    created = assign_surrogate_keys(created, "_nk", "_new_id", existing=stock_levels.select(C("StockLevelID").alias("_new_id")), plain=plain_windows).drop("_nk")
+    side = F.when(C("qty") > 0, F.concat(F.lit("Transfer to WarehouseID: "), C("ToWarehouseID").cast("string"))).otherwise(
+        F.concat(F.lit("Transfer from WarehouseID: "), C("FromWarehouseID").cast("string")))
+    movements = moved.join(created, ["WarehouseID", "VariantID"], "left").select(
+        F.coalesce("_old_id", "_new_id").alias("StockLevelID"), F.lit("TRANSFER").alias("MovementType"), (-C("qty")).cast("int").alias("QuantityChange"),
+        (C("capacity") - C("consumed_before") - C("qty")).cast("int").alias("QuantityAfter"), F.lit("TRANSFER").alias("ReferenceType"),
+        F.coalesce(C("Notes"), side).alias("Notes"), C("RequestedAt").alias("MovedAt"), "RequestID").checkpoint(eager=True)
     net = movements.groupBy("StockLevelID").agg(F.sum("QuantityChange").alias("_net"))
-    created = new_dest.select(C("_new_id").alias("StockLevelID"), C("ToWarehouseID").alias("WarehouseID"), "VariantID",
-                              F.lit(0).alias("QuantityOnHand"), F.lit(10).alias("ReorderPoint"))
     base = stock_levels.select("StockLevelID", "WarehouseID", "VariantID", "QuantityOnHand", "ReorderPoint")
-    new_stock = (base.unionByName(created).join(net, "StockLevelID", "left")
-                 .withColumn("QuantityOnHand", (C("QuantityOnHand") + F.coalesce(C("_net"), F.lit(0))).cast("int"))
-                 .drop("_net"))
+    fresh = created.select(C("_new_id").alias("StockLevelID"), "WarehouseID", "VariantID", F.lit(0).alias("QuantityOnHand"), F.lit(10).alias("ReorderPoint"))
+    new_stock = (base.unionByName(fresh).join(net, "StockLevelID", "left")
+                 .withColumn("QuantityOnHand", (C("QuantityOnHand") + F.coalesce(C("_net"), F.lit(0))).cast("int")).drop("_net"))
     return {"outcomes": outcomes, "movements": movements, "stock_levels": new_stock}
 
 

@@ -46,7 +46,7 @@ def test_tree_walk_inactive_subtree_and_cycle(spark):
         (5, 4, "Running", True), (6, 7, "CycleA", True), (7, 6, "CycleB", True), (8, None, "OffRoot", False),
         (9, 8, "UnderOffRoot", True)],
         "CategoryID int, ParentCategoryID int, CategoryName string, IsActive boolean")
-    got = sorted((r.CategoryID, r.Depth, r.BreadcrumbPath, r.IDPath) for r in tree_walk(nodes, checkpoint_every=1).collect())
+    got = sorted((r.CategoryID, r.Depth, r.BreadcrumbPath, r.IDPath) for r in tree_walk(nodes).collect())
     assert got == [(1, 0, "Root", "1"), (4, 1, "Root > Shoes", "1.4"), (5, 2, "Root > Shoes > Running", "1.4.5")]
 
 
@@ -118,8 +118,8 @@ def test_status_transitions(spark):
                                    "OrderID int, OrderStatus string, UpdatedAt timestamp_ntz")
     pay = spark.createDataFrame([(2, "AUTHORISED", None), (3, "CAPTURED", T(2024, 1, 2))],
                                 "OrderID int, PaymentStatus string, PaidAt timestamp_ntz")
-    req = spark.createDataFrame([(1, "SHIPPED", 1), (2, "DELIVERED", None), (3, "REFUNDED", None), (4, "CONFIRMED", None)],
-                                "OrderID int, NewStatus string, CourierID int")
+    req = spark.createDataFrame([(i, T(2024, 2, 1), i, s, c) for i, s, c in [(1, "SHIPPED", 1), (2, "DELIVERED", None), (3, "REFUNDED", None), (4, "CONFIRMED", None)]],
+                                "RequestID int, RequestedAt timestamp_ntz, OrderID int, NewStatus string, CourierID int")
     out = J.apply_status_changes(req, orders, pay, AS_OF)
     res = {r.OrderID: (r.Accepted, r.Reason) for r in out["outcomes"].collect()}
     assert res == {1: (False, "INVALID_TRANSITION"), 2: (True, None), 3: (True, None), 4: (False, "ORDER_NOT_FOUND")}
@@ -143,3 +143,69 @@ def test_gold_refresh_is_idempotent(spark):
     cols = ["SummaryDate", "VendorID", "CategoryID", "ProvinceID", "OrderCount", "NetRevenue", "SummaryID"]
     assert sorted(map(tuple, once.select(cols).collect())) == sorted(map(tuple, twice.select(cols).collect()))
     assert rep1.first().RowsUpserted == rep2.first().RowsUpserted > 0
+
+
+def test_tree_walk_raises_instead_of_cutting(spark):
+    import pytest
+    nodes = spark.createDataFrame([(i, i - 1 if i else None, f"n{i}", True) for i in range(8)],
+                                  "CategoryID int, ParentCategoryID int, CategoryName string, IsActive boolean")
+    assert tree_walk(nodes, max_depth=7).count() == 8
+    with pytest.raises(RecursionError):
+        tree_walk(nodes, max_depth=3)
+
+
+def _status_case(spark, first, wishes, courier=None):
+    orders = spark.createDataFrame([(1, first, T(2024, 1, 1))], "OrderID int, OrderStatus string, UpdatedAt timestamp_ntz")
+    pay = spark.createDataFrame([(1, "AUTHORISED", None)], "OrderID int, PaymentStatus string, PaidAt timestamp_ntz")
+    req = spark.createDataFrame([(i, T(2024, 2, 1, 0, i), 1, s, courier, f"TRK{i}") for i, s in enumerate(wishes)],
+                                "RequestID int, RequestedAt timestamp_ntz, OrderID int, NewStatus string, CourierID int, TrackingNumber string")
+    out = J.apply_status_changes(req, orders, pay, AS_OF)
+    return out, [(r.FromStatus, r.Accepted) for r in out["outcomes"].orderBy("RequestID").collect()]
+
+
+def test_several_status_changes_of_one_order(spark):
+    out, got = _status_case(spark, "PENDING", ["CONFIRMED", "CANCELLED", "PROCESSING"])
+    assert got == [("PENDING", True), ("CONFIRMED", True), ("CANCELLED", False)]
+    assert [(r.OrderID, r.OrderStatus) for r in out["orders"].collect()] == [(1, "CANCELLED")]
+    out, got = _status_case(spark, "PENDING", ["CONFIRMED", "PROCESSING", "SHIPPED", "SHIPPED", "DELIVERED", "DELIVERED", "REFUNDED"], courier=4)
+    assert [ok for _, ok in got] == [True, True, True, False, True, False, True]
+    assert [(r.OrderStatus) for r in out["orders"].collect()] == ["REFUNDED"] and [r.PaymentStatus for r in out["payments"].collect()] == ["CAPTURED"]
+    ship = out["shipments"].collect()
+    assert [(r.ShipmentID, r.CourierID, r.TrackingNumber) for r in ship] == [(1, 4, "TRK2")] and out["shipment_events"].count() == 1
+
+
+def test_transfers_chain_through_a_warehouse(spark):
+    stock = spark.createDataFrame([(1, 0, 1, 10, 10), (2, 1, 1, 0, 10), (3, 2, 1, 0, 10)],
+                                  "StockLevelID long, WarehouseID int, VariantID int, QuantityOnHand int, ReorderPoint int")
+    t = T(2024, 3, 1)
+    kind = "RequestID int, RequestedAt timestamp_ntz, FromWarehouseID int, ToWarehouseID int, VariantID int, Quantity int"
+    req = spark.createDataFrame([(1, t, 0, 1, 1, 5), (2, t, 1, 2, 1, 5), (3, t, 5, 0, 1, 1), (4, t, 2, 5, 1, 2), (5, t, 5, 0, 1, 1), (6, t, 5, 0, 1, 2)], kind)
+    out = J.transfer_stock(req, stock, AS_OF)
+    assert {r.RequestID: r.Reason for r in out["outcomes"].collect()} == {1: None, 2: None, 3: "NO_SOURCE_STOCK", 4: None, 5: None, 6: "INSUFFICIENT_STOCK"}
+    assert {r.WarehouseID: r.QuantityOnHand for r in out["stock_levels"].collect()} == {0: 6, 1: 0, 2: 3, 5: 1}
+    assert J.reconcile_ledger(out["movements"], stock, ["MovedAt", "RequestID", "QuantityChange"]).count() == 0
+    six = stock.withColumn("QuantityOnHand", F.when(F.col("WarehouseID") == 1, 6).otherwise(F.col("QuantityOnHand")))
+    led = J.transfer_stock(req.filter("RequestID <= 2"), six, AS_OF)["movements"]
+    assert sorted((r.StockLevelID, r.QuantityChange, r.QuantityAfter) for r in led.collect()) == [(1, -5, 5), (2, -5, 6), (2, 5, 11), (3, 5, 5)]
+
+
+def test_every_request_has_one_outcome(spark):
+    cust = spark.createDataFrame([(1, True, 0)], "CustomerID int, IsActive boolean, LoyaltyPoints int")
+    disc = spark.createDataFrame([], "DiscountID int, DiscountCode string, DiscountType string, DiscountValue decimal(10,2), MaxUsageCount int, UsageCount int, "
+                                     "ValidFrom timestamp_ntz, ValidTo timestamp_ntz, IsActive boolean")
+    variants = spark.createDataFrame([(1, 1, Decimal("0.00"))], "VariantID long, ProductID long, PriceAdjustment decimal(10,2)")
+    products = spark.createDataFrame([(1, Decimal("3.00"))], "ProductID long, BasePrice decimal(18,2)")
+    stock = spark.createDataFrame([(1, 0, 1, 5)], "StockLevelID long, WarehouseID int, VariantID long, QuantityOnHand int")
+    item = lambda v, q: f'{{"VariantID":"{v}","Quantity":"{q}"}}'
+    req = spark.createDataFrame([(1, 1, 1, T(2024, 1, 1), None, f"[{item(99, 1)}]"), (2, 1, 1, T(2024, 1, 1), None, f"[{item(1, 2)},{item(99, 1)}]"), (3, 1, 1, T(2024, 1, 1), None, "[]")],
+                                "RequestID long, CustomerID int, ShippingAddressID int, RequestedAt timestamp_ntz, DiscountCode string, ItemsJson string")
+    out = J.place_orders(req, cust, disc, variants, products, stock, AS_OF)
+    assert {r.RequestID: (r.status, r.reason) for r in out["outcomes"].collect()} == {1: ("REJECTED", "NO_VALID_LINES"), 2: ("ACCEPTED", None), 3: ("REJECTED", "NO_VALID_LINES")}
+    assert [(r.VariantID, r.Quantity) for r in out["order_lines"].collect()] == [(1, 2)] and out["stock_levels"].first().QuantityOnHand == 3
+
+
+def test_points_across_the_date_line_and_at_the_pole(spark):
+    from bazaar.operators.geo import within_radius
+    pts = spark.createDataFrame([(1, 179.95, 0.0), (2, -179.95, 0.0), (3, 170.0, 0.0), (4, 10.0, 89.95), (5, -170.0, 89.95), (6, 0.0, 89.0)], "id int, lon double, lat double")
+    near = lambda lon, lat, m: {r.id for r in within_radius(pts, lon, lat, m).collect()}
+    assert near(179.99, 0.0, 20_000) == {1, 2} and near(-179.99, 0.0, 20_000) == {1, 2} and near(100.0, 89.99, 20_000) == {4, 5}

@@ -15,6 +15,11 @@ PAYLOAD_SCHEMA = T.ArrayType(T.StructType([T.StructField("VariantID", T.StringTy
                                            T.StructField("Quantity", T.StringType())]))
 
 
+#: the elements of a document's orderLines
+LINE_ARRAY = ("ARRAY<STRUCT<OrderLineID BIGINT, ProductName STRING, SKU STRING, SizeName STRING,"
+              " ColourName STRING, Quantity INT, UnitPrice DOUBLE, LineTotal DOUBLE>>")
+
+
 def order_documents(orders, customers, lines, variants, products) -> DataFrame:
     """One JSON document per order with a ``customer`` object and an ``orderLines`` array.
 
@@ -42,8 +47,7 @@ def document_json(docs: DataFrame) -> DataFrame:
     return docs.select("OrderID", F.to_json(F.struct(
         "OrderID", "OrderStatus", "PlacedAt", C("TotalAmount").cast("double").alias("TotalAmount"),
         F.from_json("customer", "CustomerID BIGINT, fullName STRING, Email STRING").alias("customer"),
-        F.from_json("orderLines", "ARRAY<STRUCT<OrderLineID BIGINT, ProductName STRING, SKU STRING, SizeName STRING,"
-                    " ColourName STRING, Quantity INT, UnitPrice DOUBLE, LineTotal DOUBLE>>").alias("orderLines")))
+        F.from_json("orderLines", LINE_ARRAY).alias("orderLines")))
         .alias("json"))
 
 

@@ -17,8 +17,12 @@ SORT_WHITELIST = ("PlacedAt", "TotalAmount", "OrderStatus", "CustomerID")
 
 
 def optional_eq(column: str, value) -> Column | None:
-    """``@p IS NULL OR col = @p`` — no predicate at all when the argument is None."""
-    return None if value is None else (C(column) == F.lit(value))
+    """``@p IS NULL OR col = @p`` — no predicate at all when the argument is None.
+
+    Text compares without regard to case, as under the reference's collation (M4)."""
+    if value is None:
+        return None
+    return F.lower(C(column)) == value.lower() if isinstance(value, str) else C(column) == F.lit(value)
 
 
 def fold_predicates(preds: list[Column | None]) -> Column:

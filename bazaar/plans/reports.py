@@ -136,10 +136,14 @@ def _geo_facts(lines, orders, variants, products, categories, addresses, cities,
 def province_category_rollup(lines, orders, variants, products, categories, addresses, cities, provinces) -> DataFrame:
     """ROLLUP(province, category) with subtotal / grand-total labels, totals ordered last."""
     facts = _geo_facts(lines, orders, variants, products, categories, addresses, cities, provinces)
+    # lines shrink to (province, category, order) before the grouping sets copy them
+    facts = facts.groupBy("ProvinceName", "CategoryName", "OrderID").agg(
+        F.sum("Quantity").alias("_units"), F.sum("LineTotal").alias("_revenue"), F.count("LineTotal").alias("_lines"))
     out = rollup_labelled(
         facts, ["ProvinceName", "CategoryName"],
-        [F.count_distinct("OrderID").alias("OrderCount"), F.sum("Quantity").alias("UnitsSold"),
-         F.round(F.sum("LineTotal"), 2).alias("TotalRevenue"), F.round(exact_avg("LineTotal"), 2).alias("AvgLineValue")],
+        [F.count_distinct("OrderID").alias("OrderCount"), F.sum("_units").alias("UnitsSold"),
+         F.round(F.sum("_revenue"), 2).alias("TotalRevenue"),
+         F.round(F.sum("_revenue").cast("double") / F.sum("_lines").cast("double"), 2).alias("AvgLineValue")],
         grouping_cols={"ProvinceName": "_gp", "CategoryName": "_gc"})
     row_type = (F.when((C("_gp") == 1) & (C("_gc") == 1), "GRAND TOTAL")
                 .when(C("_gc") == 1, "Province Subtotal").otherwise("Detail"))
@@ -153,9 +157,10 @@ def province_category_vendor_cube(lines, orders, variants, products, categories,
                                   vendors) -> DataFrame:
     """CUBE(province, category, vendor), GROUPING() flags, HAVING revenue > 0."""
     facts = _geo_facts(lines, orders, variants, products, categories, addresses, cities, provinces, vendors)
+    facts = facts.groupBy("ProvinceName", "CategoryName", "VendorName", "CustomerID").agg(F.sum("LineTotal").alias("_revenue"))
     out = rollup_labelled(
         facts, ["ProvinceName", "CategoryName", "VendorName"],
-        [F.sum("LineTotal").alias("_rev"), F.count_distinct("CustomerID").alias("UniqueCustomers")],
+        [F.sum("_revenue").alias("_rev"), F.count_distinct("CustomerID").alias("UniqueCustomers")],
         labels={"ProvinceName": "ALL", "CategoryName": "ALL", "VendorName": "ALL"}, cube=True,
         grouping_cols={"ProvinceName": "IsProvinceAgg", "CategoryName": "IsCategoryAgg", "VendorName": "IsVendorAgg"})
     return (out.filter(C("_rev") > 0)

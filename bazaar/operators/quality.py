@@ -59,7 +59,7 @@ def _violated(r: Rule) -> Column:
 
 def audit(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
     """Q1: (table, rule, kind, violations) for every rule. UNIQUE counts the surplus rows (rows
-    beyond the first per key); FK counts child rows whose non-NULL key has no parent."""
+    beyond the first per key, NULLs equal); FK counts child rows whose non-NULL key has no parent."""
     parts = []
     row_rules = [r for r in rules if r.kind in ("NOT_NULL", "CHECK", "MAX_LENGTH")]
     if row_rules:
@@ -68,9 +68,7 @@ def audit(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
         parts.append(one.selectExpr(f"stack({len(row_rules)}, {stack}) as (rule, kind, violations)"))
     for r in rules:
         if r.kind == "UNIQUE":
-            dup = (df.filter(F.greatest(*[C(c).isNotNull() for c in r.columns]) if len(r.columns) > 1
-                             else C(r.columns[0]).isNotNull())
-                   .groupBy(*r.columns).agg(F.count(F.lit(1)).alias("_n")).filter(C("_n") > 1)
+            dup = (df.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("_n")).filter(C("_n") > 1)
                    .agg(F.coalesce(F.sum(C("_n") - 1), F.lit(0)).alias("violations")))
             parts.append(dup.select(F.lit(r.name).alias("rule"), F.lit(r.kind).alias("kind"), "violations"))
         elif r.kind == "FK":
@@ -111,10 +109,9 @@ def validate_documents(docs: DataFrame, required: list[str], rules: list[Rule])
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Q4: key values occurring more than once (NULL-containing keys are exempt, like a unique index
-    over nullable columns in SQL)."""
-    nn = F.greatest(*[C(k).isNotNull() for k in keys]) if len(keys) > 1 else C(keys[0]).isNotNull()
-    return df.filter(nn).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(C("copies") > 1)
+    """Q4: key values occurring more than once. NULLs count as equal, as in the unique constraints and indexes of
+    both sources."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(C("copies") > 1)
 
 
 def enforce_unique(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

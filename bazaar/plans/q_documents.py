@@ -172,20 +172,21 @@ SELECT review_id, product_id, customer_id, CAST(rating AS BIGINT) AS rating, tit
 """
 
 
-M6_TERMS = "size sizing small large fit"
+# words that some of the documents have
+M6_TERMS = "stupid clown worthless"
 
 
-@query("m6q_review_text_search", _text_sql(["size", "sizing", "small", "large", "fit"], "is_approved"))
+@query("m6q_review_text_search", _text_sql(["stupid", "clown", "worthless"], "is_approved"))
 def m6(c):
     """M6q weighted text search (title ×3, body ×1) over approved reviews, whole texts."""
     return M.review_text_search(c.text_reviews(), M6_TERMS).select(
         "review_id", "product_id", "customer_id", "rating", "title", "score")
 
 
-@query("d2_weighted_text_search", _text_sql(["the", "of", "and"], "is_approved AND lang = 'en'"))
+@query("d2_weighted_text_search", _text_sql(["the", "of", "src"], "is_approved"))
 def d2(c):
-    """D2 weighted text search for common English terms over whole English documents."""
-    return (M.review_text_search(c.text_reviews().filter(C("lang") == "en"), "the of and")
+    """D2 weighted text search for common terms over all whole documents; every title holds one of them."""
+    return (M.review_text_search(c.text_reviews(), "the of src")
             .select("review_id", "product_id", "customer_id", "rating", "title", "score"))
 
 
@@ -227,13 +228,31 @@ def m7c(c):
 
 
 # ----------------------------------------------------------------------------- A8
-A8_SQL = """
+RETENTION_AS_OF = "2024-04-15 00:00:00"  # a day on which about half of the events have expired
+A8_SQL = f"""
 SELECT customer_id, product_id, event_type, created_at FROM b_pevent
-WHERE created_at >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7776000 SECOND
+WHERE created_at >= TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL 7776000 SECOND
 """
 
 
 @query("a8_event_retention", A8_SQL)
 def a8(c):
     """A8 90-day event retention (TTL 7,776,000 s) as a batch rule over product events."""
-    return M.retain_recent(c.product_events(), c.events_as_of)
+    return M.retain_recent(c.product_events(), RETENTION_AS_OF)
+
+
+# ----------------------------------------------------------------------------- A2
+@query("a2_document_collection_scan", """
+SELECT vendor_id, vendor_name, 'Point' AS geo_type, round(lon::DOUBLE, 6) AS lon, round(lat::DOUBLE, 6) AS lat, pickup_available FROM b_point""")
+def a2(c):
+    """A2 document collection scan: vendor locations written as JSON documents with a nested GeoJSON point and read
+    back under the collection's schema (struct with a coordinates array), a row per document."""
+    import uuid
+
+    from bazaar.session import ensure_checkpoint_dir
+    from bazaar.sources.tables import read_table
+    path = f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/vendor_locations-{uuid.uuid4().hex}"
+    point = F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates"))
+    c.vendor_points().select(C("vendor_id").cast("int").alias("vendor_id"), "vendor_name", point.alias("location"), "pickup_available").write.json(path)
+    docs = read_table(c.spark, path, "vendor_locations", "json")
+    return docs.select("vendor_id", "vendor_name", C("location.type").alias("geo_type"), F.round(C("location.coordinates")[0], 6).alias("lon"), F.round(C("location.coordinates")[1], 6).alias("lat"), "pickup_available")

@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.operators import quality as Q
 from bazaar.plans import normalise as N
 from bazaar.plans.catalog import query
+from bazaar.sources.bindings import DISCOUNT_TYPES, PAYMENT_METHODS
 
 C = F.col
 
+# The enumerations of the schema's CHECK constraints.
+PAYMENT_STATUSES = ["PENDING", "AUTHORISED", "CAPTURED", "FAILED", "REFUNDED"]
+SHIPMENT_STATUSES = ["PENDING", "COLLECTED", "IN_TRANSIT", "OUT_FOR_DELIVERY", "DELIVERED", "FAILED", "RETURNED"]
+ADDRESS_TYPES = ["SHIPPING", "BILLING", "BOTH"]
 ORDER_STATUSES = ["PENDING", "CONFIRMED", "PROCESSING", "SHIPPED", "DELIVERED", "CANCELLED", "REFUNDED"]
 
 
@@ -36,16 +43,38 @@ SELECT 'Customer', rule, kind, CAST(violations AS BIGINT) FROM (
   SELECT 'CK_LoyaltyPoints' AS rule, 'CHECK' AS kind, sum(CASE WHEN LoyaltyPoints < 0 THEN 1 ELSE 0 END) AS violations FROM b_customer
   UNION ALL SELECT 'LEN_Email_254', 'MAX_LENGTH', sum(CASE WHEN length(Email) > 254 THEN 1 ELSE 0 END) FROM b_customer
   UNION ALL SELECT 'UQ_Email', 'UNIQUE', coalesce(sum(n - 1), 0)
-            FROM (SELECT Email, count(*) AS n FROM b_customer WHERE Email IS NOT NULL GROUP BY Email HAVING count(*) > 1))
+            FROM (SELECT Email, count(*) AS n FROM b_customer GROUP BY Email HAVING count(*) > 1))
 UNION ALL
 SELECT 'Vendor', 'CK_CommissionRate', 'CHECK',
   CAST(sum(CASE WHEN CommissionRate < 0 OR CommissionRate > 100 THEN 1 ELSE 0 END) AS BIGINT) FROM b_vendor
-"""
+UNION ALL FROM b_review SELECT 'Review', 'CK_Rating', 'CHECK', count(*) FILTER (WHERE Rating NOT BETWEEN 1 AND 5)
+UNION ALL FROM b_review SELECT 'Review', 'UQ_ProductID_CustomerID', 'UNIQUE', count(*) - count(DISTINCT (ProductID, CustomerID))
+UNION ALL FROM b_review ANTI JOIN b_product USING (ProductID) SELECT 'Review', 'FK_ProductID', 'FK', count(*)
+UNION ALL FROM b_stock SELECT 'StockLevel', 'CK_QuantityOnHand', 'CHECK', count(*) FILTER (WHERE QuantityOnHand < 0)
+UNION ALL FROM b_stock SELECT 'StockLevel', 'UQ_WarehouseID_VariantID', 'UNIQUE', count(*) - count(DISTINCT (WarehouseID, VariantID))
+UNION ALL FROM b_stock ANTI JOIN b_variant USING (VariantID) SELECT 'StockLevel', 'FK_VariantID', 'FK', count(*)
+UNION ALL FROM b_payment SELECT 'Payment', 'CK_PaymentMethod', 'CHECK', count(*) FILTER (WHERE NOT list_contains({methods}, PaymentMethod))
+UNION ALL FROM b_payment SELECT 'Payment', 'CK_PaymentStatus', 'CHECK', count(*) FILTER (WHERE NOT list_contains({payment}, PaymentStatus))
+UNION ALL FROM b_payment ANTI JOIN b_order USING (OrderID) SELECT 'Payment', 'FK_OrderID', 'FK', count(*)
+UNION ALL FROM b_shipment SELECT 'Shipment', 'CK_ShipmentStatus', 'CHECK', count(*) FILTER (WHERE NOT list_contains({shipment}, ShipmentStatus))
+UNION ALL FROM b_shipment ANTI JOIN b_order USING (OrderID) SELECT 'Shipment', 'FK_OrderID', 'FK', count(*)
+UNION ALL FROM b_discount SELECT 'Discount', 'CK_DiscountType', 'CHECK', count(*) FILTER (WHERE NOT list_contains({discount}, DiscountType))
+UNION ALL FROM b_discount SELECT 'Discount', 'CK_DiscountValue', 'CHECK', count(*) FILTER (WHERE DiscountValue <= 0)
+UNION ALL FROM b_discount SELECT 'Discount', 'UQ_DiscountCode', 'UNIQUE', count(*) - count(DISTINCT DiscountCode)
+UNION ALL FROM b_product SELECT 'Product', 'CK_BasePrice', 'CHECK', count(*) FILTER (WHERE BasePrice < 0)
+UNION ALL FROM b_product SELECT 'Product', 'UQ_ProductSlug', 'UNIQUE', count(*) - count(DISTINCT ProductSlug)
+UNION ALL FROM b_product ANTI JOIN b_vendor USING (VendorID) SELECT 'Product', 'FK_VendorID', 'FK', count(*)
+UNION ALL FROM b_product ANTI JOIN b_category USING (CategoryID) SELECT 'Product', 'FK_CategoryID', 'FK', count(*)
+UNION ALL FROM b_variant SELECT 'ProductVariant', 'UQ_SKU', 'UNIQUE', count(*) - count(DISTINCT SKU)
+UNION ALL FROM b_variant ANTI JOIN b_product USING (ProductID) SELECT 'ProductVariant', 'FK_ProductID', 'FK', count(*)
+UNION ALL FROM b_address SELECT 'Address', 'CK_AddressType', 'CHECK', count(*) FILTER (WHERE NOT list_contains({address}, AddressType))
+UNION ALL FROM b_address ANTI JOIN b_customer USING (CustomerID) SELECT 'Address', 'FK_CustomerID', 'FK', count(*)
+""".format(methods=PAYMENT_METHODS, payment=PAYMENT_STATUSES, shipment=SHIPMENT_STATUSES, discount=DISCOUNT_TYPES, address=ADDRESS_TYPES)
 
 
 @query("q1_constraint_audit", Q1_SQL)
 def q1(c):
-    """Q1 constraint audit (T01–T05 analogues): CHECK, NOT NULL, max length, UNIQUE, FK per table."""
+    """Q1 constraint audit: CHECK, NOT NULL, max length, UNIQUE and FK rules of eleven tables (ratings and stock included)."""
     ln, o, cu, v = c.order_line(), c.order(), c.customer(), c.vendor()
     a = Q.audit(ln, "OrderLine", [Q.check("CK_Quantity", C("Quantity") > 0, "Quantity"),
                                   Q.check("CK_UnitPrice", C("UnitPrice") >= 0, "UnitPrice"), Q.not_null("VariantID"),
@@ -56,7 +85,19 @@ def q1(c):
     d = Q.audit(cu, "Customer", [Q.check("CK_LoyaltyPoints", C("LoyaltyPoints") >= 0, "LoyaltyPoints"),
                                  Q.max_length("Email", 254), Q.unique("Email")])
     e = Q.audit(v, "Vendor", [Q.check("CK_CommissionRate", C("CommissionRate").between(0, 100), "CommissionRate")])
-    return a.unionByName(b).unionByName(d).unionByName(e)
+    r, st, pay, sh, di, pr, va, ad = c.review(), c.stock_level(), c.payment(), c.shipment(), c.discount(), c.product(), c.variant(), c.address()
+    more = [
+        (r, "Review", [Q.check("CK_Rating", C("Rating").between(1, 5), "Rating"), Q.unique("ProductID", "CustomerID"), Q.foreign_key(["ProductID"], pr)]),
+        (st, "StockLevel", [Q.check("CK_QuantityOnHand", C("QuantityOnHand") >= 0, "QuantityOnHand"), Q.unique("WarehouseID", "VariantID"), Q.foreign_key(["VariantID"], va)]),
+        (pay, "Payment", [Q.check("CK_PaymentMethod", C("PaymentMethod").isin(*PAYMENT_METHODS), "PaymentMethod"),
+                          Q.check("CK_PaymentStatus", C("PaymentStatus").isin(*PAYMENT_STATUSES), "PaymentStatus"), Q.foreign_key(["OrderID"], o)]),
+        (sh, "Shipment", [Q.check("CK_ShipmentStatus", C("ShipmentStatus").isin(*SHIPMENT_STATUSES), "ShipmentStatus"), Q.foreign_key(["OrderID"], o)]),
+        (di, "Discount", [Q.check("CK_DiscountType", C("DiscountType").isin(*DISCOUNT_TYPES), "DiscountType"), Q.check("CK_DiscountValue", C("DiscountValue") > 0, "DiscountValue"),
+                          Q.unique("DiscountCode")]),
+        (pr, "Product", [Q.check("CK_BasePrice", C("BasePrice") >= 0, "BasePrice"), Q.unique("ProductSlug"), Q.foreign_key(["VendorID"], v), Q.foreign_key(["CategoryID"], c.category())]),
+        (va, "ProductVariant", [Q.unique("SKU"), Q.foreign_key(["ProductID"], pr)]),
+        (ad, "Address", [Q.check("CK_AddressType", C("AddressType").isin(*ADDRESS_TYPES), "AddressType"), Q.foreign_key(["CustomerID"], cu)])]
+    return reduce(DataFrame.unionByName, [a, b, d, e, *[Q.audit(*x) for x in more]])
 
 
 # ----------------------------------------------------------------------------- Q2
@@ -98,8 +139,7 @@ def q3(c):
 
 # ----------------------------------------------------------------------------- Q4
 Q4_SQL = """
-SELECT product_id, customer_id, CAST(count(*) AS BIGINT) AS copies FROM b_review_doc
-WHERE product_id IS NOT NULL OR customer_id IS NOT NULL GROUP BY product_id, customer_id HAVING count(*) > 1"""
+SELECT product_id, customer_id, CAST(count(*) AS BIGINT) AS copies FROM b_review_doc GROUP BY product_id, customer_id HAVING count(*) > 1"""
 
 
 @query("q4_unique_key_duplicates", Q4_SQL)

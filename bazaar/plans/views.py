@@ -343,6 +343,8 @@ def register_views(spark, frames: dict, as_of) -> None:
                                                    f["Order"], f["Review"], as_of),
         "vw_RevenueMonthlyTrend": revenue_monthly_trend(f["Order"]),
         "vw_CustomerCohortRetention": cohort_retention(f["Customer"], f["Order"]),
+        "vw_ProductSalesRanking": product_sales_ranking(f["Product"], f["Category"], f["Vendor"], f["ProductVariant"],
+                                                        f["OrderLine"], f["Order"], f["Review"]),
         "vw_DeliverySLAPerformance": delivery_sla(f["Shipment"], f["Order"], f["Customer"], f["Courier"],
                                                   f["ShipmentEvent"], as_of),
     }

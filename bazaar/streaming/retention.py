@@ -44,9 +44,10 @@ def deduplicated_events(events: DataFrame, ttl_seconds: int = RETENTION_SECONDS)
             .dropDuplicatesWithinWatermark(["customer_id", "product_id", "event_type", "session_id", "created_at"]))
 
 
-def start(df: DataFrame, name: str, sink: str = "memory", output_mode: str = "append", path: str | None = None,
+def start(df: DataFrame, name: str, sink: str, output_mode: str = "append", path: str | None = None,
           available_now: bool = True):
-    """Start a streaming query with its checkpoint in the shared checkpoint folder."""
+    """Start a streaming query into ``sink`` (a format such as parquet; memory gathers on the driver and is for tests)
+    with its checkpoint in the shared checkpoint folder."""
     base = ensure_checkpoint_dir(df.sparkSession)
     w = (df.writeStream.queryName(name).outputMode(output_mode).format(sink)
          .option("checkpointLocation", f"{base.rstrip('/')}/streams/{name}"))

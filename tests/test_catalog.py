@@ -48,4 +48,5 @@ def test_register_views_as_temp_views(spark):
     register_views(spark, frames, c.orders_as_of)
     n = spark.sql("SELECT count(*) AS n FROM vw_RevenueMonthlyTrend").first().n
     assert n == QUERIES["v5_revenue_monthly_trend"](spark, SF_SMALL).count()
+    assert spark.sql("SELECT min(RowNum_ByRevenue) FROM vw_ProductSalesRanking").first()[0] == 1
     assert spark.sql("SELECT count(*) FROM vw_Customer360 WHERE CustomerSegment = 'VIP'").first()[0] >= 0

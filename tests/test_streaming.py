@@ -19,7 +19,7 @@ def test_daily_counts_and_ttl(spark):
     late.write.mode("overwrite").parquet(src + "/batch2")
     stream = S.read_event_stream(spark, src + "/*", max_files_per_trigger=1)
     name = "daily_" + uuid.uuid4().hex[:8]
-    q = S.start(S.daily_event_counts(stream), name)
+    q = S.start(S.daily_event_counts(stream), name, "memory")
     q.awaitTermination(120)
     rows = spark.sql(f"select * from {name}").collect()
     by_day = {(r.day.start.date(), r.product_id, r.event_type): r.events for r in rows}

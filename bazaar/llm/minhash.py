@@ -2,13 +2,15 @@
 
 1. Each text's set of distinct 5-word shingles gets ``BANDS * ROWS`` minima under universal hash functions.
    Texts with the same set share one node (the smallest id), found by grouping on a 128-bit digest of the set.
-2. Nodes whose minima agree in a whole band meet in a bucket. Each bucket first proposes its smallest
-   node to all others, so a bucket of g nodes proposes g - 1 pairs.
-3. A pair is verified by the share of equal minima (far below the threshold: dropped) and then on full sets.
+2. Nodes whose minima agree in a whole band meet in a bucket. Each bucket proposes its smallest node to all
+   others, so a bucket of g nodes proposes g - 1 pairs.
+3. A pair is verified by the signatures (two bits of every minimum; far below the threshold: dropped) and then on
+   full sets.
 4. Links are closed to components by alternating large-star and small-star steps.
-5. Where nodes of one bucket ended in different components, those that differ from the smallest node's component
-   are compared with all others of the bucket, and the components are closed again. So every pair that
-   shares a band is either verified or already in one component; no cap is set.
+5. Where a bucket's nodes are in several components, a few rounds propose another node of its first component to those
+   outside it, which joins dense groups without comparing all their pairs. What is still apart after these
+   is compared with all nodes of its buckets on full sets, block by block inside tasks. So every pair that shares
+   a band is either verified or already in one component; no cap is set.
 """
 
 from __future__ import annotations
@@ -23,9 +25,12 @@ from bazaar.llm.shared import materialise
 
 SHINGLE = 5
 THRESHOLD = 75  # percent
-BANDS, ROWS = 45, 5
-#: pairs whose share of equal minima is lower go without a look at the sets: over six standard deviations under the threshold
-LEAST_AGREEMENT = 0.55
+BANDS, ROWS = 45, 5  # a pair at the threshold misses all bands with a probability of 5e-6
+#: pairs with more minima that differ in their two lowest bits go without a look at the sets: at the threshold
+#: 42 of 225 differ on average, and this is over five standard deviations more
+MOST_DIFFERENT = 74
+ROUNDS = 3
+BLOCK = 1000
 NO_ID = (1 << 63) - 1
 
 _rng = np.random.Generator(np.random.PCG64(977))
@@ -84,6 +89,26 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return tb.mix(keys + (np.arange(BANDS, dtype=np.uint64) << np.uint64(32)))
 
 
+SKETCH = [f"s{i}" for i in range(-(-BANDS * ROWS // 32))]
+
+
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """The two lowest bits of every minimum, 32 to a word: (sets, len(SKETCH)) int64."""
+    two = np.zeros((len(sig), 32 * len(SKETCH)), np.uint64)
+    two[:, :sig.shape[1]] = sig & np.uint32(3)
+    two = two.reshape(len(sig), len(SKETCH), 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2))
+    return np.bitwise_or.reduce(two, 2).view(np.int64)
+
+
+def different_minima(x: str, y: str):
+    """How many minima differ in their two lowest bits, from the sketch columns of two sides."""
+    total = F.lit(0)
+    for c in SKETCH:
+        d = F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))
+        total = total + F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return total
+
+
 def _digests(h: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     """Two 64-bit sums that depend on the set alone."""
     full = np.flatnonzero(np.diff(offs) > 0)
@@ -97,7 +122,7 @@ def _digests(h: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """_id, n_shingles, d1, d2 (digest of the set) and bands of every row; docs: _id, _text."""
+    """_id, n_shingles, d1, d2 (digest of the set), bands and sketch of every row; docs: _id, _text."""
     def run(batches):
         pw = tb.Powers()
         for batch in batches:
@@ -105,56 +130,43 @@ def signatures(docs: DataFrame) -> DataFrame:
             for lo, buf, offs in tb.slices(batch.column(1)):
                 h, so = shingle_sets(buf, offs, pw)
                 n = np.diff(so)
-                keys = band_keys(minima(h, so)).view(np.int64)
+                sig = minima(h, so)
+                keys = band_keys(sig).view(np.int64)
+                sketch = np.zeros((len(n), len(SKETCH)), np.int64)
+                sketch[n > 0] = sketches(sig)
                 d1, d2 = _digests(h, so)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum((n > 0) * BANDS)]).astype(np.int32)), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, len(n)), pa.array(n.astype(np.int64)), pa.array(d1), pa.array(d2), lists], ["_id", "n_shingles", "d1", "d2", "bands"])
-    return docs.mapInArrow(run, "_id long, n_shingles long, d1 long, d2 long, bands array<long>")
-
-
-def _sets(docs: DataFrame) -> DataFrame:
-    """Signature and set of every row as bytes; docs: _id, _text."""
-    def run(batches):
-        pw = tb.Powers()
-        for batch in batches:
-            ids = batch.column(0)
-            for lo, buf, offs in tb.slices(batch.column(1)):
-                h, so = shingle_sets(buf, offs, pw)
-                full = np.flatnonzero(np.diff(so) > 0)
-                sig = minima(h, so)
-                for i in range(0, len(full), 500):
-                    part = full[i:i + 500]
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(lo + part)), pa.array([s.tobytes() for s in sig[i:i + 500]], pa.binary()),
-                                                      pa.array([np.sort(h[so[j]:so[j + 1]]).tobytes() for j in part], pa.binary())], ["node", "sig", "grams"])
-    return docs.mapInArrow(run, "node long, sig binary, grams binary")
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, len(n)), pa.array(n.astype(np.int64)), pa.array(d1), pa.array(d2), lists, *[pa.array(x) for x in sketch.T]], ["_id", "n_shingles", "d1", "d2", "bands", *SKETCH])
+    return docs.mapInArrow(run, "_id long, n_shingles long, d1 long, d2 long, bands array<long>" + "".join(f", {c} long" for c in SKETCH))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    data = materialise(_sets(docs.join(nodes, "_id", "left_semi").select("_id", "_text")), "minhash-sets")
+def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose signatures may reach the threshold; nodes: node and sketch."""
+    x, y = nodes.withColumnRenamed("node", "a").alias("x"), nodes.withColumnRenamed("node", "b").alias("y")
+    return pairs.join(x, "a").join(y, "b").where(different_minima("x", "y") <= MOST_DIFFERENT).select("a", "b")
 
-    def agree(batches):
-        for batch in batches:
-            keep = [np.mean(np.frombuffer(x.as_py(), np.uint32) == np.frombuffer(y.as_py(), np.uint32)) >= LEAST_AGREEMENT for x, y in zip(batch.column(2), batch.column(3))]
-            yield pa.RecordBatch.from_arrays(list(batch.filter(pa.array(keep, pa.bool_())).columns[:2]), ["a", "b"])
 
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold; texts: node, _text."""
     def confirm(batches):
+        pw = tb.Powers()
         for batch in batches:
+            sides = []
+            for c in (2, 3):
+                sets = []
+                for _, buf, offs in tb.slices(batch.column(c)):
+                    h, so = shingle_sets(buf, offs, pw)
+                    sets += [h[x:y] for x, y in zip(so[:-1], so[1:])]
+                sides.append(sets)
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= THRESHOLD * (len(p) + len(q) - both))
+            for x, y in zip(*sides):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * both >= THRESHOLD * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays(list(batch.filter(pa.array(keep, pa.bool_())).columns[:2]), ["a", "b"])
 
-    def both(rows, col):
-        left = data.select(F.col("node").alias("a"), F.col(col).alias("x"))
-        right = data.select(F.col("node").alias("b"), F.col(col).alias("y"))
-        return rows.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-
-    likely = both(pairs, "sig").mapInArrow(agree, "a long, b long")
-    return both(likely, "grams").mapInArrow(confirm, "a long, b long").distinct()
+    heads = texts.join(pairs.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
+    full = pairs.join(texts.select(F.col("node").alias("b"), F.col("_text").alias("y")), "b").join(heads.select(F.col("node").alias("a"), F.col("_text").alias("x")), "a")
+    return full.select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long").distinct()
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -194,8 +206,10 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Other columns are not read."""
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.col(text_col).alias("_text"))
     rows = materialise(signatures(src), "minhash-rows")
-    first = rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("_id").alias("node"))
-    member = materialise(rows.join(first, ["d1", "d2"], "left").select("_id", "n_shingles", F.coalesce("node", "_id").alias("node"), F.when(F.col("_id") == F.col("node"), F.col("bands")).alias("bands")), "minhash-nodes")
+    # texts that share their set; written, so that a large group of copies can be split in the join
+    first = rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("_id").alias("node"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    first = materialise(first, "minhash-copies")
+    member = materialise(rows.join(first, ["d1", "d2"], "left").select("_id", "n_shingles", F.coalesce("node", "_id").alias("node"), F.when(F.coalesce("node", "_id") == F.col("_id"), F.col("bands")).alias("bands"), *SKETCH), "minhash-nodes")
     links = near_links(member, src)
     # several rows under one id with different texts are one document
     several = member.groupBy("_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("_id")
@@ -206,23 +220,85 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 def near_links(member: DataFrame, src: DataFrame) -> DataFrame:
     """Verified links (a, b) between nodes with different sets; they span the components."""
-    spread = member.where("bands IS NOT NULL").select("node", F.explode("bands").alias("key")).distinct()
+    spread = member.where("bands IS NOT NULL").select("node", F.explode("bands").alias("key"))
     shared = spread.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("key", "head")
     bucket = materialise(spread.join(shared, "key"), "minhash-buckets")
-    pairs = materialise(bucket.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "minhash-pairs")
-    if pairs.isEmpty():
-        return pairs
-    links = materialise(_verified(pairs, src), "minhash-links")
-    comp = components(links)
-    placed = (bucket.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-              .join(comp.select(F.col("node").alias("head"), F.col("component").alias("head_comp")), "head", "left").withColumn("head_comp", F.coalesce("head_comp", "head")))
-    placed = materialise(placed.select("key", "node", "comp", "head", "head_comp"), "minhash-placed")
-    apart = placed.where("comp <> head_comp").select("key", F.col("node").alias("x"), F.col("comp").alias("x_comp"))
-    rest = apart.join(placed.where("node <> head").select("key", F.col("node").alias("y"), F.col("comp").alias("y_comp")), "key").where("x_comp <> y_comp")
-    rest = materialise(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "minhash-rest")
-    if rest.isEmpty():
-        return links
-    return links.union(_verified(rest, src))
+    nodes = bucket.select("node").distinct()
+    sketch = materialise(member.where("bands IS NOT NULL").select("node", *SKETCH).join(nodes, "node", "left_semi"), "minhash-sketches")
+    first = bucket.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    tested = materialise(_likely(first, sketch), "minhash-pairs")
+    if tested.isEmpty():
+        return tested
+    texts = materialise(src.withColumnRenamed("_id", "node").join(nodes, "node", "left_semi"), "minhash-texts")
+    links = materialise(_verified(tested, texts), "minhash-links")
+    comp = materialise(components(links), "minhash-components")
+    bucket = bucket.select("key", "node")
+    for r in range(ROUNDS):
+        mixed = _mixed_buckets(bucket, comp, r)
+        if mixed.isEmpty():
+            return links
+        apart = mixed.where("comp <> main").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = materialise(_likely(apart.join(tested, ["a", "b"], "left_anti"), sketch), "minhash-pairs")
+        more = materialise(_verified(pairs, texts), "minhash-links")
+        tested, links = tested.union(pairs), links.union(more)
+        # only the components are joined further
+        named = comp.withColumnRenamed("component", "c")
+        joined = more.join(named.withColumnRenamed("node", "a"), "a", "left").withColumn("u", F.coalesce("c", "a")).drop("c")
+        joined = joined.join(named.withColumnRenamed("node", "b"), "b", "left").withColumn("v", F.coalesce("c", "b"))
+        onward = components(joined.select(F.col("u").alias("a"), F.col("v").alias("b")).where("a <> b").distinct())
+        every = nodes.join(comp, "node", "left").withColumn("old", F.coalesce("component", "node")).select("node", "old")
+        comp = materialise(every.join(onward.withColumnRenamed("node", "old"), "old", "left").select("node", F.coalesce("component", "old").alias("component")), "minhash-components")
+    return links.union(_links_by_block(_mixed_buckets(bucket, comp, ROUNDS), texts))
+
+
+def _mixed_buckets(bucket: DataFrame, comp: DataFrame, r: int) -> DataFrame:
+    """The buckets with nodes of several components: key, node, comp, main (the first component) and pivot (one of its nodes, by the round)."""
+    placed = bucket.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+    pivot = F.min(F.struct("comp", F.xxhash64("node", F.lit(r)).alias("h"), "node"))
+    several = placed.groupBy("key").agg(pivot.alias("pivot"), F.max("comp").alias("last")).where("pivot.comp < last")
+    return materialise(placed.join(several, "key").select("key", "node", "comp", F.col("pivot.comp").alias("main"), F.col("pivot.node").alias("pivot")), "minhash-placed")
+
+
+def _links_by_block(mixed: DataFrame, texts: DataFrame) -> DataFrame:
+    """All links between a node outside its buckets' main component and any node of these buckets.
+
+    The nodes around a main component are dealt to blocks of about ``BLOCK``; those outside it go to every block and are
+    compared there on full sets, through a sorted list of the block's shingles. Only links leave the task."""
+    around = mixed.select("main", "node", "comp").distinct()
+    blocks = around.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n"))
+    around = around.join(blocks, "main").join(texts, "node")
+    here = around.select("main", F.pmod(F.xxhash64("node"), F.col("n")).cast("int").alias("block"), "node", "comp", "_text")
+    outside = around.where("comp <> main").select(F.col("main").alias("to"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("part"), F.col("node").alias("u"), F.col("comp").alias("u_comp"), F.col("_text").alias("u_text"))
+
+    def sets_of(column):
+        pw, hashes, sizes = tb.Powers(), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for _, buf, offs in tb.slices(column.combine_chunks()):
+            h, so = shingle_sets(buf, offs, pw)
+            hashes.append(h), sizes.append(np.diff(so))
+        return np.concatenate(hashes), np.concatenate(sizes)
+
+    def compare(key, left, right):
+        h, n = sets_of(left.column("_text"))
+        owner = np.repeat(np.arange(len(n)), n)
+        order = np.argsort(h)
+        h, owner = h[order], owner[order]
+        ids, comps = left.column("node").to_numpy(), left.column("comp").to_numpy()
+        uh, un = sets_of(right.column("u_text"))
+        cut = np.concatenate([[0], np.cumsum(un)])
+        a, b = [], []
+        for i, (u, c) in enumerate(zip(right.column("u").to_pylist(), right.column("u_comp").to_pylist())):
+            mine = uh[cut[i]:cut[i + 1]]
+            lo, hi = np.searchsorted(h, mine), np.searchsorted(h, mine, "right")
+            size = hi - lo
+            at = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            both = np.bincount(owner[at], minlength=len(n))
+            hit = np.flatnonzero((100 * both >= THRESHOLD * (n + un[i] - both)) & (comps != c))
+            a += [u] * len(hit)
+            b += ids[hit].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    found = here.groupBy("main", "block").cogroup(outside.groupBy("to", "part")).applyInArrow(compare, "a long, b long")
+    return materialise(found.distinct(), "minhash-links")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -241,3 +241,77 @@ def running_sum_by_key(df: DataFrame, keys: list[str], order: list[str], values:
             out = out.withColumn(o, F.sum(v).over(w).cast(_running_type(df.schema[v].dataType)))
         return out
     return running_sum_in_buckets(bucketize(df, keys, order, buckets), keys, order, values).drop("_b")
+
+
+def neighbours_by_key(df: DataFrame, keys: list[str], order: list[str], lags: dict[str, str] | None = None,
+                      leads: dict[str, str] | None = None, number: str | None = None,
+                      buckets: int | None = None) -> DataFrame:
+    """LAG / LEAD / ROW_NUMBER over (PARTITION BY keys ORDER BY order) for skewed keys.
+
+    ``lags`` and ``leads`` map output to input columns, ``order`` (ascending) must be total within a key. Rows are
+    range-partitioned on (keys, order), so a hot key spans many buckets; each bucket finds its own neighbours, and
+    only a bucket's first and last rows look into the next bucket. These two rows per bucket are collected (a bound
+    that does not follow the data) and broadcast."""
+    lags, leads = lags or {}, leads or {}
+    spark = df.sparkSession
+    b = bucketize(df, keys, order, buckets)
+    wl = Window.partitionBy("_b", *keys).orderBy(*order)
+    local = b.withColumn("_first", F.row_number().over(wl) == 1).withColumn("_last", F.lead(F.lit(1)).over(wl).isNull())
+    for o, v in lags.items():
+        local = local.withColumn(f"_p_{o}", F.lag(v).over(wl))
+    for o, v in leads.items():
+        local = local.withColumn(f"_n_{o}", F.lead(v).over(wl))
+    cols = list(dict.fromkeys([*lags.values(), *leads.values()]))
+    row = F.struct(F.struct(*keys).alias("k"), F.struct(*order).alias("o"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    edges = sorted(b.groupBy("_b").agg(F.min(row).alias("lo"), F.max(row).alias("hi")).collect(), key=lambda r: r["_b"])
+    at = {c: i for i, c in enumerate(cols)}
+    rows = []
+    for i, e in enumerate(edges):
+        before = edges[i - 1]["hi"] if i and edges[i - 1]["hi"]["k"] == e["lo"]["k"] else None
+        after = edges[i + 1]["lo"] if i + 1 < len(edges) and edges[i + 1]["lo"]["k"] == e["hi"]["k"] else None
+        if before is not None or after is not None:
+            rows.append((e["_b"], e["lo"]["k"] if before is not None else None, e["hi"]["k"] if after is not None else None,
+                         *[before[f"v{at[v]}"] if before is not None else None for v in lags.values()],
+                         *[after[f"v{at[v]}"] if after is not None else None for v in leads.values()]))
+    key_type = T.StructType([T.StructField(k, b.schema[k].dataType) for k in keys])
+    schema = T.StructType([T.StructField("_b", T.IntegerType()), T.StructField("_lk", key_type), T.StructField("_hk", key_type)]
+                          + [T.StructField(f"_cp_{o}", b.schema[v].dataType) for o, v in lags.items()]
+                          + [T.StructField(f"_cn_{o}", b.schema[v].dataType) for o, v in leads.items()])
+    out = local.join(F.broadcast(spark.createDataFrame(rows, schema)), "_b", "left")
+    mine = F.struct(*keys)
+    for o in lags:
+        out = out.withColumn(o, F.when(F.col("_first") & F.col("_lk").isNotNull() & mine.eqNullSafe(F.col("_lk")), F.col(f"_cp_{o}")).otherwise(F.col(f"_p_{o}")))
+    for o in leads:
+        out = out.withColumn(o, F.when(F.col("_last") & F.col("_hk").isNotNull() & mine.eqNullSafe(F.col("_hk")), F.col(f"_cn_{o}")).otherwise(F.col(f"_n_{o}")))
+    out = out.select(*b.columns, *lags, *leads)
+    if number:
+        out = running_sum_in_buckets(out.withColumn("_one", F.lit(1)), keys, order, {number: "_one"}).drop("_one")
+    return out.drop("_b")
+
+
+def rank_by_key(df: DataFrame, keys: list[str], value: str, rank: str | None = "_rank", dense: str | None = None,
+                descending: bool = True) -> DataFrame:
+    """RANK / DENSE_RANK over (PARTITION BY keys ORDER BY value) for skewed keys: rows are counted per (key, value) first,
+    the counts are summed along the values (``running_sum_by_key``) and joined back. NULLs rank last when
+    descending, first when ascending, as in SQL on Spark. ``value`` is numeric."""
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")).withColumn("_one", F.lit(1))
+    nulls = F.col(value).isNull().cast("int")
+    counts = counts.withColumn("_nl", nulls if descending else -nulls).withColumn("_o", -F.col(value) if descending else F.col(value))
+    r = running_sum_by_key(counts, keys, ["_nl", "_o"], {"_run": "_c", "_d": "_one"})
+    r = r.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(value).alias("_v"), (F.col("_run") - F.col("_c") + 1).alias("_rk"), "_d")
+    on = F.col(value).eqNullSafe(F.col("_v"))
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    out = df.join(r, on)
+    names = [(rank, "_rk"), (dense, "_d")]
+    return out.select(*df.columns, *[F.col(c).alias(n) for n, c in names if n])
+
+
+def ends_by_key(df: DataFrame, keys: list[str], order: list[str], firsts: dict[str, str] | None = None,
+                lasts: dict[str, str] | None = None) -> DataFrame:
+    """W12 / W16 FIRST_VALUE / LAST_VALUE over the full frame of a key, as grouped minima and maxima (combined map-side)
+    joined back: a hot key is never gathered."""
+    firsts, lasts = firsts or {}, lasts or {}
+    at = F.struct(*order)
+    per = df.groupBy(*keys).agg(*[F.min_by(v, at).alias(o) for o, v in firsts.items()], *[F.max_by(v, at).alias(o) for o, v in lasts.items()])
+    return df.join(per, keys)

@@ -54,13 +54,14 @@ def sales_summary(orders, lines, variants, products, addresses, cities, vendors,
              .join(addresses.select(C("AddressID").alias("ShippingAddressID"), "CityID"), "ShippingAddressID")
              .select("OrderID", C("PlacedAt").cast("date").alias("SummaryDate"), "SubtotalAmount", "DiscountAmount",
                      "TotalAmount", "CityID"))
+    order_cols = ["OrderID", "SummaryDate", "SubtotalAmount", "DiscountAmount", "TotalAmount", "CityID"]
     line_facts = (lines.select("OrderID", "VariantID", "Quantity", "LineTotal")
-                  .join(facts.select("OrderID"), "OrderID", "left_semi")
+                  .join(facts, "OrderID")
                   .join(variants.select("VariantID", "ProductID"), "VariantID")
                   .join(products.select("ProductID", "VendorID", "CategoryID"), "ProductID")
-                  .groupBy("OrderID", "ProductID", "VendorID", "CategoryID")
+                  .groupBy(*order_cols, "ProductID", "VendorID", "CategoryID")
                   .agg(F.sum("Quantity").alias("LineItemCount"), F.sum("LineTotal").alias("LineRevenue")))
-    df = (line_facts.join(facts, "OrderID").join(cities.select("CityID", "ProvinceID"), "CityID")
+    df = (line_facts.join(cities.select("CityID", "ProvinceID"), "CityID")
           .join(vendors.select("VendorID", "CommissionRate"), "VendorID"))
     keys = ["SummaryDate", "VendorID", "CategoryID", "ProvinceID"]
     commission = C("TotalAmount") * C("CommissionRate") * _cent()
@@ -86,20 +87,26 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], values: list[s
     ``mode="merge"`` keeps target rows the source does not mention (no NOT MATCHED BY SOURCE
     branch, B23). ``mode="replace_partition"`` drops every target row of the first key's values
     present in the source first (a partition overwrite). New rows get ``id_col`` surrogate keys
-    after the target's maximum (R0). One full outer join on the keys — no per-row lookups."""
-    if mode == "replace_partition":
-        target = target.join(source.select(keys[0]).distinct(), keys[0], "left_anti")
-    t = target.select(*keys, *values, *([id_col] if id_col else []), "ComputedAt").withColumn("_t", F.lit(True))
-    s = source.select(*keys, *values).withColumn("_s", F.lit(True))
+    after the target's maximum (R0). One full outer join on the keys, over the target rows whose first key (the
+    partition) the source mentions; all others are passed on."""
+    source = source.select(*keys, *values).checkpoint(eager=True)
+    touched = source.select(keys[0]).distinct()
+    cols = [*keys, *values, *([id_col] if id_col else []), "ComputedAt"]
+    # partitions that the source does not mention pass through unread by the join
+    untouched = target.select(*cols).join(touched, keys[0], "left_anti")
+    t = target.select(*cols)
+    t = t.filter(F.lit(False)) if mode == "replace_partition" else t.join(touched, keys[0], "left_semi")
+    s = source.withColumn("_s", F.lit(True))
     j = t.alias("t").join(s.alias("s"), keys, "full_outer")
     out = j.select(*keys, *[F.when(C("_s"), C(f"s.{v}")).otherwise(C(f"t.{v}")).alias(v) for v in values],
                    *([C(f"t.{id_col}").alias(id_col)] if id_col else []),
                    F.when(C("_s"), ts_lit(computed_at)).otherwise(C("t.ComputedAt")).alias("ComputedAt"))
     if id_col:
+        out = out.checkpoint(eager=True)
         new = out.filter(C(id_col).isNull()).withColumn("_nk", F.struct(*keys)).drop(id_col)
         new = assign_surrogate_keys(new, "_nk", id_col, existing=target).drop("_nk")
         out = out.filter(C(id_col).isNotNull()).unionByName(new)
-    return out
+    return out.unionByName(untouched)
 
 
 def refresh_sales_summary(target, orders, lines, variants, products, addresses, cities, vendors, as_of,

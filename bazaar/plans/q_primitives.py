@@ -12,7 +12,7 @@ from bazaar.functions.expr import (boundary_diff, concat_null_safe, concat_plus,
                                    ts_lit)
 from bazaar.operators import relational as REL
 from bazaar.operators.search import fold_predicates, optional_eq
-from bazaar.operators.windows import first_value_full
+from bazaar.operators.windows import ends_by_key, neighbours_by_key, rank_by_key, running_sum_by_key
 from bazaar.plans.catalog import query
 from bazaar.plans.views import not_cancelled, active_discount, shipment_timeline
 
@@ -354,10 +354,8 @@ FROM b_shipevent""")
 def w16(c):
     """W12 / W16 FIRST_VALUE and LAST_VALUE over the full frame per shipment."""
     e = c.shipment_event()
-    return e.select("ShipmentID", "EventID",
-                    first_value_full("EventStatus", ["ShipmentID"], [C("EventAt").desc(), C("EventID").desc()])
-                    .alias("FinalStatus"),
-                    first_value_full("EventStatus", ["ShipmentID"], ["EventAt", "EventID"]).alias("FirstStatus"))
+    out = ends_by_key(e, ["ShipmentID"], ["EventAt", "EventID"], firsts={"FirstStatus": "EventStatus"}, lasts={"FinalStatus": "EventStatus"})
+    return out.select("ShipmentID", "EventID", "FinalStatus", "FirstStatus")
 
 
 @query("w4_running_sum_partitioned", """
@@ -368,13 +366,11 @@ SELECT CustomerID, OrderID, CAST(sum(TotalAmount) OVER (PARTITION BY CustomerID
 FROM b_order""")
 def w4(c):
     """W4 / W7 / W8 running SUM, RANK and DENSE_RANK per customer."""
-    o = c.order()
-    w = Window.partitionBy("CustomerID")
-    return o.select("CustomerID", "OrderID",
-                    F.sum("TotalAmount").over(w.orderBy("PlacedAt", "OrderID")
-                                              .rowsBetween(Window.unboundedPreceding, 0)).alias("RunningSpend"),
-                    F.rank().over(w.orderBy(C("TotalAmount").desc())).alias("AmountRank"),
-                    F.dense_rank().over(w.orderBy(F.year("PlacedAt"))).alias("YearIndex"))
+    o = c.order().select("CustomerID", "OrderID", "TotalAmount", "PlacedAt", F.year("PlacedAt").alias("_year"))
+    o = running_sum_by_key(o, ["CustomerID"], ["PlacedAt", "OrderID"], {"RunningSpend": "TotalAmount"})
+    o = rank_by_key(o, ["CustomerID"], "TotalAmount", rank="AmountRank")
+    o = rank_by_key(o, ["CustomerID"], "_year", rank=None, dense="YearIndex", descending=False)
+    return o.select("CustomerID", "OrderID", "RunningSpend", "AmountRank", "YearIndex")
 
 
 # ============================================================================ sorts / limits
@@ -457,13 +453,13 @@ SELECT EventID, date_diff('minute', EventAt, TIMESTAMP '2024-01-31 00:00:00') AS
 FROM b_shipevent""")
 def f7(c):
     """F7 / M1 DATEDIFF minute / hour / day as boundary counts (not elapsed units)."""
-    e = c.shipment_event()
+    e = c.shipment_event().select("ShipmentID", "EventID", "EventAt")
     t = ts_lit(c.events_as_of)
-    w = Window.partitionBy("ShipmentID").orderBy("EventAt", "EventID")
+    e = neighbours_by_key(e, ["ShipmentID"], ["EventAt", "EventID"], lags={"_before": "EventAt"})
     return e.select("EventID", boundary_diff("MINUTE", C("EventAt"), t).alias("Minutes"),
                     boundary_diff("HOUR", C("EventAt"), t).alias("Hours"),
                     boundary_diff("DAY", C("EventAt"), t).alias("Days"),
-                    boundary_diff("HOUR", F.lag("EventAt").over(w), C("EventAt")).alias("HoursSincePrev"))
+                    boundary_diff("HOUR", C("_before"), C("EventAt")).alias("HoursSincePrev"))
 
 
 @query("f13_json_scalars", """

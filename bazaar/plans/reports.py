@@ -9,7 +9,7 @@ from bazaar.functions.expr import as_date, exact_avg, full_name, ts_lit
 from bazaar.operators.grouping import pivot_sum, rollup_labelled
 from bazaar.operators.hierarchy import tree_display, tree_walk
 from bazaar.operators.search import clamp_page, fold_predicates, optional_eq, page, sort_spec
-from bazaar.operators.windows import global_order
+from bazaar.operators.windows import global_order, neighbours_by_key, running_sum_by_key
 from bazaar.plans.views import not_cancelled, product_sales_ranking, revenue_monthly_trend
 
 C = F.col
@@ -223,13 +223,15 @@ def customer_ltv(orders, customers) -> DataFrame:
     (RANGE frame: orders on the same date share the value; the LAG is materialised first, B11)."""
     cs = orders.filter(not_cancelled()).select("OrderID", "CustomerID", as_date("PlacedAt").alias("OrderDate"),
                                              "TotalAmount")
-    w = Window.partitionBy("CustomerID").orderBy("OrderDate", "OrderID")
-    step = (cs.withColumn("LifetimeValueToDate", F.sum("TotalAmount").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("OrderNumber", F.row_number().over(w))
-            .withColumn("DaysSinceLastOrder", F.datediff("OrderDate", F.lag("OrderDate").over(w))))
-    wr = Window.partitionBy("CustomerID").orderBy("OrderDate").rangeBetween(Window.unboundedPreceding, 0)
-    step = step.withColumn("AvgOrderGapDays", F.sum("DaysSinceLastOrder").over(wr).cast("double")
-                           / F.count("DaysSinceLastOrder").over(wr).cast("double"))
+    order = ["OrderDate", "OrderID"]
+    step = neighbours_by_key(cs, ["CustomerID"], order, lags={"_before": "OrderDate"}, number="OrderNumber")
+    step = step.withColumn("DaysSinceLastOrder", F.datediff("OrderDate", "_before")).drop("_before")
+    step = running_sum_by_key(step, ["CustomerID"], order, {"LifetimeValueToDate": "TotalAmount"})
+    # the RANGE frame ends with the day: gaps are summed by day, then along the days
+    daily = step.groupBy("CustomerID", "OrderDate").agg(F.coalesce(F.sum("DaysSinceLastOrder"), F.lit(0)).alias("_gap"), F.count("DaysSinceLastOrder").alias("_cnt"))
+    daily = running_sum_by_key(daily, ["CustomerID"], ["OrderDate"], {"_gaps": "_gap", "_n": "_cnt"})
+    average = F.when(C("_n") > 0, C("_gaps").cast("double") / C("_n").cast("double"))
+    step = step.join(daily.select("CustomerID", "OrderDate", average.alias("AvgOrderGapDays")), ["CustomerID", "OrderDate"])
     return (step.join(customers.select("CustomerID", "FirstName", "LastName", "CreatedAt"), "CustomerID")
             .select("CustomerID", "OrderID", full_name().alias("CustomerName"), C("CreatedAt").alias("MemberSince"),
                     "OrderDate", "TotalAmount", "LifetimeValueToDate", "OrderNumber", "DaysSinceLastOrder",

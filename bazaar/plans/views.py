@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from bazaar.functions.expr import (as_date, boundary_diff, concat_plus, date_lit, exact_avg, full_name,
                                    month_start, ts_lit)
 from bazaar.operators.relational import outer_apply_top1
-from bazaar.operators.windows import first_value_full, global_order, growth_pct, moving_avg_exact
+from bazaar.operators.windows import first_value_full, global_order, growth_pct, moving_avg_exact, neighbours_by_key, rank_by_key
 
 C = F.col
 
@@ -271,13 +271,14 @@ def product_sales_ranking(products, categories, vendors, variants, lines, orders
     g = global_order(pr, "TotalRevenue", ["ProductID"], descending=True, sum_col="TotalRevenue", ntile=4,
                      plain=plain_windows)
     tier = F.element_at(F.array(*[F.lit(TIERS[i]) for i in (1, 2, 3, 4)]), C("_ntile").cast("int"))
-    wcat = Window.partitionBy("CategoryName").orderBy(C("TotalRevenue").desc())
+    # a rank over counted values instead of a window per category: categories are few and some are large
+    g = rank_by_key(g, ["CategoryName"], "TotalRevenue", rank="_category")
     return g.select(
         "ProductID", "ProductName", "CategoryName", "VendorName", "OrderCount", "UnitsSold", "TotalRevenue",
         "AvgSellingPrice", F.round("AvgRating", 2).alias("AvgRating"),
         C("_rn").alias("RowNum_ByRevenue"), C("_rank").alias("Rank_ByRevenue"),
         C("_dense").alias("DenseRank_ByRevenue"), C("_ntile").alias("RevenueQuartile"), tier.alias("ProductTier"),
-        F.rank().over(wcat).alias("RankWithinCategory"),
+        C("_category").alias("RankWithinCategory"),
         F.round(F.lit(100.0) * C("TotalRevenue").cast("double") / C("_total").cast("double"), 2).alias("RevenueSharePct"),
         F.round(F.lit(100.0) * C("_running").cast("double") / C("_total").cast("double"), 2)
         .alias("CumulativeRevenueSharePct"))
@@ -286,13 +287,10 @@ def product_sales_ranking(products, categories, vendors, variants, lines, orders
 # --------------------------------------------------------------------------- V8
 def shipment_timeline(shipment_events) -> DataFrame:
     """V8 CTE (W2, W9, W15): per shipment, previous/next event and minutes since the previous one."""
-    w = Window.partitionBy("ShipmentID").orderBy("EventAt", "EventID")
-    return shipment_events.select(
-        "ShipmentID", "EventID", "EventStatus", "EventAt", "EventLocation",
-        F.lead("EventStatus").over(w).alias("NextStatus"), F.lead("EventAt").over(w).alias("NextEventAt"),
-        F.lag("EventStatus").over(w).alias("PrevStatus"), F.lag("EventAt").over(w).alias("PrevEventAt"),
-        boundary_diff("MINUTE", F.lag("EventAt").over(w), C("EventAt")).alias("MinutesSincePrevEvent"),
-        F.row_number().over(w).alias("EventSequence"))
+    ev = shipment_events.select("ShipmentID", "EventID", "EventStatus", "EventAt", "EventLocation")
+    t = neighbours_by_key(ev, ["ShipmentID"], ["EventAt", "EventID"], lags={"PrevStatus": "EventStatus", "PrevEventAt": "EventAt"},
+                          leads={"NextStatus": "EventStatus", "NextEventAt": "EventAt"}, number="EventSequence")
+    return t.withColumn("MinutesSincePrevEvent", boundary_diff("MINUTE", C("PrevEventAt"), C("EventAt")))
 
 
 def delivery_sla(shipments, orders, customers, couriers, shipment_events, as_of,
@@ -321,13 +319,15 @@ def delivery_sla(shipments, orders, customers, couriers, shipment_events, as_of,
               .when(C("ActualDelivery").isNull() & (asof_d > C("EstimatedDelivery")), 1).otherwise(0))
     days = F.when(C("ActualDelivery").isNotNull(), F.datediff(actual_d, C("EstimatedDelivery"))) \
         .otherwise(F.datediff(asof_d, C("EstimatedDelivery")))
-    wl = Window.partitionBy("ShipmentID").orderBy(C("_last").desc(), C("_lastloc").desc()) \
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # the shipment's newest location: a grouped maximum, not a window that gathers a shipment's events
+    newest = ev.groupBy("ShipmentID").agg(F.max(F.struct("EventAt", "EventLocation")).alias("_new")) if grain == "event" else None
+    last = C("_new.EventLocation") if grain == "event" else C("_lastloc")
+    g = g.join(newest, "ShipmentID", "left") if grain == "event" else g
     return g.select(
         "ShipmentID", "OrderID", full_name().alias("CustomerName"), "CourierName", "TrackingNumber", "ShipmentStatus",
         "EstimatedDelivery", "ActualDelivery", breach.alias("SLABreached"), days.alias("DaysVsSLA"),
         boundary_diff("HOUR", C("_first"), C("_last")).alias("TotalTransitHours"), "EventCount",
-        F.first("_lastloc").over(wl).alias("LastKnownLocation"))
+        last.alias("LastKnownLocation"))
 
 
 def register_views(spark, frames: dict, as_of) -> None:

@@ -26,7 +26,7 @@ def test_no_single_partition_exchange(spark, name):
 def test_single_partition_only_where_bounded(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        offenders = [n for n in QUERIES if not n.startswith(("r4", "r5", "r9")) and n not in BOUNDED
+        offenders = [n for n in QUERIES if n not in BOUNDED
                      and "SinglePartition" in _plan(spark, n)]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -3,9 +3,10 @@
 import random
 from decimal import Decimal
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from bazaar.operators.windows import global_order, ntile_closed_form, running_sum_by_key
+from bazaar.operators.windows import ends_by_key, global_order, neighbours_by_key, ntile_closed_form, rank_by_key, running_sum_by_key
 
 
 def _rows(df, cols):
@@ -50,3 +51,38 @@ def test_global_order_stitches_null_ties(spark):
         for buckets in (1, 4, 9):
             assert _rows(global_order(df, "v", ["k"], descending=desc, buckets=buckets), cols) == _rows(
                 global_order(df, "v", ["k"], descending=desc, plain=True), cols)
+
+
+def _events(spark, seed=5, n=1200):
+    rng = random.Random(seed)
+    data = [(None if i % 50 == 0 else (0 if i % 3 == 0 else rng.randint(1, 40)), rng.randint(0, 60), i, rng.choice(["a", "b", None]), rng.choice([1, 2, 2, 5, None])) for i in range(n)]
+    return spark.createDataFrame(data, "key int, at int, id long, s string, v int")
+
+
+def test_neighbours_of_hot_keys_match_plain_windows(spark):
+    df = _events(spark)
+    w = Window.partitionBy("key").orderBy("at", "id")
+    want = df.select("key", "id", F.lag("s").over(w).alias("p"), F.lead("at").over(w).alias("n"), F.row_number().over(w).alias("r"))
+    for buckets in (1, 6, 40):
+        got = neighbours_by_key(df, ["key"], ["at", "id"], lags={"p": "s"}, leads={"n": "at"}, number="r", buckets=buckets)
+        plain = lambda d: sorted(map(repr, ((x.key, x.id, x.p, x.n) for x in d.collect())))
+        assert plain(got) == plain(want)
+        assert {(x.id, x.r) for x in got.collect() if x.key is not None} == {(x.id, x.r) for x in want.collect() if x.key is not None}
+
+
+def test_rank_by_key_matches_plain_windows(spark):
+    df = _events(spark)
+    for desc in (True, False):
+        w = Window.partitionBy("key").orderBy(F.col("v").desc() if desc else F.col("v").asc())
+        want = df.select("id", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
+        got = rank_by_key(df, ["key"], "v", rank="r", dense="d", descending=desc)
+        keyed = lambda d: {(x.id, x.r, x.d) for x in d.collect() if x.id % 50}  # noqa: E731  keys that are not null
+        assert keyed(got) == keyed(want)
+
+
+def test_ends_by_key_match_plain_windows(spark):
+    df = _events(spark).filter("key is not null")
+    w = Window.partitionBy("key").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    want = df.select("id", F.first("s").over(w).alias("f"), F.last("s").over(w).alias("l"))
+    got = ends_by_key(df, ["key"], ["at", "id"], firsts={"f": "s"}, lasts={"l": "s"}).select("id", "f", "l")
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}

@@ -179,6 +179,14 @@ def bucket_edges(bucketed: DataFrame, keys: list[str]) -> list:
     return bucketed.groupBy("_b").agg(F.min(kstruct).alias("first_k"), F.max(kstruct).alias("last_k")).collect()
 
 
+def _same(keys: list[str]) -> Column:
+    """Bucket and key (NULL equal to NULL) of a row and of a bucket's edge."""
+    on = F.col("_b") == F.col("_eb")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_e_{k}"))
+    return on
+
+
 def running_sum_in_buckets(bucketed: DataFrame, keys: list[str], order: list[str], values: dict[str, str],
                            edges: list | None = None) -> DataFrame:
     """Running sums per key over rows already carrying a frozen bucket id ``_b`` (see ``bucketize``;
@@ -198,7 +206,8 @@ def running_sum_in_buckets(bucketed: DataFrame, keys: list[str], order: list[str
     last_rows = [(r["_b"], *tuple(r["last_k"])) for r in edges]
     last_df = spark.createDataFrame(last_rows, T.StructType(
         [T.StructField("_b", T.IntegerType())] + [T.StructField(k, bucketed.schema[k].dataType) for k in keys]))
-    tails = {r["_b"]: r for r in bucketed.join(F.broadcast(last_df), ["_b", *keys], "left_semi")
+    last_df = last_df.select(F.col("_b").alias("_eb"), *[F.col(k).alias(f"_e_{k}") for k in keys])
+    tails = {r["_b"]: r for r in bucketed.join(F.broadcast(last_df), _same(keys), "left_semi")
              .groupBy("_b").agg(*[F.sum(v).alias(f"tail_{o}") for o, v in values.items()]).collect()}
     stats = [dict(_b=r["_b"], first_k=r["first_k"], last_k=r["last_k"],
                   **{f"tail_{o}": (tails[r["_b"]][f"tail_{o}"] if r["_b"] in tails else 0) for o in values})
@@ -218,7 +227,8 @@ def running_sum_in_buckets(bucketed: DataFrame, keys: list[str], order: list[str
                           + [T.StructField(k, bucketed.schema[k].dataType) for k in keys]
                           + [T.StructField(f"_off_{o}", types[o]) for o in values])
     offsets = spark.createDataFrame(rows, schema)
-    out = local.join(F.broadcast(offsets), ["_b", *keys], "left")
+    offsets = offsets.select(F.col("_b").alias("_eb"), *[F.col(k).alias(f"_e_{k}") for k in keys], *[f"_off_{o}" for o in values])
+    out = local.join(F.broadcast(offsets), _same(keys), "left").drop("_eb", *[f"_e_{k}" for k in keys])
     for o in values:
         out = out.withColumn(o, (F.coalesce(F.col(f"_off_{o}"), F.lit(0).cast(types[o])) + F.col(f"_l_{o}"))
                              .cast(types[o]))

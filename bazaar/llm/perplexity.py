@@ -195,6 +195,8 @@ def quality_filter(docs: DataFrame, spread: float = SPREAD, model: KneserNey | N
     Null text counts as empty: no words, base_failed. Null languages form a class of their own. Repeated rows are
     judged alike. An empty table gives an empty table. Other columns are not read."""
     scored = materialise(score_quality(docs, model or train(docs, lang_col), lang_col, carry), "kn-scores")
-    bands = perplexity_bands(scored, spread)
+    # a few rows, written: their size is known, so the planner can send them to the scores; a join on the language alone
+    # would put all documents of the largest language into one task
+    bands = materialise(perplexity_bands(scored, spread), "kn-bands")
     return (scored.join(bands, "_lang", "left").withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("log_ppl").between(F.col("low"), F.col("high")), F.lit(False)))
             .select(*carry, *STATS, "base_failed", "kept", "log_ppl", "low", "high"))

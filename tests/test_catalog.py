@@ -4,11 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from bazaar.plans.catalog import ORACLES, load_all
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, compare
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = load_all()
 
 
 @pytest.fixture(scope="module")
@@ -24,9 +24,9 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and "NetRevenue" in df.columns
 
 
-def test_every_query_has_a_key_and_most_have_oracles():
-    assert set(ORACLES) <= set(QUERIES)
-    assert len(ORACLES) >= 100
+def test_every_query_has_an_oracle():
+    assert set(ORACLES) == set(QUERIES) and len(ORACLES) >= 130
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

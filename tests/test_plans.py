@@ -2,10 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from bazaar.plans.catalog import load_all
 from tests.conftest import SF_SMALL
 
-QUERIES = entry.queries()
+QUERIES = load_all()
 # windows without PARTITION BY are allowed only over calendar months / cohorts (bounded by time),
 # and global one-row aggregates end in a single partition by definition
 BOUNDED = {"v5_revenue_monthly_trend", "v6_cohort_retention", "x16_latest_trend_months", "x13_search_orders_total",

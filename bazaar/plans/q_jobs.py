@@ -2,9 +2,10 @@
 
 Request batches are derived from the driver tables (every order becomes a placement, return and some
 status-change requests, every variant transfer requests, low stock rows restock requests, ...), so each
-job's work grows with the data. Where outcomes follow the order of requests (R4, R5, R6, R9) the oracle is
-a recursive CTE that takes one request after the other; tests/test_allocation.py compares the fixpoint with
-one-at-a-time processing besides.
+job's work grows with the data. Where outcomes follow the order of requests the SQL is a recursive CTE that takes one
+request after the other: by order (R6) or variant (R9) all at once, as oracles; over all requests in a row (R2, R4,
+R5) only in the tests, because it is too slow on larger tables. tests/test_allocation.py compares the fixpoint
+with one-at-a-time processing besides.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from bazaar.functions.expr import ts_lit
 from bazaar.operators.keys import assign_surrogate_keys
 from bazaar.plans import jobs as J
 from bazaar.plans.catalog import query
+from bazaar.plans.oracle_bindings import with_bindings
 
 C = F.col
 AS_OF = "TIMESTAMP '2001-08-01 00:00:00'"
@@ -98,6 +100,16 @@ def _placement(c, effects=True):
                           c.orders_as_of, warehouse_id=0, existing_orders=c.order(), effects=effects)
 
 
+#: SQL of the queries that place one order after the other. It takes minutes from some thousand requests on (over 15 at
+#: sf0.01), so it is no oracle of the catalog; tests/test_catalog.py compares it at sf0.001.
+SEQUENTIAL: dict[str, str] = {}
+
+
+def sequential(name: str, sql: str):
+    SEQUENTIAL[name] = with_bindings(sql)
+    return query(name)
+
+
 # One request after the other: the state is the list of remaining capacities (discount uses, then stock rows).
 # cap numbers the resources that any request asks for; d has each request's demands as lists.
 _PLACE_SQL = f"""{_REQ_SQL},
@@ -128,7 +140,7 @@ SELECT RequestID, CASE WHEN accepted THEN 'ACCEPTED' ELSE 'REJECTED' END AS stat
 UNION ALL SELECT RequestID, 'REJECTED', RejectReason FROM val WHERE RejectReason IS NOT NULL"""
 
 
-@query("r4_stock_allocation", _R4_SQL)
+@sequential("r4_stock_allocation", _R4_SQL)
 def r4(c):
     """R4 all-or-nothing stock + discount-cap allocation in request order (exact fixpoint)."""
     return _placement(c, effects=False)["outcomes"]
@@ -146,7 +158,7 @@ sold AS (SELECT acc.OrderID, acc.RequestID, acc.RequestedAt, s.StockLevelID, s.Q
          FROM acc JOIN rl ON rl.RequestID = acc.RequestID JOIN b_stock s ON s.VariantID = rl.VariantID AND s.WarehouseID = acc.RequestID % 3)"""
 
 
-@query("r5_sale_ledger", f"""WITH RECURSIVE {_EFFECTS_SQL}
+@sequential("r5_sale_ledger", f"""WITH RECURSIVE {_EFFECTS_SQL}
 SELECT StockLevelID, 'SALE' AS MovementType, CAST(-Quantity AS BIGINT) AS QuantityChange,
   CAST(QuantityOnHand - sum(Quantity) OVER (PARTITION BY StockLevelID ORDER BY RequestedAt, RequestID ROWS UNBOUNDED PRECEDING) AS BIGINT) AS QuantityAfter,
   OrderID AS ReferenceID, 'ORDER' AS ReferenceType, RequestedAt AS MovedAt FROM sold""")
@@ -155,7 +167,7 @@ def r5(c):
     return _placement(c)["movements"]
 
 
-@query("r5b_new_orders", f"""WITH RECURSIVE {_EFFECTS_SQL}
+@sequential("r5b_new_orders", f"""WITH RECURSIVE {_EFFECTS_SQL}
 SELECT OrderID, RequestID, CustomerID, ShippingAddressID, DiscountID, 'PENDING' AS OrderStatus, CAST(SubtotalAmount AS DOUBLE) AS SubtotalAmount,
   CAST(DiscountAmount AS DOUBLE) AS DiscountAmount, CAST(SubtotalAmount - DiscountAmount AS DOUBLE) AS TotalAmount, RequestedAt AS PlacedAt FROM acc""")
 def r5b(c):
@@ -163,7 +175,7 @@ def r5b(c):
     return _placement(c)["orders"]
 
 
-@query("r5c_sale_stock", f"""WITH RECURSIVE {_EFFECTS_SQL}
+@sequential("r5c_sale_stock", f"""WITH RECURSIVE {_EFFECTS_SQL}
 SELECT s.StockLevelID, s.WarehouseID, s.VariantID, CAST(s.QuantityOnHand - coalesce(u.used, 0) AS BIGINT) AS QuantityOnHand
 FROM b_stock s LEFT JOIN (SELECT StockLevelID, sum(Quantity) AS used FROM sold GROUP BY StockLevelID) u ON u.StockLevelID = s.StockLevelID""")
 def r5c(c):
@@ -171,7 +183,7 @@ def r5c(c):
     return _placement(c)["stock_levels"].select("StockLevelID", "WarehouseID", "VariantID", "QuantityOnHand")
 
 
-@query("r5d_sale_discounts", f"""WITH RECURSIVE {_EFFECTS_SQL}
+@sequential("r5d_sale_discounts", f"""WITH RECURSIVE {_EFFECTS_SQL}
 SELECT d.DiscountID, CAST(d.UsageCount + count(acc.RequestID) AS BIGINT) AS UsageCount, CAST(d.MaxUsageCount AS BIGINT) AS MaxUsageCount
 FROM b_discount d LEFT JOIN acc ON acc.DiscountID = d.DiscountID GROUP BY d.DiscountID, d.UsageCount, d.MaxUsageCount""")
 def r5d(c):
@@ -179,7 +191,7 @@ def r5d(c):
     return _placement(c)["discounts"].select("DiscountID", "UsageCount", "MaxUsageCount")
 
 
-@query("r5e_sale_customers", f"""WITH RECURSIVE {_EFFECTS_SQL}
+@sequential("r5e_sale_customers", f"""WITH RECURSIVE {_EFFECTS_SQL}
 SELECT cu.CustomerID, CAST(cu.LoyaltyPoints + coalesce(sum(floor((acc.SubtotalAmount - acc.DiscountAmount) / 10)), 0) AS BIGINT) AS LoyaltyPoints
 FROM b_customer cu LEFT JOIN acc ON acc.CustomerID = cu.CustomerID GROUP BY cu.CustomerID, cu.LoyaltyPoints""")
 def r5e(c):
@@ -187,7 +199,7 @@ def r5e(c):
     return _placement(c)["customers"].select("CustomerID", "LoyaltyPoints")
 
 
-@query("r5f_new_order_lines", f"""WITH RECURSIVE {_EFFECTS_SQL}
+@sequential("r5f_new_order_lines", f"""WITH RECURSIVE {_EFFECTS_SQL}
 SELECT sold.OrderID, sold.VariantID, CAST(sold.Quantity AS BIGINT) AS Quantity, CAST(p.BasePrice + pv.PriceAdjustment AS DOUBLE) AS UnitPrice
 FROM sold JOIN b_variant pv ON pv.VariantID = sold.VariantID JOIN b_product p ON p.ProductID = pv.ProductID""")
 def r5f(c):
@@ -195,7 +207,7 @@ def r5f(c):
     return _placement(c)["order_lines"]
 
 
-@query("r2_discount_usage_cap", f"""WITH RECURSIVE {_PLACE_SQL}
+@sequential("r2_discount_usage_cap", f"""WITH RECURSIVE {_PLACE_SQL}
 SELECT val.RequestID, val.DiscountCode, coalesce(decided.reason, val.RejectReason) AS Reason
 FROM val LEFT JOIN decided ON decided.RequestID = val.RequestID WHERE val.DiscountCode IS NOT NULL
   AND coalesce(decided.reason, val.RejectReason) = 'INVALID_DISCOUNT'""")

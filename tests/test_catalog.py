@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from bazaar.plans.catalog import ORACLES, load_all
+from bazaar.plans.q_jobs import SEQUENTIAL
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, compare
 
@@ -25,10 +26,16 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLES) == set(QUERIES) and len(ORACLES) >= 130
+    assert set(ORACLES) | set(SEQUENTIAL) == set(QUERIES) and len(ORACLES) >= 125
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
+@pytest.mark.parametrize("name", ["r2_discount_usage_cap", "r4_stock_allocation", "r5_sale_ledger", "r5b_new_orders", "r5e_sale_customers"])
+def test_sequential_parity(spark, con, name):
+    """Orders placed one after the other in SQL."""
+    assert compare(QUERIES[name](spark, SF_SMALL).toPandas(), con.execute(SEQUENTIAL[name]).df()) == "exact"
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracle_parity(spark, con, name):
     sdf = QUERIES[name](spark, SF_SMALL).toPandas()

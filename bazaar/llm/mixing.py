@@ -19,6 +19,7 @@ import random
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bazaar.llm.shared import materialise
 from bazaar.operators.windows import running_sum_by_key
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -62,20 +63,21 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS,
     ``size_col`` names a column that already holds the sizes; then no text is needed."""
     u = random.Random(seed).random()
     added = ("size", "source_size", "target", "copies")
-    sized = docs.withColumn("size", F.col(size_col) if size_col else word_count(F.col("text")))
-    docs = docs.drop(*added)
-    narrow = sized.select("doc_id", "source", "size")
+    sized = docs.withColumn("size", F.col(size_col) if size_col else word_count(F.col("text"))).drop(*added[1:], "_row")
+    # rows are numbered and written once, so that ranks are found on narrow rows and meet the texts in one join
+    rows = materialise(sized.withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
+    narrow = rows.select("_row", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("_id"), "source", "size")
     targets = source_targets(narrow, weights, max_epochs)
     targets = targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-    by_source = [F.col(f"d.{c}") for c in docs.columns]
-    d, t = sized.alias("d"), targets.alias("t")
+    n, t = narrow.alias("n"), targets.alias("t")
     # the number of sources is small next to the documents; the planner broadcasts it when its measured size allows
-    joined = d.join(t, F.col("d.source").eqNullSafe(F.col("t.source"))).select(
-        *by_source, F.col("d.size").alias("size"), F.col("t.source_size").alias("source_size"), F.col("t.target").alias("target"),
-        F.col("t.source_no").alias("_no"), F.col("t.rate").alias("_rate"), F.coalesce(F.col("d.doc_id"), F.lit(-(1 << 63))).alias("_id"), F.lit(1).alias("_one"))
-    ranked = running_sum_by_key(joined, ["_no"], ["size", "_id"], {"_rank": "_one"})
+    joined = n.join(t, F.col("n.source").eqNullSafe(F.col("t.source"))).select(
+        "_row", "_id", "size", "source_size", "target", F.col("source_no").alias("_no"), F.col("rate").alias("_rate"), F.lit(1).alias("_one"))
+    ranked = running_sum_by_key(joined, ["_no"], ["size", "_id", "_row"], {"_rank": "_one"})
     upto = lambda k: F.floor(k * F.col("_rate") + F.lit(u))
-    return ranked.withColumn("copies", (upto(F.col("_rank").cast("double")) - upto((F.col("_rank") - 1).cast("double"))).cast("long")).select(*docs.columns, *added)
+    copies = (upto(F.col("_rank").cast("double")) - upto((F.col("_rank") - 1).cast("double"))).cast("long")
+    out = rows.join(ranked.select("_row", "source_size", "target", copies.alias("copies")), "_row")
+    return out.select(*[c for c in docs.columns if c not in (*added, "_row")], *added)
 
 
 def emit_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:

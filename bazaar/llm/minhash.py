@@ -7,7 +7,7 @@
 3. A pair is verified by the signatures (two bits of every minimum; far below the threshold: dropped) and then on
    full sets.
 4. Links are closed to components by alternating large-star and small-star steps.
-5. Where a bucket's nodes are in several components, a few rounds propose another node of its first component to those
+5. Where a bucket's nodes are in several components, ``ROUNDS`` rounds propose another node of its first component to those
    outside it, which joins dense groups without comparing all their pairs. What is still apart after these
    is compared with all nodes of its buckets on full sets, block by block inside tasks. So every pair that shares
    a band is either verified or already in one component; no cap is set.
@@ -29,7 +29,7 @@ BANDS, ROWS = 45, 5  # a pair at the threshold misses all bands with a probabili
 #: pairs with more minima that differ in their two lowest bits go without a look at the sets: at the threshold
 #: 42 of 225 differ on average, and this is over five standard deviations more
 MOST_DIFFERENT = 74
-ROUNDS = 3
+ROUNDS = 1
 BLOCK = 1000
 NO_ID = (1 << 63) - 1
 
@@ -189,6 +189,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Stops when a round changes nothing; then every node is linked to the smallest of its component only."""
     edges = materialise(links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct(), "stars")
+    if edges.isEmpty():
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     seen = None
     while True:
         edges = materialise(small_star(large_star(edges)), "stars")
@@ -210,16 +212,27 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     first = rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("_id").alias("node"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     first = materialise(first, "minhash-copies")
     member = materialise(rows.join(first, ["d1", "d2"], "left").select("_id", "n_shingles", F.coalesce("node", "_id").alias("node"), F.when(F.coalesce("node", "_id") == F.col("_id"), F.col("bands")).alias("bands"), *SKETCH), "minhash-nodes")
-    links = near_links(member, src)
+    comp, links = near_links(member, src)
     # several rows under one id with different texts are one document
     several = member.groupBy("_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("_id")
     links = links.union(member.join(several, "_id").where("node <> _id").select(F.col("node").alias("a"), F.col("_id").alias("b")).distinct())
-    out = member.select("_id", "n_shingles", "node").join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    out = member.select("_id", "n_shingles", "node").join(_joined(comp, links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     return out.select(F.nullif("_id", F.lit(NO_ID)).alias(id_col), "n_shingles", F.nullif("component", F.lit(NO_ID)).alias("component_id"), (F.col("_id") == F.col("component")).alias("kept"))
 
 
-def near_links(member: DataFrame, src: DataFrame) -> DataFrame:
-    """Verified links (a, b) between nodes with different sets; they span the components."""
+def _joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links between nodes: only components are joined, so the graph stays small."""
+    named = comp.withColumnRenamed("component", "c")
+    ends = links.join(named.withColumnRenamed("node", "a"), "a", "left").withColumn("u", F.coalesce("c", "a")).drop("c")
+    ends = ends.join(named.withColumnRenamed("node", "b"), "b", "left").withColumn("v", F.coalesce("c", "b"))
+    onward = components(ends.select(F.col("u").alias("a"), F.col("v").alias("b")))
+    moved = comp.withColumnRenamed("component", "old").join(onward.withColumnRenamed("node", "old"), "old", "left").select("node", F.coalesce("component", "old").alias("component"))
+    # nodes that had no link before
+    return materialise(moved.union(onward.join(comp, "node", "left_anti").select("node", "component")), "minhash-components")
+
+
+def near_links(member: DataFrame, src: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Components (node, component) from verified links between nodes with different sets, and links (a, b) that join them further."""
     spread = member.where("bands IS NOT NULL").select("node", F.explode("bands").alias("key"))
     shared = spread.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("key", "head")
     bucket = materialise(spread.join(shared, "key"), "minhash-buckets")
@@ -228,27 +241,18 @@ def near_links(member: DataFrame, src: DataFrame) -> DataFrame:
     first = bucket.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     tested = materialise(_likely(first, sketch), "minhash-pairs")
     if tested.isEmpty():
-        return tested
+        return tested.select(F.col("a").alias("node"), F.col("b").alias("component")), tested
     texts = materialise(src.withColumnRenamed("_id", "node").join(nodes, "node", "left_semi"), "minhash-texts")
     links = materialise(_verified(tested, texts), "minhash-links")
     comp = materialise(components(links), "minhash-components")
     bucket = bucket.select("key", "node")
     for r in range(ROUNDS):
         mixed = _mixed_buckets(bucket, comp, r)
-        if mixed.isEmpty():
-            return links
         apart = mixed.where("comp <> main").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
         pairs = materialise(_likely(apart.join(tested, ["a", "b"], "left_anti"), sketch), "minhash-pairs")
-        more = materialise(_verified(pairs, texts), "minhash-links")
-        tested, links = tested.union(pairs), links.union(more)
-        # only the components are joined further
-        named = comp.withColumnRenamed("component", "c")
-        joined = more.join(named.withColumnRenamed("node", "a"), "a", "left").withColumn("u", F.coalesce("c", "a")).drop("c")
-        joined = joined.join(named.withColumnRenamed("node", "b"), "b", "left").withColumn("v", F.coalesce("c", "b"))
-        onward = components(joined.select(F.col("u").alias("a"), F.col("v").alias("b")).where("a <> b").distinct())
-        every = nodes.join(comp, "node", "left").withColumn("old", F.coalesce("component", "node")).select("node", "old")
-        comp = materialise(every.join(onward.withColumnRenamed("node", "old"), "old", "left").select("node", F.coalesce("component", "old").alias("component")), "minhash-components")
-    return links.union(_links_by_block(_mixed_buckets(bucket, comp, ROUNDS), texts))
+        tested = tested.union(pairs)
+        comp = _joined(comp, _verified(pairs, texts))
+    return comp, _links_by_block(_mixed_buckets(bucket, comp, ROUNDS), texts)
 
 
 def _mixed_buckets(bucket: DataFrame, comp: DataFrame, r: int) -> DataFrame:

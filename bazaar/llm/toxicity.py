@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.llm import textbytes as tb
-from bazaar.llm.shared import Shipped, extended
+from bazaar.llm.shared import Shipped, extended, materialise
 
 MAX_ROWS = 16_000
 MAX_TERMS = 1 << 12
@@ -58,21 +58,12 @@ class FactorizationMachine:
             self.w = np.zeros(len(self.terms))
             self.v = np.random.default_rng(self.seed).normal(0, 0.05, (len(self.terms), self.k))
 
-    def choose_terms(self, h: np.ndarray, doc: np.ndarray, y: np.ndarray, limit: int, least: int):
-        """Keep the terms whose presence shifts the label rate most, in standard deviations."""
-        terms, inv, n = np.unique(h, return_inverse=True, return_counts=True)
-        pos = np.bincount(inv, y[doc], len(terms))
-        rate = max(y.mean(), 1e-6)
-        z = np.abs(pos - n * rate) / np.sqrt(n * rate * (1 - rate) + 1.0)
-        good = np.flatnonzero((n >= least) & (z >= MIN_SHIFT))
-        self.terms = np.sort(terms[good[np.argsort(-z[good], kind="stable")[:limit]]])
-        self._index()
-
-    def fit(self, h: np.ndarray, doc: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, limit: int = MAX_TERMS, least: int = MIN_ROWS, rate: float = 0.08, l2w: float = 2e-4, l2v: float = 1e-3, batch: int = 256):
+    def fit(self, h: np.ndarray, doc: np.ndarray, y: np.ndarray, terms: np.ndarray, epochs: int = EPOCHS, rate: float = 0.08, l2w: float = 2e-4, l2v: float = 1e-3, batch: int = 256):
         if not len(y) or y.min() == y.max():
             self.w0 = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))) if len(y) else -4.0
             return self
-        self.choose_terms(h, doc, y, limit, least)
+        self.terms = np.sort(terms)
+        self._index()
         at = self.known.find(h)
         at, doc = at[at >= 0], doc[at >= 0]
         offs = np.searchsorted(doc, np.arange(len(y) + 1))
@@ -127,30 +118,53 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     return docs.select("doc_id", F.col("text").alias("_text")).join(F.broadcast(picked), "doc_id")
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows: int = MAX_ROWS) -> FactorizationMachine:
-    def run(batches):
+def shift(n, pos, rate: float):
+    """By how many standard deviations the label's rate among ``n`` rows with a term differs from ``rate`` (columns or arrays)."""
+    sd = n * (rate * (1 - rate)) + 1.0
+    return (abs(pos - n * rate) if isinstance(n, np.ndarray) else F.abs(pos - n * rate)) / sd ** 0.5
+
+
+def telling_terms(rows: DataFrame, rate: float, limit: int = MAX_TERMS, least: int = MIN_ROWS) -> np.ndarray:
+    """The at most ``limit`` terms that shift the label's rate most, counted by Spark; rows: _text, _y."""
+    def count(batches):
         pw = tb.Powers()
         for batch in batches:
-            y = batch.column(1)
+            y = batch.column(1).to_numpy()
             for lo, buf, offs in tb.slices(batch.column(0)):
                 h, doc = _distinct(*hashed_terms(buf, offs, pw))
+                u, inv, n = np.unique(h, return_inverse=True, return_counts=True)
+                pos = np.bincount(inv, y[lo:lo + len(offs) - 1][doc], len(u))
+                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n), pa.array(pos.astype(np.int64))], ["term", "n", "pos"])
+
+    counted = rows.select("_text", "_y").mapInArrow(count, "term long, n long, pos long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    best = counted.withColumn("z", shift(F.col("n"), F.col("pos"), rate)).where((F.col("n") >= least) & (F.col("z") >= MIN_SHIFT)).orderBy(F.col("z").desc(), "term").limit(limit)
+    return np.array([r["term"] for r in best.select("term").collect()], np.int64).view(np.uint64)
+
+
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows: int = MAX_ROWS) -> FactorizationMachine:
+    """A machine fitted on the bounded sample. The driver gathers the sample's known terms only."""
+    rows = materialise(training_sample(docs, labels, label_col, max_rows).select("doc_id", "_text", "_y"), "fm-sample")
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos")).first()
+    rate = (size["pos"] or 0) / max(1, size["n"])
+    terms = np.sort(telling_terms(rows, max(rate, 1e-6))) if 0 < rate < 1 else np.zeros(0, np.uint64)
+    shipped = Shipped(docs.sparkSession, terms)
+
+    def run(batches):
+        known, pw = tb.SortedHashes(shipped.load()), tb.Powers()
+        for batch in batches:
+            for lo, buf, offs in tb.slices(batch.column(0)):
+                h, doc = hashed_terms(buf, offs, pw)
+                at = known.find(h)
+                h, doc = _distinct(h[at >= 0], doc[at >= 0])
                 edges = np.searchsorted(doc, np.arange(len(offs))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([y.slice(lo, len(offs) - 1), pa.ListArray.from_arrays(pa.array(edges), pa.array(h.view(np.int64)))], ["y", "terms"])
+                n = len(offs) - 1
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, n), batch.column(2).slice(lo, n), pa.ListArray.from_arrays(pa.array(edges), pa.array(h.view(np.int64)))], ["y", "doc_id", "terms"])
 
-    rows = training_sample(docs, labels, label_col, max_rows).select("_text", "_y", "doc_id")
-    got = rows.select("_text", "_y").mapInArrow(run, "y int, terms array<long>").toArrow()
+    got = rows.select("_text", "_y", "doc_id").mapInArrow(run, "y int, doc_id long, terms array<long>").orderBy("doc_id", "y").toArrow()
     y = got.column("y").to_numpy().astype(np.float64)
-    lists = got.column("terms").combine_chunks()
-    lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
-    h = lists.flatten().to_numpy().view(np.uint64) if len(lists) else np.zeros(0, np.uint64)
-    doc = np.repeat(np.arange(len(y)), np.asarray(lists.value_lengths().fill_null(0))) if len(lists) else np.zeros(0, np.int64)
-    # a fixed order, so that reruns agree whatever the order in which tasks end
-    digest = np.bincount(doc, (tb.mix(h) >> np.uint64(12)).astype(np.float64), len(y))
-    order = np.lexsort((y, digest))
-    place = np.empty(len(y), np.int64)
-    place[order] = np.arange(len(y))
-    by = np.lexsort((h, place[doc]))
-    return FactorizationMachine().fit(h[by], place[doc][by], y[order])
+    lists = got.column("terms").to_pylist()
+    h = np.array([t for x in lists for t in sorted(x)], np.int64).view(np.uint64)
+    return FactorizationMachine().fit(h, np.repeat(np.arange(len(y)), [len(x) for x in lists]), y, terms)
 
 
 def score_toxicity(docs: DataFrame, model: FactorizationMachine, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

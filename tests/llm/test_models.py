@@ -193,7 +193,9 @@ def test_pairs_count_where_single_words_do_not():
     buf, offs = slice_of(texts)
     h, doc = toxicity._distinct(*toxicity.hashed_terms(buf, offs, pw))
     y = np.array(y)
-    model = toxicity.FactorizationMachine().fit(h, doc, y)
+    u, inv, n = np.unique(h, return_inverse=True, return_counts=True)
+    z = toxicity.shift(n.astype(float), np.bincount(inv, y[doc], len(u)), y.mean())
+    model = toxicity.FactorizationMachine().fit(h, doc, y, u[z >= toxicity.MIN_SHIFT])
     probe = ["river insultword stone", "river groupword stone", "groupword light insultword river", "river stone", "", "INSULTWORD groupword"]
     s = model.score(*toxicity.hashed_terms(*slice_of(probe), pw), len(probe))
     assert s[2] > 0.3 and s[5] > 0.3 and max(s[0], s[1], s[3], s[4]) < 0.3 and s.shape == (6,)

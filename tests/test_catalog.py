@@ -26,7 +26,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLES) | set(SEQUENTIAL) == set(QUERIES) and len(ORACLES) >= 125
+    assert set(ORACLES) | set(SEQUENTIAL) == set(QUERIES) and len(ORACLES) >= 115
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from bazaar.plans import docpipes as M
 from bazaar.plans import normalise as N
 from bazaar.operators import quality as Q
-from bazaar.sources import seeds
+from tests import seeds
 
 
 def test_m1q_review_summary(spark):

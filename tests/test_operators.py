@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bazaar.operators.grouping import bucket_expr
 from bazaar.operators.relational import exists_flag, lateral_aggregate, outer_apply_top1
 from bazaar.operators.search import KeysetCursor, clamp_page, page, sort_spec
-from bazaar.sources import seeds
+from tests import seeds
 from bazaar.sources.tables import read_table
 
 

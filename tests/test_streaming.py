@@ -4,7 +4,7 @@ import datetime as dt
 import tempfile
 import uuid
 
-from bazaar.sources import seeds
+from tests import seeds
 from bazaar.streaming import retention as S
 
 

@@ -1,5 +1,7 @@
 """Plan properties that matter at scale (checked on the physical plan, not just results)."""
 
+import re
+
 import pytest
 
 from bazaar.plans.catalog import load_all
@@ -17,17 +19,29 @@ def _plan(spark, name):
     return QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
 
 
+def _gathers(plan: str) -> bool:
+    """Whether a single-partition exchange carries rows: one that carries a task's partial sums of a global aggregate
+    (a row per task) does not."""
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            below = next((x for x in lines[i + 1:] if re.search(r"[A-Z]\w+", x) and "InputAdapter" not in x and "WholeStage" not in x), "")
+            if not re.search(r"Aggregate\(keys=\[\], functions=\[partial_", below):
+                return True
+    return False
+
+
 @pytest.mark.parametrize("name", ["v7_product_sales_ranking", "x11_pareto_abc", "x14_gold_summary_backfill",
                                   "x3_top3_products_per_vendor", "v4_vendor_performance", "d2_weighted_text_search"])
 def test_no_single_partition_exchange(spark, name):
-    assert "SinglePartition" not in _plan(spark, name)
+    assert not _gathers(_plan(spark, name))
 
 
 def test_single_partition_only_where_bounded(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         offenders = [n for n in QUERIES if n not in BOUNDED
-                     and "SinglePartition" in _plan(spark, n)]
+                     and _gathers(_plan(spark, n))]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert offenders == []

@@ -30,7 +30,7 @@ BANDS, ROWS = 45, 5  # a pair at the threshold misses all bands with a probabili
 #: 42 of 225 differ on average, and this is over five standard deviations more
 MOST_DIFFERENT = 74
 ROUNDS = 1
-BLOCK = 1000
+BLOCK = 500
 NO_ID = (1 << 63) - 1
 
 _rng = np.random.Generator(np.random.PCG64(977))
@@ -266,13 +266,18 @@ def _mixed_buckets(bucket: DataFrame, comp: DataFrame, r: int) -> DataFrame:
 def _links_by_block(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     """All links between a node outside its buckets' main component and any node of these buckets.
 
-    The nodes around a main component are dealt to blocks of about ``BLOCK``; those outside it go to every block and are
-    compared there on full sets, through a sorted list of the block's shingles. Only links leave the task."""
+    The nodes around a main component are dealt to blocks of about ``BLOCK``, those outside it also to chunks of that size;
+    every block meets every chunk in a task of its own and is compared with it on full sets, through a sorted list
+    of the block's shingles. Only links leave the task."""
     around = mixed.select("main", "node", "comp").distinct()
-    blocks = around.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n"))
-    around = around.join(blocks, "main").join(texts, "node")
-    here = around.select("main", F.pmod(F.xxhash64("node"), F.col("n")).cast("int").alias("block"), "node", "comp", "_text")
-    outside = around.where("comp <> main").select(F.col("main").alias("to"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("part"), F.col("node").alias("u"), F.col("comp").alias("u_comp"), F.col("_text").alias("u_text"))
+    away = F.sum((F.col("comp") != F.col("main")).cast("int"))
+    blocks = around.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n"), F.ceil(away / BLOCK).cast("int").alias("m"))
+    around = around.join(blocks.where("m > 0"), "main").join(texts, "node")
+    dealt = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    here = around.select("main", dealt("block", "n").alias("block"), every("m").alias("chunk"), "node", "comp", "_text")
+    outside = around.where("comp <> main").select(F.col("main").alias("to"), every("n").alias("to_block"), dealt("chunk", "m").alias("of_chunk"),
+                                                  F.col("node").alias("u"), F.col("comp").alias("u_comp"), F.col("_text").alias("u_text"))
 
     def sets_of(column):
         pw, hashes, sizes = tb.Powers(), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -301,7 +306,7 @@ def _links_by_block(mixed: DataFrame, texts: DataFrame) -> DataFrame:
             b += ids[hit].tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    found = here.groupBy("main", "block").cogroup(outside.groupBy("to", "part")).applyInArrow(compare, "a long, b long")
+    found = here.groupBy("main", "block", "chunk").cogroup(outside.groupBy("to", "to_block", "of_chunk")).applyInArrow(compare, "a long, b long")
     return materialise(found.distinct(), "minhash-links")
 
 

@@ -62,7 +62,8 @@ def test_drifting_chains_are_whole(spark):
     assert result(minhash.near_duplicate_groups(spark.createDataFrame(rows, DOCS))) == brute(rows)
 
 
-def test_many_near_copies_of_one_text(spark):
+def test_many_near_copies_of_one_text(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 7)
     rng = random.Random(8)
     w = prose(rng, 100).split()
     rows = []

@@ -7,6 +7,7 @@ in their format. Only DataFrame functions are used.
 
 kind      found                                                    pseudonym
 card      13 to 19 digits (groups by blank or hyphen), Luhn valid  digits before the check digit permuted, check digit renewed
+          (whole groups anywhere in a run of groups, so an expiry, check code or number beside a card doesn't hide it)
 phone     + country code and 6 to 12 digits in the usual groups    digits after the country code permuted
 ip        four octets 0 to 255                                     permutation of 256**4
 date      y-m-d, y/m/d and d.m.y dates that exist, 1800 to 2199    permutation of the 146,097 days of the 400-year cycle
@@ -26,15 +27,16 @@ ROUNDS = 6
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _YEAR = r"(?:18|19|20|21)[0-9]{2}"
-#: in order of precedence at the same place
-PATTERNS = {
+_OTHERS = {
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{64}|[0-9a-fA-F]{40}|[0-9a-fA-F]{32})(?![0-9A-Za-z])",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "date": rf"(?<![0-9./-])(?:{_YEAR}-[0-9]{{2}}-[0-9]{{2}}|{_YEAR}/[0-9]{{2}}/[0-9]{{2}}|[0-9]{{2}}\.[0-9]{{2}}\.{_YEAR})(?![0-9]|[./-][0-9])",
     "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){1,3}(?![0-9])",
-    "card": r"(?<![0-9A-Za-z.+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|[.-][0-9])",
 }
+_GROUP = r"[0-9]++(?![A-Za-z]|\.[0-9])"
+#: in order of precedence at the same place; a card's pattern is the whole run of digit groups up to the next value of another kind
+PATTERNS = _OTHERS | {"card": rf"(?<![0-9A-Za-z.+-])(?=[0-9](?:[ -]?[0-9]){{12}}){_GROUP}(?:[ -](?!{'|'.join(f'(?:{p})' for p in _OTHERS.values())}){_GROUP})*+"}
 KINDS = tuple(PATTERNS)
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -94,6 +96,10 @@ def luhn_digit(payload: Column) -> Column:
     return F.pmod(F.lit(0) - F.aggregate(worth, F.lit(0), lambda s, x: s + F.coalesce(x, F.lit(0))), F.lit(10)).cast("string")
 
 
+#: how cards are written: these are taken before other groups that happen to be Luhn valid
+_USUAL = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})$"
+
+
 def card_pseudonym(v: Column, key: str) -> Column:
     """Unchanged unless the number is Luhn valid."""
     def on(d):
@@ -103,6 +109,46 @@ def card_pseudonym(v: Column, key: str) -> Column:
     return _let(only_digits(v), on)
 
 
+def _card_ends(groups: Column, i: Column) -> Column:
+    """struct(usual, any): how many groups the longest card from group ``i`` has (0: none), among the usual forms and among all."""
+    def valid(k):
+        def on(t):
+            d = only_digits(t)
+            n = F.length(d)
+            fits = F.when(n.between(13, 19), luhn_digit(F.substr(d, F.lit(1), n - 1)) == F.substr(d, n, F.lit(1))).otherwise(F.lit(False))
+            return F.when(fits, F.struct(F.when(t.rlike(_USUAL), k).otherwise(0).alias("usual"), k.alias("any")))
+        return _let(F.regexp_replace(F.array_join(F.slice(groups, i, k), ""), "[ -]$", ""), on)
+    ends = F.transform(F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i + 1)), valid)
+    return _let(ends, lambda e: F.struct(F.coalesce(F.array_max(F.transform(e, lambda x: x["usual"])), F.lit(0)).alias("usual"), F.coalesce(F.array_max(F.transform(e, lambda x: x["any"])), F.lit(0)).alias("any")))
+
+
+def cards_in_run(v: Column, key: str) -> Column:
+    """struct(text, cards): a run of digit groups with every card in it replaced, and the pseudonyms in order.
+
+    From the left, the longest run of whole groups that is a Luhn valid number is a card; a usual form goes before another
+    that starts earlier and overlaps it."""
+    def on(groups):
+        def scan(ends):
+            def step(s, i):
+                e = F.element_at(ends, i)
+                # numbers of no usual form stay apart from a usual one inside them
+                free = ~F.exists(F.slice(ends, i, F.greatest(e["any"], F.lit(1))), lambda x: x["usual"] > 0)
+                k = F.when(i < s["next"], F.lit(-1)).when(e["usual"] > 0, e["usual"]).when((e["any"] > 0) & free, e["any"]).otherwise(F.lit(0))
+
+                def put(n):
+                    def swap(t):
+                        bare = F.regexp_replace(t, "[ -]$", "")
+                        return _let(card_pseudonym(bare, key), lambda c: F.struct((i + n).alias("next"), F.concat(s["out"], F.array(F.concat(c, F.substr(t, F.length(bare) + 1, F.lit(1))))).alias("out"),
+                                                                                  F.when((n > 0) & (c != bare), F.concat(s["cards"], F.array(c))).otherwise(s["cards"]).alias("cards")))
+                    whole = F.struct((i + 1).alias("next"), F.concat(s["out"], F.array(F.element_at(groups, i))).alias("out"), s["cards"].alias("cards"))
+                    return F.when(n < 0, s).when(n == 0, whole).otherwise(_let(F.array_join(F.slice(groups, i, n), ""), swap))
+                return _let(k, put)
+            none = F.array().cast("array<string>")
+            return F.aggregate(F.sequence(F.lit(1), F.size(groups)), F.struct(F.lit(1).alias("next"), none.alias("out"), none.alias("cards")), step)
+        return _let(F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: _card_ends(groups, i)), scan)
+    return _let(_let(F.split(v, "(?<=[ -])", -1), on), lambda s: F.struct(F.array_join(s["out"], "").alias("text"), s["cards"].alias("cards")))
+
+
 def phone_pseudonym(v: Column, key: str) -> Column:
     """The country code stays: the digits up to the first separator, or the first digit alone."""
     code = F.regexp_extract(v, r"^(\+[0-9]{1,3}(?=[ .(-])|\+[0-9])", 1)
@@ -158,8 +204,16 @@ def kind_of(v: Column) -> Column:
 
 
 def pseudonym(v: Column, kind: Column, key: str) -> Column:
+    """The pseudonym of a value that isn't a card."""
     return (F.when(kind == "email", email_pseudonym(v, key)).when(kind == "secret", secret_pseudonym(v, key)).when(kind == "ip", ip_pseudonym(v, key))
-            .when(kind == "phone", phone_pseudonym(v, key)).when(kind == "date", date_pseudonym(v, key)).otherwise(card_pseudonym(v, key)))
+            .when(kind == "phone", phone_pseudonym(v, key)).otherwise(date_pseudonym(v, key)))
+
+
+def swap(v: Column, kind: Column, key: str) -> Column:
+    """struct(text, found): what replaces a match, and the pseudonyms in it (none where nothing changes, several in a run of cards)."""
+    none = F.array().cast("array<string>")
+    one = _let(pseudonym(v, kind, key), lambda p: F.struct(p.alias("text"), F.when(p != v, F.array(p)).otherwise(none).alias("found")))
+    return F.when(kind == "card", _let(cards_in_run(v, key), lambda c: F.struct(c["text"].alias("text"), c["cards"].alias("found")))).otherwise(one)
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", found_col: str = "pii") -> DataFrame:
@@ -170,11 +224,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", found_
     named like ``found_col`` is replaced; all other columns stay."""
     text = F.col(text_col)
     values = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    swapped = F.transform(values, lambda v: _let(kind_of(v), lambda k: F.struct(k.alias("kind"), v.alias("value"), pseudonym(v, k, key).alias("pseudonym"))))
+    swapped = F.transform(values, lambda v: _let(kind_of(v), lambda k: _let(swap(v, k, key), lambda s: F.struct(k.alias("kind"), s["text"].alias("pseudonym"), s["found"].alias("found")))))
     out = docs.withColumn("_swaps", swapped)
     parts = F.split(text, ANY, -1)
     joined = F.array_join(F.zip_with(parts, F.col("_swaps.pseudonym"), lambda p, s: F.concat(p, F.coalesce(s, F.lit("")))), "")
-    real = F.filter("_swaps", lambda s: s["pseudonym"] != s["value"])
-    listed = F.transform(real, lambda s: F.struct(s["kind"].alias("kind"), s["pseudonym"].alias("pseudonym")))
+    listed = F.flatten(F.transform("_swaps", lambda s: F.transform(s["found"], lambda p: F.struct(s["kind"].alias("kind"), p.alias("pseudonym")))))
     return (out.withColumn(text_col, F.when(F.size("_swaps") > 0, joined).otherwise(text))
             .withColumn(found_col, F.coalesce(listed, F.array().cast("array<struct<kind:string,pseudonym:string>>"))).drop("_swaps"))

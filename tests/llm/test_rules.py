@@ -99,6 +99,22 @@ def test_values_are_replaced_in_their_format(spark):
     assert other[7] != got[7]["text"]
 
 
+def test_cards_beside_other_digit_groups(spark):
+    """An expiry, a check code, a number before the card, a date or another card must not hide it."""
+    rows = ["4111 1111 1111 1111 12/26", "4111111111111111 123", "26 4111 1111 1111 1111", "4111-1111-1111-1111-12", "4111 1111 1111 1111 2024-05-01", "3782 822463 10005 4111 1111 1111 1111 end",
+            "4222222222222 4111 1111 1111 1111 7", "4111 1111 1111 1112 12/26", "4111 1111 1111 1111 12.50", "4111111111111111 10.0.0.1", "1 " * 3000 + "x", "7" * 5000]
+    out = [r for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    text, kinds = [r["text"] for r in out], [[p["kind"] for p in r["pii"]] for r in out]
+    card = text[1].split()[0]
+    grouped = " ".join(card[i:i + 4] for i in range(0, 16, 4))
+    assert luhn(card) and card != "4" + "1" * 15
+    assert text[0] == f"{grouped} 12/26" and text[1] == f"{card} 123" and text[2] == f"26 {grouped}" and text[3] == grouped.replace(" ", "-") + "-12"
+    assert text[4].startswith(grouped + " ") and "2024-05-01" not in text[4] and text[8] == f"{grouped} 12.50" and text[9].startswith(card) and "10.0.0.1" not in text[9]
+    assert re.fullmatch(rf"\d{{4}} \d{{6}} \d{{5}} {grouped} end", text[5]) and "3782 822463 10005" not in text[5] and re.fullmatch(rf"\d{{13}} {grouped} 7", text[6])
+    assert text[7] == rows[7] and [len(t) for t in text[10:]] == [len(t) for t in rows[10:]]
+    assert kinds[:10] == [["card"]] * 4 + [["card", "date"], ["card"] * 2, ["card"] * 2, [], ["card"], ["card", "ip"]]
+
+
 def feistel(left, right, a, b, key, kind, label=None):
     import hashlib
     tag = "" if label is None else label + ":"

@@ -9,7 +9,10 @@
    page has is extracted. A page that has none of them uses its own best container.
 
 Menus, site headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are
-recognised by tag, role and the words of class and id, and count neither for scores nor for the text.
+recognised by tag, role and the names in class and id, and count neither for scores nor for the text. A name counts
+whole (``sidebar``, ``left-sidebar``, ``cookie-notice``); one that only mentions a neighbour (``has-sidebar``) doesn't.
+What is recognised by name, role or a tag like form, but holds the page's only article or main element or the bulk of
+its text, is a wrapper and stays; hidden elements don't.
 """
 
 from __future__ import annotations
@@ -28,7 +31,9 @@ OUTWARD = 0.5
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea|iframe|select|title)\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"""
                    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[/!?][^>]*>|<[a-zA-Z][^<>]*>""", re.S | re.I)
-ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: every attribute is read whole, so that names count neither inside other names nor inside values
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+ATTRIBUTES = frozenset("class id role style hidden aria-hidden".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 #: closed by the next of the same kind
@@ -41,38 +46,99 @@ DROP_ROLES = frozenset("navigation banner complementary contentinfo search alert
 DROP_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs "
                        "sidebar aside footer masthead topbar cookie cookies consent gdpr notice notices notification alert newsletter subscribe subscription signup login popup modal overlay "
                        "share sharing social related recommended recommendations comment comments commentlist disqus respond replies reply discussion form search pagination pager toolbar widget skip".split())
+#: what may stand beside such a word in a name for the same thing
+BESIDE = frozenset("site page main global left right top bottom primary secondary first second third inner outer upper lower my the post entry article list item items box block bar area section "
+                   "wrap wrapper container panel group row col column inside holder slot unit zone tag tags link links button buttons btn icon icons title heading header text label field message msg cta policy sticky fixed "
+                   "floating mobile desktop google bottombar leaderboard skyscraper rectangle mpu thread form forms input count feed media network networks posts articles stories".split())
+#: reader comments may be longer than what they are about
+REPLY_WORDS = frozenset("comment comments commentlist disqus respond replies reply discussion".split())
+#: dropped by tag, but pages exist that have all of their text in one
+WRAPPER_TAGS = frozenset("form aside fieldset dialog nav footer header".split())
+BULK = 4  # a wrapper has so many times the text outside of what is dropped
+HARD, SOFT, REPLY = 3, 2, 1
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 NUMBER = re.compile(r"\d+")
 
 
 class Container:
-    __slots__ = ("tag", "path", "parent", "dropped", "score", "blocks", "first")
+    __slots__ = ("tag", "path", "parent", "own", "dropped", "score", "blocks", "first")
 
-    def __init__(self, tag, path, parent, dropped, first):
-        self.tag, self.path, self.parent, self.dropped, self.first, self.score, self.blocks = tag, path, parent, dropped, first, 0.0, []
+    def __init__(self, tag, path, parent, own, first):
+        """``own`` tells why this container is dropped (0: it isn't), ``dropped`` whether it or one around it is."""
+        self.tag, self.path, self.parent, self.own, self.first, self.score, self.blocks = tag, path, parent, own, first, 0.0, []
+        self.dropped = bool(own) or parent is not None and parent.dropped
 
 
 def _attributes(raw: str) -> dict[str, str]:
-    return {m[1].lower(): (m[2] or "").strip("\"'") for m in ATTRIBUTE.finditer(raw)} if raw else {}
-
-
-def _is_dropped(tag: str, attrs: dict[str, str], inside_article: bool) -> bool:
-    if tag in DROP_TAGS or tag == "header" and not inside_article:
-        return True
-    if not attrs:
-        return False
-    if attrs.get("role", "").lower() in DROP_ROLES or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
-    named = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    if tag in ("html", "body", "main", "article") or not named.strip():
-        return False
-    words = {w.lower() for w in WORD.findall(named)}
-    return bool(words & DROP_WORDS) or "header" in words and not inside_article
+    out: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(raw) if raw else ():
+        if (name := m[1].lower()) in ATTRIBUTES:
+            out.setdefault(name, (m[2] or "").strip("\"'"))
+    return out
+
+
+def _drop_name(name: str) -> int:
+    """Whether one name of a class or id is a known one, as a whole or as a compound."""
+    words = [w.lower() for w in WORD.findall(name)]
+    told = [w for w in words if w in DROP_WORDS]
+    if not told or not all(w in DROP_WORDS or w in BESIDE or len(w) == 1 for w in words):
+        return 0
+    return REPLY if REPLY_WORDS.intersection(told) else SOFT
+
+
+def _is_dropped(tag: str, attrs: dict[str, str], inside_article: bool) -> int:
+    """HARD, SOFT (by tag, role or name: it may be a wrapper), REPLY (named as reader comments) or 0."""
+    hidden = attrs and ("hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower())
+    if hidden or tag in DROP_TAGS and tag not in WRAPPER_TAGS:
+        return HARD
+    if tag in DROP_TAGS or tag == "header" and not inside_article or attrs.get("role", "").lower() in DROP_ROLES:
+        return SOFT
+    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".split()
+    if tag in ("html", "body", "main", "article") or not names:
+        return 0
+    if "header" in (n.lower() for n in names) and not inside_article:
+        return SOFT
+    return max((_drop_name(n) for n in names), default=0) or (SOFT if not inside_article and any({"header"} < {w.lower() for w in WORD.findall(n)} <= BESIDE | {"header"} for n in names) else 0)
+
+
+def _open_wrappers(found: list[Container], worths: dict[int, float]) -> None:
+    """Undrop the containers that hold the page's only article or main element or the bulk of its text.
+
+    The outermost dropped containers are judged; what is dropped inside an opened one is judged again."""
+    while True:
+        kept, whole, inside, marked = 0.0, False, {}, set()
+        for c in found:
+            if not (w := worths.get(id(c), 0.0)):
+                continue
+            top = mark = None
+            hard, up = False, c
+            while up is not None:
+                if up.own:
+                    top, hard = up, hard or up.own == HARD
+                if up.tag in ("article", "main"):
+                    mark = up
+                up = up.parent
+            if top is None:
+                kept, whole = kept + w, whole or mark is not None
+            elif not hard:
+                inside[id(top)] = (top, inside.get(id(top), (top, 0.0))[1] + w)
+                if mark is not None:
+                    marked.add(id(top))
+        if not inside or whole:
+            return
+        best, w = max(inside.values(), key=lambda x: (id(x[0]) in marked, x[1], -x[0].first))
+        if not (id(best) in marked and best.own != REPLY or w > BULK * kept and (best.own != REPLY or not kept)):
+            return
+        best.own = 0
+        for c in found:
+            c.dropped = bool(c.own) or c.parent is not None and c.parent.dropped
 
 
 def parse(html: str) -> list[Container]:
     """The page's containers in page order; each block of text hangs at the container it stands in."""
-    root = Container("", "", None, False, 0)
+    root = Container("", "", None, 0, 0)
+    worths: dict[int, float] = {}
+    blocks: list[tuple[Container, int, str, float]] = []
     found, here, text, links = [root], root, [], 0
     in_link, block_no, inline = 0, 0, []
 
@@ -80,15 +146,12 @@ def parse(html: str) -> list[Container]:
         nonlocal links, block_no
         if text:
             block = " ".join("".join(text).split())
-            if block and not here.dropped:
-                here.blocks.append((block_no, block))
-                block_no += 1
+            if block:
                 worth = max(0.0, len(block) - 1.5 * links) + 10 * min(block.count(","), 10)
-                at = here
-                while at is not None and worth >= 1:
-                    at.score += worth
-                    worth *= OUTWARD
-                    at = at.parent
+                blocks.append((here, block_no, block, worth))
+                if worth >= 1:
+                    worths[id(here)] = worths.get(id(here), 0.0) + worth
+                block_no += 1
             text.clear()
         links = 0
 
@@ -125,7 +188,7 @@ def parse(html: str) -> list[Container]:
                 attrs = _attributes(m[4])
                 if attrs and _is_dropped(tag, attrs, True):  # an inline element that is hidden or an advert
                     flush()
-                    here = Container(tag, f"{here.path}>{tag}", here, True, block_no)
+                    here = Container(tag, f"{here.path}>{tag}", here, HARD, block_no)
                     inline.append(tag)
             elif inline and inline[-1] == tag and here.tag == tag:
                 flush()
@@ -144,7 +207,7 @@ def parse(html: str) -> list[Container]:
         in_link = 0
         if tag in TEXT_BLOCKS:
             if not m[2] and m[4].strip() and not here.dropped and _is_dropped(tag, _attributes(m[4]), True):
-                here = Container(tag, f"{here.path}>{tag}", here, True, block_no)
+                here = Container(tag, f"{here.path}>{tag}", here, HARD, block_no)
             elif here.tag == tag and here.dropped:
                 here = here.parent
             continue
@@ -158,12 +221,22 @@ def parse(html: str) -> list[Container]:
         while up is not None and not inside:
             inside, up = up.tag in ("article", "main"), up.parent
         names = ".".join(sorted(NUMBER.sub("#", c) for c in attrs.get("class", "").split()))
-        here = Container(tag, f"{here.path}>{tag}" + (f".{names}" if names else ""), here, here.dropped or _is_dropped(tag, attrs, inside), block_no)
+        here = Container(tag, f"{here.path}>{tag}" + (f".{names}" if names else ""), here, _is_dropped(tag, attrs, inside), block_no)
         found.append(here)
         if m[4].endswith("/") and tag not in ("div", "section", "article", "main", "body", "html"):
             here = here.parent
     say(html[last:])
     flush()
+    if any(c.own in (SOFT, REPLY) for c in found):
+        _open_wrappers(found, worths)
+    for at, no, block, worth in blocks:
+        if at.dropped:
+            continue
+        at.blocks.append((no, block))
+        while at is not None and worth >= 1:
+            at.score += worth
+            worth *= OUTWARD
+            at = at.parent
     return found
 
 

@@ -177,6 +177,27 @@ def test_main_text_of_a_page():
     assert best.path == ">html>body>div>div.content.post-#" and htmltext.text_of(found, [best]) == TEXT
 
 
+LONG = "The story itself, with many words in it, so it scores well, and goes on for a while, until it ends. " * 3
+
+
+@pytest.mark.parametrize("attributes", ["class='content has-sidebar'", "class='no-sidebar'", "class='elementor-widget elementor-widget-theme-post-content'", "class='with-comments'", "data-hidden='false'",
+                                        "title='hidden gems'", "data-id='comments'", "class='sidebar'", "id=overlay", "role=form", "class='content-sidebar-wrap'"])
+@pytest.mark.parametrize("inner", ["<article><p>%s</p></article>", "<div><p>%s</p></div>"])
+def test_wrappers_that_name_a_neighbour_stay(attributes, inner):
+    page = f"<body><nav>Menu</nav><div {attributes}>{inner % LONG}<div class='left-sidebar'><p>Other things, to read.</p></div><div class='ad-box'>Buy</div></div><footer>foot</footer></body>"
+    found = htmltext.parse(page)
+    best = htmltext.best_container(found)
+    assert best is not None and htmltext.text_of(found, [best]) == LONG.strip()
+
+
+def test_form_around_a_page_stays_and_hidden_and_comments_go():
+    comments = "<section id='comments'><article class='comment'><p>" + "A longer reader's comment, with commas, and more. " * 40 + "</p></article></section>"
+    for page in (f"<body><form id=aspnetForm><div class='main'><p>{LONG}</p></div></form></body>", f"<body><div class='story'><p>{LONG}</p></div>{comments}</body>",
+                 f"<body><div hidden><article><p>{LONG * 9}</p></article></div><div class='story'><p>{LONG}</p></div></body>"):
+        found = htmltext.parse(page)
+        assert htmltext.text_of(found, [htmltext.best_container(found)]) == LONG.strip()
+
+
 def test_host_consensus_beats_a_single_page(spark):
     noisy = "<html><body><div class='story'><p>Short, true text.</p></div><div class='wide-block'><p>" + "A long block that is repeated, on one page only, " * 6 + "</p></div></body></html>"
     rows = [(i, f"http://Example.com:80/{i}", "<html><body><div class='story'><p>" + f"Story number {i}, with many words in it, so it scores well. " * 4 + "</p></div></body></html>") for i in range(8)]

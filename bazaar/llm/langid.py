@@ -22,7 +22,6 @@ from bazaar.llm.ngrams import count_ngrams, gather_ngrams, gram_keys
 from bazaar.llm.shared import Shipped, extended, materialise
 
 ORDER = 5
-SHARE = 4e-6
 UNKNOWN = "und"
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
@@ -118,10 +117,10 @@ def has_letter(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return ascii_letters
 
 
-def train(docs: DataFrame, lang_col: str = "lang", order: int = ORDER, share: float = SHARE) -> ContextTrees:
-    """Context trees from all rows with a language; bounded by 1 / share n-grams per language."""
+def train(docs: DataFrame, lang_col: str = "lang", order: int = ORDER) -> ContextTrees:
+    """Context trees from all n-grams of all rows with a language."""
     counts = materialise(count_ngrams(docs, lang_col, order), "ppm-counts")
-    return ContextTrees(gather_ngrams(counts, share), order)
+    return ContextTrees(gather_ngrams(counts), order)
 
 
 def identify(docs: DataFrame, trees: ContextTrees, text_col: str = "text") -> DataFrame:

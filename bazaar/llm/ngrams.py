@@ -2,9 +2,8 @@
 
 A text of n bytes gives n n-grams: each byte with the ``order - 1`` bytes before it, where the start
 of a text is padded with zero bytes. Tasks count in numpy and merge before they emit, so a shuffle
-carries distinct n-grams per task, not occurrences. ``share`` bounds what a model is built from: an n-gram is
-kept if it makes up at least that share of its class's bytes, so at most 1 / share n-grams per class
-remain, whatever the size of the input.
+carries distinct n-grams per task, not occurrences. Models are built from all distinct n-grams, however rare, so a
+model grows with their number (of order 5 and 256 byte values), not with the bytes.
 """
 
 from __future__ import annotations
@@ -65,22 +64,14 @@ def count_ngrams(docs: DataFrame, class_col: str, order: int, text_col: str = "t
     return rows.mapInArrow(counted, schema).groupBy("class", "gram").agg(F.sum("n").alias("n"))
 
 
-def gather_ngrams(counts: DataFrame, share: float) -> dict[str, dict]:
-    """Per class: grams (uint64, ascending), n, total, and the number of n-grams counted 1, 2, 3, 4 times.
+def gather_ngrams(counts: DataFrame) -> dict[str, dict]:
+    """Per class: all grams (uint64, ascending), n, total, and the number of n-grams counted 1, 2, 3, 4 times.
 
-    ``counts`` is read twice; it is small (distinct n-grams)."""
-    shape = {r["class"]: r for r in counts.groupBy("class").agg(
-        F.sum("n").alias("total"), *[F.sum((F.col("n") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)]).collect()}
-    floors = [(c, max(1, int(np.ceil(r["total"] * share)))) for c, r in shape.items()]
-    if not floors:
-        return {}
-    least = counts.sparkSession.createDataFrame(floors, "class string, least long")
-    kept = counts.join(F.broadcast(least), "class").where("n >= least").select("class", "gram", "n").toArrow()
+    ``counts`` is read once per class, so the driver holds one class's rows besides the result."""
     out = {}
-    cls = kept.column("class")
-    for c, r in shape.items():
-        part = kept.filter(pc.equal(cls, c))
+    for c in sorted(r["class"] for r in counts.select("class").distinct().collect()):
+        part = counts.where(F.col("class") == c).select("gram", "n").toArrow()
         g, n = part.column("gram").to_numpy().view(np.uint64), part.column("n").to_numpy()
         order = np.argsort(g, kind="stable")
-        out[c] = {"grams": g[order], "n": n[order], "total": r["total"], "shape": [r[f"n{k}"] for k in (1, 2, 3, 4)]}
+        out[c] = {"grams": g[order], "n": n[order], "total": int(n.sum()), "shape": [int((n == k).sum()) for k in (1, 2, 3, 4)]}
     return out

@@ -21,7 +21,6 @@ from bazaar.llm.ngrams import count_ngrams, gather_ngrams, gram_keys
 from bazaar.llm.shared import Shipped, extended, materialise
 
 ORDER = 5
-SHARE = 4e-6
 SPREAD = 2.5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -151,11 +150,11 @@ def text_statistics(buf: np.ndarray, offs: np.ndarray, pw: tb.Powers) -> dict[st
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def train(docs: DataFrame, lang_col: str = "lang", order: int = ORDER, share: float = SHARE) -> KneserNey:
-    """Models from the texts of all rows; rows without a language form the class ``und``."""
+def train(docs: DataFrame, lang_col: str = "lang", order: int = ORDER) -> KneserNey:
+    """Models from all n-grams of all rows; rows without a language form the class ``und``."""
     labelled = docs.select(F.coalesce(F.col(lang_col), F.lit(UNKNOWN)).alias("_class"), "text")
     counts = materialise(count_ngrams(labelled, "_class", order), "kn-counts")
-    return KneserNey(gather_ngrams(counts, share), order)
+    return KneserNey(gather_ngrams(counts), order)
 
 
 def score_quality(docs: DataFrame, model: KneserNey, lang_col: str = "lang", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:

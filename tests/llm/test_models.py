@@ -41,6 +41,14 @@ def test_counts_cover_whole_texts(spark, docs):
     assert got == dict(want)
 
 
+def test_models_hold_rare_ngrams_of_large_classes(spark):
+    """However large the class, an n-gram that occurs once is in the model, and counts add up to the bytes."""
+    rows = [("en", 1, 9_000_000), ("en", 2, 1), ("en", 3, 2), ("en", (1 << 40) - 1, 1), ("de", 2, 5)]
+    got = ngrams.gather_ngrams(spark.createDataFrame(rows, "class string, gram long, n long").repartition(3))
+    assert got["en"]["grams"].tolist() == [1, 2, 3, (1 << 40) - 1] and got["en"]["n"].tolist() == [9_000_000, 1, 2, 1]
+    assert got["en"]["total"] == 9_000_004 and got["en"]["shape"] == [2, 1, 0, 0] and got["de"]["n"].tolist() == [5]
+
+
 # --- prediction by partial matching ---
 
 class SlowTrees:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import decontaminate, htmltext, langid, lm, minhash, mixing, perplexity, pii, suffixes, toxicity
+from bazaar.llm import bpe, decontaminate, htmltext, kmeans, langid, lm, minhash, mixing, perplexity, pii, suffixes, toxicity
 from bazaar.llm.shared import id_remainder, materialise, read_table
 from bazaar.session import configure
 
@@ -104,3 +104,26 @@ def op10_toxicity(spark, sf_dir):
     labels = read_table(spark, sf_dir, "labels").where(id_remainder(4) != 2)
     scored = toxicity.score_toxicity(docs, toxicity.train(docs.select("doc_id", "text"), labels))
     return scored.select("doc_id", "held_out", F.col("toxicity").alias("score"), F.col("toxic_predicted").alias("predicted"))
+
+
+#: path of the vocabulary file; it is not part of the repository
+VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
+
+
+@query
+def op11_bpe(spark, sf_dir):
+    """Token ids of every document and their decoded text, as digests."""
+    tokenizer = bpe.Tokenizer(spark, VOCABULARY)
+    out = tokenizer.decode(tokenizer.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+    ids = F.array_join(F.transform("token_ids", lambda x: x.cast("string")), " ")
+    return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_centroids(spark, sf_dir):
+    """Lloyd clusters of all embeddings, with the inertia and the centroid's digest."""
+    clusters, centroids = kmeans.lloyd(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return kmeans.with_inertia(clusters, centroids).select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+ORACLES["op12_centroids"] = kmeans.lloyd_oracle()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import bpe, decontaminate, htmltext, kmeans, langid, lm, minhash, mixing, perplexity, pii, suffixes, toxicity
+from bazaar.llm import bpe, conversations, decontaminate, htmltext, kmeans, langid, lm, minhash, mixing, perplexity, pii, suffixes, toxicity
 from bazaar.llm.shared import id_remainder, materialise, read_table
 from bazaar.session import configure
 
@@ -127,3 +127,12 @@ def op12_centroids(spark, sf_dir):
 
 
 ORACLES["op12_centroids"] = kmeans.lloyd_oracle()
+
+
+@query
+def op13_conversations(spark, sf_dir):
+    """Faults, cheapest repair and the repaired text's digest of every conversation, after the set damage."""
+    return conversations.report(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+ORACLES["op13_conversations"] = conversations.report_oracle()

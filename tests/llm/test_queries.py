@@ -16,9 +16,15 @@ COLUMNS = {
     "op8_pseudonyms": ["doc_id", "text", "n_values"],
     "op9_language_model": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     "op10_toxicity": ["doc_id", "held_out", "score", "predicted"],
+    "op11_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op12_centroids": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
+    "op13_conversations": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
 }
 
 
+TABLES = {"op2_main_text": ("pages", "page_id"), "op12_centroids": ("embeddings", "vec_id"), "op13_conversations": ("conversations", "conv_id")}
+
+
 def test_all_are_registered():
     names = [q for q in entry.queries() if q.startswith("op") and q[2].isdigit()]
     assert sorted(names) == sorted(COLUMNS) and "pipeline" in entry.queries()
@@ -28,16 +34,19 @@ def test_all_are_registered():
 def test_query_covers_its_table(spark, name):
     out = entry.queries()[name](spark, SF_SMALL).toPandas()
     assert list(out.columns)[:len(COLUMNS[name])] == COLUMNS[name]
-    table, key = ("pages", "page_id") if name == "op2_main_text" else ("documents", "doc_id")
-    assert sorted(out[key]) == sorted(r[0] for r in duckdb.sql(f"SELECT {key} FROM '{SF_SMALL}/{table}.parquet'").fetchall())
+    table, key = TABLES.get(name, ("documents", "doc_id"))
+    assert sorted(out[key]) == sorted(r[0] for r in duckdb.sql(f"SELECT {'DISTINCT ' * (key == 'conv_id')}{key} FROM '{SF_SMALL}/{table}.parquet'").fetchall())
 
 
-def test_mix_matches_its_oracle(spark):
+@pytest.mark.parametrize("name", ["op4_mix_sources", "op12_centroids", "op13_conversations"])
+def test_matches_its_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS FROM '{SF_SMALL}/documents.parquet'")
-    sql = con.execute(entry.oracle_sql()["op4_mix_sources"]).df()
-    got = entry.queries()["op4_mix_sources"](spark, SF_SMALL).toPandas()
-    a, b = (x[sorted(x.columns)].sort_values("doc_id").reset_index(drop=True) for x in (sql, got))
+    for table in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS FROM '{SF_SMALL}/{table}.parquet'")
+    sql = con.execute(entry.oracle_sql()[name]).df()
+    got = entry.queries()[name](spark, SF_SMALL).toPandas()
+    key = TABLES.get(name, ("documents", "doc_id"))[1]
+    a, b = (x[sorted(x.columns)].sort_values(key).reset_index(drop=True) for x in (sql, got))
     assert (a == b).all().all()
 
 

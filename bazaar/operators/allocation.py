@@ -11,8 +11,14 @@ bounds on what earlier requests consume of a resource:
 A pending request is accepted when the upper bound plus its own need fits all its resources, rejected
 when the lower bound plus its need does not fit one of them, otherwise it stays pending. Within a round,
 requests already certain to fail somewhere are dropped from everyone's upper bound before deciding. The
-earliest pending request always has equal bounds, so every round decides at least one request and the
-loop terminates with exactly the sequential outcome; in practice a handful of rounds decide everything.
+earliest pending request always has equal bounds, so every round decides at least one request.
+
+Bounds alone would take a round a request where each outcome hangs on the one before it. So from the second round
+on, a round also decides a **prefix** of the pending requests, in order, one after the other: all before them is
+settled, so their resources' state is known and the outcome exact. The prefix starts at ``PREFIX`` requests, doubles
+round by round and stops growing at ``MAX_PREFIX``, so the one task that folds it is bounded. (Deciding in order is
+sequential by nature, so no number of rounds that only grows with the logarithm can be promised; a chain of n
+requests takes about n / ``MAX_PREFIX`` rounds, and all that hangs on the prefix is settled by the bounds.)
 
 A demand with a negative quantity supplies the resource if its request is accepted (the receiving side of
 a transfer). Running sums per resource are split over range buckets (hot resources span many of them);
@@ -27,6 +33,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +42,44 @@ from bazaar.session import ensure_checkpoint_dir
 
 C = F.col
 PENDING, ACCEPTED, REJECTED = "PENDING", "ACCEPTED", "REJECTED"
+#: requests of a round's prefix: at first, and at most (a task of a few seconds and some tens of MB)
+PREFIX, MAX_PREFIX = 1 << 11, 1 << 16
+
+
+def _fold_prefix(pending: DataFrame, order: list[str], size: int, reasons: dict[int, str]) -> DataFrame:
+    """(RequestID, _first, _reason) of the first ``size`` pending requests, decided one after the other. ``pending`` has the
+    net accepted demand before each row in ``_acc``."""
+    first = pending.select(*order).distinct().orderBy(*order).limit(size)
+    match = [C(o).eqNullSafe(C(f"_o_{o}")) for o in order]
+    rows = pending.join(first.select(*[C(o).alias(f"_o_{o}") for o in order]), reduce(lambda a, b: a & b, match), "left_semi")
+    rows = rows.select(*order, "level", "resource", "qty", "_acc", "capacity").repartition(1).sortWithinPartitions(*order, "level")
+    names = {lv: why for lv, why in reasons.items()}
+
+    def fold(batches):
+        taken, current, lines = {}, None, []
+
+        def decide():
+            why = next((lv for lv, res, qty, acc, cap in lines if qty > 0 and acc + taken.get(res, 0) + qty > cap), None)
+            if why is None:
+                for _, res, qty, _, _ in lines:
+                    taken[res] = taken.get(res, 0) + qty
+            return current, REJECTED if why is not None else ACCEPTED, names.get(why)
+
+        at = order.index("RequestID")
+        for batch in batches:
+            out = []
+            for row in zip(*[batch[c].tolist() for c in batch.columns]):
+                if lines and row[at] != current:
+                    out.append(decide())
+                    lines = []
+                current = row[at]
+                lines.append(row[len(order):])
+            yield pd.DataFrame(out, columns=["RequestID", "_first", "_reason"])
+        if lines:
+            yield pd.DataFrame([decide()], columns=["RequestID", "_first", "_reason"])
+
+    kind = pending.schema["RequestID"].dataType.simpleString()
+    return rows.mapInPandas(fold, f"RequestID {kind}, _first string, _reason string")
 
 
 def _decide(per: DataFrame, reasons: dict[int, str]) -> DataFrame:
@@ -56,11 +101,12 @@ def _decide(per: DataFrame, reasons: dict[int, str]) -> DataFrame:
 
 def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str],
              order: tuple[str, ...] = ("RequestedAt", "RequestID"), max_rounds: int = 10_000,
-             plain_windows: bool = False) -> tuple[DataFrame, DataFrame]:
+             plain_windows: bool = False, rounds: list | None = None) -> tuple[DataFrame, DataFrame]:
     """``demands``: (RequestID, *order, level, resource, qty), qty < 0 supplies; ``capacities``: (resource,
     capacity). Resources without a capacity row have capacity 0. Returns (decisions, final demands):
     decisions = (RequestID, status, reason); final demands add ``consumed_before`` (net accepted demand on the
-    resource before this request) for ledger building. Raises if ``max_rounds`` do not decide all."""
+    resource before this request) for ledger building. Raises if ``max_rounds`` do not decide all. ``rounds`` collects
+    the number of requests still pending after every round."""
     ensure_checkpoint_dir(demands.sparkSession)
     order = list(dict.fromkeys(order))
     # one row per (request, resource): repeated lines of the same variant are one demand
@@ -78,7 +124,7 @@ def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str],
 
     keep = [*d.columns, "status"]
     active, decided = d.withColumn("status", F.lit(PENDING)), []
-    for _ in range(max_rounds):
+    for turn in range(max_rounds):
         pending = C("status") == PENDING
         cur = active.withColumn("_taken", F.when(pending, 0).otherwise(C("qty"))).withColumn("_brought", F.when(pending & (C("qty") < 0), C("qty")).otherwise(0))
         cur = running(cur, {"_acc": "_taken", "_in": "_brought"}).checkpoint(eager=True)
@@ -91,9 +137,17 @@ def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str],
         per = cur.filter(pending).groupBy("RequestID", "level").agg(
             F.min(F.when((C("qty") <= 0) | (upper <= C("capacity")), 1).otherwise(0)).alias("pass"),
             F.max(F.when((C("qty") > 0) & (C("_acc") + C("_in") + C("qty") > C("capacity")), 1).otherwise(0)).alias("fail"))
-        new = _decide(per, reasons).checkpoint(eager=True)
+        new = _decide(per, reasons)
+        if turn:
+            # the earliest pending requests, in order: exact, so it agrees with the bounds where both decide
+            prefix = _fold_prefix(cur.filter(pending), order, min(MAX_PREFIX, PREFIX << (turn - 1)), reasons)
+            new = new.join(prefix, "RequestID", "left").select("RequestID", F.coalesce("_first", "_new").alias("_new"), F.when(C("_first").isNotNull(), C("_reason")).otherwise(C("_why")).alias("_why"))
+        new = new.checkpoint(eager=True)
         decided.append(new.filter(C("_new") != PENDING).select("RequestID", C("_new").alias("status"), C("_why").alias("reason")))
-        if new.filter(C("_new") == PENDING).isEmpty():
+        left = new.filter(C("_new") == PENDING).count()
+        if rounds is not None:
+            rounds.append(left)
+        if not left:
             break
         active = active.join(new, "RequestID", "left").withColumn("status", F.coalesce("_new", "status")).filter(C("status") != REJECTED)
         still = active.filter(C("status") == PENDING).select("resource").distinct()

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from bazaar.session import ensure_checkpoint_dir
 
+C = F.col
 _NOTHING = object()  # before the first bucket; differs from every value, also from NULL
 UNB_PREC, UNB_FOLL, CUR = Window.unboundedPreceding, Window.unboundedFollowing, Window.currentRow
 
@@ -299,6 +300,70 @@ def neighbours_by_key(df: DataFrame, keys: list[str], order: list[str], lags: di
     return out.drop("_b")
 
 
+def scan_by_key(df: DataFrame, keys: list[str], order: list[str], number: str | None = None, lags: dict[str, str] | None = None,
+                sums: dict[str, str] | None = None, firsts: dict[str, str] | None = None, through: tuple[str, str] | None = None,
+                buckets: int | None = None) -> DataFrame:
+    """ROW_NUMBER, LAG, running SUM, FIRST_VALUE and a RANGE count per key in one pass over one layout, for skewed keys.
+
+    ``through`` = (output, column): how many rows of the key come up to the end of the row's peers in ``column``, the first
+    of ``order`` (COUNT(*) OVER (PARTITION BY keys ORDER BY column RANGE UNBOUNDED PRECEDING)). ``order`` is ascending and total
+    within a key. Rows are range-partitioned on (keys, order) once (``bucketize``); each bucket finds its own values, and its
+    first and last row tell what is carried into the next buckets: one collected row a bucket, broadcast."""
+    lags, sums, firsts = lags or {}, sums or {}, firsts or {}
+    spark = df.sparkSession
+    b = bucketize(df, keys, order, buckets)
+    wl = Window.partitionBy("_b", *keys).orderBy(*order)
+    run = wl.rowsBetween(UNB_PREC, CUR)
+    local = b.withColumn("_nr", F.row_number().over(wl).cast("bigint"))
+    for o, v in lags.items():
+        local = local.withColumn(f"_p_{o}", F.lag(v).over(wl))
+    for o, v in sums.items():
+        local = local.withColumn(f"_l_{o}", F.sum(v).over(run))
+    for o, v in firsts.items():
+        local = local.withColumn(f"_f_{o}", F.first(v).over(run))
+    if through:
+        peers = Window.partitionBy("_b", *keys).orderBy(through[1]).rangeBetween(UNB_PREC, CUR)
+        local = local.withColumn("_up", F.count(F.lit(1)).over(peers))
+    key, at = F.struct(*keys), F.struct(*keys, *order)
+    tail = F.struct(key.alias("k"), C(order[0]).alias("peer"), C("_nr").alias("nr"), *[C(v).alias(f"v_{o}") for o, v in lags.items()],
+                    *[C(f"_l_{o}").alias(f"s_{o}") for o in sums], *[C(f"_f_{o}").alias(f"f_{o}") for o in firsts])
+    head = F.struct(key.alias("k"), C(order[0]).alias("peer"), *([C("_up").alias("up")] if through else []))
+    stats = sorted(local.groupBy("_b").agg(F.min_by(head, at).alias("head"), F.max_by(tail, at).alias("tail"), F.count(F.lit(1)).alias("n")).collect(), key=lambda r: r["_b"])
+    rows, carry = [], None
+    for i, r in enumerate(stats):
+        head, tail, more = r["head"], r["tail"], 0
+        cont = carry if carry is not None and carry["k"] == head["k"] else None
+        for later in stats[i + 1:] if through else []:
+            if (later["head"]["k"], later["head"]["peer"]) != (tail["k"], tail["peer"]):
+                break
+            more += later["head"]["up"]
+            if later["head"]["up"] != later["n"]:
+                break
+        rows.append((r["_b"], head["k"] if cont else None, cont["nr"] if cont else 0, *[cont[f"v_{o}"] if cont else None for o in lags],
+                     *[cont[f"s_{o}"] if cont else None for o in sums], *[cont[f"f_{o}"] if cont else None for o in firsts], tail["k"], tail["peer"], more))
+        same = cont is not None and tail["k"] == head["k"]  # the whole bucket goes on with the key
+        carry = {"k": tail["k"], "nr": tail["nr"] + (cont["nr"] if same else 0), **{f"v_{o}": tail[f"v_{o}"] for o in lags},
+                 **{f"s_{o}": (tail[f"s_{o}"] if not same or cont[f"s_{o}"] is None else cont[f"s_{o}"] if tail[f"s_{o}"] is None else tail[f"s_{o}"] + cont[f"s_{o}"]) for o in sums},
+                 **{f"f_{o}": cont[f"f_{o}"] if same else tail[f"f_{o}"] for o in firsts}}
+    key_type = T.StructType([T.StructField(k, b.schema[k].dataType) for k in keys])
+    schema = T.StructType([T.StructField("_b", T.IntegerType()), T.StructField("_ck", key_type), T.StructField("_cn", T.LongType())]
+                          + [T.StructField(f"_cv_{o}", b.schema[v].dataType) for o, v in lags.items()] + [T.StructField(f"_cs_{o}", _running_type(b.schema[v].dataType)) for o, v in sums.items()]
+                          + [T.StructField(f"_cf_{o}", b.schema[v].dataType) for o, v in firsts.items()]
+                          + [T.StructField("_tk", key_type), T.StructField("_tp", b.schema[order[0]].dataType), T.StructField("_more", T.LongType())])
+    out = local.join(F.broadcast(spark.createDataFrame(rows, schema)), "_b")
+    on = C("_ck").isNotNull() & key.eqNullSafe(C("_ck"))
+    values = [C(c) for c in b.columns if c != "_b"]
+    nr = F.when(on, C("_cn")).otherwise(0)
+    if number:
+        values.append((C("_nr") + nr).alias(number))
+    values += [F.when(on & (C("_nr") == 1), C(f"_cv_{o}")).otherwise(C(f"_p_{o}")).alias(o) for o in lags]
+    values += [F.when(on & C(f"_cs_{o}").isNotNull(), C(f"_cs_{o}") + F.coalesce(C(f"_l_{o}"), F.lit(0))).otherwise(C(f"_l_{o}")).cast(_running_type(b.schema[v].dataType)).alias(o) for o, v in sums.items()]
+    values += [F.when(on, C(f"_cf_{o}")).otherwise(C(f"_f_{o}")).alias(o) for o in firsts]
+    if through:
+        values.append((C("_up") + nr + F.when(key.eqNullSafe(C("_tk")) & C(order[0]).eqNullSafe(C("_tp")), C("_more")).otherwise(0)).alias(through[0]))
+    return out.select(*values)
+
+
 def rank_by_key(df: DataFrame, keys: list[str], value: str, rank: str | None = "_rank", dense: str | None = None,
                 descending: bool = True) -> DataFrame:
     """RANK / DENSE_RANK over (PARTITION BY keys ORDER BY value) for skewed keys: rows are counted per (key, value) first,

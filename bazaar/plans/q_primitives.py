@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from bazaar.functions.expr import (boundary_diff, concat_null_safe, concat_plus, exact_avg, month_start,
                                    ts_lit)
+from bazaar.operators import grouping as GRP
 from bazaar.operators import relational as REL
 from bazaar.operators.search import fold_predicates, optional_eq
 from bazaar.operators.windows import ends_by_key, neighbours_by_key, rank_by_key, running_sum_by_key
@@ -292,6 +293,18 @@ def g2(c):
                                    F.count_distinct("OrderID").alias("orders"))
 
 
+@query("g2b_distinct_grouping_sets", """
+SELECT year(PlacedAt)::BIGINT AS y, OrderStatus, ShippingAddressID % 7 AS route, count(DISTINCT CustomerID)::BIGINT AS customers, sum(TotalAmount)::DOUBLE AS revenue,
+  grouping(year(PlacedAt))::BIGINT AS all_years, grouping(OrderStatus)::BIGINT AS all_states, grouping(ShippingAddressID % 7)::BIGINT AS all_routes
+FROM b_order GROUP BY GROUPING SETS ((year(PlacedAt), OrderStatus, ShippingAddressID % 7), (year(PlacedAt), OrderStatus), (year(PlacedAt)), (OrderStatus), ())""")
+def g2b(c):
+    """G2 distinct customers over grouping sets by merged bitmaps (year, status, route and four coarser sets)."""
+    o = c.order().select(F.year("PlacedAt").alias("y"), "OrderStatus", (C("ShippingAddressID") % 7).alias("route"), "CustomerID", "TotalAmount")
+    out = GRP.cube_distinct(o, ["y", "OrderStatus", "route"], "CustomerID", "customers", {"revenue": "TotalAmount"},
+                            sets=[("y", "OrderStatus", "route"), ("y", "OrderStatus"), ("y",), ("OrderStatus",), ()])
+    return out.select("y", "OrderStatus", "route", "customers", "revenue", C("_g_y").alias("all_years"), C("_g_OrderStatus").alias("all_states"), C("_g_route").alias("all_routes"))
+
+
 @query("g3_conditional_count", """
 SELECT year(PlacedAt) AS y, CAST(sum(CASE WHEN OrderStatus = 'DELIVERED' THEN 1 ELSE 0 END) AS BIGINT) AS delivered,
   CAST(sum(CASE WHEN OrderStatus = 'CANCELLED' THEN 1 ELSE 0 END) AS BIGINT) AS cancelled

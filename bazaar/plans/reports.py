@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.functions.expr import as_date, exact_avg, full_name, ts_lit
-from bazaar.operators.grouping import pivot_sum, rollup_labelled
+from bazaar.operators.grouping import cube_distinct, pivot_sum, rollup_labelled
 from bazaar.operators.hierarchy import tree_display, tree_walk
 from bazaar.operators.search import clamp_page, fold_predicates, optional_eq, page, sort_spec
-from bazaar.operators.windows import global_order, neighbours_by_key, running_sum_by_key
+from bazaar.operators.windows import global_order, scan_by_key
 from bazaar.plans.views import not_cancelled, product_sales_ranking, revenue_monthly_trend
 
 C = F.col
@@ -27,7 +27,7 @@ def _line_facts(lines, orders, variants, products, order_cols=("OrderID",), prod
 
 
 # --------------------------------------------------------------------------- X1
-def category_tree(categories, products, max_depth: int = 100) -> DataFrame:
+def category_tree(categories, products, max_depth: int | None = None) -> DataFrame:
     """Recursive category tree (H1) with indented display (H2) and direct active product count."""
     tree = tree_walk(categories, max_depth=max_depth)
     counts = products.filter(C("IsActive")).groupBy("CategoryID").agg(F.count(F.lit(1)).alias("_n"))
@@ -157,12 +157,10 @@ def province_category_vendor_cube(lines, orders, variants, products, categories,
                                   vendors) -> DataFrame:
     """CUBE(province, category, vendor), GROUPING() flags, HAVING revenue > 0."""
     facts = _geo_facts(lines, orders, variants, products, categories, addresses, cities, provinces, vendors)
-    facts = facts.groupBy("ProvinceName", "CategoryName", "VendorName", "CustomerID").agg(F.sum("LineTotal").alias("_revenue"))
-    out = rollup_labelled(
-        facts, ["ProvinceName", "CategoryName", "VendorName"],
-        [F.sum("_revenue").alias("_rev"), F.count_distinct("CustomerID").alias("UniqueCustomers")],
-        labels={"ProvinceName": "ALL", "CategoryName": "ALL", "VendorName": "ALL"}, cube=True,
-        grouping_cols={"ProvinceName": "IsProvinceAgg", "CategoryName": "IsCategoryAgg", "VendorName": "IsVendorAgg"})
+    dims = ["ProvinceName", "CategoryName", "VendorName"]
+    out = cube_distinct(facts, dims, "CustomerID", "UniqueCustomers", {"_rev": "LineTotal"})
+    out = out.select(*[F.when(C(f"_g_{d}") == 1, "ALL").otherwise(F.coalesce(d, F.lit("ALL"))).alias(d) for d in dims], "_rev", "UniqueCustomers",
+                     C("_g_ProvinceName").alias("IsProvinceAgg"), C("_g_CategoryName").alias("IsCategoryAgg"), C("_g_VendorName").alias("IsVendorAgg"))
     return (out.filter(C("_rev") > 0)
             .select(C("ProvinceName").alias("Province"), C("CategoryName").alias("Category"),
                     C("VendorName").alias("Vendor"), F.round("_rev", 2).alias("Revenue"), "UniqueCustomers",
@@ -223,15 +221,12 @@ def customer_ltv(orders, customers) -> DataFrame:
     (RANGE frame: orders on the same date share the value; the LAG is materialised first, B11)."""
     cs = orders.filter(not_cancelled()).select("OrderID", "CustomerID", as_date("PlacedAt").alias("OrderDate"),
                                              "TotalAmount")
-    order = ["OrderDate", "OrderID"]
-    step = neighbours_by_key(cs, ["CustomerID"], order, lags={"_before": "OrderDate"}, number="OrderNumber")
-    step = step.withColumn("DaysSinceLastOrder", F.datediff("OrderDate", "_before")).drop("_before")
-    step = running_sum_by_key(step, ["CustomerID"], order, {"LifetimeValueToDate": "TotalAmount"})
-    # the RANGE frame ends with the day: gaps are summed by day, then along the days
-    daily = step.groupBy("CustomerID", "OrderDate").agg(F.coalesce(F.sum("DaysSinceLastOrder"), F.lit(0)).alias("_gap"), F.count("DaysSinceLastOrder").alias("_cnt"))
-    daily = running_sum_by_key(daily, ["CustomerID"], ["OrderDate"], {"_gaps": "_gap", "_n": "_cnt"})
-    average = F.when(C("_n") > 0, C("_gaps").cast("double") / C("_n").cast("double"))
-    step = step.join(daily.select("CustomerID", "OrderDate", average.alias("AvgOrderGapDays")), ["CustomerID", "OrderDate"])
+    step = scan_by_key(cs, ["CustomerID"], ["OrderDate", "OrderID"], number="OrderNumber", lags={"_before": "OrderDate"},
+                       sums={"LifetimeValueToDate": "TotalAmount"}, firsts={"_start": "OrderDate"}, through=("_upto", "OrderDate"))
+    step = step.withColumn("DaysSinceLastOrder", F.datediff("OrderDate", "_before"))
+    # the RANGE frame ends with the day; the gaps up to a day add up to the days since the customer's first order
+    gaps = F.datediff("OrderDate", "_start").cast("double") / (C("_upto") - 1).cast("double")
+    step = step.withColumn("AvgOrderGapDays", F.when(C("_upto") > 1, gaps))
     return (step.join(customers.select("CustomerID", "FirstName", "LastName", "CreatedAt"), "CustomerID")
             .select("CustomerID", "OrderID", full_name().alias("CustomerName"), C("CreatedAt").alias("MemberSince"),
                     "OrderDate", "TotalAmount", "LifetimeValueToDate", "OrderNumber", "DaysSinceLastOrder",

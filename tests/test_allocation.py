@@ -85,3 +85,39 @@ def test_transfers_both_ways_match_sequential(spark, seed):
     status, final = allocate(demands, capacities, {0: "INSUFFICIENT_STOCK"})
     assert {r.RequestID: (r.status, r.reason) for r in status.collect()} == sequential_reference(reqs, caps, {0: "INSUFFICIENT_STOCK"})
     assert all(r.capacity - r.consumed_before - r.qty >= 0 for r in final.filter("status = 'ACCEPTED'").collect())
+
+
+def _compare(spark, reqs, caps, **params):
+    rows = [(r["id"], r["t"], lv, res, q) for r in reqs for lv, res, q in r["demands"]]
+    demands = spark.createDataFrame(rows, "RequestID long, RequestedAt timestamp_ntz, level int, resource string, qty long")
+    decisions, _ = allocate(demands, spark.createDataFrame(list(caps.items()), "resource string, capacity long"), REASONS, **params)
+    assert {r.RequestID: (r.status, r.reason) for r in decisions.collect()} == sequential_reference(reqs, caps, REASONS)
+
+
+def _chain(n):
+    """Request i needs resources i and i + 1, one of each: accepted, rejected, accepted, ..., each by the one before."""
+    t = dt.datetime(2024, 1, 1)
+    return [{"id": i, "key": (t, i), "t": t, "demands": [(1, f"R:{i}", 1), (1, f"R:{i + 1}", 1)]} for i in range(n)], {f"R:{i}": 1 for i in range(n + 1)}
+
+
+def test_adversarial_chain_of_two_thousand(spark):
+    reqs, caps = _chain(2000)
+    rounds = []
+    _compare(spark, reqs, caps, rounds=rounds)
+    assert len(rounds) <= 25 and rounds[-1] == 0
+
+
+def test_prefixes_agree_with_the_bounds(spark, monkeypatch):
+    """Small prefixes over several rounds, with supplies and two levels."""
+    from bazaar.operators import allocation
+    monkeypatch.setattr(allocation, "PREFIX", 3)
+    reqs, caps = _fixture(11, n_req=150)
+    for r in reqs[::7]:
+        r["demands"].append((1, f"S:{r['id'] % 25}", -4))
+    chain, more = _chain(60)
+    for i, r in enumerate(chain):
+        r["id"] += 1000
+        r["key"] = (r["t"], r["id"])
+    rounds = []
+    _compare(spark, reqs + chain, caps | more, rounds=rounds)
+    assert len(rounds) > 3

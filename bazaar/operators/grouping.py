@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaar.session import ensure_checkpoint_dir
+
 C = F.col
+#: rows a group from which a bitmap (4 KB a bucket) is smaller than the ids
+DENSE = 256
 
 
 def rollup_labelled(df: DataFrame, dims: list[str], aggs: list[Column], labels: dict[str, str] | None = None,
@@ -25,42 +29,52 @@ def rollup_labelled(df: DataFrame, dims: list[str], aggs: list[Column], labels:
     return out.select(*cols, *rest, *flag_cols)
 
 
+def _combined(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
+    return df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
+
+
 def cube_distinct(df: DataFrame, dims: list[str], id_col: str, distinct: str, sums: dict[str, str] | None = None,
                   sets: list[tuple[str, ...]] | None = None) -> DataFrame:
     """Exact COUNT(DISTINCT id) and SUMs over many grouping sets (default: CUBE of ``dims``).
 
-    Rows are combined per (dims, id) once. The finest set counts those rows; the sets next to it turn ids into bitmaps
-    (one of 32,768 ids a bucket) and every coarser set merges the bitmaps of the smallest set above it, so rows are
-    neither copied per set (no Expand) nor deduplicated again. ``id_col`` is a whole number; null ids are not counted, null
-    dims are a group of their own. Returns the dims (null where rolled up), ``sums``, ``distinct`` and ``_g_dim`` flags.
-    The set () gives one row, none for an empty input."""
+    Rows are combined per (dims, id) once and checkpointed. Every coarser set comes from the smallest finer one, so rows
+    are not copied per set (no Expand). A set with ``DENSE`` rows a group on average carries its ids as bitmaps (one of
+    32,768 ids a bucket, merged by OR); in sparser sets (S, id) pairs are the smaller form and are combined instead. The
+    numbers of groups are estimated in one pass; they choose the form, never the result.
+
+    ``id_col`` is a whole number; null ids are not counted, null dims are a group of their own. Returns the dims (null where
+    rolled up), ``sums``, ``distinct`` and ``_g_dim`` flags. The set () gives one row, none for an empty input."""
     sums = sums or {}
     full = tuple(dims)
     wanted = [tuple(d for d in dims if d in s) for s in sets] if sets is not None else [tuple(d for k, d in enumerate(dims) if not m >> k & 1) for m in range(1 << len(dims))]
-    rows = df.groupBy(*dims, id_col).agg(*[F.sum(v).alias(o) for o, v in sums.items()])
+    ensure_checkpoint_dir(df.sparkSession)
     added = [F.sum(o).alias(o) for o in sums]
+    pairs = {full: _combined(df, [*dims, id_col], [F.sum(v).alias(o) for o, v in sums.items()]).checkpoint(eager=True)}
+    coarse = [s for s in wanted if s != full]
+    stats = pairs[full].agg(F.count(F.lit(1)), *[F.approx_count_distinct(F.struct(*s)) if s else F.lit(1) for s in coarse]).first()
+    groups = {full: stats[0]} | dict(zip(coarse, stats[1:]))
     maps: dict[tuple, DataFrame] = {}
 
-    def bitmaps(s: tuple) -> DataFrame:
-        if s not in maps:
-            above = [m for m in maps if set(s) < set(m)]
-            if not above and len(s) < len(full) - 1:
-                bitmaps(next(tuple(d for d in full if d != x) for x in reversed(full) if x not in s))
-                above = [m for m in maps if set(s) < set(m)]
-            if above:
-                maps[s] = maps[min(above, key=len)].groupBy(*s, "_bucket").agg(*added, F.bitmap_or_agg("_bits").alias("_bits"))
-            else:
-                maps[s] = rows.groupBy(*s, F.bitmap_bucket_number(id_col).alias("_bucket")).agg(*added, F.bitmap_construct_agg(F.bitmap_bit_position(id_col)).alias("_bits"))
-        return maps[s]
+    def finer(s: tuple, of: dict) -> tuple | None:
+        return min((x for x in of if set(s) < set(x)), key=groups.__getitem__, default=None)
+
+    for s in sorted(coarse, key=len, reverse=True):
+        if stats[0] < DENSE * groups[s]:
+            pairs[s] = _combined(pairs[finer(s, pairs)], [*s, id_col], added)
+        elif (up := finer(s, maps)) is not None:
+            maps[s] = maps[up].groupBy(*s, "_bucket").agg(*added, F.bitmap_or_agg("_bits").alias("_bits"))
+        else:
+            maps[s] = (pairs[finer(s, pairs)].groupBy(*s, F.bitmap_bucket_number(id_col).alias("_bucket"))
+                       .agg(*added, F.bitmap_construct_agg(F.bitmap_bit_position(id_col)).alias("_bits")))
 
     out = None
     for s in sorted(wanted, key=len, reverse=True):
-        if s == full:
-            part = rows.groupBy(*full).agg(*added, F.count(id_col).alias(distinct))
+        if s in pairs:
+            part = pairs[s].groupBy(*s).agg(*added, F.count(id_col).alias(distinct))
         else:
-            part = bitmaps(s).groupBy(*s).agg(*added, F.sum(F.bitmap_count("_bits")).alias(distinct))
+            part = maps[s].groupBy(*s).agg(*added, F.sum(F.bitmap_count("_bits")).alias(distinct))
         if not s:
-            part = part.filter(C(distinct).isNotNull())
+            part = part.filter(F.lit(stats[0] > 0))
         part = part.select(*[C(d) if d in s else F.lit(None).cast(df.schema[d].dataType).alias(d) for d in dims], *sums, distinct,
                            *[F.lit(int(d not in s)).alias(f"_g_{d}") for d in dims])
         out = part if out is None else out.unionByName(part)

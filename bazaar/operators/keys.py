@@ -17,10 +17,9 @@ C = F.col
 
 
 def assign_surrogate_keys(df: DataFrame, natural_key: str, id_col: str, existing: DataFrame | None = None,
-                          plain: bool = False) -> DataFrame:
+                          plain: bool = False, start: int = 0) -> DataFrame:
     """Add ``id_col`` = start + dense rank of ``natural_key`` (ascending). ``start`` is the maximum
-    id in ``existing`` (0 when absent), so new ids never collide with old ones."""
-    start = 0
+    id in ``existing`` if that is given, so new ids never collide with old ones."""
     if existing is not None:
         mx = existing.agg(F.max(id_col)).first()[0]  # one scalar
         start = int(mx or 0)

@@ -18,6 +18,7 @@ from bazaar.functions.expr import concat_null_safe, date_lit, ts_lit
 from bazaar.operators.allocation import ACCEPTED, REJECTED, allocate
 from bazaar.operators.documents import parse_line_payload
 from bazaar.operators.keys import assign_surrogate_keys
+from bazaar.operators.merge import PartitionedTable
 from bazaar.operators.windows import running_sum_by_key
 from bazaar.plans.views import not_cancelled
 
@@ -126,6 +127,21 @@ def refresh_sales_summary(target, orders, lines, variants, products, addresses,
     return new_target, report
 
 
+def gold_table(spark, path: str) -> PartitionedTable:
+    """The gold table at ``path``, partitioned by day."""
+    return PartitionedTable(spark, path, "SummaryDate", GOLD_KEYS, GOLD_VALUES, "SummaryID")
+
+
+def refresh_gold(path: str, orders, lines, variants, products, addresses, cities, vendors, as_of, start_date, end_date=None) -> DataFrame:
+    """X14 on storage: (SummaryDate, SourceRows, Written) of the days with sales from ``start_date`` to ``end_date``. Days whose
+    summary is what it was are neither read nor written."""
+    spark = orders.sparkSession
+    src = sales_summary(orders, lines, variants, products, addresses, cities, vendors, start_date, end_date)
+    report = gold_table(spark, path).merge(src, as_of)
+    rows = [(p, n, w) for p, (n, w) in sorted(report.items())]  # one row a day
+    return spark.createDataFrame(rows, "d string, SourceRows long, Written boolean").select(C("d").cast("date").alias("SummaryDate"), "SourceRows", "Written")
+
+
 def write_gold(df: DataFrame, path: str) -> None:
     """Persist gold rows partitioned by SummaryDate; re-running a day replaces only that day
     (dynamic partition overwrite — atomic per job commit, idempotent)."""

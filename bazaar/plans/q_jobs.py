@@ -10,6 +10,8 @@ with one-at-a-time processing besides.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from bazaar.functions.expr import ts_lit
@@ -700,3 +702,47 @@ def x14b(c):
     _, report = J.refresh_sales_summary(_gold_target(c), c.order(), c.order_line(), c.variant(), c.product(),
                                         c.address(), c.city(), c.vendor(), c.orders_as_of, summary_date="1998-03-14")
     return report
+
+
+def _incremental(c):
+    """A gold table of 1998 on storage and two merges of 1998-12-11..1999-01-20 into it: (table, first report, second report)."""
+    path = f"{c.spark.sparkContext.getCheckpointDir()}/gold-{uuid.uuid4().hex}"
+    table = J.gold_table(c.spark, path)
+    tables = (c.order(), c.order_line(), c.variant(), c.product(), c.address(), c.city(), c.vendor())
+    table.merge(_gold(c, "1998-12-01", "1998-12-31"), "2001-07-01 00:00:00")
+    # some days get other amounts than the refresh finds, as if orders had changed since
+    base = _gold(c, "1998-12-11", "1998-12-31").filter(F.dayofmonth("SummaryDate") % 3 == 0)
+    off = C("NetRevenue") + F.when(C("VendorID") % 2 == 0, 1).otherwise(0)
+    table.merge(base.withColumn("NetRevenue", off.cast(base.schema["NetRevenue"].dataType)), "2001-07-02 00:00:00")
+    first = J.refresh_gold(path, *tables, c.orders_as_of, "1998-12-11", "1999-01-20")
+    second = J.refresh_gold(path, *tables, c.orders_as_of, "1998-12-11", "1999-01-20")
+    return table.read(base.schema), first, second
+
+
+_INC_LF, _INC_BODY = _gold_sql("1998-12-01", "1999-01-20")
+
+
+@query("a6b_incremental_merge", f"""
+WITH {_INC_LF}, g AS ({_INC_BODY})
+SELECT SummaryDate::TIMESTAMP AS SummaryDate, count(*)::BIGINT AS SourceRows,
+  SummaryDate >= DATE '1999-01-01' OR (day(SummaryDate) % 3 = 0 AND bool_or(VendorID % 2 = 0)) AS Written, false AS WrittenAgain
+FROM g WHERE SummaryDate >= DATE '1998-12-11' GROUP BY SummaryDate""")
+def a6b(c):
+    """A6 on storage: which days a refresh of 41 days writes into an existing table (those that are new or differ), and
+    that the same refresh once more writes none."""
+    _, first, second = _incremental(c)
+    return first.join(second.select("SummaryDate", C("Written").alias("WrittenAgain")), "SummaryDate")
+
+
+@query("a6c_merged_table", f"""
+WITH {_INC_LF}, g AS ({_INC_BODY}), ids AS (
+  SELECT *, dense_rank() OVER (PARTITION BY SummaryDate >= DATE '1999-01-01' ORDER BY SummaryDate, VendorID, CategoryID, ProvinceID)
+    + CASE WHEN SummaryDate >= DATE '1999-01-01' THEN (SELECT count(*) FROM g WHERE SummaryDate < DATE '1999-01-01') ELSE 0 END AS id FROM g),
+days AS (SELECT SummaryDate AS d, SummaryDate >= DATE '1999-01-01' OR (SummaryDate >= DATE '1998-12-11' AND day(SummaryDate) % 3 = 0 AND bool_or(VendorID % 2 = 0)) AS fresh FROM g GROUP BY 1)
+SELECT SummaryDate::TIMESTAMP AS SummaryDate, VendorID, CategoryID::BIGINT AS CategoryID, ProvinceID::BIGINT AS ProvinceID, OrderCount::BIGINT AS OrderCount, LineItemCount::BIGINT AS LineItemCount,
+  GrossRevenue::DOUBLE AS GrossRevenue, DiscountTotal::DOUBLE AS DiscountTotal, NetRevenue::DOUBLE AS NetRevenue, Commission::DOUBLE AS Commission, id::BIGINT AS SummaryID,
+  CASE WHEN fresh THEN {AS_OF} ELSE TIMESTAMP '2001-07-01 00:00:00' END AS ComputedAt
+FROM ids JOIN days ON d = SummaryDate""")
+def a6c(c):
+    """A6 on storage: the whole table after the merges of ``a6b_incremental_merge``."""
+    return _incremental(c)[0]

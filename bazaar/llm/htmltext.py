@@ -18,13 +18,14 @@ its text, is a wrapper and stays; hidden elements don't.
 from __future__ import annotations
 
 import re
+from heapq import heappop, heappush
 from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaar.llm.shared import extended, materialise
+from bazaar.llm.shared import extended, free_names, materialise
 
 MIN_SHARE = 0.2
 OUTWARD = 0.5
@@ -61,12 +62,38 @@ NUMBER = re.compile(r"\d+")
 
 
 class Container:
-    __slots__ = ("tag", "path", "parent", "own", "dropped", "score", "blocks", "first")
+    """An element that can hold the article. Everything that depends on what is around it is taken over from the parent
+    when it is made, so a page costs the same however deep it is nested."""
 
-    def __init__(self, tag, path, parent, own, first):
-        """``own`` tells why this container is dropped (0: it isn't), ``dropped`` whether it or one around it is."""
-        self.tag, self.path, self.parent, self.own, self.first, self.score, self.blocks = tag, path, parent, own, first, 0.0, []
+    __slots__ = ("tag", "step", "parent", "own", "dropped", "score", "blocks", "first", "marked")
+
+    def __init__(self, tag, step, parent, own, first):
+        """``own`` tells why this container is dropped (0: it isn't), ``dropped`` whether it or one around it is, ``marked``
+        whether it or one around it is an article or main element."""
+        self.tag, self.step, self.parent, self.own, self.first, self.score, self.blocks = tag, step, parent, own, first, 0.0, []
         self.dropped = bool(own) or parent is not None and parent.dropped
+        self.marked = tag in ("article", "main") or parent is not None and parent.marked
+
+    @property
+    def path(self) -> str:
+        """The generalised tag-class path from the root."""
+        steps, at = [], self
+        while at is not None:
+            steps.append(at.step)
+            at = at.parent
+        return ">".join(reversed(steps))
+
+
+def at_path(found: list[Container], path: str) -> list[Container]:
+    """The kept containers with this path: the path is matched step by step along with the containers."""
+    place, same = {id(found[0]): 0}, []
+    for c in found[1:]:
+        p = place.get(id(c.parent), -1)
+        if p >= 0 and path.startswith(">" + c.step, p):
+            place[id(c)] = p + 1 + len(c.step)
+            if place[id(c)] == len(path) and not c.dropped:
+                same.append(c)
+    return same + [found[0]] if path == "" and not found[0].dropped else same
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -104,32 +131,51 @@ def _is_dropped(tag: str, attrs: dict[str, str], inside_article: bool) -> int:
 def _open_wrappers(found: list[Container], worths: dict[int, float]) -> None:
     """Undrop the containers that hold the page's only article or main element or the bulk of its text.
 
-    The outermost dropped containers are judged; what is dropped inside an opened one is judged again."""
-    while True:
-        kept, whole, inside, marked = 0.0, False, {}, set()
-        for c in found:
-            if not (w := worths.get(id(c), 0.0)):
-                continue
-            top = mark = None
-            hard, up = False, c
-            while up is not None:
-                if up.own:
-                    top, hard = up, hard or up.own == HARD
-                if up.tag in ("article", "main"):
-                    mark = up
-                up = up.parent
-            if top is None:
-                kept, whole = kept + w, whole or mark is not None
-            elif not hard:
-                inside[id(top)] = (top, inside.get(id(top), (top, 0.0))[1] + w)
-                if mark is not None:
-                    marked.add(id(top))
-        if not inside or whole:
-            return
-        best, w = max(inside.values(), key=lambda x: (id(x[0]) in marked, x[1], -x[0].first))
-        if not (id(best) in marked and best.own != REPLY or w > BULK * kept and (best.own != REPLY or not kept)):
-            return
-        best.own = 0
+    The outermost dropped containers are judged, the most promising first; what is dropped inside an opened one is judged
+    next. Dropped containers form a tree of their own with the worth of the text in them, summed once."""
+    around: dict[int, Container | None] = {}  # the innermost dropped container around (or itself)
+    hard: dict[int, bool] = {}
+    inner: dict[int, list[Container]] = {}  # dropped containers directly inside a dropped one; 0: the outermost
+    direct, total, marks, whole_inside, kept, whole = {}, {}, {}, {}, 0.0, False
+    drops: list[tuple[Container, Container | None]] = []
+    for c in found:  # parents come before what is in them
+        out = around.get(id(c.parent))
+        hard[id(c)] = c.own == HARD or c.parent is not None and hard.get(id(c.parent), True)  # hidden inline elements are not listed
+        if c.own:
+            drops.append((c, out))
+            inner.setdefault(id(out) if out is not None else 0, []).append(c)
+        around[id(c)] = at = c if c.own else out
+        w = worths.get(id(c), 0.0)
+        if not w or hard[id(c)]:
+            continue
+        if at is None:
+            kept, whole = kept + w, whole or c.marked
+        else:
+            direct[id(at)] = direct.get(id(at), 0.0) + w
+            whole_inside[id(at)] = whole_inside.get(id(at), False) or c.marked
+    for c, out in reversed(drops):
+        total[id(c)] = total.get(id(c), 0.0) + direct.get(id(c), 0.0)
+        marks[id(c)] = marks.get(id(c), False) or whole_inside.get(id(c), False)
+        if out is not None:
+            total[id(out)] = total.get(id(out), 0.0) + total[id(c)]
+            marks[id(out)] = marks.get(id(out), False) or marks[id(c)]
+    heap: list[tuple] = []
+
+    def judge(candidates):
+        for c in candidates:
+            if total[id(c)]:
+                heappush(heap, (not marks[id(c)], -total[id(c)], c.first, id(c), c))
+
+    judge(inner.get(0, ()))
+    opened = False
+    while heap and not whole:
+        no_mark, w, _, _, best = heappop(heap)
+        if not (not no_mark and best.own != REPLY or -w > BULK * kept and (best.own != REPLY or not kept)):
+            break
+        best.own, opened = 0, True
+        kept, whole = kept + direct.get(id(best), 0.0), whole_inside.get(id(best), False)
+        judge(inner.get(id(best), ()))
+    if opened:
         for c in found:
             c.dropped = bool(c.own) or c.parent is not None and c.parent.dropped
 
@@ -163,15 +209,29 @@ def parse(html: str) -> list[Container]:
             if in_link:
                 links += len(raw.strip())
 
-    def close(tag, until=()):
+    open_tags: dict[str, int] = {}  # elements around ``here``, by tag
+
+    def enter(tag, step, own):
+        nonlocal here
+        here = Container(tag, step, here, own, block_no)
+        open_tags[tag] = open_tags.get(tag, 0) + 1
+
+    def leave():
         nonlocal here
+        open_tags[here.tag] -= 1
+        here = here.parent
+
+    def close(tag, until=()):
+        if not open_tags.get(tag):
+            return
         at = here
-        while at is not None and at.tag != tag:
+        while at.tag != tag:
             if at.tag in until:
                 return
             at = at.parent
-        if at is not None and at.parent is not None:
-            here = at.parent
+        while here is not at:
+            leave()
+        leave()
 
     last = 0
     for m in TOKEN.finditer(html):
@@ -188,12 +248,12 @@ def parse(html: str) -> list[Container]:
                 attrs = _attributes(m[4])
                 if attrs and _is_dropped(tag, attrs, True):  # an inline element that is hidden or an advert
                     flush()
-                    here = Container(tag, f"{here.path}>{tag}", here, HARD, block_no)
+                    enter(tag, tag, HARD)
                     inline.append(tag)
             elif inline and inline[-1] == tag and here.tag == tag:
                 flush()
                 inline.pop()
-                here = here.parent
+                leave()
             if tag == "a":
                 in_link = 0 if m[2] else 1
             continue
@@ -207,9 +267,9 @@ def parse(html: str) -> list[Container]:
         in_link = 0
         if tag in TEXT_BLOCKS:
             if not m[2] and m[4].strip() and not here.dropped and _is_dropped(tag, _attributes(m[4]), True):
-                here = Container(tag, f"{here.path}>{tag}", here, HARD, block_no)
+                enter(tag, tag, HARD)
             elif here.tag == tag and here.dropped:
-                here = here.parent
+                leave()
             continue
         if m[2]:
             close(tag)
@@ -217,14 +277,11 @@ def parse(html: str) -> list[Container]:
         for item in ITEMS.get(tag, ()):
             close(item, LISTS)
         attrs = _attributes(m[4])
-        up, inside = here, False
-        while up is not None and not inside:
-            inside, up = up.tag in ("article", "main"), up.parent
         names = ".".join(sorted(NUMBER.sub("#", c) for c in attrs.get("class", "").split()))
-        here = Container(tag, f"{here.path}>{tag}" + (f".{names}" if names else ""), here, _is_dropped(tag, attrs, inside), block_no)
+        enter(tag, tag + (f".{names}" if names else ""), _is_dropped(tag, attrs, here.marked))
         found.append(here)
         if m[4].endswith("/") and tag not in ("div", "section", "article", "main", "body", "html"):
-            here = here.parent
+            leave()
     say(html[last:])
     flush()
     if any(c.own in (SOFT, REPLY) for c in found):
@@ -255,13 +312,10 @@ def best_container(found: list[Container]) -> Container | None:
 
 def text_of(found: list[Container], top: list[Container]) -> str:
     """The blocks in the containers ``top`` (and in those inside them) in page order."""
-    tops = {id(c) for c in top}
-    blocks = []
+    tops, inside, blocks = {id(c) for c in top}, set(), []
     for c in found:
-        up = c
-        while up is not None and id(up) not in tops:
-            up = up.parent
-        if up is not None:
+        if id(c) in tops or c.parent is not None and id(c.parent) in inside:
+            inside.add(id(c))
             blocks += c.blocks
     return "\n".join(b for _, b in sorted(blocks))
 
@@ -297,10 +351,12 @@ def extract_text(pages: DataFrame, html_col: str = "html", url_col: str = "url",
 
     Null html counts as empty. Pages without a host vote together. Repeated rows give repeated results. Columns of
     these names are replaced; all others stay."""
-    src = pages.drop("text", "text_path", "_host", "_paths")
-    hosted = src.withColumn("_host", host_of(F.col(url_col)))
-    winners = materialise(winning_paths(page_votes(hosted, html_col), min_share), "host-paths")
-    both = hosted.join(winners, "_host", "left").select(*src.columns, "_paths")
+    src = pages.drop("text", "text_path")
+    host, wanted = free_names(src.columns, "_host", "_paths")
+    hosted = src.withColumn(host, host_of(F.col(url_col)))
+    winners = materialise(winning_paths(page_votes(hosted.select(F.col(host).alias("_host"), html_col), html_col), min_share), "host-paths")
+    winners = winners.select(F.col("_host").alias(host), F.col("_paths").alias(wanted))
+    both = hosted.join(winners, host, "left").select(*[f"`{c}`" for c in src.columns], wanted)
     at, n = src.columns.index(html_col), len(src.columns)
 
     def run(batches):
@@ -310,7 +366,7 @@ def extract_text(pages: DataFrame, html_col: str = "html", url_col: str = "url",
                 found = parse(page.as_py() or "")
                 text, path = "", None
                 for w in wanted or ():
-                    same = [c for c in found if c.path == w and not c.dropped]
+                    same = at_path(found, w)
                     if same and (text := text_of(found, same)):
                         path = w
                         break

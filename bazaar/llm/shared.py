@@ -40,6 +40,31 @@ def with_columns_replaced(df: DataFrame, names: list[str]) -> DataFrame:
     return df.drop(*[n for n in names if n in df.columns])
 
 
+def free_names(taken, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as make it different from the ``taken`` ones (case does not count)."""
+    low = {t.lower() for t in taken}
+    out = []
+    for n in names:
+        while n.lower() in low:
+            n += "_"
+        out.append(n)
+    return out
+
+
+def set_aside(df: DataFrame, own: tuple[str, ...]):
+    """(``df`` with every column but ``own`` under a name that no operator uses, a function that gives an outcome its names
+    back: the columns of ``df`` in their order, then what else the outcome has, unless ``df`` has a column of that name)."""
+    others = [c for c in df.columns if c not in own]
+    safe = {c: f"_aside_{i}" for i, c in enumerate(others)}
+    renamed = df.select(*[F.col(f"`{c}`").alias(safe.get(c, c)) for c in df.columns])
+
+    def restore(out: DataFrame) -> DataFrame:
+        extra = [c for c in out.columns if c not in renamed.columns and c not in df.columns]
+        return out.select(*[F.col(safe.get(c, c) if c in safe else f"`{c}`").alias(c) for c in df.columns], *extra)
+
+    return renamed, restore
+
+
 def extended(df: DataFrame, **kinds: str) -> T.StructType:
     """The schema of ``df`` with further columns, all nullable."""
     fields = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]

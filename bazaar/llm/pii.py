@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaar.llm.shared import free_names
+
 KEY = "bazaar-demo-key"
 ROUNDS = 6
 
@@ -96,6 +98,8 @@ def luhn_digit(payload: Column) -> Column:
     return F.pmod(F.lit(0) - F.aggregate(worth, F.lit(0), lambda s, x: s + F.coalesce(x, F.lit(0))), F.lit(10)).cast("string")
 
 
+#: issuers' first digits: a card in groups starts with them
+_ISSUER = r"^(?:4|5[0-8]|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)|3(?:[47689]|0[0-59]|5(?:2[89]|[3-8]))|6(?:011|[2357]|4[4-9]))"
 #: how cards are written: these are taken before other groups that happen to be Luhn valid
 _USUAL = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})$"
 
@@ -115,18 +119,22 @@ def _card_ends(groups: Column, i: Column) -> Column:
         def on(t):
             d = only_digits(t)
             n = F.length(d)
-            fits = F.when(n.between(13, 19), luhn_digit(F.substr(d, F.lit(1), n - 1)) == F.substr(d, n, F.lit(1))).otherwise(F.lit(False))
+            # in groups: an issuer's number, in a usual form or in groups of three digits at least
+            form = ~t.rlike("[ -]") | d.rlike(_ISSUER) & (t.rlike(_USUAL) | ~t.rlike("(?:^|[ -])[0-9]{1,2}(?:[ -]|$)"))
+            fits = F.when(n.between(13, 19) & form, luhn_digit(F.substr(d, F.lit(1), n - 1)) == F.substr(d, n, F.lit(1))).otherwise(F.lit(False))
             return F.when(fits, F.struct(F.when(t.rlike(_USUAL), k).otherwise(0).alias("usual"), k.alias("any")))
         return _let(F.regexp_replace(F.array_join(F.slice(groups, i, k), ""), "[ -]$", ""), on)
-    ends = F.transform(F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i + 1)), valid)
-    return _let(ends, lambda e: F.struct(F.coalesce(F.array_max(F.transform(e, lambda x: x["usual"])), F.lit(0)).alias("usual"), F.coalesce(F.array_max(F.transform(e, lambda x: x["any"])), F.lit(0)).alias("any")))
+    ends = F.transform(F.sequence(F.lit(1), F.least(F.lit(6), F.size(groups) - i + 1)), valid)  # groups of three: six of them
+    started = F.element_at(groups, i).rlike(r"^[0-9]{13}|^(?:[2-6][0-9]{2})")  # where no card can start, nothing is tried
+    return F.when(~started, F.struct(F.lit(0).alias("usual"), F.lit(0).alias("any"))).otherwise(_let(ends, lambda e: F.struct(F.coalesce(F.array_max(F.transform(e, lambda x: x["usual"])), F.lit(0)).alias("usual"), F.coalesce(F.array_max(F.transform(e, lambda x: x["any"])), F.lit(0)).alias("any"))))
 
 
 def cards_in_run(v: Column, key: str) -> Column:
     """struct(text, cards): a run of digit groups with every card in it replaced, and the pseudonyms in order.
 
-    From the left, the longest run of whole groups that is a Luhn valid number is a card; a usual form goes before another
-    that starts earlier and overlaps it."""
+    From the left, the longest run of whole groups that is a Luhn valid number of an issuer is a card; a usual form goes before
+    another that starts earlier and overlaps it. A number without groups needs no issuer. A run with more groups beside its
+    cards than an expiry date, a check code and a few numbers make (two, and two a card) is a table of numbers and stays."""
     def on(groups):
         def scan(ends):
             def step(s, i):
@@ -146,7 +154,11 @@ def cards_in_run(v: Column, key: str) -> Column:
             none = F.array().cast("array<string>")
             return F.aggregate(F.sequence(F.lit(1), F.size(groups)), F.struct(F.lit(1).alias("next"), none.alias("out"), none.alias("cards")), step)
         return _let(F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: _card_ends(groups, i)), scan)
-    return _let(_let(F.split(v, "(?<=[ -])", -1), on), lambda s: F.struct(F.array_join(s["out"], "").alias("text"), s["cards"].alias("cards")))
+    def judged(s):
+        # groups that are in no card: each is an item of its own, as each card is
+        beside = F.size(s["out"]) - F.size(s["cards"])
+        return F.when(beside <= 2 + 2 * F.size(s["cards"]), F.struct(F.array_join(s["out"], "").alias("text"), s["cards"].alias("cards"))).otherwise(F.struct(v.alias("text"), F.array().cast("array<string>").alias("cards")))
+    return _let(_let(F.split(v, "(?<=[ -])", -1), on), judged)
 
 
 def phone_pseudonym(v: Column, key: str) -> Column:
@@ -225,9 +237,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", found_
     text = F.col(text_col)
     values = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     swapped = F.transform(values, lambda v: _let(kind_of(v), lambda k: _let(swap(v, k, key), lambda s: F.struct(k.alias("kind"), s["text"].alias("pseudonym"), s["found"].alias("found")))))
-    out = docs.withColumn("_swaps", swapped)
+    own, = free_names(docs.columns, "_swaps")
+    out = docs.withColumn(own, swapped)
     parts = F.split(text, ANY, -1)
-    joined = F.array_join(F.zip_with(parts, F.col("_swaps.pseudonym"), lambda p, s: F.concat(p, F.coalesce(s, F.lit("")))), "")
-    listed = F.flatten(F.transform("_swaps", lambda s: F.transform(s["found"], lambda p: F.struct(s["kind"].alias("kind"), p.alias("pseudonym")))))
-    return (out.withColumn(text_col, F.when(F.size("_swaps") > 0, joined).otherwise(text))
-            .withColumn(found_col, F.coalesce(listed, F.array().cast("array<struct<kind:string,pseudonym:string>>"))).drop("_swaps"))
+    joined = F.array_join(F.zip_with(parts, F.col(f"{own}.pseudonym"), lambda p, s: F.concat(p, F.coalesce(s, F.lit("")))), "")
+    listed = F.flatten(F.transform(own, lambda s: F.transform(s["found"], lambda p: F.struct(s["kind"].alias("kind"), p.alias("pseudonym")))))
+    return (out.withColumn(text_col, F.when(F.size(own) > 0, joined).otherwise(text))
+            .withColumn(found_col, F.coalesce(listed, F.array().cast("array<struct<kind:string,pseudonym:string>>"))).drop(own))

@@ -267,3 +267,32 @@ def test_pipeline_on_an_empty_table(spark, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_SMALL)
         assert docs.count() == 0
+
+
+def _pseudonyms(spark, texts):
+    out = pii.pseudonymise(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4))
+    return {r["doc_id"]: (r["text"], [p["kind"] for p in r["pii"]]) for r in out.collect()}
+
+
+def test_tables_of_numbers_stay(spark):
+    rng = random.Random(8)
+    tables = [" ".join(str(rng.randint(10, 99)) for _ in range(600)), " ".join(str(rng.randint(0, 9)) for _ in range(600)), " ".join(str(rng.randint(1900, 2030)) for _ in range(600)), "1995-1996-1997-1998-1999"]
+    for _ in range(1500):
+        low, high = rng.choice([(0, 9), (10, 99), (100, 999), (1000, 9999), (0, 99999)])
+        tables.append(rng.choice([" ", "-"]).join(str(rng.randint(low, high)) for _ in range(rng.randint(20, 120))))
+    got = _pseudonyms(spark, tables)
+    assert all(got[i][0] == tables[i] for i in range(4))
+    changed = sum(a != b for i, t in enumerate(tables) for a, b in zip(re.split("[ -]", t), re.split("[ -]", got[i][0])))
+    assert changed < 0.001 * sum(len(re.split("[ -]", t)) for t in tables)
+
+
+def test_cards_beside_other_numbers_are_found(spark):
+    texts = ["4111 1111 1111 1111 12/26", "4111111111111111 123", "pay 5500-0000-0000-0004 now", "378282246310005", "3782 822463 10005 09 28", "7 4111 1111 1111 1111 8 5500 0000 0000 0004", "4111 1111 1111 1111 12 26 123"]
+    for i, (text, kinds) in _pseudonyms(spark, texts).items():
+        assert "card" in kinds and "4111" not in text and "0000" not in text and "822463" not in text, texts[i]
+
+
+def test_working_names_of_pseudonyms(spark):
+    df = spark.createDataFrame([(1, "mail a.b@example.org", "s", "p")], "doc_id long, text string, _swaps string, own string")
+    row = pii.pseudonymise(df).first()
+    assert row["_swaps"] == "s" and row["own"] == "p" and len(row["pii"]) == 1

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.llm import textbytes as tb
-from bazaar.llm.shared import extended, materialise
+from bazaar.llm.shared import extended, free_names, materialise, set_aside
 
 SPAN = 10
 
@@ -130,17 +130,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN,
     documents give repeated results. Columns named like the added ones are replaced. Without documents or
     items the result has no rows or no hits."""
     added = ("n_words", "n_hit", "item_ids", "spans")
-    docs = docs.drop(*added, "_text_key", "_items")
+    docs = docs.drop(*added)
+    key, listed_items = free_names(docs.columns, "_text_key", "_items")
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("_item_id"), F.col("text").alias("_item_text")).where("_item_text IS NOT NULL").distinct()
     items = items.withColumn("_item", F.xxhash64("_item_id", "_item_text"))
     lengths = _word_lists(items, span)
     item_prints = materialise(_fingerprints(items, "_item", "_item_text", None, span), "winnow-items")
-    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    prints = _fingerprints(keyed, "_text_key", text_col, lengths, span)
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    prints = _fingerprints(keyed.select(F.col(key).alias("_text_key"), text_col), "_text_key", text_col, lengths, span)
     hits = prints.join(item_prints, "fp").select("_text_key", "_item").distinct()
     # per text: the items to look for, each with its text; as many as share a fingerprint with the text
     named = materialise(hits.join(items, "_item").groupBy("_text_key").agg(F.collect_list(F.struct("_item_id", "_item_text")).alias("_items")), "winnow-hits")
-    src = keyed.join(named, "_text_key", "left").select(*docs.columns, "_items")
+    named = named.select(F.col("_text_key").alias(key), F.col("_items").alias(listed_items))
+    src = keyed.join(named, key, "left").select(*docs.columns, listed_items)
     at = docs.columns.index(text_col)
 
     def run(batches):
@@ -179,4 +181,5 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN,
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     """The documents without a window of the benchmark, with their own columns."""
-    return find_contamination(docs, benchmark, span).where("n_hit = 0").select(*docs.columns)
+    safe, restore = set_aside(docs, ("text",))
+    return restore(find_contamination(safe, benchmark, span).where("n_hit = 0"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.llm import textbytes as tb
-from bazaar.llm.shared import materialise
+from bazaar.llm.shared import free_names, materialise
 
 SHINGLE = 5
 THRESHOLD = 75  # percent
@@ -315,9 +315,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Of rows with one id the smallest in column order stays."""
     groups = materialise(near_duplicate_groups(docs, id_col, text_col).select(F.coalesce(F.col(id_col), F.lit(NO_ID)).alias("_doc"), "kept"), "minhash-groups")
+    doc, = free_names(docs.columns, "_doc")
     again = groups.groupBy("_doc").count().where("count > 1").select("_doc")
     gone = groups.where("NOT kept").select("_doc").distinct()
-    keyed = docs.withColumn("_doc", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
-    single = keyed.join(gone.union(again).distinct(), "_doc", "left_anti").select(*docs.columns)
-    several = keyed.join(again.join(gone, "_doc", "left_anti"), "_doc", "left_semi")
-    return single.union(several.groupBy("_doc").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
+    keyed = docs.withColumn(doc, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
+    single = keyed.join(gone.union(again).distinct().withColumnRenamed("_doc", doc), doc, "left_anti").select(*docs.columns)
+    several = keyed.join(again.join(gone, "_doc", "left_anti").withColumnRenamed("_doc", doc), doc, "left_semi")
+    return single.union(several.groupBy(doc).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))

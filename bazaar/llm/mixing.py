@@ -19,7 +19,7 @@ import random
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaar.llm.shared import materialise
+from bazaar.llm.shared import free_names, materialise
 from bazaar.operators.windows import running_sum_by_key
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -63,10 +63,11 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS,
     ``size_col`` names a column that already holds the sizes; then no text is needed."""
     u = random.Random(seed).random()
     added = ("size", "source_size", "target", "copies")
-    sized = docs.withColumn("size", F.col(size_col) if size_col else word_count(F.col("text"))).drop(*added[1:], "_row")
+    sized = docs.withColumn("size", F.col(size_col) if size_col else word_count(F.col("text"))).drop(*added[1:])
     # rows are numbered and written once, so that ranks are found on narrow rows and meet the texts in one join
-    rows = materialise(sized.withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
-    narrow = rows.select("_row", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("_id"), "source", "size")
+    row, = free_names([*docs.columns, *added], "_row")
+    rows = materialise(sized.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    narrow = rows.select(F.col(row).alias("_row"), F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("_id"), "source", "size")
     targets = source_targets(narrow, weights, max_epochs)
     targets = targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     n, t = narrow.alias("n"), targets.alias("t")
@@ -76,8 +77,8 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS,
     ranked = running_sum_by_key(joined, ["_no"], ["size", "_id", "_row"], {"_rank": "_one"})
     upto = lambda k: F.floor(k * F.col("_rate") + F.lit(u))
     copies = (upto(F.col("_rank").cast("double")) - upto((F.col("_rank") - 1).cast("double"))).cast("long")
-    out = rows.join(ranked.select("_row", "source_size", "target", copies.alias("copies")), "_row")
-    return out.select(*[c for c in docs.columns if c not in (*added, "_row")], *added)
+    out = rows.join(ranked.select(F.col("_row").alias(row), "source_size", "target", copies.alias("copies")), row)
+    return out.select(*[c for c in docs.columns if c not in added], *added)
 
 
 def emit_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:

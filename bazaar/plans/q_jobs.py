@@ -533,16 +533,16 @@ def r9c(c):
 
 # ----------------------------------------------------------------------------- R10
 def sale_ledger_from_lines(c):
-    """A SALE ledger for warehouse 0 built from the shipped lines, with QuantityAfter recorded the
-    way the reference's set-based insert does it: one after-value per (order, stock row), taken
+    """A SALE ledger of all warehouses built from the shipped lines (order key modulo 3 tells the warehouse, as in
+    ``order_requests``), with QuantityAfter recorded the way the reference's set-based insert does it: one after-value per (order, stock row), taken
     after the whole order is deducted — so orders with the same variant twice disagree with a
     row-by-row running balance."""
     from bazaar.operators.windows import running_sum_by_key
-    stock = c.stock_level().filter(C("WarehouseID") == 0).select("StockLevelID", "VariantID", "QuantityOnHand")
+    stock = c.stock_level().select("StockLevelID", "WarehouseID", "VariantID", "QuantityOnHand")
     li = c.t.lineitem.select(C("l_orderkey").alias("OrderID"), C("l_linenumber").alias("LineNumber"),
                              C("l_partkey").alias("VariantID"), C("l_quantity").cast("int").alias("Quantity"),
                              C("l_shipdate").alias("MovedAt"))
-    li = li.join(stock, "VariantID").withColumnRenamed("MovedAt", "_ship")
+    li = li.withColumn("WarehouseID", (C("OrderID") % 3).cast(stock.schema["WarehouseID"].dataType)).join(stock, ["VariantID", "WarehouseID"]).withColumnRenamed("MovedAt", "_ship")
     # one movement time per (order, stock row): when the whole order was deducted
     per_order = li.groupBy("StockLevelID", "OrderID").agg(F.min("_ship").alias("MovedAt"),
                                                           F.sum("Quantity").alias("_oq"))
@@ -554,10 +554,10 @@ def sale_ledger_from_lines(c):
 
 
 @query("r10_ledger_reconciliation", """
-WITH st AS (SELECT StockLevelID, VariantID, QuantityOnHand FROM b_stock WHERE WarehouseID = 0),
+WITH st AS (SELECT StockLevelID, WarehouseID, VariantID, QuantityOnHand FROM b_stock),
 li0 AS (SELECT l_orderkey AS OrderID, l_linenumber AS LineNumber, CAST(l_quantity AS INT) AS Quantity,
               l_shipdate AS ship, st.StockLevelID, st.QuantityOnHand
-       FROM lineitem JOIN st ON st.VariantID = l_partkey),
+       FROM lineitem JOIN st ON st.VariantID = l_partkey AND st.WarehouseID = l_orderkey % 3),
 po AS (SELECT StockLevelID, OrderID, min(ship) AS MovedAt,
               sum(sum(Quantity)) OVER (PARTITION BY StockLevelID ORDER BY min(ship), OrderID
                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
@@ -576,7 +576,7 @@ FROM chk WHERE ExpectedAfter IS DISTINCT FROM QuantityAfter""")
 def r10(c):
     """R10 ledger reconciliation: rows whose recorded QuantityAfter differs from opening + running Σ."""
     led = sale_ledger_from_lines(c)
-    opening = c.stock_level().filter(C("WarehouseID") == 0).select("StockLevelID", "QuantityOnHand")
+    opening = c.stock_level().select("StockLevelID", "QuantityOnHand")
     return J.reconcile_ledger(led, opening, ["MovedAt", "ReferenceID", "LineNumber", "QuantityChange"]).drop("_open")
 
 

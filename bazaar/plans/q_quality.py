@@ -225,6 +225,32 @@ def n4(c):
     return N.reconstruct(N.to_3nf(o2, l2))
 
 
+def _both_forms(c):
+    """The 1NF lines, and the lines put together again from 3NF with the price of some orders changed."""
+    o2, l2 = N.to_2nf(_onf(c), _pcat(c))
+    first = _onf(c).select("OrderID", "LineNum", "CustomerName", "CustomerEmail", "CustomerCity", "ProductName", "Quantity", "UnitPrice")
+    back = N.reconstruct(N.to_3nf(o2, l2))
+    return first, back, back.withColumn("UnitPrice", F.when(F.col("OrderID") % 997 == 5, F.col("UnitPrice") + 1).otherwise(F.col("UnitPrice")))
+
+
+@query("n4b_equal_by_range", f"""WITH {_ONF_SQL}
+SELECT OrderID // 500 AS range, count(*)::BIGINT AS left_rows, count(*)::BIGINT AS right_rows, true AS lossless, NOT bool_or(OrderID % 997 = 5) AS unchanged FROM onf GROUP BY 1""")
+def n4b(c):
+    """N4 by digests: the tables are equal in every range of 500 orders, and a planted change shows in its ranges."""
+    first, back, planted = _both_forms(c)
+    same, other = (Q.compare_by_range(first, x, "OrderID", 500) for x in (back, planted))
+    return same.withColumnRenamed("equal", "lossless").join(other.select("range", F.col("equal").alias("unchanged")), "range")
+
+
+@query("n4c_differing_rows", f"""WITH {_ONF_SQL}, bad AS (SELECT * FROM onf WHERE OrderID % 997 = 5)
+SELECT OrderID, LineNum::BIGINT AS LineNum, ProductName, Quantity::BIGINT AS Quantity, (UnitPrice + d)::DOUBLE AS UnitPrice, if(d = 0, 'left_only', 'right_only') AS side
+FROM bad, (VALUES (0), (1)) t(d)""")
+def n4c(c):
+    """The rows that differ, found in the ranges whose digests differ."""
+    first, _, planted = _both_forms(c)
+    return Q.differing_rows(first, planted, "OrderID", 500).select("OrderID", "LineNum", "ProductName", "Quantity", "UnitPrice", F.col("_side").alias("side"))
+
+
 @query("n5_functional_dependency_check", f"""WITH {_ONF_SQL}
 SELECT ProductName, CAST(count(DISTINCT UnitPrice) AS BIGINT) AS distinct_values FROM onf
 GROUP BY ProductName HAVING count(DISTINCT UnitPrice) > 1""")

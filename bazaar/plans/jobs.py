@@ -55,30 +55,21 @@ def sales_summary(orders, lines, variants, products, addresses, cities, vendors,
              .join(addresses.select(C("AddressID").alias("ShippingAddressID"), "CityID"), "ShippingAddressID")
              .select("OrderID", C("PlacedAt").cast("date").alias("SummaryDate"), "SubtotalAmount", "DiscountAmount",
                      "TotalAmount", "CityID"))
-    order_cols = ["OrderID", "SummaryDate", "SubtotalAmount", "DiscountAmount", "TotalAmount", "CityID"]
-    line_facts = (lines.select("OrderID", "VariantID", "Quantity", "LineTotal")
-                  .join(facts, "OrderID")
-                  .join(variants.select("VariantID", "ProductID"), "VariantID")
-                  .join(products.select("ProductID", "VendorID", "CategoryID"), "ProductID")
-                  .groupBy(*order_cols, "ProductID", "VendorID", "CategoryID")
-                  .agg(F.sum("Quantity").alias("LineItemCount"), F.sum("LineTotal").alias("LineRevenue")))
-    df = (line_facts.join(cities.select("CityID", "ProvinceID"), "CityID")
+    # lines of these orders; all grouping up to the order's amounts stays in the partitions of the order key
+    mine = (lines.select("OrderID", "VariantID", "Quantity", "LineTotal").join(facts.select("OrderID"), "OrderID", "left_semi")
+            .join(variants.select("VariantID", "ProductID"), "VariantID")
+            .join(products.select("ProductID", "VendorID", "CategoryID"), "ProductID"))
+    per_product = mine.groupBy("OrderID", "ProductID", "VendorID", "CategoryID").agg(F.sum("Quantity").alias("_items"), F.sum("LineTotal").alias("_rev"))
+    # one row a (group, order): an order has one day and one province, so counting rows counts orders
+    per_order = per_product.groupBy("OrderID", "VendorID", "CategoryID").agg(F.count(F.lit(1)).cast("decimal(10,0)").alias("_n"), F.sum("_items").alias("_items"), F.sum("_rev").alias("_rev"))
+    df = (per_order.join(facts, "OrderID").join(cities.select("CityID", "ProvinceID"), "CityID")
           .join(vendors.select("VendorID", "CommissionRate"), "VendorID"))
-    keys = ["SummaryDate", "VendorID", "CategoryID", "ProvinceID"]
+    times = F.lit(1).cast("decimal(10,0)") if line_grain else C("_n")
     commission = C("TotalAmount") * C("CommissionRate") * _cent()
-    if not line_grain:
-        return df.groupBy(*keys).agg(
-            F.count_distinct("OrderID").alias("OrderCount"), F.sum("LineItemCount").alias("LineItemCount"),
-            F.sum("SubtotalAmount").alias("GrossRevenue"), F.sum("DiscountAmount").alias("DiscountTotal"),
-            F.sum("TotalAmount").alias("NetRevenue"), F.sum(commission).alias("Commission"))
-    per_order = df.groupBy(*keys, "OrderID").agg(
-        F.sum("LineItemCount").alias("_items"), F.sum("LineRevenue").alias("_rev"),
-        F.first("DiscountAmount").alias("_disc"), F.first("TotalAmount").alias("_tot"),
-        F.first(commission).alias("_comm"))
-    return per_order.groupBy(*keys).agg(
+    return df.groupBy(*GOLD_KEYS).agg(
         F.count(F.lit(1)).alias("OrderCount"), F.sum("_items").alias("LineItemCount"),
-        F.sum("_rev").alias("GrossRevenue"), F.sum("_disc").alias("DiscountTotal"),
-        F.sum("_tot").alias("NetRevenue"), F.sum("_comm").alias("Commission"))
+        F.sum("_rev" if line_grain else C("SubtotalAmount") * times).alias("GrossRevenue"), F.sum(C("DiscountAmount") * times).alias("DiscountTotal"),
+        F.sum(C("TotalAmount") * times).alias("NetRevenue"), F.sum(commission * times).alias("Commission"))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], values: list[str], computed_at,

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaar.operators import dependencies as DEP
 from bazaar.operators import quality as Q
 from bazaar.plans import normalise as N
 from bazaar.plans.catalog import query
@@ -225,6 +226,34 @@ def n4(c):
     return N.reconstruct(N.to_3nf(o2, l2))
 
 
+#: what holds in the order lines: the names on the left determine those on the right
+ORDER_DEPENDENCIES = [(("OrderID",), ("CustomerEmail", "CustomerName")), (("CustomerEmail",), ("CustomerName", "CustomerCity")),
+                      (("OrderID", "LineNum"), ("ProductName", "Quantity", "UnitPrice", "CustomerEmail"))]
+
+
+@query("n3b_synthesised_relations", f"""WITH {_ONF_SQL}
+SELECT 'OrderID' AS KeyColumns, 'OrderID,CustomerEmail' AS Columns, count(*)::BIGINT AS Rows, 0::BIGINT AS Violations FROM (SELECT DISTINCT OrderID, CustomerEmail FROM onf)
+UNION ALL SELECT 'CustomerEmail', 'CustomerEmail,CustomerName,CustomerCity', count(*), 0 FROM (SELECT DISTINCT CustomerEmail, CustomerName, CustomerCity FROM onf)
+UNION ALL SELECT 'OrderID,LineNum', 'OrderID,LineNum,ProductName,Quantity,UnitPrice', count(*), 0 FROM (SELECT DISTINCT OrderID, LineNum, ProductName, Quantity, UnitPrice FROM onf)""")
+def n3b(c):
+    """N3 from dependencies: the relations that synthesis gives for the 1NF lines, their rows and keys that are not unique."""
+    lines = _onf(c).select("OrderID", "LineNum", "CustomerName", "CustomerEmail", "CustomerCity", "ProductName", "Quantity", "UnitPrice")
+    relations = DEP.synthesise(lines.columns, ORDER_DEPENDENCIES)
+    parts = DEP.split(lines, relations)
+    rows = [p.agg(F.count(F.lit(1)).alias("Rows")).select(F.lit(",".join(r.key)).alias("KeyColumns"), F.lit(",".join(r.columns)).alias("Columns"), "Rows", v.agg(F.count(F.lit(1))).scalar().alias("Violations"))
+            for p, r, v in zip(parts, relations, DEP.key_violations(parts, relations))]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query("n4d_rejoined_relations", f"""WITH {_ONF_SQL}
+SELECT OrderID, LineNum::BIGINT AS LineNum, CustomerName, CustomerEmail, CustomerCity, ProductName, Quantity::BIGINT AS Quantity, UnitPrice::DOUBLE AS UnitPrice FROM onf""")
+def n4d(c):
+    """N4 from dependencies: the 1NF lines put together again from the relations that synthesis gives."""
+    lines = _onf(c).select("OrderID", "LineNum", "CustomerName", "CustomerEmail", "CustomerCity", "ProductName", "Quantity", "UnitPrice")
+    relations = DEP.synthesise(lines.columns, ORDER_DEPENDENCIES)
+    return DEP.rejoin(DEP.split(lines, relations), relations, ORDER_DEPENDENCIES).select(*lines.columns)
+
+
 def _both_forms(c):
     """The 1NF lines, and the lines put together again from 3NF with the price of some orders changed."""
     o2, l2 = N.to_2nf(_onf(c), _pcat(c))

@@ -3,10 +3,11 @@
 import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from bazaar.operators.windows import ends_by_key, global_order, neighbours_by_key, ntile_closed_form, rank_by_key, running_sum_by_key
+from bazaar.operators.windows import ends_by_key, global_order, neighbours_by_key, ntile_closed_form, rank_by_key, running_sum_by_key, scan_by_key
 
 
 def _rows(df, cols):
@@ -86,3 +87,19 @@ def test_ends_by_key_match_plain_windows(spark):
     want = df.select("id", F.first("s").over(w).alias("f"), F.last("s").over(w).alias("l"))
     got = ends_by_key(df, ["key"], ["at", "id"], firsts={"f": "s"}, lasts={"l": "s"}).select("id", "f", "l")
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 16])
+def test_scan_by_key_equals_plain_windows(spark, buckets):
+    """One key holds over half of the rows, one (key, day) more rows than a bucket; nulls in keys, days and values."""
+    rng = random.Random(buckets)
+    rows = [(rng.choice([1, 1, 1, 2, None, 3]), rng.choice([5, 5, 5, 6, 7, None, 9]), i, rng.choice([None, i % 9])) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, d long, i long, v long").repartition(5)
+    got = scan_by_key(df, ["k"], ["d", "i"], number="n", lags={"pd": "d", "pv": "v"}, sums={"s": "v"}, firsts={"fd": "d"}, through=("u", "d"), buckets=buckets)
+    w = Window.partitionBy("k").orderBy("d", "i")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = (df.withColumn("n", F.row_number().over(w)).withColumn("pd", F.lag("d").over(w)).withColumn("pv", F.lag("v").over(w)).withColumn("s", F.sum("v").over(run))
+            .withColumn("fd", F.first("d").over(run)).withColumn("u", F.count(F.lit(1)).over(Window.partitionBy("k").orderBy("d").rangeBetween(Window.unboundedPreceding, 0))))
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(key, got.select(want.columns).collect())) == sorted(map(key, want.collect()))
+    assert scan_by_key(df.limit(0), ["k"], ["d", "i"], number="n", sums={"s": "v"}, through=("u", "d")).collect() == []

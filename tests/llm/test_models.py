@@ -187,6 +187,15 @@ def test_quality_keeps_clean_and_drops_junk(spark, no_docs):
 
 # --- toxicity ---
 
+def fitted(texts, y):
+    slot, doc = toxicity.distinct_slots(*toxicity.hashed_terms(*slice_of(texts), tb.Powers()))
+    return toxicity.FactorizationMachine().fit(slot, np.searchsorted(doc, np.arange(len(texts) + 1)), y)
+
+
+def slots_of(text):
+    return toxicity.distinct_slots(*toxicity.hashed_terms(*slice_of([text]), tb.Powers()))[0].tolist()
+
+
 def test_pairs_count_where_single_words_do_not():
     """Insult with group is toxic, either alone is not: no additive score separates these."""
     rng = random.Random(9)
@@ -199,16 +208,43 @@ def test_pairs_count_where_single_words_do_not():
         texts.append(" ".join(w)), y.append(float(a and b))
     pw = tb.Powers()
     buf, offs = slice_of(texts)
-    h, doc = toxicity._distinct(*toxicity.hashed_terms(buf, offs, pw))
-    y = np.array(y)
-    u, inv, n = np.unique(h, return_inverse=True, return_counts=True)
-    z = toxicity.shift(n.astype(float), np.bincount(inv, y[doc], len(u)), y.mean())
-    model = toxicity.FactorizationMachine().fit(h, doc, y, u[z >= toxicity.MIN_SHIFT])
+    model = fitted(texts, np.array(y))
+    pw = tb.Powers()
     probe = ["river insultword stone", "river groupword stone", "groupword light insultword river", "river stone", "", "INSULTWORD groupword"]
     s = model.score(*toxicity.hashed_terms(*slice_of(probe), pw), len(probe))
     assert s[2] > 0.3 and s[5] > 0.3 and max(s[0], s[1], s[3], s[4]) < 0.3 and s.shape == (6,)
 
 
+def test_a_group_word_at_base_rate_is_learnt_with_its_insult():
+    """The group word is as common in clean as in toxic texts; what it does depends on its company."""
+    rng = random.Random(4)
+    texts, y, group = [], [], []
+    for _ in range(4000):
+        a, o, g = rng.random() < 0.1, rng.random() < 0.1, rng.random() < 0.5
+        w = prose(rng, 25).split() + ["insultword"] * a + ["otherword"] * o + ["groupword"] * g
+        rng.shuffle(w)
+        texts.append(" ".join(w)), y.append(float(a and g or o and not g)), group.append(g)
+    y, group = np.array(y), np.array(group)
+    n, rate = group.sum(), y.mean()
+    assert abs(y[group].sum() - n * rate) / (n * rate * (1 - rate)) ** 0.5 < 2.5
+    model = fitted(texts, y)
+    probe = ["river insultword stone", "river insultword stone groupword", "river otherword stone", "otherword groupword river", "groupword river", "river"]
+    s = model.score(*toxicity.hashed_terms(*slice_of(probe), tb.Powers()), len(probe))
+    assert min(s[1], s[2]) > 0.7 and max(s[0], s[3], s[4], s[5]) < 0.3
+
+
+def test_score_is_the_plain_sum_over_terms_and_pairs():
+    rng = random.Random(7)
+    texts = [prose(rng, 12) + (" vileword" if i % 3 == 0 else "") for i in range(600)]
+    model = fitted(texts, np.array([float(i % 3 == 0) for i in range(600)]))
+    probe = texts[:20] + ["", "vileword vileword", "unseen"]
+    got = model.score(*toxicity.hashed_terms(*slice_of(probe), tb.Powers()), len(probe))
+    for text, p in zip(probe, got):
+        rows = [model.weights[model.place[s]].astype(float) for s in slots_of(text) if model.place[s] >= 0]
+        z = model.w0 + sum(r[0] for r in rows) + sum(float(rows[i][1:] @ rows[j][1:]) for i in range(len(rows)) for j in range(i))
+        assert p == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-9)
+
+
 def test_toxicity_of_held_out_documents(spark, docs, no_docs):
     d, labels = read_table(spark, SF_LARGE, "documents").select("doc_id", "text"), read_table(spark, SF_LARGE, "labels")
     model = toxicity.train(d, labels.where(id_remainder(4) != 2))

@@ -323,6 +323,22 @@ def test_word_model_matches_brute_force(spark, docs, batch_bytes):
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in out)
 
 
+def test_subword_counts_cover_all_training_texts(spark):
+    """Also those outside of the sample, and each text's end."""
+    rows = [(i, f"alpha beta gamma{i}" if i % 3 else None, i % 5 != 0) for i in range(60)]
+    ranks = lm.load_vocabulary()
+    end_id, shared, sub = max(ranks.values()) + 1, lm.Shipped(spark, ranks), lm.Subwords(ranks)
+    keyed = spark.createDataFrame(rows, "doc long, text string, train boolean").selectExpr("CAST(doc % 4 AS int) AS batch", "doc", "train", "text")
+    sent = keyed.groupBy("batch").applyInArrow(lm._send_words(2, shared, end_id), "part int, batch int, words binary, counts binary")
+    got = lm._all_ids(sent.groupBy("part").applyInArrow(lm._add_words, "batch int, part int, known long, totals binary, size int"), end_id)
+    want = np.zeros(end_id + 1)
+    for _, t, train in rows:
+        if train:
+            np.add.at(want, sub.encode([w.encode() for w in (t or "").split()])[0], 1)
+            want[end_id] += 1
+    assert got.tolist() == want.tolist()
+
+
 def test_attention_model_learns_and_empty_tables(spark, no_docs):
     d = read_table(spark, SF_SMALL, "documents").withColumn("train", id_remainder(7) != 2)
     out = [r for r in lm.score_texts(d, "train").collect() if not r["train"]]

@@ -182,4 +182,4 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN,
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     """The documents without a window of the benchmark, with their own columns."""
     safe, restore = set_aside(docs, ("text",))
-    return restore(find_contamination(safe, benchmark, span).where("n_hit = 0"))
+    return restore(find_contamination(safe, benchmark, span).where("n_hit = 0").select(*safe.columns))

@@ -25,6 +25,10 @@ a transfer). Running sums per resource are split over range buckets (hot resourc
 the buckets and their edges are fixed once, each round's state is checkpointed to the shared folder, and
 resources without pending requests leave the rounds.
 
+Where requests of different values of a column never share a resource (transfers of different variants), each value's
+requests are decided in order by one pass over the sorted rows, all values side by side, without rounds; a value with more
+than ``MAX_PREFIX`` demands takes the rounds, so no task folds more than that for one value.
+
 Demands carry a ``level``: levels are checked in order (e.g. 0 = discount usage, 1 = stock), the
 rejection reason is the first failing level, exactly like checks that run one after another.
 """
@@ -34,8 +38,10 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaar.operators.windows import bucket_edges, bucketize, running_sum_by_key, running_sum_in_buckets
 from bazaar.session import ensure_checkpoint_dir
@@ -82,6 +88,60 @@ def _fold_prefix(pending: DataFrame, order: list[str], size: int, reasons: dict[
     return rows.mapInPandas(fold, f"RequestID {kind}, _first string, _reason string")
 
 
+def _fold_apart(d: DataFrame, apart: str, order: list[str], reasons: dict[int, str]) -> DataFrame:
+    """``d`` with status, reason, consumed_before and _head (first row of its request): each value of ``apart`` is decided on
+    its own, its requests one after the other. A task keeps one value's state and one batch of rows."""
+    parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = d.repartition(parts, apart).sortWithinPartitions(apart, *order, "level")
+    at = [d.columns.index(c) for c in (apart, "RequestID", "level", "resource", "qty", "capacity")]
+    names = [*d.columns, "status", "reason", "consumed_before", "_head"]
+
+    def fold(batches):
+        now, taken, rest = None, {}, None
+
+        def decide(t):
+            nonlocal now, taken
+            group, ids, level, resource, qty, capacity = (t.column(i).to_pylist() for i in at)
+            status, reason, before, head = [], [], [], []
+            i, n = 0, len(ids)
+            while i < n:
+                j = i + 1
+                while j < n and ids[j] == ids[i] and group[j] == group[i]:
+                    j += 1
+                if not taken or group[i] != now:
+                    now, taken = group[i], {}
+                mine = range(i, j)
+                acc = [taken.get(resource[k], 0) for k in mine]
+                why = next((level[k] for k, a in zip(mine, acc) if qty[k] > 0 and a + qty[k] > capacity[k]), None)
+                if why is None:
+                    for k in mine:
+                        taken[resource[k]] = taken.get(resource[k], 0) + qty[k]
+                status += [ACCEPTED if why is None else REJECTED] * (j - i)
+                reason += [reasons.get(why)] * (j - i)
+                before += acc
+                head += [True] + [False] * (j - i - 1)
+                i = j
+            added = [pa.array(status, pa.string()), pa.array(reason, pa.string()), pa.array(before, pa.int64()), pa.array(head, pa.bool_())]
+            return pa.Table.from_arrays([*t.columns, *added], names).combine_chunks().to_batches()
+
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([rest, t]) if rest is not None else t
+            ids = t.column(at[1]).to_pylist()
+            cut = len(ids)
+            while cut and ids[cut - 1] == ids[-1]:  # the last request may go on in the next batch
+                cut -= 1
+            rest = t.slice(cut)
+            if cut:
+                yield from decide(t.slice(0, cut))
+        if rest is not None and rest.num_rows:
+            yield from decide(rest)
+
+    more = "status string, reason string, consumed_before long, _head boolean"
+    fields = [T.StructField(f.name, f.dataType, True) for f in d.schema.fields]
+    return rows.mapInArrow(fold, T.StructType(fields + T._parse_datatype_string(more).fields))
+
+
 def _decide(per: DataFrame, reasons: dict[int, str]) -> DataFrame:
     """(RequestID, _new, _why) from (RequestID, level, pass, fail): the first surely failing level rejects,
     any unsure level before it defers."""
@@ -99,21 +159,41 @@ def _decide(per: DataFrame, reasons: dict[int, str]) -> DataFrame:
     return folded.select("RequestID", decision.when(before, ACCEPTED).otherwise(PENDING).alias("_new"), reason.alias("_why"))
 
 
+def _with_capacity(demands: DataFrame, capacities: DataFrame, order: list[str], *kept: str) -> DataFrame:
+    # dealt by request before they are summed: rarely do two rows fall together, so a scan's task had kept all of its own
+    demands = demands.repartition("RequestID").groupBy("RequestID", *[o for o in order if o != "RequestID"], *kept, "level", "resource").agg(F.sum("qty").alias("qty"))
+    return (demands.join(capacities, "resource", "left")
+            .withColumn("capacity", F.coalesce(C("capacity"), F.lit(0)).cast("bigint"))
+            .withColumn("qty", C("qty").cast("bigint")))
+
+
+def _allocate_apart(demands, capacities, reasons, order, apart, **how) -> tuple[DataFrame, DataFrame]:
+    large = demands.groupBy(apart).count().filter(C("count") > MAX_PREFIX).select(apart).checkpoint(eager=True)
+    final = _fold_apart(_with_capacity(demands.join(large, apart, "left_anti"), capacities, order, apart), apart, order, reasons).checkpoint(eager=True)
+    status, final = final.filter("_head").select("RequestID", "status", "reason"), final.drop("_head", "reason")
+    if not large.isEmpty():
+        hot = demands.join(large, apart, "left_semi")
+        more, rest = allocate(hot, capacities, reasons, tuple(order), **how)
+        status = status.unionByName(more)
+        final = final.unionByName(rest.join(hot.select("RequestID", apart).distinct(), "RequestID").select(*final.columns))
+    return status, final
+
+
 def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str],
              order: tuple[str, ...] = ("RequestedAt", "RequestID"), max_rounds: int = 10_000,
-             plain_windows: bool = False, rounds: list | None = None) -> tuple[DataFrame, DataFrame]:
+             plain_windows: bool = False, rounds: list | None = None, apart: str | None = None) -> tuple[DataFrame, DataFrame]:
     """``demands``: (RequestID, *order, level, resource, qty), qty < 0 supplies; ``capacities``: (resource,
     capacity). Resources without a capacity row have capacity 0. Returns (decisions, final demands):
     decisions = (RequestID, status, reason); final demands add ``consumed_before`` (net accepted demand on the
     resource before this request) for ledger building. Raises if ``max_rounds`` do not decide all. ``rounds`` collects
-    the number of requests still pending after every round."""
+    the number of requests still pending after every round. ``apart``: a column of ``demands`` of which every request has one
+    value, such that requests of different values share no resource; it stays in the final demands."""
     ensure_checkpoint_dir(demands.sparkSession)
     order = list(dict.fromkeys(order))
+    if apart is not None:
+        return _allocate_apart(demands, capacities, reasons, order, apart, max_rounds=max_rounds, plain_windows=plain_windows, rounds=rounds)
     # one row per (request, resource): repeated lines of the same variant are one demand
-    demands = demands.groupBy("RequestID", *[o for o in order if o != "RequestID"], "level", "resource").agg(F.sum("qty").alias("qty"))
-    d = (demands.join(capacities, "resource", "left")
-         .withColumn("capacity", F.coalesce(C("capacity"), F.lit(0)).cast("bigint"))
-         .withColumn("qty", C("qty").cast("bigint")))
+    d = _with_capacity(demands, capacities, order)
     # materialise the demands once, range-bucketed by (resource, order): every round reuses them
     d = d.checkpoint(eager=True) if plain_windows else bucketize(d, ["resource"], order)
     edges = None if plain_windows else bucket_edges(d, ["resource"])

@@ -25,6 +25,12 @@ DEFAULTS = {
     # remove reliable checkpoint files once their DataFrames are no longer referenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
+#: Planner sizes. A Parquet file's size says little about its rows in memory (dictionaries, compression, rows that are exploded later), so
+#: tables of millions of rows would be planned as broadcasts, built on the driver and held by every task. What turns out
+#: small after a shuffle is still broadcast by adaptive execution, which knows its true size.
+SIZES = {"spark.sql.sources.fileCompressionFactor": "30",
+         # shuffled bytes are compressed: a task's rows take some ten times as much when it sorts or groups them
+         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -45,9 +51,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the correctness-relevant defaults to an existing session (timezone only if unset)."""
+    """Apply the correctness-relevant defaults to an existing session (only what is unset)."""
     if not spark.conf.get("spark.sql.session.timeZone", None):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for k, v in SIZES.items():
+        if not spark.conf.get(k, None):
+            spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -121,3 +121,31 @@ def test_prefixes_agree_with_the_bounds(spark, monkeypatch):
     rounds = []
     _compare(spark, reqs + chain, caps | more, rounds=rounds)
     assert len(rounds) > 3
+
+
+@pytest.mark.parametrize("most", [1 << 16, 40])
+def test_variants_apart_match_sequential(spark, monkeypatch, most):
+    """Requests of one variant in order, variants side by side in few jobs; variants of many demands take the rounds."""
+    from bazaar.operators import allocation
+    monkeypatch.setattr(allocation, "MAX_PREFIX", most)
+    rng = random.Random(5)
+    base = dt.datetime(2024, 1, 1)
+    caps = {f"W{w}:{v}": rng.randint(0, 12) for w in range(3) for v in [*range(6), None]}
+    reqs = []
+    for i in range(240):
+        v, (a, b) = rng.choice([0, 0, 0, 1, 2, 3, 4, 5, None]), rng.sample(range(4), 2)
+        q, t = rng.randint(1, 9), base + dt.timedelta(minutes=rng.randint(0, 90))
+        reqs.append({"id": i, "key": (t, i), "t": t, "v": v, "demands": [(0, f"W{a}:{v}", q), (0, f"W{b}:{v}", -q)]})
+    rows = [(r["id"], r["t"], r["v"], lv, res, q) for r in reqs for lv, res, q in r["demands"]]
+    demands = spark.createDataFrame(rows, "RequestID long, RequestedAt timestamp_ntz, v long, level int, resource string, qty long")
+    capacities = spark.createDataFrame(list(caps.items()), "resource string, capacity long")
+    rounds = []
+    status, final = allocate(demands, capacities, {0: "INSUFFICIENT_STOCK"}, rounds=rounds, apart="v")
+    assert {r.RequestID: (r.status, r.reason) for r in status.collect()} == sequential_reference(reqs, caps, {0: "INSUFFICIENT_STOCK"})
+    assert bool(rounds) == (most == 40)
+    key = {r["id"]: r["key"] for r in reqs}
+    taken, got = {}, final.collect()
+    assert len(got) == len(rows)
+    for r in sorted(got, key=lambda r: key[r.RequestID]):
+        assert r.consumed_before == taken.get(r.resource, 0)
+        taken[r.resource] = taken.get(r.resource, 0) + (r.qty if r.status == ACCEPTED else 0)

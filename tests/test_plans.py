@@ -58,3 +58,13 @@ def test_no_python_in_relational_queries(spark):
                  "d2_weighted_text_search", "r8_restock_changes"]:
         plan = _plan(spark, name)
         assert "EvalPython" not in plan and "MapInPandas" not in plan, name
+
+
+def test_small_files_of_many_rows_are_no_broadcasts(spark, tmp_path):
+    """A table of a million rows in a file of some MB is not planned as a broadcast from its file's size."""
+    from bazaar.session import configure
+    configure(spark)
+    spark.range(1_000_000).selectExpr("id", "id % 3 AS w").coalesce(1).write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    plan = t.join(t.selectExpr("id", "w AS v"), "id")._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan

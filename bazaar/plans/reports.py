@@ -21,9 +21,9 @@ def _line_facts(lines, orders, variants, products, order_cols=("OrderID",), prod
     o = orders.filter(not_cancelled()) if only_valid else orders
     o = o.select(*dict.fromkeys(("OrderID",) + tuple(order_cols)))
     ln = lines.drop("ProductID") if "ProductID" in lines.columns else lines
-    return (ln.join(o, "OrderID")
-            .join(variants.select("VariantID", "ProductID"), "VariantID")
-            .join(products.select(*dict.fromkeys(("ProductID",) + tuple(product_cols))), "ProductID"))
+    # the products come to their variants first: every join of the lines moves all of them once more
+    v = variants.select("VariantID", "ProductID").join(products.select(*dict.fromkeys(("ProductID",) + tuple(product_cols))), "ProductID")
+    return ln.join(o, "OrderID").join(v, "VariantID")
 
 
 # --------------------------------------------------------------------------- X1
@@ -122,15 +122,16 @@ def order_product_summary(orders, customers, lines, variants, products, as_of, d
 
 # --------------------------------------------------------------------------- X8 / X9
 def _geo_facts(lines, orders, variants, products, categories, addresses, cities, provinces, vendors=None):
-    facts = _line_facts(lines, orders, variants, products, order_cols=("ShippingAddressID", "CustomerID"),
-                        product_cols=("CategoryID", "VendorID"))
-    facts = (facts.join(categories.select("CategoryID", "CategoryName"), "CategoryID")
-             .join(addresses.select(C("AddressID").alias("ShippingAddressID"), "CityID"), "ShippingAddressID")
-             .join(cities.select("CityID", "ProvinceID"), "CityID")
-             .join(provinces.select("ProvinceID", "ProvinceName"), "ProvinceID"))
+    # what belongs to an order and to a product is joined before the lines, which are moved for these two alone
+    places = (addresses.select(C("AddressID").alias("ShippingAddressID"), "CityID")
+              .join(cities.select("CityID", "ProvinceID"), "CityID")
+              .join(provinces.select("ProvinceID", "ProvinceName"), "ProvinceID"))
+    products = products.select("ProductID", "CategoryID", "VendorID").join(categories.select("CategoryID", "CategoryName"), "CategoryID")
     if vendors is not None:
-        facts = facts.join(vendors.select("VendorID", "VendorName"), "VendorID")
-    return facts
+        products = products.join(vendors.select("VendorID", "VendorName"), "VendorID")
+    named = ["CategoryName", *(["VendorName"] if vendors is not None else [])]
+    orders = orders.filter(not_cancelled()).select("OrderID", "CustomerID", "ShippingAddressID").join(places.select("ShippingAddressID", "ProvinceName"), "ShippingAddressID")
+    return _line_facts(lines, orders, variants, products, order_cols=("CustomerID", "ProvinceName"), product_cols=named, only_valid=False)
 
 
 def province_category_rollup(lines, orders, variants, products, categories, addresses, cities, provinces) -> DataFrame:

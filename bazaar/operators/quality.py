@@ -137,12 +137,17 @@ def compare_by_range(a: DataFrame, b: DataFrame, key: str, width: int) -> DataFr
     def hashed(df, left):
         cols = [C(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in a.schema.fields]
         flags = [C(f"`{f.name}`").isNull() for f in a.schema.fields]
-        return df.select(F.floor(C(key) / width).cast("bigint").alias("range"), F.lit(left).alias("_l"), F.xxhash64(*cols, *flags).cast("decimal(20,0)").alias("_h"),
-                         F.xxhash64(F.lit("second"), *flags, *reversed(cols)).cast("decimal(20,0)").alias("_g"))
+        # the halves of a 64-bit hash are summed on their own: their sums stay whole numbers of 64 bits
+        h, g = F.xxhash64(*cols, *flags), F.xxhash64(F.lit("second"), *flags, *reversed(cols))
+        halves = {"_h0": F.shiftrightunsigned(h, 32), "_h1": h.bitwiseAND(0xFFFFFFFF), "_g0": F.shiftrightunsigned(g, 32), "_g1": g.bitwiseAND(0xFFFFFFFF)}
+        return df.select(F.floor(C(key) / width).cast("bigint").alias("range"), F.lit(left).alias("_l"), *[(v * left).alias(n) for n, v in halves.items()])
     both = hashed(a, 1).unionByName(hashed(b, -1))
-    g = both.groupBy("range").agg(F.count(F.when(C("_l") == 1, 1)).alias("left_rows"), F.count(F.when(C("_l") == -1, 1)).alias("right_rows"),
-                                  F.sum(C("_h") * C("_l")).alias("_h"), F.sum(C("_g") * C("_l")).alias("_g"))
-    return g.select("range", "left_rows", "right_rows", ((C("left_rows") == C("right_rows")) & (C("_h") == 0) & (C("_g") == 0)).alias("equal"))
+    sums = ["_h0", "_h1", "_g0", "_g1"]
+    g = both.groupBy("range").agg(F.count(F.when(C("_l") == 1, 1)).alias("left_rows"), F.count(F.when(C("_l") == -1, 1)).alias("right_rows"), *[F.sum(n).alias(n) for n in sums])
+    same = C("left_rows") == C("right_rows")
+    for n in sums:
+        same = same & (C(n) == 0)
+    return g.select("range", "left_rows", "right_rows", same.alias("equal"))
 
 
 def differing_rows(a: DataFrame, b: DataFrame, key: str, width: int) -> DataFrame:
@@ -150,5 +155,10 @@ def differing_rows(a: DataFrame, b: DataFrame, key: str, width: int) -> DataFram
     differ (``compare_by_range``) are compared row by row."""
     bad = compare_by_range(a, b, key, width).filter(~C("equal")).select(C("range").alias("_r"))
     cols = [C(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in a.schema.fields]
-    a, b = (x.select(*cols).join(bad, F.floor(C(key) / width).eqNullSafe(C("_r")), "left_semi") for x in (a, b))
-    return a.exceptAll(b).withColumn("_side", F.lit("left_only")).unionByName(b.exceptAll(a).withColumn("_side", F.lit("right_only")))
+    # one count of both sides' rows; an inner join (ranges are distinct), as a semi-join would be planned once a side with all of bad
+    signed = a.select(*cols, F.lit(1).alias("_n")).unionByName(b.select(*cols, F.lit(-1).alias("_n")))
+    signed = signed.join(bad, F.floor(C(key) / width).cast("bigint").eqNullSafe(C("_r")))
+    n = signed.groupBy(*[C(f"`{f.name}`") for f in a.schema.fields]).agg(F.sum("_n").alias("_n")).filter(C("_n") != 0)
+    side = F.when(C("_n") > 0, "left_only").otherwise("right_only")
+    n = n.withColumn("_side", side).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("_n"))))
+    return n.select(*[C(f"`{f.name}`") for f in a.schema.fields], "_side")

@@ -46,3 +46,13 @@ def test_empty(spark):
     a = frame(spark, BASE)
     assert compare_by_range(a.limit(0), a.limit(0), "k", 10).collect() == []
     assert not any(r["equal"] for r in compare_by_range(a, a.limit(0), "k", 10).collect())
+
+
+def test_differing_rows_makes_each_side_twice_only(spark):
+    """Once for the digests and once for the rows; exact counts of copies, of both sides and with nulls."""
+    a, b = frame(spark, [*BASE, *BASE[:2]]), frame(spark, BASE[1:])
+    got = sorted(map(tuple, differing_rows(a, b, "k", 10).collect()), key=str)
+    want = sorted(map(tuple, a.exceptAll(b).selectExpr("*", "'left_only'").union(b.exceptAll(a).selectExpr("*", "'right_only'")).collect()), key=str)
+    assert got == want and got
+    plan = differing_rows(a, b, "k", 10)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 4

@@ -29,6 +29,9 @@ Where requests of different values of a column never share a resource (transfers
 requests are decided in order by one pass over the sorted rows, all values side by side, without rounds; a value with more
 than ``MAX_PREFIX`` demands takes the rounds, so no task folds more than that for one value.
 
+Where the caller says that demands only take, a request that asks for more of a resource than there ever is leaves at once: its
+rejection is certain, and only its demands of earlier levels stay, to find the reason. They count in nobody's bounds.
+
 Demands carry a ``level``: levels are checked in order (e.g. 0 = discount usage, 1 = stock), the
 rejection reason is the first failing level, exactly like checks that run one after another.
 """
@@ -39,7 +42,7 @@ from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,20 +57,22 @@ PREFIX, MAX_PREFIX = 1 << 11, 1 << 16
 
 def _fold_prefix(pending: DataFrame, order: list[str], size: int, reasons: dict[int, str]) -> DataFrame:
     """(RequestID, _first, _reason) of the first ``size`` pending requests, decided one after the other. ``pending`` has the
-    net accepted demand before each row in ``_acc``."""
+    net accepted demand before each row in ``_acc`` and the level at which the request certainly fails in ``_bad``."""
     first = pending.select(*order).distinct().orderBy(*order).limit(size)
     match = [C(o).eqNullSafe(C(f"_o_{o}")) for o in order]
     rows = pending.join(first.select(*[C(o).alias(f"_o_{o}") for o in order]), reduce(lambda a, b: a & b, match), "left_semi")
-    rows = rows.select(*order, "level", "resource", "qty", "_acc", "capacity").repartition(1).sortWithinPartitions(*order, "level")
+    rows = rows.select(*order, "level", "resource", "qty", "_acc", "capacity", F.coalesce("_bad", F.lit(-1)).alias("_bad")).repartition(1).sortWithinPartitions(*order, "level")
     names = {lv: why for lv, why in reasons.items()}
 
     def fold(batches):
         taken, current, lines = {}, None, []
 
         def decide():
-            why = next((lv for lv, res, qty, acc, cap in lines if qty > 0 and acc + taken.get(res, 0) + qty > cap), None)
+            why = next((lv for lv, res, qty, acc, cap, _ in lines if qty > 0 and acc + taken.get(res, 0) + qty > cap), None)
+            if why is None and lines[0][-1] >= 0:
+                why = lines[0][-1]
             if why is None:
-                for _, res, qty, _, _ in lines:
+                for _, res, qty, _, _, _ in lines:
                     taken[res] = taken.get(res, 0) + qty
             return current, REJECTED if why is not None else ACCEPTED, names.get(why)
 
@@ -143,12 +148,12 @@ def _fold_apart(d: DataFrame, apart: str, order: list[str], reasons: dict[int, s
 
 
 def _decide(per: DataFrame, reasons: dict[int, str]) -> DataFrame:
-    """(RequestID, _new, _why) from (RequestID, level, pass, fail): the first surely failing level rejects,
-    any unsure level before it defers."""
+    """(RequestID, _new, _why) from (RequestID, level, pass, fail, _bad): the first surely failing level rejects (``_bad`` fails
+    for sure), any unsure level before it defers."""
     levels = sorted(reasons)
     folded = per.groupBy("RequestID").agg(
-        *[F.max(F.when(C("level") == lv, C("pass"))).alias(f"p{lv}") for lv in levels],
-        *[F.max(F.when(C("level") == lv, C("fail"))).alias(f"f{lv}") for lv in levels])
+        *[F.max(F.when(C("level") == lv, C("pass")).when(C("_bad") == lv, 0)).alias(f"p{lv}") for lv in levels],
+        *[F.max(F.when(C("level") == lv, C("fail")).when(C("_bad") == lv, 1)).alias(f"f{lv}") for lv in levels])
     decision = reason = None
     before = F.lit(True)
     for lv in levels:
@@ -159,9 +164,25 @@ def _decide(per: DataFrame, reasons: dict[int, str]) -> DataFrame:
     return folded.select("RequestID", decision.when(before, ACCEPTED).otherwise(PENDING).alias("_new"), reason.alias("_why"))
 
 
-def _with_capacity(demands: DataFrame, capacities: DataFrame, order: list[str], *kept: str) -> DataFrame:
+def _summed(demands: DataFrame, order: list[str], *kept: str) -> DataFrame:
     # dealt by request before they are summed: rarely do two rows fall together, so a scan's task had kept all of its own
-    demands = demands.repartition("RequestID").groupBy("RequestID", *[o for o in order if o != "RequestID"], *kept, "level", "resource").agg(F.sum("qty").alias("qty"))
+    return demands.repartition("RequestID").groupBy("RequestID", *[o for o in order if o != "RequestID"], *kept, "level", "resource").agg(F.sum("qty").alias("qty"))
+
+
+def _certain(d: DataFrame, reasons: dict[int, str], order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(decisions, rows left) of demands that only take. A request with a demand above the whole capacity is rejected, at the
+    first such level (``_bad``) or an earlier one. Without earlier levels it is decided here; else these stay."""
+    w = Window.partitionBy("RequestID").orderBy("level", "resource")
+    over = F.when(C("qty") > C("capacity"), C("level"))
+    d = (d.withColumn("_head", F.row_number().over(w) == 1)
+         .withColumn("_bad", F.min(over).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    d = d.filter(C("_bad").isNull() | (C("level") < C("_bad")) | C("_head")).checkpoint(eager=True)
+    here = C("_bad").isNotNull() & (C("level") >= C("_bad"))
+    why = F.element_at(F.create_map(*[F.lit(x) for pair in sorted(reasons.items()) for x in pair]), C("_bad"))
+    return d.filter(here).select("RequestID", F.lit(REJECTED).alias("status"), why.alias("reason")), d.filter(~here).drop("_head")
+
+
+def _with_capacity(demands: DataFrame, capacities: DataFrame) -> DataFrame:
     return (demands.join(capacities, "resource", "left")
             .withColumn("capacity", F.coalesce(C("capacity"), F.lit(0)).cast("bigint"))
             .withColumn("qty", C("qty").cast("bigint")))
@@ -169,7 +190,7 @@ def _with_capacity(demands: DataFrame, capacities: DataFrame, order: list[str],
 
 def _allocate_apart(demands, capacities, reasons, order, apart, **how) -> tuple[DataFrame, DataFrame]:
     large = demands.groupBy(apart).count().filter(C("count") > MAX_PREFIX).select(apart).checkpoint(eager=True)
-    final = _fold_apart(_with_capacity(demands.join(large, apart, "left_anti"), capacities, order, apart), apart, order, reasons).checkpoint(eager=True)
+    final = _fold_apart(_with_capacity(_summed(demands.join(large, apart, "left_anti"), order, apart), capacities), apart, order, reasons).checkpoint(eager=True)
     status, final = final.filter("_head").select("RequestID", "status", "reason"), final.drop("_head", "reason")
     if not large.isEmpty():
         hot = demands.join(large, apart, "left_semi")
@@ -181,19 +202,27 @@ def _allocate_apart(demands, capacities, reasons, order, apart, **how) -> tuple[
 
 def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str],
              order: tuple[str, ...] = ("RequestedAt", "RequestID"), max_rounds: int = 10_000,
-             plain_windows: bool = False, rounds: list | None = None, apart: str | None = None) -> tuple[DataFrame, DataFrame]:
+             plain_windows: bool = False, rounds: list | None = None, apart: str | None = None,
+             takes: bool = False) -> tuple[DataFrame, DataFrame]:
     """``demands``: (RequestID, *order, level, resource, qty), qty < 0 supplies; ``capacities``: (resource,
     capacity). Resources without a capacity row have capacity 0. Returns (decisions, final demands):
     decisions = (RequestID, status, reason); final demands add ``consumed_before`` (net accepted demand on the
     resource before this request) for ledger building. Raises if ``max_rounds`` do not decide all. ``rounds`` collects
     the number of requests still pending after every round. ``apart``: a column of ``demands`` of which every request has one
-    value, such that requests of different values share no resource; it stays in the final demands."""
+    value, such that requests of different values share no resource; it stays in the final demands. ``takes``: every demand takes (qty
+    > 0) and is the only one of its request on its level and resource; the final demands are then those of accepted requests."""
     ensure_checkpoint_dir(demands.sparkSession)
     order = list(dict.fromkeys(order))
     if apart is not None:
         return _allocate_apart(demands, capacities, reasons, order, apart, max_rounds=max_rounds, plain_windows=plain_windows, rounds=rounds)
     # one row per (request, resource): repeated lines of the same variant are one demand
-    d = _with_capacity(demands, capacities, order)
+    d = _with_capacity(demands if takes else _summed(demands, order), capacities)
+    decided = []
+    if takes:
+        sure, d = _certain(d, reasons, order)
+        decided.append(sure)
+    else:
+        d = d.withColumn("_bad", F.lit(None).cast("int"))
     # materialise the demands once, range-bucketed by (resource, order): every round reuses them
     d = d.checkpoint(eager=True) if plain_windows else bucketize(d, ["resource"], order)
     edges = None if plain_windows else bucket_edges(d, ["resource"])
@@ -203,7 +232,7 @@ def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str],
                 else running_sum_in_buckets(df, ["resource"], order, sums, edges))
 
     keep = [*d.columns, "status"]
-    active, decided = d.withColumn("status", F.lit(PENDING)), []
+    active = d.withColumn("status", F.lit(PENDING))
     for turn in range(max_rounds):
         pending = C("status") == PENDING
         cur = active.withColumn("_taken", F.when(pending, 0).otherwise(C("qty"))).withColumn("_brought", F.when(pending & (C("qty") < 0), C("qty")).otherwise(0))
@@ -211,12 +240,13 @@ def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str],
         needs = pending & (C("qty") > 0)
         # certain to be rejected, whatever the reason: it no longer counts in anyone's upper bound
         doomed = cur.filter(needs & (C("_acc") + C("_in") + C("qty") > C("capacity"))).select("RequestID").distinct().withColumn("_doomed", F.lit(True))
-        cur = cur.join(doomed, "RequestID", "left").withColumn("_wanted", F.when(needs & C("_doomed").isNull(), C("qty")).otherwise(0))
+        cur = cur.join(doomed, "RequestID", "left").withColumn("_doomed", F.coalesce("_doomed", F.when(C("_bad").isNotNull(), F.lit(True))))
+        cur = cur.withColumn("_wanted", F.when(needs & C("_doomed").isNull(), C("qty")).otherwise(0))
         cur = running(cur, {"_out": "_wanted"})
         upper = C("_acc") + C("_out") + F.when(C("_doomed").isNotNull(), C("qty")).otherwise(0)
         per = cur.filter(pending).groupBy("RequestID", "level").agg(
             F.min(F.when((C("qty") <= 0) | (upper <= C("capacity")), 1).otherwise(0)).alias("pass"),
-            F.max(F.when((C("qty") > 0) & (C("_acc") + C("_in") + C("qty") > C("capacity")), 1).otherwise(0)).alias("fail"))
+            F.max(F.when((C("qty") > 0) & (C("_acc") + C("_in") + C("qty") > C("capacity")), 1).otherwise(0)).alias("fail"), F.max("_bad").alias("_bad"))
         new = _decide(per, reasons)
         if turn:
             # the earliest pending requests, in order: exact, so it agrees with the bounds where both decide
@@ -235,6 +265,7 @@ def allocate(demands: DataFrame, capacities: DataFrame, reasons: dict[int, str],
     else:
         raise RuntimeError("allocation did not converge")
     status = reduce(DataFrame.unionByName, decided)
-    final = d.join(status, "RequestID").withColumn("_acc_q", F.when(C("status") == ACCEPTED, C("qty")).otherwise(F.lit(0)))
+    d = d.drop("_bad")
+    final = d.join(status.filter(C("status") == ACCEPTED) if takes else status, "RequestID").withColumn("_acc_q", F.when(C("status") == ACCEPTED, C("qty")).otherwise(F.lit(0)))
     final = running(final, {"_acc_run": "_acc_q"})
     return status, final.withColumn("consumed_before", C("_acc_run") - C("_acc_q")).drop("_acc_q", "_acc_run", "_b")

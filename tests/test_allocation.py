@@ -149,3 +149,33 @@ def test_variants_apart_match_sequential(spark, monkeypatch, most):
     for r in sorted(got, key=lambda r: key[r.RequestID]):
         assert r.consumed_before == taken.get(r.resource, 0)
         taken[r.resource] = taken.get(r.resource, 0) + (r.qty if r.status == ACCEPTED else 0)
+
+
+@pytest.mark.parametrize("seed", [21, 22, 23])
+def test_certain_rejections_leave_before_the_rounds(spark, seed):
+    """A request that asks for more than there ever is takes no part in the rounds, but for its earlier levels."""
+    from bazaar.operators import allocation
+    reqs, caps = _fixture(seed)
+    for r in reqs:
+        summed = {}
+        for lv, res, q in r["demands"]:
+            summed[lv, res] = summed.get((lv, res), 0) + q
+        r["demands"] = [(lv, res, q) for (lv, res), q in summed.items()]
+    rows = [(r["id"], r["t"], lv, res, q) for r in reqs for lv, res, q in r["demands"]]
+    demands = spark.createDataFrame(rows, "RequestID long, RequestedAt timestamp_ntz, level int, resource string, qty long")
+    capacities = spark.createDataFrame(list(caps.items()), "resource string, capacity long")
+    expected = sequential_reference(reqs, caps, REASONS)
+    status, final = allocate(demands, capacities, REASONS, takes=True)
+    got = status.collect()
+    assert len(got) == len(reqs) and {r.RequestID: (r.status, r.reason) for r in got} == expected
+    lines, taken = {(r.RequestID, r.resource): r for r in final.collect()}, {}
+    for r in sorted(reqs, key=lambda r: r["key"]):
+        for _, res, q in r["demands"]:
+            assert ((r["id"], res) in lines) == (expected[r["id"]][0] == ACCEPTED)
+            if (r["id"], res) in lines:
+                assert (lines[r["id"], res].consumed_before, lines[r["id"], res].qty) == (taken.get(res, 0), q)
+                taken[res] = taken.get(res, 0) + q
+    over = {r["id"]: min((lv for lv, res, q in r["demands"] if q > caps.get(res, 0)), default=None) for r in reqs}
+    sure, left = allocation._certain(allocation._with_capacity(demands, capacities), REASONS, ["RequestedAt", "RequestID"])
+    assert {(r.RequestID, r.level, r.resource) for r in left.collect()} == {(i, lv, res) for i, _, lv, res, _ in rows if over[i] is None or lv < over[i]}
+    assert 0 < sure.count() < len(reqs) and all(expected[r.RequestID] == (r.status, r.reason) for r in sure.collect())

@@ -209,3 +209,19 @@ def test_points_across_the_date_line_and_at_the_pole(spark):
     pts = spark.createDataFrame([(1, 179.95, 0.0), (2, -179.95, 0.0), (3, 170.0, 0.0), (4, 10.0, 89.95), (5, -170.0, 89.95), (6, 0.0, 89.0)], "id int, lon double, lat double")
     near = lambda lon, lat, m: {r.id for r in within_radius(pts, lon, lat, m).collect()}
     assert near(179.99, 0.0, 20_000) == {1, 2} and near(-179.99, 0.0, 20_000) == {1, 2} and near(100.0, 89.99, 20_000) == {4, 5}
+
+
+def test_prices_come_with_the_lines(spark):
+    """Lines get their unit price where they are parsed; a line of an unknown product is a line, but has no price."""
+    variants = spark.createDataFrame([(1, 1, Decimal("0.50")), (2, 9, Decimal("0.00"))], "VariantID long, ProductID long, PriceAdjustment decimal(10,2)")
+    products = spark.createDataFrame([(1, Decimal("3.00"))], "ProductID long, BasePrice decimal(18,2)")
+    items = '[{"VariantID":"1","Quantity":"2"},{"VariantID":"1","Quantity":"1"},{"VariantID":"2","Quantity":"4"},{"VariantID":"7","Quantity":"1"}]'
+    req = spark.createDataFrame([(1, items), (2, '[{"VariantID":"2","Quantity":"1"}]')], "RequestID long, ItemsJson string")
+    lines = J.order_request_lines(req, variants, products)
+    assert {(r.RequestID, r.VariantID): (r.Quantity, r.UnitPrice, r.Priced) for r in lines.collect()} == {
+        (1, 1): (3, Decimal("3.50"), True), (1, 2): (4, None, False), (2, 2): (1, None, False)}
+    cust = spark.createDataFrame([(1, True)], "CustomerID int, IsActive boolean")
+    disc = spark.createDataFrame([], "DiscountID int, DiscountCode string, DiscountType string, DiscountValue decimal(10,2), ValidFrom timestamp_ntz, ValidTo timestamp_ntz, IsActive boolean")
+    asked = req.select("RequestID", F.lit(1).alias("CustomerID"), F.lit(None).cast("string").alias("DiscountCode"), "ItemsJson")
+    priced = J.price_order_requests(asked, variants, products, disc, cust, AS_OF, lines).collect()
+    assert [(r.RequestID, r.SubtotalAmount) for r in priced] == [(1, Decimal("10.50"))]

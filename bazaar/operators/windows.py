@@ -94,8 +94,8 @@ def global_order(df: DataFrame, value: str, keys: list[str], descending: bool =
 
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(nb, *order).withColumn("_b", F.spark_partition_id())
+    # without a number, adaptive execution merges neighbouring ranges up to its partition size, whatever the rows' number
+    ranged = df.repartitionByRange(*([buckets] if buckets else []), *order).withColumn("_b", F.spark_partition_id())
     ranged = ranged.checkpoint(eager=True)  # bucket ids frozen; survives executor loss
 
     wl = Window.partitionBy("_b").orderBy(*order)
@@ -166,11 +166,10 @@ def _running_type(dt: T.DataType) -> T.DataType:
 
 def bucketize(df: DataFrame, keys: list[str], order: list[str], buckets: int | None = None) -> DataFrame:
     """Range-partition on (keys, order) and freeze the bucket id ``_b`` with a reliable checkpoint.
-    A key holding a third of the rows spans many buckets instead of one task."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(nb, *[F.col(k).asc() for k in keys], *[F.col(o).asc() for o in order])
+    A key holding a third of the rows spans many buckets instead of one task. Without ``buckets``, their number follows the
+    rows' size (``session.TABLE_SIZES``)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return (df.repartitionByRange(*([buckets] if buckets else []), *[F.col(k).asc() for k in keys], *[F.col(o).asc() for o in order])
             .withColumn("_b", F.spark_partition_id()).checkpoint(eager=True))
 
 

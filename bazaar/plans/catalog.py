@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaar.plans.oracle_bindings import with_bindings
-from bazaar.session import configure
+from bazaar.session import TABLE_SIZES, configure
 from bazaar.sources.bindings import EVENTS_AS_OF, ORDERS_AS_OF, Bindings
 from bazaar.sources.tables import DriverTables
 
@@ -46,7 +46,7 @@ class Ctx:
     """Bound logical tables for one (spark, sf_dir)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        configure(spark)
+        configure(spark, TABLE_SIZES)
         self.spark = spark
         self.b = Bindings(DriverTables(spark, sf_dir))
         self.orders_as_of = ORDERS_AS_OF

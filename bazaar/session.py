@@ -31,6 +31,9 @@ DEFAULTS = {
 SIZES = {"spark.sql.sources.fileCompressionFactor": "30",
          # shuffled bytes are compressed: a task's rows take some ten times as much when it sorts or groups them
          "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
+#: The table queries' sizes. Adaptive execution only merges partitions, so a fixed small number of them grows with the tables: it starts
+#: from many and merges them up to the size above (above 200, a task of the map side would keep and sort its rows).
+TABLE_SIZES = SIZES | {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "200"}
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -50,11 +53,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def configure(spark: SparkSession) -> SparkSession:
+def configure(spark: SparkSession, sizes: dict[str, str] = SIZES) -> SparkSession:
     """Apply the correctness-relevant defaults to an existing session (only what is unset)."""
     if not spark.conf.get("spark.sql.session.timeZone", None):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    for k, v in SIZES.items():
+    for k, v in sizes.items():
         if not spark.conf.get(k, None):
             spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)

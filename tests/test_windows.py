@@ -103,3 +103,25 @@ def test_scan_by_key_equals_plain_windows(spark, buckets):
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(map(key, got.select(want.columns).collect())) == sorted(map(key, want.collect()))
     assert scan_by_key(df.limit(0), ["k"], ["d", "i"], number="n", sums={"s": "v"}, through=("u", "d")).collect() == []
+
+
+def test_buckets_follow_the_rows_size(spark):
+    """The number of range buckets is not that of shuffle partitions: it grows with the rows, so a bucket's memory does not."""
+    from bazaar.operators.windows import bucketize
+    conf = {"spark.sql.shuffle.partitions": "2", "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        few, many = (spark.range(n).select((F.col("id") % 3).alias("key"), "id", F.xxhash64("id").alias("x")) for n in (300, 60_000))
+        counts = [bucketize(d, ["key"], ["id"]).select("_b").distinct().count() for d in (few, many)]
+        assert counts[0] < counts[1] and counts[1] > 10
+        small = many.withColumn("x", F.col("x") % 1000)
+        cols = ["key", "id", "run"]
+        assert _rows(running_sum_by_key(small, ["key"], ["id"], {"run": "x"}), cols) == _rows(running_sum_by_key(small, ["key"], ["id"], {"run": "x"}, plain=True), cols)
+        order = ["id", "_rn", "_rank", "_dense", "_running"]
+        assert _rows(global_order(small, "x", ["id"], sum_col="x"), order) == _rows(global_order(small, "x", ["id"], sum_col="x", plain=True), order)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

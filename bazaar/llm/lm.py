@@ -7,11 +7,11 @@ causal attention over windows of ``WINDOW`` ids. Windows overlap: each scores on
 of its class under the model times its share of the class; frequent ids are classes of their own. Classes come in
 groups, and the model predicts the group and then the class in it.
 
-The model is trained in numpy, data-parallel: the sample (one training document in ``TRAIN_SHARE``, at every size of the
-input) is dealt to ``ROUNDS`` rounds. In a round every task passes once over its share from the common weights, and Spark
-averages the weights. So the work grows with the input and every document of the sample is seen once.
+The model is trained in numpy, data-parallel, on all training documents: they are dealt to ``ROUNDS`` rounds, and in a round to
+shards of about ``SHARD_BYTES``. In a round every shard is passed over once from the common weights, and Spark averages
+the weights. So the work grows with the input and every training document is seen once.
 
-Counts of words and of subword ids cover all training documents. Documents are batched by a hash of their id; each batch sends its
+Counts of words and of subword ids cover all training documents too. Documents are batched by a hash of their id; each batch sends its
 distinct words' hashes and counts, packed, and gets the corpus counts back in the same order.
 """
 
@@ -33,9 +33,8 @@ WINDOW, OVERLAP, WIDTH, HIDDEN = 32, 8, 16, 32
 GROUPS, MEMBERS = 32, 32
 OWN_CLASSES, SHARED_CLASSES = 960, 64  # GROUPS * MEMBERS in all
 OWN_VECTORS, SHARED_VECTORS = 4096, 256
-TRAIN_SHARE = 16  # one training document in so many
-SHARD_BYTES = 2 << 20  # text that one task passes over in a round
-ROUNDS = 3  # parts of the sample; weights are averaged after each
+SHARD_BYTES = 8 << 20  # text that is passed over from the common weights in a round
+ROUNDS = 3  # parts of the training documents; weights are averaged after each
 PART_BYTES = 256 << 20  # text whose distinct words one group adds up
 BATCH_BYTES = 8 << 20
 SLICE = 1 << 20
@@ -116,19 +115,28 @@ _CAUSAL = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 _BOUND = 60.0  # exp of more overflows float32; trained weights stay far below
 
 
+def _row_sums(a: np.ndarray) -> np.ndarray:
+    """Sums of short rows; a product is faster than a reduction here."""
+    return a @ np.ones(a.shape[1], a.dtype)
+
+
+def _bound(a: np.ndarray) -> None:
+    if a.max(initial=0) > _BOUND:
+        np.minimum(a, _BOUND, out=a)
+
+
 def attend(w: dict, x: np.ndarray):
     """The parts of the layer before the classes, for windows ``x`` (windows, WINDOW) of vector numbers."""
     b, d = len(x), WIDTH
-    e = w["emb"][x]
+    e = w["emb"].take(x, 0)
     e += w["pos"]
     flat = e.reshape(-1, d)
-    qkv = flat @ np.concatenate([w["wq"] * w["wq"].dtype.type(1 / np.sqrt(d)), w["wk"], w["wv"]], 1)
-    q, k, v = (np.ascontiguousarray(qkv[:, i * d:(i + 1) * d]).reshape(b, WINDOW, d) for i in range(3))
-    a = q @ k.transpose(0, 2, 1)
-    np.minimum(a, _BOUND, out=a)
+    q, k, v = ((flat @ m).reshape(b, WINDOW, d) for m in (w["wq"] * w["wq"].dtype.type(1 / np.sqrt(d)), w["wk"], w["wv"]))
+    a = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
+    _bound(a)
     np.exp(a, out=a)
     a *= _CAUSAL
-    total = a.sum(-1, keepdims=True)
+    total = _row_sums(a.reshape(-1, WINDOW)).reshape(b, WINDOW, 1)
     mixed = a @ v
     mixed /= total
     return flat, q, k, v, a, total, mixed.reshape(-1, d)
@@ -139,16 +147,16 @@ def predict(w: dict, flat: np.ndarray, mixed: np.ndarray):
     h += flat
     m = h @ w["w1"]
     m += w["b1"]
-    np.maximum(m, 0, out=m)
+    np.maximum(m, np.zeros_like(m), out=m)  # a scalar takes four times as long
     return h, m, h + m @ w["w2"]
 
 
 def _softmax(logits: np.ndarray, want: np.ndarray, divide: bool) -> np.ndarray:
     """Log probability of ``want``; ``logits`` becomes the probabilities' numerators, divided by their sum if asked for."""
-    np.minimum(logits, _BOUND, out=logits)
-    got = logits[np.arange(len(want)), want]
+    _bound(logits)
+    got = logits.take(np.arange(len(want)) * logits.shape[1] + want)
     np.exp(logits, out=logits)
-    total = logits.sum(-1)
+    total = _row_sums(logits)
     if divide:
         logits /= total[:, None]
     return got - np.log(total)
@@ -158,30 +166,34 @@ def class_log_probability(w: dict, z: np.ndarray, want: np.ndarray, grad: dict |
     """Log probability of the classes ``want``: that of the class's group times that of the member in the group.
 
     With ``grad`` the gradients of minus the mean are added to it, also that of ``z`` under "z"."""
-    group, member = want // MEMBERS, want % MEMBERS
-    p = z @ w["group"]
-    p += w["gbias"]
-    out = _softmax(p, group, grad is not None)
+    order = np.argsort((want // MEMBERS).astype(np.uint8), kind="stable")
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    want = want.take(order)
+    group = want // MEMBERS
+    member = want - group * MEMBERS
+    cuts = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
+    n, d = z.shape
+    zs = np.ones((n, d + 1), z.dtype)  # the last column is for the biases
+    zs[:, :d] = z.take(order, 0)
+    p = zs @ np.concatenate([w["group"], w["gbias"][None]])
+    inner = np.concatenate([w["member"], w["mbias"][:, None]], 1)
+    q = np.empty((n, MEMBERS), z.dtype)
+    for g, lo, hi in zip(range(GROUPS), cuts, cuts[1:]):
+        np.matmul(zs[lo:hi], inner[g], out=q[lo:hi])
+    out = (_softmax(p, group, grad is not None) + _softmax(q, member, grad is not None)).take(back)
     if grad is not None:
-        p[np.arange(len(want)), group] -= 1
-        p *= weight
-        grad["group"], grad["gbias"], grad["z"] = z.T @ p, p.sum(0), p @ w["group"].T
-        grad["member"], grad["mbias"] = np.zeros_like(w["member"]), np.zeros_like(w["mbias"])
-    order = np.argsort(group.astype(np.uint8), kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
-    for g in range(GROUPS):
-        rows = order[cuts[g]:cuts[g + 1]]
-        if not len(rows):
-            continue
-        zg, mg = z[rows], member[rows]
-        p = zg @ w["member"][g]
-        p += w["mbias"][g]
-        out[rows] += _softmax(p, mg, grad is not None)
-        if grad is not None:
-            p[np.arange(len(rows)), mg] -= 1
-            p *= weight
-            grad["member"][g], grad["mbias"][g] = zg.T @ p, p.sum(0)
-            grad["z"][rows] += p @ w["member"][g].T
+        for part, hit in ((p, group), (q, member)):
+            part *= weight
+            part[np.arange(n), hit] -= weight
+        both, dz = zs.T @ p, p @ w["group"].T
+        grad["group"], grad["gbias"] = both[:d], both[d]
+        both = np.zeros_like(inner)
+        for g, lo, hi in zip(range(GROUPS), cuts, cuts[1:]):
+            both[g] = zs[lo:hi].T @ q[lo:hi]
+            dz[lo:hi] += q[lo:hi] @ w["member"][g].T
+        grad["member"], grad["mbias"] = both[:, :d], both[:, d]
+        grad["z"] = dz.take(back, 0)
     return out
 
 
@@ -195,41 +207,43 @@ def gradients(w: dict, x: np.ndarray, y: np.ndarray, mask: np.ndarray) -> tuple[
     rows = np.flatnonzero(mask.ravel())
     n = max(1, len(rows))
     out: dict[str, np.ndarray] = {}
-    loss = -float(class_log_probability(w, z[rows], y.ravel()[rows], out, kind(1 / n)).sum()) / n
+    loss = -float(class_log_probability(w, z.take(rows, 0), y.ravel()[rows], out, kind(1 / n)).sum()) / n
     dz = np.zeros_like(z)
     dz[rows] = out.pop("z")
     out["w2"] = m.T @ dz
-    dm = (dz @ w["w2"].T) * (m > 0)
-    out["w1"], out["b1"] = h.T @ dm, dm.sum(0)
+    dm = dz @ w["w2"].T
+    dm *= m > 0
+    out["w1"], out["b1"] = h.T @ dm, np.ones(len(dm), dm.dtype) @ dm
     dh = dz + dm @ w["w1"].T
     out["wo"] = mixed.T @ dh
-    dmix = (dh @ w["wo"].T).reshape(b, WINDOW, d)
+    dmix = dh @ w["wo"].T
+    lean = _row_sums(dmix * mixed).reshape(b, WINDOW, 1)
+    dmix = dmix.reshape(b, WINDOW, d)
     dv = a.transpose(0, 2, 1) @ dmix
-    da = dmix @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(-1, keepdims=True))
+    ds = dmix @ np.ascontiguousarray(v.transpose(0, 2, 1))
+    ds -= lean
+    ds *= a
     dq, dk = (ds @ k) * kind(1 / np.sqrt(d)), ds.transpose(0, 2, 1) @ q
-    de = dh
-    for name, grad in (("wq", dq), ("wk", dk), ("wv", dv)):
-        grad = grad.reshape(-1, d)
-        out[name] = flat.T @ grad
-        de = de + grad @ w[name].T
+    both = np.concatenate([g.reshape(-1, d) for g in (dq, dk, dv)], 1)
+    out["wq"], out["wk"], out["wv"] = np.split(flat.T @ both, 3, 1)
+    de = dh + both @ np.concatenate([w["wq"], w["wk"], w["wv"]], 1).T
     de = de.reshape(b, WINDOW, d)
     out["pos"] = de.sum(0)
-    out["emb"] = np.zeros_like(w["emb"])
-    np.add.at(out["emb"], x, de)
+    cells = (x.reshape(-1, 1).astype(np.int64) * d + np.arange(d)).ravel()
+    out["emb"] = np.bincount(cells, de.ravel(), w["emb"].size).astype(kind).reshape(-1, d)
     return loss, out
 
 
-def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(lengths: np.ndarray, overlap: int = OVERLAP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows over concatenated sequences: start (absolute), the first place that counts, and how many count.
 
     Every place of every sequence counts in exactly one window."""
-    step = WINDOW - OVERLAP
+    step = WINDOW - overlap
     more = np.maximum(0, -(-(lengths - WINDOW) // step))
     n = np.where(lengths > 0, 1 + more, 0)
     seq = np.repeat(np.arange(len(lengths)), n)
     j = np.arange(len(seq)) - np.repeat(np.cumsum(n) - n, n)
-    first = np.where(j > 0, OVERLAP, 0)
+    first = np.where(j > 0, overlap, 0)
     inner = j * step
     count = np.minimum(WINDOW, lengths[seq] - inner) - first
     base = (np.cumsum(lengths) - lengths)[seq]
@@ -247,16 +261,19 @@ def window_batches(vec_in: np.ndarray, lengths: np.ndarray, size: int):
         yield at, vec_in[at], (lane >= f[:, None]) & (lane < (f + c)[:, None])
 
 
+def _inputs(cls: Classes, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Vector numbers before every id: those of the id before it, or the beginning's."""
+    out = np.empty(len(ids), cls.vector.dtype)
+    out[1:] = cls.vector[ids[:-1]]
+    out[(np.cumsum(lengths) - lengths)[lengths > 0]] = OWN_VECTORS + SHARED_VECTORS
+    return out
+
+
 def sequence_log_probability(w: dict, cls: Classes, ids: np.ndarray, lengths: np.ndarray, size: int = 64) -> np.ndarray:
     """Natural log probability of every id, given those before it in its sequence."""
     if not len(ids):
         return np.zeros(0)
-    begin = OWN_VECTORS + SHARED_VECTORS
-    vec = cls.vector[ids]
-    vec_in = np.empty_like(vec)
-    vec_in[1:] = vec[:-1]
-    vec_in[(np.cumsum(lengths) - lengths)[lengths > 0]] = begin
-    want = cls.cls[ids]
+    vec_in, want = _inputs(cls, ids, lengths), cls.cls[ids]
     out = np.empty(len(ids))
     hold: list[tuple] = []
 
@@ -276,30 +293,26 @@ def sequence_log_probability(w: dict, cls: Classes, ids: np.ndarray, lengths: np
     return out + cls.log_share[ids]
 
 
-def train_pass(w: dict, cls: Classes, ids: np.ndarray, lengths: np.ndarray, seed: int, size: int = 64, rate: float = 4e-3) -> dict:
-    """One pass of Adam over the windows of a shard, from the weights ``w``."""
-    w = {k: v.copy() for k, v in w.items()}
-    m, s = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-    begin = OWN_VECTORS + SHARED_VECTORS
-    vec = cls.vector[ids]
-    vec_in = np.empty_like(vec)
-    vec_in[1:] = vec[:-1]
-    vec_in[(np.cumsum(lengths) - lengths)[lengths > 0]] = begin
-    want = cls.cls[ids]
-    start, first, count = windows(lengths)
+def train_pass(w: dict, cls: Classes, ids: np.ndarray, lengths: np.ndarray, seed: int, size: int = 256, rate: float = 8e-3) -> dict:
+    """One pass of Adam over a shard, from the weights ``w``; the windows don't overlap, so every id is seen once."""
+    values = np.concatenate([w[k].ravel() for k in NAMES])
+    cuts = np.cumsum([0, *(w[k].size for k in NAMES)]).tolist()
+    w = {k: values[lo:hi].reshape(w[k].shape) for k, lo, hi in zip(NAMES, cuts, cuts[1:])}
+    m, s = np.zeros_like(values), np.zeros_like(values)
+    vec_in, want = _inputs(cls, ids, lengths), cls.cls[ids]
+    start, _, count = windows(lengths, 0)
     order = np.random.default_rng(seed).permutation(len(start))
     lane, last = np.arange(WINDOW), max(len(ids) - 1, 0)
     steps = -(-len(order) // size)
     for t, lo in enumerate(range(0, len(order), size), 1):
         part = order[lo:lo + size]
         at = np.minimum(start[part, None] + lane, last)
-        mask = lane < (first + count)[part, None]
-        _, g = gradients(w, vec_in[at], want[at], mask)
+        _, grad = gradients(w, vec_in[at], want[at], lane < count[part, None])
+        g = np.concatenate([grad[k].ravel() for k in NAMES])
+        m += 0.1 * (g - m)
+        s += 0.02 * (g * g - s)
         lr = rate * min(1.0, t / 20) * (1 - 0.9 * t / steps)
-        for k in w:
-            m[k] += 0.1 * (g[k] - m[k])
-            s[k] += 0.02 * (g[k] ** 2 - s[k])
-            w[k] -= lr * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(s[k] / (1 - 0.98 ** t)) + 1e-8)
+        values -= (lr / (1 - 0.9 ** t)) * m / (np.sqrt(s / (1 - 0.98 ** t)) + 1e-8)
     return w
 
 
@@ -314,13 +327,6 @@ def word_table(buf: np.ndarray, offs: np.ndarray, pw: tb.Powers):
     return low, u, starts[first], ends[first], inv, woffs
 
 
-def subword_sequences(sub: Subwords, end_id: int, low, starts, ends, inv, woffs) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of every text (its words', then ``end_id``) and the texts' lengths in ids."""
-    data = low.tobytes()
-    ids, woff = sub.encode([data[s:e] for s, e in zip(starts.tolist(), ends.tolist())])
-    return spelled(ids, woff, end_id, inv, woffs)
-
-
 def spelled(ids: np.ndarray, woff: np.ndarray, end_id: int, inv: np.ndarray, woffs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Texts of the words ``inv``, where ids[woff[k]:woff[k + 1]] are those of word k: ids with an end each, and lengths."""
     n = np.diff(woff)[inv]
@@ -334,56 +340,72 @@ def spelled(ids: np.ndarray, woff: np.ndarray, end_id: int, inv: np.ndarray, wof
     return out, lengths
 
 
-def sample_ids(sample: DataFrame, vocabulary: Shipped, end_id: int) -> DataFrame:
-    """ids and lengths of the sampled texts, packed, a row per slice and round; sample: text, round."""
-    def run(batches):
-        sub, pw = Subwords(vocabulary.load()), tb.Powers()
-        for batch in batches:
-            rounds = batch.column(1).to_numpy(zero_copy_only=False)
-            for lo, buf, offs in tb.slices(batch.column(0), SLICE):
-                low, _, s, e, inv, woffs = word_table(buf, offs, pw)
-                ids, lengths = subword_sequences(sub, end_id, low, s, e, inv, woffs)
-                mine = rounds[lo:lo + len(lengths)]
-                for r in np.unique(mine):
-                    yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([ids[np.repeat(mine == r, lengths)].tobytes()], pa.binary()), pa.array([lengths[mine == r].astype(np.int64).tobytes()], pa.binary())], ["round", "ids", "lengths"])
-    return sample.select("text", "round").mapInArrow(run, "round int, ids binary, lengths binary")
-
-
-def _learn(now: Shipped, r: int):
-    """One shard's pass; its slices in a fixed order, so that reruns agree."""
+def _once(make):
+    """A function that calls ``make`` the first time only: a task makes what its groups share once."""
+    made = []
+
+    def get():
+        if not made:
+            made.append(make())
+        return made[0]
+    return get
+
+
+def _learn(now: Shipped, vocabulary: Shipped, end_id: int, r: int):
+    """One shard's pass; its texts in a fixed order, so that reruns agree."""
+    model, subwords = _once(now.load), _once(lambda: Subwords(vocabulary.load()))
+
     def run(key, table):
-        cls, w = now.load()
-        parts = sorted(zip(table.column("ids").to_pylist(), table.column("lengths").to_pylist()))
-        ids = np.frombuffer(b"".join(x for x, _ in parts), np.int32)
-        w = train_pass(w, cls, ids, np.frombuffer(b"".join(n for _, n in parts), np.int64), seed=1000 * r + key[0].as_py())
+        cls, w = model()
+        u, _, tables, first = _batch_words(table.sort_by([("doc", "ascending"), ("text", "ascending")]), tb.Powers())
+        ids_of, n = _batch_ids(subwords(), tables, first)
+        woff = np.concatenate([[0], np.cumsum(n)])
+        ids, lengths = map(np.concatenate, zip(*(spelled(ids_of, woff, end_id, np.searchsorted(u, mine)[inv], woffs) for _, mine, _, _, inv, woffs in tables)))
+        w = train_pass(w, cls, ids, lengths, seed=1000 * r + key[0].as_py())
         return pa.table({"name": list(NAMES), "weight": [float(len(ids))] * len(NAMES), "value": pa.array([w[k].astype(np.float32).tobytes() for k in NAMES], pa.binary())})
     return run
 
 
-def _average(table: pa.Table) -> pa.Table:
-    """The shards' weights of one name, averaged by the ids they saw."""
-    parts = sorted(zip(table.column("weight").to_pylist(), table.column("value").to_pylist()))
+def _mean(parts: list) -> tuple[float, bytes]:
+    """Ids in all and the average by ids of (ids, weights) pairs."""
     every = sum(n for n, _ in parts)
-    total = sum(np.frombuffer(v, np.float32).astype(np.float64) * (n / every) for n, v in parts)
-    return pa.table({"name": [table.column("name")[0].as_py()], "value": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+    return every, sum(np.frombuffer(v, np.float32).astype(np.float64) * (n / every) for n, v in parts).astype(np.float32).tobytes()
+
 
+def _average_here(batches):
+    """The weights of a partition's shards, averaged while they come, so that few are left to send."""
+    now: dict[str, tuple[float, bytes]] = {}
+    for batch in batches:
+        for name, *part in zip(*(c.to_pylist() for c in batch.columns)):
+            now[name] = _mean([now[name], part]) if name in now else tuple(part)
+    if now:
+        yield pa.RecordBatch.from_arrays([pa.array(list(now)), pa.array([n for n, _ in now.values()]), pa.array([v for _, v in now.values()], pa.binary())], ["name", "weight", "value"])
 
-def fit(sample: DataFrame, counts: np.ndarray, vocabulary: Shipped, shards: int) -> tuple[Classes, dict]:
-    """Classes from the ids' ``counts``, weights from the sampled texts (text, round), one pass a round.
 
-    In a round each shard passes over its ids; Spark averages the weights by ids."""
-    spark = sample.sparkSession
+def _average(table: pa.Table) -> pa.Table:
+    """The weights of one name, averaged by the ids they saw."""
+    _, value = _mean(sorted(zip(table.column("weight").to_pylist(), table.column("value").to_pylist())))
+    return pa.table({"name": [table.column("name")[0].as_py()], "value": pa.array([value], pa.binary())})
+
+
+def fit(train: DataFrame, counts: np.ndarray, vocabulary: Shipped, shards: int) -> tuple[Classes, dict]:
+    """Classes from the ids' ``counts``, weights from all training texts (doc, train, text), each in one pass of one round.
+
+    In a round each of the shards passes over its texts; Spark averages the weights by ids."""
+    spark = train.sparkSession
     cls, w = Classes(counts), initial_weights()
     if not counts.any():
         return cls, w
     share = np.bincount(cls.cls, counts + 0.1, OWN_CLASSES + SHARED_CLASSES)
     share = np.maximum(share, 1e-3).reshape(GROUPS, MEMBERS)
     w["gbias"], w["mbias"] = np.log(share.sum(1) / share.sum()).astype(np.float32), np.log(share / share.sum(1, keepdims=True)).astype(np.float32)
-    w["group"][:], w["member"][:] = 0, 0  # at first the model is the ids' frequencies; a small sample leaves it near them
-    packed = materialise(sample_ids(sample.repartition(shards), vocabulary, len(counts) - 1), "lm-sample")
-    numbered = packed.withColumn("shard", F.pmod(F.xxhash64("ids"), F.lit(shards)).cast("int"))
+    w["group"][:], w["member"][:] = 0, 0  # at first the model is the ids' frequencies; few texts leave it near them
+    drawn = F.pmod(F.xxhash64("doc", "text"), F.lit(ROUNDS * shards))
+    dealt = train.select("doc", "train", "text", (drawn % ROUNDS).alias("round"), F.floor(drawn / ROUNDS).cast("int").alias("shard"))
+    kind = "name string, weight double, value binary"
     for r in range(ROUNDS):
-        learned = numbered.where(F.col("round") == r).groupBy("shard").applyInArrow(_learn(Shipped(spark, (cls, w)), r), "name string, weight double, value binary")
+        now = Shipped(spark, (cls, w))
+        learned = dealt.where(F.col("round") == r).groupBy("shard").applyInArrow(_learn(now, vocabulary, len(counts) - 1, r), kind).mapInArrow(_average_here, kind)
         for row in learned.groupBy("name").applyInArrow(_average, "name string, value binary").collect():
             w[row["name"]] = np.frombuffer(bytes(row["value"]), np.float32).reshape(w[row["name"]].shape).copy()
     return cls, w
@@ -431,12 +453,14 @@ def _by_part(u: np.ndarray, parts: int):
 
 def _send_words(parts: int, vocabulary: Shipped, end_id: int):
     """A batch's distinct words by part; under a part below zero the words' subword ids and the ids' counts in training texts."""
+    subwords = _once(lambda: Subwords(vocabulary.load()))
+
     def run(table: pa.Table) -> pa.Table:
         u, n, tables, first = _batch_words(table, tb.Powers())
         cuts = _by_part(u, parts)
         full = np.flatnonzero(np.diff(cuts))
         batch = table.column("batch")[0].as_py()
-        ids, lengths = _batch_ids(Subwords(vocabulary.load()), tables, first)
+        ids, lengths = _batch_ids(subwords(), tables, first)
         seen = np.bincount(ids, np.repeat(n, lengths), end_id + 1).astype(np.int64)
         seen[end_id] += np.count_nonzero(table.column("train").to_numpy(zero_copy_only=False))
         at = np.flatnonzero(seen)
@@ -503,10 +527,12 @@ _SCORED = "doc long, train boolean, n_tokens long, n_known long, log_counts doub
 
 
 def _score_batches(model: Shipped, end_id: int):
+    load = _once(model.load)
+
     def run(key, table: pa.Table, counted: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.schema([("doc", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("log_counts", pa.float64()), ("score", pa.float64())]).empty_table()
-        cls, w = model.load()
+        cls, w = load()
         u, _, tables, _ = _batch_words(table, tb.Powers())
         part = counted.column("part").to_numpy()
         spell = int(np.flatnonzero(part < 0)[0])
@@ -530,7 +556,7 @@ def _score_batches(model: Shipped, end_id: int):
     return run
 
 
-def score_texts(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, train_share: int = TRAIN_SHARE, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """id, ``train_col``, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Tokens are the words and one end. base_score is the add-one word model over all rows with ``train_col``; score is the
@@ -548,10 +574,7 @@ def score_texts(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_co
     keyed = src.select(F.pmod(F.hash("doc"), F.lit(batches)).cast("int").alias("batch"), "doc", "train", "text")
     sent = keyed.groupBy("batch").applyInArrow(_send_words(parts, shared, end_id), "part int, batch int, words binary, counts binary")
     counted = materialise(sent.groupBy("part").applyInArrow(_add_words, "batch int, part int, known long, totals binary, size int"), "lm-counts")
-    # a fixed share of the training documents by a hash of the id, dealt to the rounds
-    drawn = F.pmod(F.xxhash64("doc", F.lit("lm")), F.lit(train_share * ROUNDS))
-    sample = src.where("train").where(drawn < ROUNDS).select("text", drawn.cast("int").alias("round"))
-    cls, w = fit(sample, _all_ids(counted, end_id), shared, max(1, total // train_share // ROUNDS // SHARD_BYTES))
+    cls, w = fit(src.where("train"), _all_ids(counted, end_id), shared, max(1, total // ROUNDS // SHARD_BYTES))
     model = Shipped(spark, (cls, w))
     counted = counted.where("batch >= 0")
     scored = keyed.groupBy("batch").cogroup(counted.groupBy("batch")).applyInArrow(_score_batches(model, end_id), _SCORED)

@@ -339,6 +339,32 @@ def test_subword_counts_cover_all_training_texts(spark):
     assert got.tolist() == want.tolist()
 
 
+def test_every_training_text_reaches_the_weights(spark):
+    """Words in reverse leave all counts as they are, so only the weights can tell; any text's order has to change them."""
+    rng = random.Random(5)
+    rows = [(i, prose(rng, 60), i % 8 != 0) for i in range(40)]
+
+    def held_out(turned):
+        d = [(i, " ".join(t.split()[::-1]) if i == turned else t, train) for i, t, train in rows]
+        out = lm.score_texts(spark.createDataFrame(d, "doc_id long, text string, train boolean").coalesce(1), "train")
+        return sorted((r["doc_id"], r["base_score"], r["score"]) for r in out.where("NOT train").collect())
+
+    plain = held_out(None)
+    assert held_out(None) == plain
+    for turned in (1, 13, 39):
+        got = held_out(turned)
+        assert [g[:2] for g in got] == [p[:2] for p in plain] and all(g[2] != p[2] for g, p in zip(got, plain)), turned
+
+
+def test_shards_are_averaged_by_their_ids():
+    parts = [(1.0, np.array([0, 4], np.float32).tobytes()), (3.0, np.array([4, 0], np.float32).tobytes())]
+    batch = pa.RecordBatch.from_arrays([pa.array(["pos", "pos"]), pa.array([n for n, _ in parts]), pa.array([v for _, v in parts], pa.binary())], ["name", "weight", "value"])
+    here, = lm._average_here([batch.slice(0, 1), batch.slice(1)])
+    assert here.column("weight").to_pylist() == [4.0]
+    assert np.frombuffer(here.column("value")[0].as_py(), np.float32).tolist() == [3, 1]
+    assert np.frombuffer(lm._average(pa.Table.from_batches([batch])).column("value")[0].as_py(), np.float32).tolist() == [3, 1]
+
+
 def test_attention_model_learns_and_empty_tables(spark, no_docs):
     d = read_table(spark, SF_SMALL, "documents").withColumn("train", id_remainder(7) != 2)
     out = [r for r in lm.score_texts(d, "train").collect() if not r["train"]]

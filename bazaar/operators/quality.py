@@ -13,6 +13,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bazaar.operators.relational import hint_if_few
+from bazaar.session import ensure_checkpoint_dir
+
 C = F.col
 
 
@@ -152,12 +155,18 @@ def compare_by_range(a: DataFrame, b: DataFrame, key: str, width: int) -> DataFr
 
 def differing_rows(a: DataFrame, b: DataFrame, key: str, width: int) -> DataFrame:
     """The rows of one side that the other has less often, with ``_side`` (left_only, right_only). Only the ranges whose digests
-    differ (``compare_by_range``) are compared row by row."""
-    bad = compare_by_range(a, b, key, width).filter(~C("equal")).select(C("range").alias("_r"))
+    differ (``compare_by_range``) are looked at again, by the digests of their single keys, and only the rows of keys that differ
+    are shuffled and compared row by row. Each side is read three times: hand over tables that are materialised."""
+    ensure_checkpoint_dir(a.sparkSession)
     cols = [C(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in a.schema.fields]
-    # one count of both sides' rows; an inner join (ranges are distinct), as a semi-join would be planned once a side with all of bad
-    signed = a.select(*cols, F.lit(1).alias("_n")).unionByName(b.select(*cols, F.lit(-1).alias("_n")))
-    signed = signed.join(bad, F.floor(C(key) / width).cast("bigint").eqNullSafe(C("_r")))
+    a, b = a.select(*cols), b.select(*cols)
+    near = [a, b]
+    for w in (width, 1):
+        bad = compare_by_range(*near, key, w).filter(~C("equal")).select(C("range").alias("_r"))
+        # its size is known before the rows are read, which are only shuffled for it if it is long
+        bad = hint_if_few(bad.checkpoint(eager=True), 250_000)
+        near = [x.join(bad, F.floor(C(key) / w).cast("bigint").eqNullSafe(C("_r")), "left_semi") for x in (a, b)]
+    signed = near[0].withColumn("_n", F.lit(1)).unionByName(near[1].withColumn("_n", F.lit(-1)))
     n = signed.groupBy(*[C(f"`{f.name}`") for f in a.schema.fields]).agg(F.sum("_n").alias("_n")).filter(C("_n") != 0)
     side = F.when(C("_n") > 0, "left_only").otherwise("right_only")
     n = n.withColumn("_side", side).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("_n"))))

@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 C = F.col
 
 
+def hint_if_few(df: DataFrame, rows: int = 20_000) -> DataFrame:
+    """``df`` with a broadcast hint if it has ``rows`` rows at most. Adaptive execution finds that out as well, but only when the
+    large side of the join is already shuffled. For tables that are cheap to count."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def exists_in(df: DataFrame, other: DataFrame, keys, negate: bool = False) -> DataFrame:
     """WHERE [NOT] EXISTS / IN (subquery) → left semi / left anti join."""
     return df.join(other, keys, "left_anti" if negate else "left_semi")

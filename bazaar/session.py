@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings we rely on for correctness (UTC, NTZ timestamps) and for scale (AQE, skew joins).
 DEFAULTS = {
@@ -91,3 +93,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         d = tempfile.mkdtemp(prefix="bazaar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return d
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """A function ``keep(df, name)`` that writes ``df`` once as Parquet to the shared folder and reads it back; Parquet takes a
+    fraction of a checkpoint's bytes. The files go at the end of the block: what leaves it has to be checkpointed.
+
+    The shuffles that made a kept table, and those of earlier steps, are of no more use, but Spark removes them only once the
+    driver's garbage collector has found them unreferenced; with a large heap the disks may be full before, so it runs here."""
+    ensure_checkpoint_dir(spark)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.deleteOnExit(folder)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        path = f"{folder.toString()}/{name}"
+        jvm.System.gc()
+        df.write.option("compression", "zstd").parquet(path)
+        jvm.System.gc()
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        fs.delete(folder, True)
+        fs.cancelDeleteOnExit(folder)
